@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The original pipeline is a full-refresh batch job: every source is re-read
+whole on each run and there is no stream, watermark, window or state. The
+forecasts are therefore batch DataFrame plans; a caller who wants periodic
+refreshes schedules the batch job (or drives it from ``foreachBatch``).
+"""
