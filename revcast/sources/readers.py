@@ -76,6 +76,17 @@ def flatten_parent(df: DataFrame, key: str, parent: str, parent_field: str = "Id
                      F.col(f"{parent}.{parent_field}").alias(parent_alias or f"{parent}_{parent_field}"))
 
 
+def _list_names(spark: SparkSession, path: str) -> list[str]:
+    """Entry names of a directory on any Hadoop file system (local, HDFS,
+    object stores); only the listing goes through the driver."""
+    if "://" not in path and not path.startswith("file:"):
+        return sorted(os.listdir(path))
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
 def load_directory(spark: SparkSession, path: str, schemas: Mapping[str, StructType] | None = None,
                    fmt: str = "parquet", skip=("hist",), encoding: str = "ISO-8859-1") -> dict[str, DataFrame]:
     """Every entry of a directory becomes a table named after it.
@@ -85,7 +96,7 @@ def load_directory(spark: SparkSession, path: str, schemas: Mapping[str, StructT
     the directory is metadata only; the data is read by the executors.
     """
     out = {}
-    for entry in sorted(os.listdir(path)):
+    for entry in _list_names(spark, path):
         name = os.path.splitext(entry)[0]
         if entry in skip or name in skip or entry.startswith((".", "_")):
             continue
