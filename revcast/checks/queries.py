@@ -32,7 +32,7 @@ from ..operators.projection import move_first
 from ..plans import orders as O
 from ..plans.config import driver_config
 from ..plans.crm import bill_party_ref, opportunity_account_ref
-from ..plans.pipeline import driver_forecasts
+from ..plans.pipeline import driver_run
 from ..session import ensure_checkpoint_dir
 from ..sources.driver_tables import DriverCatalog, load_tables, money
 from ..sources.readers import load_directory
@@ -390,27 +390,27 @@ def q_po_hold_fact(spark, sf_dir):
 
 
 def _run(spark, sf_dir):
-    return driver_forecasts(spark, sf_dir)
+    return driver_run(spark, sf_dir)
 
 
 def q_union_by_name(spark, sf_dir):
     """Billing, ledger and hold rows by column name."""
-    return hashable(_run(spark, sf_dir)["revfact"])
+    return hashable(_run(spark, sf_dir).order_sources["revfact"])
 
 
 def q_crm_chain(spark, sf_dir):
     """CRM transaction fact."""
-    return hashable(_run(spark, sf_dir)["Fact_Trx"])
+    return hashable(_run(spark, sf_dir).fact_trx)
 
 
 def q_pipeline_tcv(spark, sf_dir):
     """Pipeline TCV per opportunity and offering."""
-    return hashable(_run(spark, sf_dir)["Fact_Tcvpl"])
+    return hashable(_run(spark, sf_dir).fact_tcvpl)
 
 
 def q_latest_offering(spark, sf_dir):
     """Latest offering per product number."""
-    return _run(spark, sf_dir)["Ref_Offr"]
+    return _run(spark, sf_dir).crm_refs["Ref_Offr"]
 
 
 def q_nested_parent(spark, sf_dir):
@@ -429,7 +429,7 @@ ENRICHED_COLUMNS = (
 
 def q_enrichment_chain(spark, sf_dir):
     """The ten-step enrichment of the TCV extract."""
-    df = _run(spark, sf_dir)["tcv_attributed"]
+    df = _run(spark, sf_dir).attributed[1]
     return hashable(df.select(*[F.col(f"`{c}`") for c in ENRICHED_COLUMNS]))
 
 
@@ -454,12 +454,12 @@ def q_tcv_dates_amounts(spark, sf_dir):
 
 def q_revenue_forecast(spark, sf_dir):
     """The revenue forecast."""
-    return hashable(_run(spark, sf_dir)["fcrev"])
+    return hashable(_run(spark, sf_dir).fcrev)
 
 
 def q_tcv_forecast(spark, sf_dir):
     """The TCV forecast."""
-    return hashable(_run(spark, sf_dir)["fctcv"])
+    return hashable(_run(spark, sf_dir).fctcv)
 
 
 def q_snapshot_roundtrip(spark, sf_dir):

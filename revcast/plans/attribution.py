@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -45,6 +46,6 @@ def attributed_facts(order_src: Mapping[str, DataFrame], crm_src: Mapping[str, D
                      chain=ORDER_CHAIN) -> tuple[DataFrame, DataFrame]:
     """(revenue fact, TCV fact) after the chain; order and CRM tables share
     one catalog, as the chain reads both."""
-    cat = {**crm_src, **order_src}
+    cat = ChainMap(order_src, crm_src)
     rev = order_src["revfact"].withColumn("BILL_TO_PARTY_ID", F.col("BILL_TO_PARTY_ID").cast("long"))
     return attribute_orders(rev, cat, chain), attribute_orders(order_src["tcv"], cat, chain)

@@ -40,10 +40,25 @@ CRM_CHAIN = (
 )
 
 
-def prefixed(objects: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+class _Prefixed(dict):
+    """CRM objects with their source prefix, prefixed on first access."""
+
+    def __init__(self, objects: Mapping[str, DataFrame]):
+        super().__init__()
+        self._objects = objects
+
+    def __missing__(self, name):
+        df = add_prefix(self._objects[name], K.CRM_PREFIXES[name])
+        self[name] = df
+        return df
+
+    def materialise(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in K.CRM_PREFIXES if n in self._objects}
+
+
+def prefixed(objects: Mapping[str, DataFrame]) -> _Prefixed:
     """Every CRM object with its source prefix on every column (P5)."""
-    return {name: add_prefix(df, K.CRM_PREFIXES[name])
-            for name, df in objects.items() if name in K.CRM_PREFIXES}
+    return _Prefixed(objects)
 
 
 def transaction_fact(objects: Mapping[str, DataFrame], chain=CRM_CHAIN) -> DataFrame:
@@ -54,19 +69,17 @@ def transaction_fact(objects: Mapping[str, DataFrame], chain=CRM_CHAIN) -> DataF
     f = enrich(cat["Fact_Trx"], cat, chain)
     f = project_lenient(rename_map(f, K.CRM_FINAL_COLUMNS, keep_unmapped=False),
                         list(K.CRM_FINAL_COLUMNS.values()))
-    return (f
-            .withColumn("Opp_Num", override_if_present("MileOppLine_OppNum", "Opp_Num"))
-            .withColumn("Opp_CloseMonth", override_if_present("MileOppLine_MonthClose", "Opp_CloseMonth"))
-            .withColumn("Opp_Prob", override_if_key_present("MileOppLine_OppNum", "MileOppLine_OppProb",
-                                                            "Opp_Prob"))
-            .withColumn("Opp_Stage", override_if_present("MileOppLine_OppStage", "Opp_Stage"))
-            .withColumn("Trx_OrderNum", override_if_present("Order_Name", "Trx_OrderNum"))
-            .withColumn("Opp_Type", override_if_present("MileOppLine_OppType", "Opp_Type"))
-            .withColumn("Opps_Amount", override_if_key_present("MileOppLine_OppNum", "MileOppLine_OppAmount",
-                                                               "Opps_Amount"))
-            .withColumn("Mile_Type", milestone_type_name("Mile_Type"))
-            .withColumn("Trx_Month", fiscal_period("Trx_Month"))
-            .withColumn("Opp_CloseMonth", fiscal_period("Opp_CloseMonth")))
+    return f.withColumns({
+        "Opp_Num": override_if_present("MileOppLine_OppNum", "Opp_Num"),
+        "Opp_CloseMonth": fiscal_period(override_if_present("MileOppLine_MonthClose", "Opp_CloseMonth")),
+        "Opp_Prob": override_if_key_present("MileOppLine_OppNum", "MileOppLine_OppProb", "Opp_Prob"),
+        "Opp_Stage": override_if_present("MileOppLine_OppStage", "Opp_Stage"),
+        "Trx_OrderNum": override_if_present("Order_Name", "Trx_OrderNum"),
+        "Opp_Type": override_if_present("MileOppLine_OppType", "Opp_Type"),
+        "Opps_Amount": override_if_key_present("MileOppLine_OppNum", "MileOppLine_OppAmount", "Opps_Amount"),
+        "Mile_Type": milestone_type_name("Mile_Type"),
+        "Trx_Month": fiscal_period("Trx_Month"),
+    })
 
 
 def pipeline_tcv(fact: DataFrame) -> DataFrame:
@@ -118,7 +131,7 @@ def crm_sources(objects: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All CRM tables the forecasts read (prefixed and prepared)."""
     cat = prefixed(objects)
     fact = transaction_fact(objects)
-    out = dict(cat)
+    out = cat.materialise()
     out.update({
         "Fact_Trx": fact,
         "Fact_Tcvpl": pipeline_tcv(fact),

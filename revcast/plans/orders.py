@@ -25,6 +25,7 @@ from ..functions.semantics import exclude_drop_null, product_key, trim_to_null
 from ..operators.joins import bounded_broadcast, left_enrich
 from ..operators.projection import project_strict, rename_map, project_lenient
 from ..operators.sets import union_by_name
+from ._lazy import LazyMap
 from .config import ForecastConfig
 
 Catalog = Mapping[str, DataFrame]
@@ -301,30 +302,41 @@ def order_opportunity_map(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
 
 
 def order_sources(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
-                  order_rules: DataFrame | None = None) -> dict[str, DataFrame]:
+                  order_rules: DataFrame | None = None) -> Mapping[str, DataFrame]:
     """The order-side tables the forecasts read.
 
     ``tcv``, ``billev``, ``defrecrev``, ``reforderopp``, ``poh`` (holds with
     their order header and fiscal period) and ``revfact``, the union of
-    billing, ledger and hold rows with the revenue type as text.
+    billing, ledger and hold rows with the revenue type as text. Each table
+    is planned on first access.
     """
-    tcv = project_strict(contracted_tcv_fact(cat, cfg, party_date_rules, order_rules),
-                         K.TCV_EXTRACT_COLUMNS)
-    billev = project_strict(billing_events_fact(cat, cfg), K.BILLING_EXTRACT_COLUMNS)
-    defrecrev = project_strict(recognised_deferred_fact(cat, cfg), K.LEDGER_EXTRACT_COLUMNS)
-    ref = project_strict(order_opportunity_map(cat, cfg), K.ORDER_MAP_EXTRACT_COLUMNS)
-    ref = ref.withColumn("OPPORTUNITY_ID", apply_overrides("OPPORTUNITY_ID", cfg.opportunity_overrides))
-    poh = project_strict(po_hold_fact(cat, cfg), K.HOLD_EXTRACT_COLUMNS)
-    poh = left_enrich(poh, ref, "ORDER_NUMBER", "ORDER_NUMBER")
-    poh = project_lenient(rename_map(poh, K.HOLD_COLUMNS), list(K.HOLD_COLUMNS.values()))
-    # Hold rows carry an account number in the party-id slot; as a number
-    # it is null unless the account number happens to be numeric.
-    poh = (poh.withColumn("FISCAL_YYYYMM", fiscal_period(_c("FISCAL_YYYYMM")))
-           .withColumn("BILL_TO_PARTY_ID", _c("BILL_TO_PARTY_ID").try_cast("long")))
-    rev = union_by_name([
-        billev.withColumn("Revenue Type ID", _c("Revenue Type ID").cast("string")),
-        defrecrev.withColumn("Revenue Type ID", _c("Revenue Type ID").cast("string")),
-        poh.withColumn("Revenue Type ID", _c("Revenue Type ID").cast("string")),
-    ])
-    return {"tcv": tcv, "billev": billev, "defrecrev": defrecrev, "reforderopp": ref,
-            "poh": poh, "revfact": rev}
+    def tcv():
+        return project_strict(contracted_tcv_fact(cat, cfg, party_date_rules, order_rules),
+                              K.TCV_EXTRACT_COLUMNS)
+
+    def billev():
+        return project_strict(billing_events_fact(cat, cfg), K.BILLING_EXTRACT_COLUMNS)
+
+    def defrecrev():
+        return project_strict(recognised_deferred_fact(cat, cfg), K.LEDGER_EXTRACT_COLUMNS)
+
+    def reforderopp():
+        ref = project_strict(order_opportunity_map(cat, cfg), K.ORDER_MAP_EXTRACT_COLUMNS)
+        return ref.withColumn("OPPORTUNITY_ID", apply_overrides("OPPORTUNITY_ID", cfg.opportunity_overrides))
+
+    def poh():
+        h = project_strict(po_hold_fact(cat, cfg), K.HOLD_EXTRACT_COLUMNS)
+        h = left_enrich(h, out["reforderopp"], "ORDER_NUMBER", "ORDER_NUMBER")
+        h = project_lenient(rename_map(h, K.HOLD_COLUMNS), list(K.HOLD_COLUMNS.values()))
+        # Hold rows carry an account number in the party-id slot; as a number
+        # it is null unless the account number happens to be numeric.
+        return h.withColumns({"FISCAL_YYYYMM": fiscal_period(_c("FISCAL_YYYYMM")),
+                              "BILL_TO_PARTY_ID": _c("BILL_TO_PARTY_ID").try_cast("long")})
+
+    def revfact():
+        return union_by_name([out[n].withColumn("Revenue Type ID", _c("Revenue Type ID").cast("string"))
+                              for n in ("billev", "defrecrev", "poh")])
+
+    out = LazyMap({"tcv": tcv, "billev": billev, "defrecrev": defrecrev,
+                   "reforderopp": reforderopp, "poh": poh, "revfact": revfact})
+    return out

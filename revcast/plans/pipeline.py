@@ -3,41 +3,113 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from . import crm
 from .attribution import attributed_facts
+from ._lazy import LazyMap
 from .config import ForecastConfig
-from .crm import crm_sources
 from .orders import order_sources
 from .revenue import revenue_forecast
 from .tcv import tcv_forecast
 
 
+class ForecastRun:
+    """One forecast run over given sources; every table is a lazy DataFrame
+    built on first use, so asking for one piece plans only that piece."""
+
+    def __init__(self, order_base: Mapping[str, DataFrame], crm_objects: Mapping[str, DataFrame],
+                 cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
+                 order_rules: DataFrame | None = None):
+        self.order_base = order_base
+        self.crm_objects = crm_objects
+        self.cfg = cfg
+        self.party_date_rules = party_date_rules
+        self.order_rules = order_rules
+
+    @cached_property
+    def order_sources(self) -> Mapping[str, DataFrame]:
+        return order_sources(self.order_base, self.cfg, self.party_date_rules, self.order_rules)
+
+    @cached_property
+    def crm_prefixed(self) -> dict[str, DataFrame]:
+        return crm.prefixed(self.crm_objects)
+
+    @cached_property
+    def fact_trx(self) -> DataFrame:
+        return crm.transaction_fact(self.crm_objects)
+
+    @cached_property
+    def fact_tcvpl(self) -> DataFrame:
+        return crm.pipeline_tcv(self.fact_trx)
+
+    @cached_property
+    def crm_refs(self) -> dict[str, DataFrame]:
+        """The CRM reference tables the order chain reads (prepared)."""
+        cat = self.crm_prefixed
+        return {
+            "Ref_Acct": cat["Ref_Acct"],
+            "Ref_User": cat["Ref_User"],
+            "Ref_BillParty": crm.bill_party_ref(cat["Ref_Acct"]),
+            "Ref_Prnt": crm.parent_ref(cat["Ref_Prnt"]),
+            "Ref_Offr": crm.offering_ref(cat["Ref_Offr"]),
+            "Ref_Opps": crm.opportunity_ref(cat["Ref_Opps"]),
+            "Ref_Opps_Acct": crm.opportunity_account_ref(self.crm_objects["Ref_Opps_Acct"]),
+        }
+
+    @cached_property
+    def attributed(self) -> tuple[DataFrame, DataFrame]:
+        return attributed_facts(self.order_sources, self.crm_refs)
+
+    @cached_property
+    def fcrev(self) -> DataFrame:
+        return revenue_forecast(self.attributed[0], self.fact_trx, self.cfg)
+
+    @cached_property
+    def fctcv(self) -> DataFrame:
+        return tcv_forecast(self.attributed[1], self.fact_tcvpl, self.crm_refs["Ref_Opps"], self.cfg)
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Every intermediate and final table (plans all of them)."""
+        out: dict[str, DataFrame] = {**self.crm_prefixed.materialise(), **self.crm_refs}
+        out.update({k: self.order_sources[k] for k in self.order_sources.keys()})
+        out.update({"Fact_Trx": self.fact_trx, "Fact_Tcvpl": self.fact_tcvpl,
+                    "rev_attributed": self.attributed[0], "tcv_attributed": self.attributed[1],
+                    "fcrev": self.fcrev, "fctcv": self.fctcv})
+        return out
+
+
 def build_forecasts(order_base: Mapping[str, DataFrame], crm_objects: Mapping[str, DataFrame],
                     cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
                     order_rules: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every intermediate and final table of one run, as lazy DataFrames.
-
-    Keys: the order-side tables of ``order_sources``, the CRM tables of
-    ``crm_sources``, ``rev_attributed`` / ``tcv_attributed`` (the enriched
-    order facts) and the forecasts ``fcrev`` and ``fctcv``.
-    """
-    osrc = order_sources(order_base, cfg, party_date_rules, order_rules)
-    csrc = crm_sources(crm_objects)
-    rev, tcv = attributed_facts(osrc, csrc)
-    out: dict[str, DataFrame] = {**csrc, **osrc}
-    out["rev_attributed"] = rev
-    out["tcv_attributed"] = tcv
-    out["fcrev"] = revenue_forecast(rev, csrc["Fact_Trx"], cfg)
-    out["fctcv"] = tcv_forecast(tcv, csrc["Fact_Tcvpl"], csrc["Ref_Opps"], cfg)
-    return out
+    """Every intermediate and final table of one run, as lazy DataFrames:
+    the order-side tables, the CRM tables, ``rev_attributed`` /
+    ``tcv_attributed`` and the forecasts ``fcrev`` and ``fctcv``."""
+    return ForecastRun(order_base, crm_objects, cfg, party_date_rules, order_rules).tables()
 
 
-def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> dict[str, DataFrame]:
-    """``build_forecasts`` over the driver tables (role mapping)."""
+def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> ForecastRun:
+    """A ``ForecastRun`` over the driver tables (role mapping)."""
     from ..sources.driver_tables import DriverCatalog
 
     dc = DriverCatalog(spark, sf_dir, cfg)
-    return build_forecasts(dc.order_base(), dc.crm_objects(), dc.p,
-                           dc.zero_party_date_rules(), dc.zero_order_rules())
+    names = ("pipeline_detail", "sales_detail", "dim_dates", "products", "pipeline_sources",
+             "parties", "customers_bill_to", "customers_sold_to", "pipeline_order_lines",
+             "pipeline_resources", "pipeline_headers", "gl_code_combos", "salesreps",
+             "order_headers", "rep_groups", "group_members", "reps", "people", "order_lines",
+             "item_master", "cust_accounts", "acct_sites", "site_uses", "order_holds",
+             "hold_sources", "hold_definitions")
+    base = LazyMap({n: getattr(dc, n) for n in names})
+    objs = LazyMap({"Fact_Trx": dc.crm_transaction, "Ref_Acct": dc.crm_account,
+                     "Ref_Mile": dc.crm_milestone, "Ref_Opps": dc.crm_opportunity,
+                     "Ref_Proj": dc.crm_project, "Ref_User": dc.crm_user, "Ref_Prnt": dc.crm_parent,
+                     "Ref_Offr": dc.crm_offering, "Ref_Order": dc.crm_order,
+                     "Ref_Oppline": dc.crm_opportunity_line, "Ref_Opps_Acct": dc.crm_opportunity_account})
+    return ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules())
+
+
+def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> dict[str, DataFrame]:
+    """``build_forecasts`` over the driver tables (role mapping)."""
+    return driver_run(spark, sf_dir, cfg).tables()
