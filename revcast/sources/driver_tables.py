@@ -66,6 +66,22 @@ def _language(size: Column) -> Column:
     return F.when(size % 3 == 0, F.lit("EN")).when(size % 3 == 1, F.lit("DE"))
 
 
+def _memo(fn):
+    """Build a derived table once per catalog, so that every use of it in a
+    plan is the same subtree and Spark reuses its exchanges."""
+    name = fn.__name__
+
+    def wrapper(self):
+        cache = self.__dict__.setdefault("_memo", {})
+        if name not in cache:
+            cache[name] = fn(self)
+        return cache[name]
+
+    wrapper.__name__ = name
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 class DriverCatalog:
     """Builds the forecast sources from the driver tables on demand."""
 
@@ -75,12 +91,14 @@ class DriverCatalog:
         self.p = config or driver_config()
 
     # -- shared bases -------------------------------------------------------
+    @_memo
     def order_lines_joined(self) -> DataFrame:
         """Lines with their order's customer (shuffle join on order key)."""
         li = self.t["lineitem"]
         o = self.t["orders"].select("o_orderkey", "o_custkey")
         return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
+    @_memo
     def transactions(self) -> DataFrame:
         """All CRM transaction records (every type): lines + order + part."""
         p = self.t["part"].select("p_partkey", "p_brand", "p_type", "p_size", "p_name")
@@ -114,6 +132,7 @@ class DriverCatalog:
         )
 
     # -- order-system base tables ------------------------------------------
+    @_memo
     def pipeline_detail(self) -> DataFrame:
         x = self.order_lines_joined()
         return x.select(
@@ -132,6 +151,7 @@ class DriverCatalog:
             F.when(F.col("l_linestatus") == "F", money("l_extendedprice")).alias("closed_order_amount"),
         )
 
+    @_memo
     def sales_detail(self) -> DataFrame:
         x = self.order_lines_joined()
         return x.select(
@@ -146,11 +166,13 @@ class DriverCatalog:
             money("l_extendedprice").alias("line_amount"),
         )
 
+    @_memo
     def dim_dates(self) -> DataFrame:
         d = self.t["lineitem"].select(F.to_date("l_shipdate").alias("date_field")).distinct()
         return d.select(day_key(F.col("date_field")).alias("date_key"), "date_field",
                         fiscal_period(F.col("date_field")).alias("fiscal_yyyymm"))
 
+    @_memo
     def products(self) -> DataFrame:
         p = self.t["part"]
         return p.select(
@@ -161,6 +183,7 @@ class DriverCatalog:
             F.col("p_name").alias("title_abbreviation"),
         )
 
+    @_memo
     def pipeline_sources(self) -> DataFrame:
         f = F.col("pipeline_source")
         return (self.t["lineitem"].select(F.col("l_returnflag").alias("pipeline_source")).distinct()
@@ -169,11 +192,13 @@ class DriverCatalog:
                              .when(f == "N", F.lit(K.CONTRACT_SOURCES[0]))
                              .when(f == "R", F.lit(K.CONTRACT_SOURCES[1]))))
 
+    @_memo
     def parties(self) -> DataFrame:
         c = self.t["customer"]
         return c.select(F.col("c_custkey").alias("party_id"), F.col("c_name").alias("party_name"),
                         _s("RG", F.col("c_custkey")).alias("party_number"))
 
+    @_memo
     def customers_bill_to(self) -> DataFrame:
         c = self.t["customer"]
         parent = F.col("c_custkey") - F.col("c_custkey") % 10
@@ -183,12 +208,14 @@ class DriverCatalog:
                         _s("RG", parent).alias("parent_number"),
                         _s("Parent ", parent).alias("parent_name"))
 
+    @_memo
     def customers_sold_to(self) -> DataFrame:
         c = self.t["customer"]
         return c.select(F.col("c_custkey").alias("cust_account_id"),
                         F.col("c_name").alias("account_name"),
                         _s("AC", F.col("c_custkey")).alias("account_number"))
 
+    @_memo
     def pipeline_order_lines(self) -> DataFrame:
         ids = self.t["lineitem"].select(_line_id().alias("order_line_id")).distinct()
         k = F.col("order_line_id")
@@ -200,10 +227,12 @@ class DriverCatalog:
                 .when(k % 5 == 1, F.lit("N")).otherwise(F.lit(K.HOLD_FLAG)))
         return ids.select(k, rule.alias("accounting_rule"), hold.alias("po_hold"))
 
+    @_memo
     def pipeline_resources(self) -> DataFrame:
         s = self.t["supplier"]
         return s.select(F.col("s_suppkey").alias("resource_id"), F.col("s_name").alias("resource_name"))
 
+    @_memo
     def pipeline_headers(self) -> DataFrame:
         h = (self.t["lineitem"].select(F.col("l_orderkey").alias("pipeline_header_id"),
                                        F.col("l_returnflag").alias("pipeline_source")).distinct())
@@ -213,6 +242,7 @@ class DriverCatalog:
                .otherwise(_s("T", k)))
         return h.withColumn("transaction_no", tno)
 
+    @_memo
     def gl_code_combos(self) -> DataFrame:
         ids = self.t["lineitem"].select((F.col("l_suppkey") % 4).alias("code_combination_id")).distinct()
         k = F.col("code_combination_id")
@@ -221,10 +251,12 @@ class DriverCatalog:
         return ids.select(k, s1.alias("segment1"), _s("Company ", s1).alias("segment1_desc"),
                           s2.alias("segment2"), _s("Account ", s2).alias("segment2_desc"))
 
+    @_memo
     def salesreps(self) -> DataFrame:
         s = self.t["supplier"]
         return s.select(F.col("s_suppkey").alias("salesrep_id"), F.col("s_name").alias("salesrep_name"))
 
+    @_memo
     def order_headers(self) -> DataFrame:
         o = self.t["orders"]
         k = F.col("o_orderkey")
@@ -236,18 +268,21 @@ class DriverCatalog:
                         opp.alias("attribute11"), (F.col("o_custkey") % 10).alias("salesrep_id"),
                         F.col("o_custkey").alias("invoice_to_org_id"))
 
+    @_memo
     def rep_groups(self) -> DataFrame:
         g = self.t["supplier"].select(F.col("s_nationkey").alias("group_id")).distinct()
         k = F.col("group_id")
         name = F.when(k % 4 == 0, _s("XX Group ", k)).otherwise(_s(K.REP_GROUP_PREFIX, " Group ", k))
         return g.withColumn("group_name", name)
 
+    @_memo
     def group_members(self) -> DataFrame:
         s = self.t["supplier"]
         return s.select(F.col("s_nationkey").alias("group_id"), F.col("s_suppkey").alias("resource_id"),
                         F.when(F.col("s_suppkey") % 7 == 3, F.lit("Y")).otherwise(F.lit("N"))
                         .alias("delete_flag"))
 
+    @_memo
     def reps(self) -> DataFrame:
         s = self.t["supplier"]
         k = F.col("s_suppkey")
@@ -255,6 +290,7 @@ class DriverCatalog:
                         F.when(k % 4 == 1, F.lit(None).cast("string")).otherwise(_s("Rep ", k))
                         .alias("name"))
 
+    @_memo
     def people(self) -> DataFrame:
         s = self.t["supplier"]
         k = F.col("s_suppkey") % 6
@@ -266,6 +302,7 @@ class DriverCatalog:
         return s.select(F.col("s_suppkey").alias("person_id"), F.col("s_name").alias("full_name"),
                         start.alias("effective_start_date"), end.alias("effective_end_date"))
 
+    @_memo
     def order_lines(self) -> DataFrame:
         li = self.t["lineitem"]
         g = li.groupBy(_line_id().alias("line_id")).agg(F.min("l_partkey").alias("item"))
@@ -273,28 +310,33 @@ class DriverCatalog:
                         _s("IT", F.col("item")).alias("ordered_item"),
                         F.col("item").alias("inventory_item_id"))
 
+    @_memo
     def item_master(self) -> DataFrame:
         p = self.t["part"]
         return p.select(F.col("p_partkey").alias("inventory_item_id"),
                         F.when(F.col("p_partkey") % 10 == 0, F.lit(84))
                          .otherwise(F.lit(K.HOLD_ORGANIZATION_ID)).alias("organization_id"))
 
+    @_memo
     def cust_accounts(self) -> DataFrame:
         c = self.t["customer"]
         return c.select(F.col("c_custkey").alias("cust_account_id"),
                         _s("AC", F.col("c_custkey")).alias("account_number"),
                         F.col("c_name").alias("account_name"))
 
+    @_memo
     def acct_sites(self) -> DataFrame:
         c = self.t["customer"]
         return c.select(F.col("c_custkey").alias("cust_acct_site_id"),
                         F.col("c_custkey").alias("cust_account_id"))
 
+    @_memo
     def site_uses(self) -> DataFrame:
         c = self.t["customer"]
         return c.select(F.col("c_custkey").alias("site_use_id"),
                         F.col("c_custkey").alias("cust_acct_site_id"))
 
+    @_memo
     def order_holds(self) -> DataFrame:
         ids = self.t["lineitem"].select(_line_id().alias("line_id")).distinct()
         k = F.col("line_id")
@@ -302,6 +344,7 @@ class DriverCatalog:
                 .select(k, (k % 3).alias("hold_source_id"),
                         F.when(k % 4 == 0, k).alias("hold_release_id")))
 
+    @_memo
     def hold_sources(self) -> DataFrame:
         ids = (self.t["lineitem"].select(((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 3)
                                          .alias("hold_source_id")).distinct())
@@ -309,6 +352,7 @@ class DriverCatalog:
         return ids.select(k, k.alias("hold_id"),
                           F.date_add(F.lit(_dt.date(2002, 1, 1)), k.cast("int")).alias("hold_until_date"))
 
+    @_memo
     def hold_definitions(self) -> DataFrame:
         ids = (self.t["lineitem"].select(((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 3)
                                          .alias("hold_id")).distinct())
@@ -327,13 +371,16 @@ class DriverCatalog:
         return {n: getattr(self, n)() for n in names}
 
     # -- CRM objects (unprefixed, as exported) -----------------------------
+    @_memo
     def crm_transaction(self) -> DataFrame:
         return self.transactions().where(F.col("Transaction_Type__c").isin(*K.CRM_TRANSACTION_TYPES))
 
+    @_memo
     def crm_offering(self) -> DataFrame:
         return self.transactions().select("Offering__c", "Product_Number__c", "Product__c",
                                           "Transaction_Month__c")
 
+    @_memo
     def crm_account(self) -> DataFrame:
         c = self.t["customer"]
         n = self.t["nation"].select("n_nationkey", "n_regionkey")
@@ -348,6 +395,7 @@ class DriverCatalog:
                         _s("R", F.col("c_nationkey")).alias("Region__c"),
                         F.col("r_name").alias("Sales_Region_text__c"))
 
+    @_memo
     def crm_user(self) -> DataFrame:
         s = self.t["supplier"]
         return s.select(_s("USR", F.col("s_suppkey")).alias("Id"), F.col("s_name").alias("Name"))
@@ -356,6 +404,7 @@ class DriverCatalog:
         k = F.col("o_orderkey")
         return F.when(k == 7, F.lit(None).cast("string")).otherwise(_s("OP-", k))
 
+    @_memo
     def crm_opportunity(self) -> DataFrame:
         o = self.t["orders"]
         k = F.col("o_orderkey")
@@ -375,6 +424,7 @@ class DriverCatalog:
             _s("USR", k % 10).alias("OwnerId"),
         )
 
+    @_memo
     def crm_opportunity_account(self) -> DataFrame:
         """Opportunity with its parent account as a nested record."""
         o = self.t["orders"]
@@ -382,6 +432,7 @@ class DriverCatalog:
             F.struct(_s("ACC", F.col("o_custkey")).alias("Id")))
         return o.select(self._opp_number().alias("Opportunity__c"), acct.alias("Account"))
 
+    @_memo
     def crm_parent(self) -> DataFrame:
         c = self.t["customer"]
         k = F.col("c_custkey")
@@ -389,6 +440,7 @@ class DriverCatalog:
                         F.when(k % 9 == 4, F.lit(None).cast("string")).otherwise(_s("RG", k))
                         .alias("Registry_ID__c"))
 
+    @_memo
     def crm_project(self) -> DataFrame:
         o = self.t["orders"]
         k = F.col("o_orderkey")
@@ -400,6 +452,7 @@ class DriverCatalog:
         return o.select(_s("PRJ", k).alias("Id"), _s("Project ", k).alias("Name"),
                         _s("PN", k).alias("Project_Number__c"), stage.alias("pse__Stage__c"))
 
+    @_memo
     def crm_milestone(self) -> DataFrame:
         o = self.t["orders"]
         k = F.col("o_orderkey")
@@ -420,12 +473,14 @@ class DriverCatalog:
             ((k % 5) * 20).cast("double").alias("Probability__c"),
         )
 
+    @_memo
     def crm_order(self) -> DataFrame:
         o = self.t["orders"]
         k = F.col("o_orderkey")
         return o.select(_s("ORD", k).alias("Id"), _s("SO-", k).alias("Name"),
                         _s("OP-", k).alias("Opportunity_Number__c"), _s("OPP", k).alias("Opportunity__c"))
 
+    @_memo
     def crm_opportunity_line(self) -> DataFrame:
         o = self.t["orders"]
         k = F.col("o_orderkey")
