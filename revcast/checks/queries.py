@@ -68,6 +68,10 @@ def _lines_orders(t):
 _LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
+def _run(spark, sf_dir):
+    return driver_run(spark, sf_dir)
+
+
 # ---------------------------------------------------------------- functions
 def q_fiscal_calendar(spark, sf_dir):
     """Fiscal period and year of order dates (some null), the
@@ -321,8 +325,8 @@ def q_segment_eq(spark, sf_dir):
 # ---------------------------------------------------------------- joins
 def q_effective_dated_reps(spark, sf_dir):
     """C2 (F11, J11, J12, W1, X15, X16, X18): order -> opportunity and rep."""
-    dc = DriverCatalog(spark, sf_dir)
-    return O.order_opportunity_map(dc.order_base(), dc.p)
+    run = _run(spark, sf_dir)
+    return O.order_opportunity_map(run.order_base, run.cfg)
 
 
 def q_nullsafe_left_join(spark, sf_dir):
@@ -366,32 +370,28 @@ def q_unreported_opps(spark, sf_dir):
 # ---------------------------------------------------------------- extracts
 def q_billing_fact(spark, sf_dir):
     """A1 (J5): billing-events extract."""
-    dc = DriverCatalog(spark, sf_dir)
-    return hashable(O.billing_events_fact(dc.order_base(), dc.p))
+    run = _run(spark, sf_dir)
+    return hashable(O.billing_events_fact(run.order_base, run.cfg))
 
 
 def q_recognised_deferred(spark, sf_dir):
     """A2, X12 (J5): recognised / deferred revenue extract."""
-    dc = DriverCatalog(spark, sf_dir)
-    return hashable(O.recognised_deferred_fact(dc.order_base(), dc.p))
+    run = _run(spark, sf_dir)
+    return hashable(O.recognised_deferred_fact(run.order_base, run.cfg))
 
 
 def q_contracted_tcv(spark, sf_dir):
     """A3, X13, J6 (J5): contracted TCV extract with zero-out rules."""
-    dc = DriverCatalog(spark, sf_dir)
-    return hashable(O.contracted_tcv_fact(dc.order_base(), dc.p, dc.zero_party_date_rules(),
-                                          dc.zero_order_rules()))
+    run = _run(spark, sf_dir)
+    return hashable(O.contracted_tcv_fact(run.order_base, run.cfg, run.party_date_rules, run.order_rules))
 
 
 def q_po_hold_fact(spark, sf_dir):
     """Purchase-order hold extract."""
-    dc = DriverCatalog(spark, sf_dir)
-    return hashable(O.po_hold_fact(dc.order_base(), dc.p))
+    run = _run(spark, sf_dir)
+    return hashable(O.po_hold_fact(run.order_base, run.cfg))
 
 
-def _run(spark, sf_dir):
-    return driver_run(spark, sf_dir)
-
 
 def q_union_by_name(spark, sf_dir):
     """Billing, ledger and hold rows by column name."""

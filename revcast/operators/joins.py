@@ -30,8 +30,8 @@ DEFAULT_BROADCAST_CEILING = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None when unknown."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else str(size))
     except Exception:  # pragma: no cover - depends on the JVM bridge
         return None
 
@@ -56,7 +56,8 @@ def _as_list(x) -> list[str]:
 def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
                 suffixes: tuple[str, str] = ("_x", "_y"), *, null_safe: bool = True,
                 how: str = "left", broadcast: bool = False,
-                broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING) -> DataFrame:
+                broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING,
+                null_salt: int = 0, hot_values: Sequence = ()) -> DataFrame:
     """Join ``right`` onto ``left`` with dataframe-merge naming.
 
     * Keys match null to null when ``null_safe`` (the default, as in the
@@ -64,6 +65,15 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     * A key with the same name on both sides is kept once (left values).
     * Other names present on both sides get ``suffixes`` (left, right).
     * Output: left columns in order, then right columns in order.
+
+    ``null_salt > 1`` spreads left rows with a null key over that many
+    shuffle keys: in a shuffle join every null key hashes to one partition,
+    and unmapped rows can be a large share of a fact. Each such row gets a
+    deterministic salt (a hash of the row, so a retried task salts the same
+    way) and the right rows with a null key are copied once per salt, so
+    every null-to-null match still happens exactly once. ``hot_values``
+    (single-key joins) are salted the same way, e.g. the 'unmapped'
+    placeholder of the account fallback.
     """
     lk, rk = _as_list(left_on), _as_list(right_on)
     if len(lk) != len(rk):
@@ -83,22 +93,37 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     if len(set(out_names)) != len(out_names):
         raise ValueError(f"suffixes {suffixes} give duplicate columns: {out_names}")
 
-    # Fresh names on both sides: no ambiguity even when the same frame is
-    # joined twice (role-playing dimensions).
-    lt = [f"__l{i}" for i in range(len(lcols))]
+    # Fresh names for the right side only: no ambiguity even when the same
+    # frame is joined twice (role-playing dimensions). Left columns keep
+    # their identity unless a suffix renames them, so a long chain adds few
+    # aliases (fewer derived constraints for the optimizer to carry).
     rt = [f"__r{i}" for i in range(len(rcols))]
-    l2 = left.toDF(*lt)
+    l2 = left
     r2 = right.toDF(*rt)
     if broadcast:
         r2 = bounded_broadcast(r2, broadcast_ceiling)
-    lpos = {c: i for i, c in enumerate(lcols)}
     rpos = {c: i for i, c in enumerate(rcols)}
-    preds = []
-    for a, b in zip(lk, rk):
-        lc, rc = F.col(lt[lpos[a]]), F.col(rt[rpos[b]])
-        preds.append(lc.eqNullSafe(rc) if null_safe else lc == rc)
+
+    def lref(c):
+        return F.col(f"`{c}`")
+
+    lkeys = [lref(a) for a in lk]
+    rkeys = [F.col(rt[rpos[b]]) for b in rk]
+    preds = [(l.eqNullSafe(r) if null_safe else l == r) for l, r in zip(lkeys, rkeys)]
+    if null_salt and null_salt > 1:
+        l_null = reduce(lambda x, y: x | y, [c.isNull() for c in lkeys])
+        r_null = reduce(lambda x, y: x | y, [c.isNull() for c in rkeys])
+        if hot_values and len(lkeys) == 1:
+            l_null = l_null | F.coalesce(lkeys[0].isin(list(hot_values)), F.lit(False))
+            r_null = r_null | F.coalesce(rkeys[0].isin(list(hot_values)), F.lit(False))
+        l2 = l2.withColumn("__lsalt", F.when(l_null, F.pmod(F.xxhash64(*[lref(c) for c in lcols]),
+                                                            F.lit(null_salt)))
+                           .otherwise(F.lit(0)).cast("int"))
+        r2 = r2.withColumn("__rsalt", F.explode(F.when(r_null, F.sequence(F.lit(0), F.lit(null_salt - 1)))
+                                                 .otherwise(F.array(F.lit(0)))))
+        preds.append(F.col("__lsalt") == F.col("__rsalt"))
     joined = l2.join(r2, reduce(lambda x, y: x & y, preds), how)
-    sel = [F.col(lt[i]).alias(lname(c)) for i, c in enumerate(lcols)]
+    sel = [lref(c) if lname(c) == c else lref(c).alias(lname(c)) for c in lcols]
     sel += [F.col(rt[i]).alias(rname(c)) for i, c in enumerate(rcols) if c not in same]
     return joined.select(*sel)
 
@@ -113,12 +138,15 @@ class JoinSpec:
     suffixes: tuple[str, str] = ("_x", "_y")
     null_safe: bool = True
     broadcast: bool = False
+    null_salt: int = 0
+    hot_values: tuple = ()
 
     @classmethod
     def from_dict(cls, d: Mapping) -> JoinSpec:
         return cls(right=d["right"], left_on=d["left_on"], right_on=d["right_on"],
                    suffixes=(d.get("suf1", "_x"), d.get("suf2", "_y")),
-                   null_safe=d.get("null_safe", True), broadcast=d.get("broadcast", False))
+                   null_safe=d.get("null_safe", True), broadcast=d.get("broadcast", False),
+                   null_salt=d.get("null_salt", 0), hot_values=tuple(d.get("hot_values", ())))
 
 
 @dataclass(frozen=True)
@@ -138,7 +166,8 @@ def enrich(df: DataFrame, catalog: Mapping[str, DataFrame],
         else:
             df = left_enrich(df, catalog[spec.right], spec.left_on, spec.right_on,
                              spec.suffixes, null_safe=spec.null_safe,
-                             broadcast=spec.broadcast)
+                             broadcast=spec.broadcast, null_salt=spec.null_salt,
+                             hot_values=spec.hot_values)
     return df
 
 

@@ -22,18 +22,23 @@ def derive_account(df: DataFrame) -> DataFrame:
 
 # The order-fact enrichment chain. Null keys match null keys (as in the
 # original); users and offerings are small dimensions and are broadcast
-# behind a size check, the rest is left to the optimizer and AQE.
+# behind a size check, the rest is left to the optimizer and AQE. Steps
+# whose left key is often null (orders without an opportunity, unmapped
+# accounts) salt those rows over NULL_SALT shuffle keys.
+NULL_SALT = 64
+
 ORDER_CHAIN = (
-    JoinSpec("Ref_BillParty", "BILL_TO_PARTY_ID", "Acct_Party_ID__c"),
+    JoinSpec("Ref_BillParty", "BILL_TO_PARTY_ID", "Acct_Party_ID__c", null_salt=NULL_SALT),
     JoinSpec("reforderopp", "ORDER_HEADER_ID", "ORDER_HEADER_ID"),
-    JoinSpec("Ref_Opps_Acct", "OPPORTUNITY_ID", "OppsAcct_Opportunity__c"),
-    JoinSpec("Ref_Prnt", "PARTYNUMBER_AKA_REGISTRYID", "Prnt_Registry_ID__c"),
+    JoinSpec("Ref_Opps_Acct", "OPPORTUNITY_ID", "OppsAcct_Opportunity__c", null_salt=NULL_SALT),
+    JoinSpec("Ref_Prnt", "PARTYNUMBER_AKA_REGISTRYID", "Prnt_Registry_ID__c", null_salt=NULL_SALT),
     DeriveSpec(derive_account, "account"),
-    JoinSpec("Ref_Acct", "Final_AcctID", "Acct_Id", ("_Bill2map", "_Final")),
-    JoinSpec("Ref_User", "Acct_OwnerId_Final", "User_Id", broadcast=True),
-    JoinSpec("Ref_Opps", "OppsAcct_Opportunity__c", "Opps_Opportunity__c"),
+    JoinSpec("Ref_Acct", "Final_AcctID", "Acct_Id", ("_Bill2map", "_Final"), null_salt=NULL_SALT,
+             hot_values=("unmapped",)),
+    JoinSpec("Ref_User", "Acct_OwnerId_Final", "User_Id", broadcast=True, null_salt=NULL_SALT),
+    JoinSpec("Ref_Opps", "OppsAcct_Opportunity__c", "Opps_Opportunity__c", null_salt=NULL_SALT),
     JoinSpec("Ref_Offr", "PRODUCT_NUMBER_CONCAT", "Offr_Product_Number__c", broadcast=True),
-    JoinSpec("Ref_User", "Opps_OwnerId", "User_Id", ("_x", "_Opps"), broadcast=True),
+    JoinSpec("Ref_User", "Opps_OwnerId", "User_Id", ("_x", "_Opps"), broadcast=True, null_salt=NULL_SALT),
 )
 
 

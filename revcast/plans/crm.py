@@ -18,8 +18,14 @@ from ..operators.projection import add_prefix, project_lenient, rename_map
 from ..sources.readers import flatten_parent
 
 
+# Left keys that are often null (transactions without account, project or
+# milestone) are salted over this many shuffle keys.
+NULL_SALT = 64
+
+
 def _spec(right, left_on, right_on, right_suffix, broadcast=False):
-    return JoinSpec(right, left_on, right_on, ("", right_suffix), broadcast=broadcast)
+    return JoinSpec(right, left_on, right_on, ("", right_suffix), broadcast=broadcast,
+                    null_salt=NULL_SALT)
 
 
 # The transaction enrichment chain. The right suffix depends on the

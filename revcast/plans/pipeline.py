@@ -90,26 +90,65 @@ def build_forecasts(order_base: Mapping[str, DataFrame], crm_objects: Mapping[st
     return ForecastRun(order_base, crm_objects, cfg, party_date_rules, order_rules).tables()
 
 
-def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> ForecastRun:
-    """A ``ForecastRun`` over the driver tables (role mapping)."""
-    from ..sources.driver_tables import DriverCatalog
+ORDER_BASE_TABLES = (
+    "pipeline_detail", "sales_detail", "dim_dates", "products", "pipeline_sources", "parties",
+    "customers_bill_to", "customers_sold_to", "pipeline_order_lines", "pipeline_resources",
+    "pipeline_headers", "gl_code_combos", "salesreps", "order_headers", "rep_groups", "group_members",
+    "reps", "people", "order_lines", "item_master", "cust_accounts", "acct_sites", "site_uses",
+    "order_holds", "hold_sources", "hold_definitions")
+
+
+def _mapping_version() -> str:
+    """Hash of the code that derives the landed tables."""
+    import hashlib
+    import os
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in ("sources/driver_tables.py", "plans/config.py", "constants.py",
+                "functions/semantics.py", "functions/fiscal.py"):
+        with open(os.path.join(here, rel), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()
+
+
+def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bool = True) -> ForecastRun:
+    """A ``ForecastRun`` over the driver tables (role mapping).
+
+    With ``landed`` (the default) the derived source tables are written
+    once to the landing layer under the shared checkpoint folder and read
+    back from there, like the extract files of the original.
+    """
+    from ..sources.driver_tables import TABLES, DriverCatalog
+    from ..sources.landing import input_fingerprint, land, landing_root
 
     dc = DriverCatalog(spark, sf_dir, cfg)
-    names = ("pipeline_detail", "sales_detail", "dim_dates", "products", "pipeline_sources",
-             "parties", "customers_bill_to", "customers_sold_to", "pipeline_order_lines",
-             "pipeline_resources", "pipeline_headers", "gl_code_combos", "salesreps",
-             "order_headers", "rep_groups", "group_members", "reps", "people", "order_lines",
-             "item_master", "cust_accounts", "acct_sites", "site_uses", "order_holds",
-             "hold_sources", "hold_definitions")
-    base = LazyMap({n: getattr(dc, n) for n in names})
-    objs = LazyMap({"Fact_Trx": dc.crm_transaction, "Ref_Acct": dc.crm_account,
-                     "Ref_Mile": dc.crm_milestone, "Ref_Opps": dc.crm_opportunity,
-                     "Ref_Proj": dc.crm_project, "Ref_User": dc.crm_user, "Ref_Prnt": dc.crm_parent,
-                     "Ref_Offr": dc.crm_offering, "Ref_Order": dc.crm_order,
-                     "Ref_Oppline": dc.crm_opportunity_line, "Ref_Opps_Acct": dc.crm_opportunity_account})
+    base_b = {n: getattr(dc, n) for n in ORDER_BASE_TABLES}
+    objs_b = {"Fact_Trx": dc.crm_transaction, "Ref_Acct": dc.crm_account,
+              "Ref_Mile": dc.crm_milestone, "Ref_Opps": dc.crm_opportunity,
+              "Ref_Proj": dc.crm_project, "Ref_User": dc.crm_user, "Ref_Prnt": dc.crm_parent,
+              "Ref_Offr": dc.crm_offering, "Ref_Order": dc.crm_order,
+              "Ref_Oppline": dc.crm_opportunity_line, "Ref_Opps_Acct": dc.crm_opportunity_account}
+    if landed:
+        key = input_fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES],
+                                salt=_mapping_version() + repr(dc.p))
+        root = landing_root(spark, key)
+        base, objs = land(spark, base_b, f"{root}/order"), land(spark, objs_b, f"{root}/crm")
+    else:
+        base, objs = LazyMap(base_b), LazyMap(objs_b)
     return ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules())
 
 
+def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> ForecastRun:
+    """Write every landed source of ``driver_run`` now (the extract phase)."""
+    run = driver_run(spark, sf_dir, cfg)
+    for n in ORDER_BASE_TABLES:
+        run.order_base[n]
+    for n in run.crm_objects.keys():
+        run.crm_objects[n]
+    return run
+
+
 def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> dict[str, DataFrame]:
     """``build_forecasts`` over the driver tables (role mapping)."""
     return driver_run(spark, sf_dir, cfg).tables()

@@ -9,7 +9,9 @@ from pyspark.sql import SparkSession
 
 # Session settings the plans are written for: adaptive execution (runtime
 # broadcast decisions, partition coalescing, skew-join splitting), UTC
-# timestamps, no UI server.
+# timestamps, no UI server. Python call-site capture is off: it costs
+# several JVM round trips per DataFrame call while the long enrichment
+# chains are being declared, and only enriches error messages.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,6 +21,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

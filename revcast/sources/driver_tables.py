@@ -25,15 +25,36 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.fiscal import fiscal_period
 from ..functions.semantics import product_key
+from ..operators.joins import estimated_bytes
 from ..plans.config import (DRIVER_ZERO_ORDERS, DRIVER_ZERO_PARTY_DATES, ForecastConfig,
                             driver_config)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """The driver parquet tables, lazily."""
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+SPREAD_MIN_BYTES = 1024 * 1024
+
+
+def load_tables(spark: SparkSession, sf_dir: str, names=TABLES, spread: bool = True) -> dict[str, DataFrame]:
+    """The driver parquet tables, lazily.
+
+    A parquet row group is read by one task, and the driver files hold a
+    single row group each, so a scan of the largest tables would run on
+    one core. With ``spread``, a table over ``SPREAD_MIN_BYTES`` whose scan
+    yields fewer splits than the session has cores is redistributed
+    round-robin once after the scan. Large tables written in many row
+    groups already scan in parallel and are left as they are.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    out = {}
+    for n in names:
+        df = spark.read.parquet(f"{sf_dir}/{n}.parquet")
+        if spread:
+            size = estimated_bytes(df) or 0
+            if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
+                df = df.repartition(cores)
+        out[n] = df
+    return out
 
 
 def money(c) -> Column:
@@ -166,9 +187,19 @@ class DriverCatalog:
             money("l_extendedprice").alias("line_amount"),
         )
 
+    @_memo
+    def line_codes(self) -> DataFrame:
+        """Distinct (day, return flag, ledger code, hold code) of the lines:
+        one scan and one small aggregate shared by every code dimension
+        below (bounded: days x 3 x 4 x 3 rows)."""
+        li = self.t["lineitem"]
+        return li.select(F.to_date("l_shipdate").alias("date_field"), "l_returnflag",
+                         (F.col("l_suppkey") % 4).alias("code_combination_id"),
+                         ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 3).alias("hold_code")).distinct()
+
     @_memo
     def dim_dates(self) -> DataFrame:
-        d = self.t["lineitem"].select(F.to_date("l_shipdate").alias("date_field")).distinct()
+        d = self.line_codes().select("date_field").distinct()
         return d.select(day_key(F.col("date_field")).alias("date_key"), "date_field",
                         fiscal_period(F.col("date_field")).alias("fiscal_yyyymm"))
 
@@ -186,7 +217,7 @@ class DriverCatalog:
     @_memo
     def pipeline_sources(self) -> DataFrame:
         f = F.col("pipeline_source")
-        return (self.t["lineitem"].select(F.col("l_returnflag").alias("pipeline_source")).distinct()
+        return (self.line_codes().select(F.col("l_returnflag").alias("pipeline_source")).distinct()
                 .withColumn("description",
                             F.when(f == "A", F.lit(K.BILLING_SOURCES[0]))
                              .when(f == "N", F.lit(K.CONTRACT_SOURCES[0]))
@@ -244,7 +275,7 @@ class DriverCatalog:
 
     @_memo
     def gl_code_combos(self) -> DataFrame:
-        ids = self.t["lineitem"].select((F.col("l_suppkey") % 4).alias("code_combination_id")).distinct()
+        ids = self.line_codes().select("code_combination_id").distinct()
         k = F.col("code_combination_id")
         s1 = F.when(k < 2, F.lit(K.LEDGER_SEGMENT1)).otherwise(F.lit("02"))
         s2 = F.when(k % 2 == 0, F.lit(K.LEDGER_SEGMENT2)).otherwise(F.lit("620"))
@@ -346,16 +377,14 @@ class DriverCatalog:
 
     @_memo
     def hold_sources(self) -> DataFrame:
-        ids = (self.t["lineitem"].select(((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 3)
-                                         .alias("hold_source_id")).distinct())
+        ids = self.line_codes().select(F.col("hold_code").alias("hold_source_id")).distinct()
         k = F.col("hold_source_id")
         return ids.select(k, k.alias("hold_id"),
                           F.date_add(F.lit(_dt.date(2002, 1, 1)), k.cast("int")).alias("hold_until_date"))
 
     @_memo
     def hold_definitions(self) -> DataFrame:
-        ids = (self.t["lineitem"].select(((F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 3)
-                                         .alias("hold_id")).distinct())
+        ids = self.line_codes().select(F.col("hold_code").alias("hold_id")).distinct()
         k = F.col("hold_id")
         return ids.select(k, F.when(k == 1, F.lit("Credit Hold")).otherwise(F.lit(K.HOLD_NAME))
                           .alias("name"))

@@ -93,3 +93,15 @@ def test_union_by_name(spark):
     out = union_by_name([a, b])
     assert out.columns == ["k", "a", "b"]
     assert rows(out) == [(1, "x", None), (2, None, "y")]
+
+
+def test_size_estimate_and_bounded_broadcast(spark):
+    from revcast.operators.joins import bounded_broadcast, estimated_bytes
+
+    small = spark.range(10)
+    assert estimated_bytes(small) is not None
+    assert estimated_bytes(spark.createDataFrame([(1, "a")], "k int, v string")) > 1 << 40  # unknown
+    hinted = bounded_broadcast(small, ceiling=1 << 30)
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    kept = bounded_broadcast(small, ceiling=0)
+    assert "broadcast" not in kept._jdf.queryExecution().analyzed().toString().lower()

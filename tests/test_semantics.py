@@ -66,3 +66,12 @@ def test_group_keys_null_dropped_and_zero_sums_dropped(spark):
     assert rows(out) == [("o2", "f1", 3.0)]
     kept = sum_by(df, ["o", "f"], "a")
     assert kept.where(F.col("o").isNull()).count() == 1
+
+
+def test_null_salt_keeps_null_safe_result(spark):
+    left = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(40)], "id int, k string")
+    right = spark.createDataFrame([("a", "A"), (None, "N1"), (None, "N2")], "k string, v string")
+    plain = rows(left_enrich(left, right, "k", "k"), "id", "v")
+    salted = rows(left_enrich(left, right, "k", "k", null_salt=8), "id", "v")
+    assert plain == salted
+    assert len(salted) == 20 + 20 * 2
