@@ -139,13 +139,21 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
     return ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules())
 
 
-def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> ForecastRun:
-    """Write every landed source of ``driver_run`` now (the extract phase)."""
+def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None,
+                        parallel_jobs: int = 4) -> ForecastRun:
+    """Write every landed source of ``driver_run`` now (the extract phase).
+
+    The tables are independent, so up to ``parallel_jobs`` of their write
+    jobs are submitted at once from driver threads; the scheduler
+    interleaves their tasks on the executors.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     run = driver_run(spark, sf_dir, cfg)
-    for n in ORDER_BASE_TABLES:
-        run.order_base[n]
-    for n in run.crm_objects.keys():
-        run.crm_objects[n]
+    jobs = [(run.order_base, n) for n in ORDER_BASE_TABLES]
+    jobs += [(run.crm_objects, n) for n in run.crm_objects.keys()]
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        list(pool.map(lambda job: job[0][job[1]], jobs))
     return run
 
 
