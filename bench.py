@@ -7,6 +7,9 @@ query warms the JVM and is not timed. ``land_sources`` is the extract
 phase: the role-mapped source tables are derived from the driver tables
 and written to the landing layer (fresh checkpoint folder per run), which
 the queries then read, as the original's forecast read its landed extracts.
+``land_facts`` writes the enriched facts (CRM chain, pipeline TCV, both
+attributed order facts) that the two forecasts read, as the original wrote
+its full facts before the forecast step.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ def main() -> None:
     import tempfile
 
     from revcast.checks.queries import QUERIES
-    from revcast.plans.pipeline import land_driver_sources
+    from revcast.plans.pipeline import land_driver_facts, land_driver_sources
     from revcast.session import get_spark
 
     spark = get_spark(f"local[{cpus}]", app="revcast-bench", shuffle_partitions=cpus * 2,
@@ -43,6 +46,9 @@ def main() -> None:
     t0 = time.perf_counter()
     land_driver_sources(spark, sf_dir)
     times["land_sources"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    land_driver_facts(spark, sf_dir)
+    times["land_facts"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

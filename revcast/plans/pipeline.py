@@ -22,12 +22,42 @@ class ForecastRun:
 
     def __init__(self, order_base: Mapping[str, DataFrame], crm_objects: Mapping[str, DataFrame],
                  cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
-                 order_rules: DataFrame | None = None):
+                 order_rules: DataFrame | None = None, fact_root: str | None = None):
         self.order_base = order_base
         self.crm_objects = crm_objects
         self.cfg = cfg
         self.party_date_rules = party_date_rules
         self.order_rules = order_rules
+        # With a fact root, the enriched facts are written there once (the
+        # fact layer) and both forecasts read them back: each chain runs
+        # once per run and the forecasts start from short lineage.
+        self.fact_root = fact_root
+        self._facts = None
+
+    def _fact(self, name: str, build):
+        if self.fact_root is None:
+            return build()
+        if self._facts is None:
+            from ..sources.landing import land
+
+            self._facts = land(self._spark(), {
+                "Fact_Trx": lambda: crm.transaction_fact(self.crm_objects),
+                "Fact_Tcvpl": lambda: crm.pipeline_tcv(self.fact_trx),
+                "rev_attributed": lambda: self._attributed_now()[0],
+                "tcv_attributed": lambda: self._attributed_now()[1],
+            }, self.fact_root)
+        return self._facts[name]
+
+    @staticmethod
+    def _spark():
+        from pyspark.sql import SparkSession
+
+        return SparkSession.getActiveSession()
+
+    def _attributed_now(self) -> tuple[DataFrame, DataFrame]:
+        if not hasattr(self, "_attr_now"):
+            self._attr_now = attributed_facts(self.order_sources, self.crm_refs)
+        return self._attr_now
 
     @cached_property
     def order_sources(self) -> Mapping[str, DataFrame]:
@@ -39,11 +69,11 @@ class ForecastRun:
 
     @cached_property
     def fact_trx(self) -> DataFrame:
-        return crm.transaction_fact(self.crm_objects)
+        return self._fact("Fact_Trx", lambda: crm.transaction_fact(self.crm_objects))
 
     @cached_property
     def fact_tcvpl(self) -> DataFrame:
-        return crm.pipeline_tcv(self.fact_trx)
+        return self._fact("Fact_Tcvpl", lambda: crm.pipeline_tcv(self.fact_trx))
 
     @cached_property
     def crm_refs(self) -> dict[str, DataFrame]:
@@ -61,7 +91,9 @@ class ForecastRun:
 
     @cached_property
     def attributed(self) -> tuple[DataFrame, DataFrame]:
-        return attributed_facts(self.order_sources, self.crm_refs)
+        if self.fact_root is None:
+            return self._attributed_now()
+        return (self._fact("rev_attributed", None), self._fact("tcv_attributed", None))
 
     @cached_property
     def fcrev(self) -> DataFrame:
@@ -112,7 +144,23 @@ def _mapping_version() -> str:
     return h.hexdigest()
 
 
-def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bool = True) -> ForecastRun:
+def _plans_version() -> str:
+    """Hash of the code that builds the enriched facts."""
+    import hashlib
+    import os
+
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in ("plans/orders.py", "plans/crm.py", "plans/attribution.py", "functions/rules.py",
+                "operators/joins.py", "operators/projection.py", "operators/dedup.py",
+                "operators/aggregates.py", "operators/sets.py"):
+        with open(os.path.join(here, rel), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:16]
+
+
+def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bool = True,
+               facts: bool = False) -> ForecastRun:
     """A ``ForecastRun`` over the driver tables (role mapping).
 
     With ``landed`` (the default) the derived source tables are written
@@ -134,9 +182,19 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
                                 salt=_mapping_version() + repr(dc.p))
         root = landing_root(spark, key)
         base, objs = land(spark, base_b, f"{root}/order"), land(spark, objs_b, f"{root}/crm")
+        fact_root = f"{root}/facts-{_plans_version()}" if facts else None
     else:
         base, objs = LazyMap(base_b), LazyMap(objs_b)
-    return ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules())
+        fact_root = None
+    return ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules(), fact_root)
+
+
+def land_driver_facts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> ForecastRun:
+    """Write the fact layer of ``driver_run`` now: CRM transaction fact,
+    pipeline TCV and the two attributed order facts."""
+    run = driver_run(spark, sf_dir, cfg, facts=True)
+    run.fact_trx, run.fact_tcvpl, run.attributed
+    return run
 
 
 def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None,
