@@ -218,3 +218,22 @@ def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None,
 def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> dict[str, DataFrame]:
     """``build_forecasts`` over the driver tables (role mapping)."""
     return driver_run(spark, sf_dir, cfg).tables()
+
+
+def write_forecasts(run: ForecastRun, out_root: str, snapshot_date, facts: bool = True) -> dict[str, str]:
+    """Write the enriched facts (layer ``fact``) and the two
+    forecasts as the ``snapshot_date`` partition of ``fc`` and ``tcv``.
+
+    Only that day's partition is replaced; earlier snapshots stay.
+    """
+    from ..sources.sinks import write_layer, write_snapshot
+
+    paths: dict[str, str] = {}
+    if facts:
+        paths.update(write_layer({"fullorder_revfacts": run.attributed[0],
+                                  "fullorder_tcvfacts": run.attributed[1],
+                                  "fullcrm_revfacts": run.fact_trx,
+                                  "fullcrm_tcvfacts": run.fact_tcvpl}, out_root, "fact"))
+    paths["fc"] = write_snapshot(run.fcrev, f"{out_root}/forecast/fc", snapshot_date)
+    paths["tcv"] = write_snapshot(run.fctcv, f"{out_root}/forecast/tcv", snapshot_date)
+    return paths

@@ -76,3 +76,15 @@ def test_chain_keeps_rows_when_right_keys_unique(run):
                       ("Ref_Offr", "Offr_Product_Number__c")]:
         df = refs[name]
         assert df.count() == df.select(key).distinct().count(), name
+
+
+def test_write_forecasts_snapshots(spark, run, tmp_path):
+    from revcast.plans.pipeline import write_forecasts
+    from revcast.sources.sinks import read_snapshot
+
+    paths = write_forecasts(run, str(tmp_path), "2020-01-31")
+    write_forecasts(run, str(tmp_path), "2020-02-29", facts=False)
+    fc = read_snapshot(spark, paths["fc"], "2020-01-31")
+    assert fc.count() == run.fcrev.count()
+    assert read_snapshot(spark, paths["tcv"]).select("snapshot_date").distinct().count() == 2
+    assert spark.read.parquet(paths["fullcrm_revfacts"]).count() == run.fact_trx.count()
