@@ -302,13 +302,15 @@ def order_opportunity_map(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
 
 
 def order_sources(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
-                  order_rules: DataFrame | None = None) -> Mapping[str, DataFrame]:
+                  order_rules: DataFrame | None = None, wrap=None) -> Mapping[str, DataFrame]:
     """The order-side tables the forecasts read.
 
     ``tcv``, ``billev``, ``defrecrev``, ``reforderopp``, ``poh`` (holds with
     their order header and fiscal period) and ``revfact``, the union of
     billing, ledger and hold rows with the revenue type as text. Each table
-    is planned on first access.
+    is planned on first access. ``wrap`` turns the builders into the
+    returned mapping (e.g. a landing layer); tables built from other
+    tables read them through that mapping.
     """
     def tcv():
         return project_strict(contracted_tcv_fact(cat, cfg, party_date_rules, order_rules),
@@ -337,6 +339,7 @@ def order_sources(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame
         return union_by_name([out[n].withColumn("Revenue Type ID", _c("Revenue Type ID").cast("string"))
                               for n in ("billev", "defrecrev", "poh")])
 
-    out = LazyMap({"tcv": tcv, "billev": billev, "defrecrev": defrecrev,
-                   "reforderopp": reforderopp, "poh": poh, "revfact": revfact})
+    builders = {"tcv": tcv, "billev": billev, "defrecrev": defrecrev,
+                "reforderopp": reforderopp, "poh": poh, "revfact": revfact}
+    out = wrap(builders) if wrap else LazyMap(builders)
     return out

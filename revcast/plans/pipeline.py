@@ -28,25 +28,11 @@ class ForecastRun:
         self.cfg = cfg
         self.party_date_rules = party_date_rules
         self.order_rules = order_rules
-        # With a fact root, the enriched facts are written there once (the
-        # fact layer) and both forecasts read them back: each chain runs
-        # once per run and the forecasts start from short lineage.
+        # With a fact root, the source tables the forecasts read (order
+        # extracts, CRM fact and references) and the enriched facts are
+        # written there once and read back: every chain runs once per run,
+        # and the forecasts start from short lineage.
         self.fact_root = fact_root
-        self._facts = None
-
-    def _fact(self, name: str, build):
-        if self.fact_root is None:
-            return build()
-        if self._facts is None:
-            from ..sources.landing import land
-
-            self._facts = land(self._spark(), {
-                "Fact_Trx": lambda: crm.transaction_fact(self.crm_objects),
-                "Fact_Tcvpl": lambda: crm.pipeline_tcv(self.fact_trx),
-                "rev_attributed": lambda: self._attributed_now()[0],
-                "tcv_attributed": lambda: self._attributed_now()[1],
-            }, self.fact_root)
-        return self._facts[name]
 
     @staticmethod
     def _spark():
@@ -54,46 +40,66 @@ class ForecastRun:
 
         return SparkSession.getActiveSession()
 
-    def _attributed_now(self) -> tuple[DataFrame, DataFrame]:
-        if not hasattr(self, "_attr_now"):
-            self._attr_now = attributed_facts(self.order_sources, self.crm_refs)
-        return self._attr_now
+    def _layer(self, group: str, builders: dict) -> Mapping[str, DataFrame]:
+        if self.fact_root is None:
+            return LazyMap(builders)
+        from ..sources.landing import land
+
+        return land(self._spark(), builders, f"{self.fact_root}/{group}")
 
     @cached_property
     def order_sources(self) -> Mapping[str, DataFrame]:
-        return order_sources(self.order_base, self.cfg, self.party_date_rules, self.order_rules)
+        return order_sources(self.order_base, self.cfg, self.party_date_rules, self.order_rules,
+                             wrap=lambda b: self._layer("order_sources", b))
 
     @cached_property
     def crm_prefixed(self) -> dict[str, DataFrame]:
         return crm.prefixed(self.crm_objects)
 
     @cached_property
+    def crm_layer(self) -> Mapping[str, DataFrame]:
+        """CRM fact, pipeline TCV and the prepared references."""
+        cat = self.crm_prefixed
+        return self._layer("crm_sources", {
+            "Fact_Trx": lambda: crm.transaction_fact(self.crm_objects),
+            "Fact_Tcvpl": lambda: crm.pipeline_tcv(self.crm_layer["Fact_Trx"]),
+            "Ref_BillParty": lambda: crm.bill_party_ref(cat["Ref_Acct"]),
+            "Ref_Prnt": lambda: crm.parent_ref(cat["Ref_Prnt"]),
+            "Ref_Offr": lambda: crm.offering_ref(cat["Ref_Offr"]),
+            "Ref_Opps": lambda: crm.opportunity_ref(cat["Ref_Opps"]),
+            "Ref_Opps_Acct": lambda: crm.opportunity_account_ref(self.crm_objects["Ref_Opps_Acct"]),
+        })
+
+    @property
     def fact_trx(self) -> DataFrame:
-        return self._fact("Fact_Trx", lambda: crm.transaction_fact(self.crm_objects))
+        return self.crm_layer["Fact_Trx"]
 
-    @cached_property
+    @property
     def fact_tcvpl(self) -> DataFrame:
-        return self._fact("Fact_Tcvpl", lambda: crm.pipeline_tcv(self.fact_trx))
+        return self.crm_layer["Fact_Tcvpl"]
 
     @cached_property
     def crm_refs(self) -> dict[str, DataFrame]:
         """The CRM reference tables the order chain reads (prepared)."""
         cat = self.crm_prefixed
-        return {
-            "Ref_Acct": cat["Ref_Acct"],
-            "Ref_User": cat["Ref_User"],
-            "Ref_BillParty": crm.bill_party_ref(cat["Ref_Acct"]),
-            "Ref_Prnt": crm.parent_ref(cat["Ref_Prnt"]),
-            "Ref_Offr": crm.offering_ref(cat["Ref_Offr"]),
-            "Ref_Opps": crm.opportunity_ref(cat["Ref_Opps"]),
-            "Ref_Opps_Acct": crm.opportunity_account_ref(self.crm_objects["Ref_Opps_Acct"]),
-        }
+        refs = {"Ref_Acct": cat["Ref_Acct"], "Ref_User": cat["Ref_User"]}
+        refs.update({n: self.crm_layer[n] for n in ("Ref_BillParty", "Ref_Prnt", "Ref_Offr", "Ref_Opps",
+                                                    "Ref_Opps_Acct")})
+        return refs
+
+    @cached_property
+    def _attributed_now(self) -> tuple[DataFrame, DataFrame]:
+        return attributed_facts(self.order_sources, self.crm_refs)
 
     @cached_property
+    def fact_layer(self) -> Mapping[str, DataFrame]:
+        """The two attributed order facts."""
+        return self._layer("facts", {"rev_attributed": lambda: self._attributed_now[0],
+                                     "tcv_attributed": lambda: self._attributed_now[1]})
+
+    @property
     def attributed(self) -> tuple[DataFrame, DataFrame]:
-        if self.fact_root is None:
-            return self._attributed_now()
-        return (self._fact("rev_attributed", None), self._fact("tcv_attributed", None))
+        return self.fact_layer["rev_attributed"], self.fact_layer["tcv_attributed"]
 
     @cached_property
     def fcrev(self) -> DataFrame:
@@ -151,7 +157,8 @@ def _plans_version() -> str:
 
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
-    for rel in ("plans/orders.py", "plans/crm.py", "plans/attribution.py", "functions/rules.py",
+    for rel in ("plans/orders.py", "plans/crm.py", "plans/attribution.py", "plans/pipeline.py",
+                "functions/rules.py",
                 "operators/joins.py", "operators/projection.py", "operators/dedup.py",
                 "operators/aggregates.py", "operators/sets.py"):
         with open(os.path.join(here, rel), "rb") as fh:
@@ -189,11 +196,22 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
     return ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules(), fact_root)
 
 
-def land_driver_facts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> ForecastRun:
+def land_driver_facts(spark, sf_dir: str, cfg: ForecastConfig | None = None,
+                      parallel_jobs: int = 4) -> ForecastRun:
     """Write the fact layer of ``driver_run`` now: CRM transaction fact,
     pipeline TCV and the two attributed order facts."""
+    from concurrent.futures import ThreadPoolExecutor
+
     run = driver_run(spark, sf_dir, cfg, facts=True)
-    run.fact_trx, run.fact_tcvpl, run.attributed
+    # Declare the layers on this thread, then write their tables from a
+    # small pool; tables that read other tables wait on the landing lock.
+    osrc, clay, flay = run.order_sources, run.crm_layer, run.fact_layer
+    jobs = [(osrc, n) for n in osrc.keys()] + [(clay, n) for n in clay.keys()]
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        list(pool.map(lambda job: job[0][job[1]], jobs))
+    run._attributed_now
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(lambda n: flay[n], ["rev_attributed", "tcv_attributed"]))
     return run
 
 

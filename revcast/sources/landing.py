@@ -11,6 +11,7 @@ plan starts from short lineage and well-split parquet.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,14 +43,18 @@ def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") ->
 
 def land(spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], root: str) -> LazyMap:
     """Name -> landed table; each is written (parquet, overwrite) on first
-    use unless a complete copy is already under ``root``."""
+    use unless a complete copy is already under ``root``. Safe to use from
+    several driver threads: a table is written by one of them."""
+
+    locks = {n: threading.Lock() for n in builders}
 
     def loader(name, build):
         def load():
             path = f"{root}/{name}"
-            if not path_exists(spark, f"{path}/_SUCCESS"):
-                build().write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
+            with locks[name]:  # one writer per table when landing from threads
+                if not path_exists(spark, f"{path}/_SUCCESS"):
+                    build().write.mode("overwrite").parquet(path)
+                return spark.read.parquet(path)
         return load
 
     return LazyMap({n: loader(n, b) for n, b in builders.items()})
