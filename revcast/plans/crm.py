@@ -67,12 +67,49 @@ def prefixed(objects: Mapping[str, DataFrame]) -> _Prefixed:
     return _Prefixed(objects)
 
 
-def transaction_fact(objects: Mapping[str, DataFrame], chain=CRM_CHAIN) -> DataFrame:
+def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
+    return df.toDF(*[c + suffix for c in df.columns])
+
+
+def dimension_first_join(cat: Mapping[str, DataFrame]) -> DataFrame:
+    """The J2 chain with the dimension-to-dimension lookups done first.
+
+    Owner lookups only read account or opportunity columns, and the
+    milestone's order, line item and line-item opportunity only read
+    milestone columns, so they are joined into three dimension tables
+    (sized by CRM records, not by transactions) before the fact is touched:
+    the transaction fact is then shuffled for four joins instead of nine.
+    Column names are those the sequential chain gives. Equivalent to the
+    sequential chain because CRM record ids are primary keys (never null),
+    so no null-to-null match can arise between dimensions.
+    """
+    users = cat["Ref_User"]
+    acct = left_enrich(cat["Ref_Acct"], users, "Acct_OwnerId", "User_Id", null_salt=NULL_SALT)
+    opps = left_enrich(cat["Ref_Opps"], _suffixed(users, "_Opps"), "Opps_OwnerId", "User_Id_Opps",
+                       null_salt=NULL_SALT)
+    mile = left_enrich(cat["Ref_Mile"], cat["Ref_Order"], "Mile_Order__c", "Order_Id", null_salt=NULL_SALT)
+    mile = left_enrich(mile, cat["Ref_Oppline"], "Mile_Opportunity_Line_Item_Id__c", "Oppline_Id",
+                       null_salt=NULL_SALT)
+    mile = left_enrich(mile, _suffixed(cat["Ref_Opps"], "_MileOpp"), "Oppline_OpportunityId",
+                       "Opps_Id_MileOpp", null_salt=NULL_SALT)
+    f = cat["Fact_Trx"]
+    f = left_enrich(f, acct, "Trx_Account__c", "Acct_Id", null_salt=NULL_SALT)
+    f = left_enrich(f, opps, "Trx_Opportunity__c", "Opps_Id", null_salt=NULL_SALT)
+    f = left_enrich(f, cat["Ref_Proj"], "Trx_Project__c", "Proj_Id", null_salt=NULL_SALT)
+    return left_enrich(f, mile, "Trx_Milestone__c", "Mile_Id", null_salt=NULL_SALT)
+
+
+def transaction_fact(objects: Mapping[str, DataFrame], chain=None) -> DataFrame:
     """CRM transactions with account, owners, opportunity, project,
     milestone, order and milestone opportunity; milestone values override
-    opportunity values; months become fiscal periods."""
+    opportunity values; months become fiscal periods.
+
+    ``chain`` (e.g. ``CRM_CHAIN``) runs the enrichment as the original's
+    sequential list of joins; by default the equivalent dimension-first
+    plan is used.
+    """
     cat = prefixed(objects)
-    f = enrich(cat["Fact_Trx"], cat, chain)
+    f = enrich(cat["Fact_Trx"], cat, chain) if chain is not None else dimension_first_join(cat)
     f = project_lenient(rename_map(f, K.CRM_FINAL_COLUMNS, keep_unmapped=False),
                         list(K.CRM_FINAL_COLUMNS.values()))
     return f.withColumns({

@@ -88,3 +88,14 @@ def test_write_forecasts_snapshots(spark, run, tmp_path):
     assert fc.count() == run.fcrev.count()
     assert read_snapshot(spark, paths["tcv"]).select("snapshot_date").distinct().count() == 2
     assert spark.read.parquet(paths["fullcrm_revfacts"]).count() == run.fact_trx.count()
+
+
+def test_dimension_first_crm_join_equals_sequential_chain(spark):
+    from revcast.plans import crm
+    from revcast.sources.driver_tables import DriverCatalog
+
+    objs = DriverCatalog(spark, SF001).crm_objects()
+    seq = crm.transaction_fact(objs, chain=crm.CRM_CHAIN)
+    dim = crm.transaction_fact(objs)
+    assert seq.columns == dim.columns
+    assert seq.exceptAll(dim).count() == 0 and dim.exceptAll(seq).count() == 0
