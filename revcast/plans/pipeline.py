@@ -128,14 +128,6 @@ def build_forecasts(order_base: Mapping[str, DataFrame], crm_objects: Mapping[st
     return ForecastRun(order_base, crm_objects, cfg, party_date_rules, order_rules).tables()
 
 
-ORDER_BASE_TABLES = (
-    "pipeline_detail", "sales_detail", "dim_dates", "products", "pipeline_sources", "parties",
-    "customers_bill_to", "customers_sold_to", "pipeline_order_lines", "pipeline_resources",
-    "pipeline_headers", "gl_code_combos", "salesreps", "order_headers", "rep_groups", "group_members",
-    "reps", "people", "order_lines", "item_master", "cust_accounts", "acct_sites", "site_uses",
-    "order_holds", "hold_sources", "hold_definitions")
-
-
 def _mapping_version() -> str:
     """Hash of the code that derives the landed tables."""
     import hashlib
@@ -174,7 +166,7 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
     once to the landing layer under the shared checkpoint folder and read
     back from there, like the extract files of the original.
     """
-    from ..sources.driver_tables import TABLES, DriverCatalog
+    from ..sources.driver_tables import ORDER_BASE_TABLES, TABLES, DriverCatalog
     from ..sources.landing import input_fingerprint, land, landing_root
 
     dc = DriverCatalog(spark, sf_dir, cfg)
@@ -226,7 +218,7 @@ def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None,
     from concurrent.futures import ThreadPoolExecutor
 
     run = driver_run(spark, sf_dir, cfg)
-    jobs = [(run.order_base, n) for n in ORDER_BASE_TABLES]
+    jobs = [(run.order_base, n) for n in run.order_base.keys()]
     jobs += [(run.crm_objects, n) for n in run.crm_objects.keys()]
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
         list(pool.map(lambda job: job[0][job[1]], jobs))

@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -25,6 +26,18 @@ DEFAULT_CONF = {
 }
 
 
+# On a large cluster the same plans want shuffle partitions sized to the
+# data (AQE coalesces from an upper bound down to ~advisory size) and scan
+# splits of a few hundred MB, e.g.:
+#   spark.sql.shuffle.partitions = 4 * total executor cores (upper bound)
+#   spark.sql.files.maxPartitionBytes = 256m
+#   spark.sql.autoBroadcastJoinThreshold = 64m (dimensions under it broadcast)
+CLUSTER_HINTS = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_spark(master: str | None = None, app: str = "revcast", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
     """A session with ``DEFAULT_CONF``; ``master``/partitions for local runs."""

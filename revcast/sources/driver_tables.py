@@ -31,6 +31,14 @@ from ..plans.config import (DRIVER_ZERO_ORDERS, DRIVER_ZERO_PARTY_DATES, Forecas
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Order-system base tables derived by ``DriverCatalog`` (method names).
+ORDER_BASE_TABLES = (
+    "pipeline_detail", "sales_detail", "dim_dates", "products", "pipeline_sources", "parties",
+    "customers_bill_to", "customers_sold_to", "pipeline_order_lines", "pipeline_resources",
+    "pipeline_headers", "gl_code_combos", "salesreps", "order_headers", "rep_groups", "group_members",
+    "reps", "people", "order_lines", "item_master", "cust_accounts", "acct_sites", "site_uses",
+    "order_holds", "hold_sources", "hold_definitions")
+
 
 SPREAD_MIN_BYTES = 1024 * 1024
 
@@ -391,13 +399,7 @@ class DriverCatalog:
 
     def order_base(self) -> dict[str, DataFrame]:
         """Every order-system base table the extracts read."""
-        names = ("pipeline_detail", "sales_detail", "dim_dates", "products", "pipeline_sources",
-                 "parties", "customers_bill_to", "customers_sold_to", "pipeline_order_lines",
-                 "pipeline_resources", "pipeline_headers", "gl_code_combos", "salesreps",
-                 "order_headers", "rep_groups", "group_members", "reps", "people", "order_lines",
-                 "item_master", "cust_accounts", "acct_sites", "site_uses", "order_holds",
-                 "hold_sources", "hold_definitions")
-        return {n: getattr(self, n)() for n in names}
+        return {n: getattr(self, n)() for n in ORDER_BASE_TABLES}
 
     # -- CRM objects (unprefixed, as exported) -----------------------------
     @_memo
