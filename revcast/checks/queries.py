@@ -27,7 +27,8 @@ from ..functions.rules import (account_fallback, account_source, apply_overrides
 from ..functions.semantics import (exclude_drop_null, exclude_keep_null, first_non_null,
                                    product_key, trim_to_null)
 from ..operators.aggregates import column_census
-from ..operators.joins import DeriveSpec, JoinSpec, anti_join, enrich, fanout_report, left_enrich
+from ..operators.joins import (DeriveSpec, JoinSpec, anti_join, bounded_broadcast, enrich, fanout_report,
+                              left_enrich)
 from ..operators.projection import move_first
 from ..plans import orders as O
 from ..plans.config import driver_config
@@ -171,8 +172,8 @@ def q_owner_by_kind(spark, sf_dir):
     acct_owner = s.select(F.col("s_suppkey").alias("_a"), F.col("s_name").alias("acct_owner"))
     opp_owner = s.select(F.col("s_suppkey").alias("_o"), F.col("s_name").alias("opp_owner"))
     x = _lines_orders(t)
-    x = (x.join(F.broadcast(acct_owner), (x.o_custkey % 10) == acct_owner._a, "left")
-         .join(F.broadcast(opp_owner), (x.o_orderkey % 10) == opp_owner._o, "left"))
+    x = (x.join(bounded_broadcast(acct_owner), (x.o_custkey % 10) == acct_owner._a, "left")
+         .join(bounded_broadcast(opp_owner), (x.o_orderkey % 10) == opp_owner._o, "left"))
     pipe = F.col("l_linestatus") == "O"
     x = x.select(owner(pipe, "opp_owner", "acct_owner").alias("owner"), pipe.alias("is_pipeline"))
     return x.groupBy("owner", "is_pipeline").agg(F.count(F.lit(1)).alias("n"))
@@ -317,7 +318,7 @@ def q_segment_eq(spark, sf_dir):
     dc = DriverCatalog(spark, sf_dir)
     cc = dc.gl_code_combos().where((F.col("segment1") == K.LEDGER_SEGMENT1) & (F.col("segment2") == K.LEDGER_SEGMENT2))
     sd = dc.sales_detail()
-    x = sd.join(F.broadcast(cc), "code_combination_id")
+    x = sd.join(bounded_broadcast(cc), "code_combination_id")
     return hashable(x.groupBy("code_combination_id", "segment1", "segment2").agg(
         F.count(F.lit(1)).alias("n"), F.sum("line_amount").alias("amount")))
 

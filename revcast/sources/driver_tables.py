@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.fiscal import fiscal_period
 from ..functions.semantics import product_key
-from ..operators.joins import estimated_bytes
+from ..operators.joins import bounded_broadcast, estimated_bytes
 from ..plans.config import (DRIVER_ZERO_ORDERS, DRIVER_ZERO_PARTY_DATES, ForecastConfig,
                             driver_config)
 
@@ -416,7 +416,7 @@ class DriverCatalog:
         c = self.t["customer"]
         n = self.t["nation"].select("n_nationkey", "n_regionkey")
         r = self.t["region"].select("r_regionkey", "r_name")
-        geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
+        geo = bounded_broadcast(n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey))
         x = c.join(geo, c.c_nationkey == geo.n_nationkey, "left")
         k = F.col("c_custkey")
         return x.select(_s("ACC", k).alias("Id"),
