@@ -89,6 +89,23 @@ def _source_codes(cat: Catalog, cfg: ForecastConfig, descriptions) -> DataFrame:
     return bounded_broadcast(ps, cfg.broadcast_ceiling)
 
 
+_FACT_KEYS = ("order_header_id", "inventory_item_id", "bill_to_party_id", "bill_to_customer_id",
+              "sold_to_customer_id")
+
+
+def _fk_sum(f: DataFrame, keys, measures) -> DataFrame:
+    """Sum the filtered fact at its foreign-key grain before the growing
+    dimensions (products, parties, customers) are joined.
+
+    Those joins are shuffle joins at scale; joining one row per key
+    combination instead of one per line shrinks every one of them, and the
+    grouping itself combines partially before its own shuffle. Exact:
+    a sum distributes over the dimension joins (fan-out included), and the
+    final grouping re-adds the partial sums.
+    """
+    return f.groupBy(*[_c(k) for k in keys]).agg(*[F.sum(_c(m)).alias(m) for m in measures])
+
+
 _PIPELINE_KEYS = (
     "PRODUCT_NUMBER", "FORMAT", "LANGUAGE", "PRODUCT_NUMBER_CONCAT", "TITLE_ABBREVIATION",
     "BILL_TO_PARTY_ID", "PARTY_NAME", "PARTYNUMBER_AKA_REGISTRYID", "BILL_TO_ACCOUNT_ID",
@@ -119,8 +136,9 @@ def billing_events_fact(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
     f = (pd_.join(dt, pd_.transaction_date_key == dt.date_key)
          .join(ps, pd_.pipeline_source == ps._ps_code)
          .join(pol, pd_.order_line_id == pol._pol_id)
-         .join(prd, "inventory_item_id")
          .join(pr, pd_.resource_id == pr._pr_id))
+    f = _fk_sum(f, _FACT_KEYS + ("FISCAL_YYYYMM", "Transaction Date", "ebs_rep"), ["future_billing_amount"])
+    f = f.join(prd, "inventory_item_id")
     f = _attach_customers(f, cat).withColumn("ORDER_HEADER_ID", F.col("order_header_id")) \
         .withColumn("BILL_TO_PARTY_ID", F.col("bill_to_party_id"))
     out = f.groupBy(*[_c(k) for k in _PIPELINE_KEYS]).agg(
@@ -153,8 +171,10 @@ def recognised_deferred_fact(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
     sr = cat["salesreps"].select(F.col("salesrep_id").alias("_sr_id"),
                                  F.col("salesrep_name").alias("ebs_rep"))
     f = (sd.join(bounded_broadcast(cc, cfg.broadcast_ceiling), sd.code_combination_id == cc._cc_id)
-         .join(dt, sd.gl_date_key == dt.date_key)
-         .join(prd, "inventory_item_id"))
+         .join(dt, sd.gl_date_key == dt.date_key))
+    f = _fk_sum(f, _FACT_KEYS + ("salesrep_id", "SEGMENT1", "SEGMENT1_DESC", "SEGMENT2", "SEGMENT2_DESC",
+                                 "FISCAL_YYYYMM", "Transaction Date"), ["line_amount"])
+    f = f.join(prd, "inventory_item_id")
     f = _attach_customers(f, cat)
     f = (f.join(sr, f.salesrep_id == sr._sr_id, "left")
          .withColumn("ORDER_HEADER_ID", F.col("order_header_id"))
@@ -187,10 +207,12 @@ def contracted_tcv_fact(cat: Catalog, cfg: ForecastConfig, party_date_rules: Dat
           .select(F.col("pipeline_header_id").alias("_ph_id"),
                   F.col("pipeline_source").alias("_ph_src")))
     f = (pd_.join(dt, pd_.transaction_date_key == dt.date_key)
-         .join(prd, "inventory_item_id")
          .join(ps, pd_.pipeline_source == ps._ps_code)
          .join(pr, pd_.resource_id == pr._pr_id)
          .join(ph, (pd_.pipeline_header_id == ph._ph_id) & (pd_.pipeline_source == ph._ph_src)))
+    f = _fk_sum(f, _FACT_KEYS + ("FISCAL_YYYYMM", "Transaction Date", "ebs_rep"),
+                ["open_order_amount", "closed_order_amount"])
+    f = f.join(prd, "inventory_item_id")
     f = (_attach_customers(f, cat).withColumn("ORDER_HEADER_ID", F.col("order_header_id"))
          .withColumn("BILL_TO_PARTY_ID", F.col("bill_to_party_id")))
     out = f.groupBy(*[_c(k) for k in _PIPELINE_KEYS]).agg(
