@@ -36,15 +36,24 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def bounded_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -> DataFrame:
+UNKNOWN_SIZE = 1 << 62
+
+
+def bounded_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING,
+                      max_rows: int | None = None) -> DataFrame:
     """Broadcast hint for a side whose estimated size is under ``ceiling``.
 
-    Above the ceiling (or with no estimate) the frame is returned as is and
-    the join stays a shuffle join; AQE re-checks real sizes at runtime.
+    Above the ceiling the frame is returned as is and the join stays a
+    shuffle join; AQE re-checks real sizes at runtime. A frame without an
+    estimate (built in memory, e.g. a rule table from configuration) can be
+    proven small by ``max_rows``: at most ``max_rows + 1`` rows are counted.
     """
     size = estimated_bytes(df)
     if size is not None and size <= ceiling:
         return F.broadcast(df)
+    if max_rows is not None and (size is None or size >= UNKNOWN_SIZE):
+        if df.limit(max_rows + 1).count() <= max_rows:
+            return F.broadcast(df)
     log.info("not broadcasting: estimated %s bytes > %s", size, ceiling)
     return df
 

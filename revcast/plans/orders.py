@@ -184,6 +184,11 @@ def recognised_deferred_fact(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
     return out.withColumn("Revenue Type ID", revenue_type_by_date(_c("Transaction Date"), F.lit(cfg.as_of)))
 
 
+# Zero-out rule tables are hand-kept lists; above this many rows they are
+# joined by shuffle instead of broadcast.
+RULE_ROWS = 100_000
+
+
 def contracted_tcv_fact(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
                         order_rules: DataFrame | None = None) -> DataFrame:
     """A3: open and closed order value per product, customer, rep, day and
@@ -222,14 +227,14 @@ def contracted_tcv_fact(cat: Catalog, cfg: ForecastConfig, party_date_rules: Dat
     if party_date_rules is not None:
         r = bounded_broadcast(party_date_rules.select(
             F.col("party_id").alias("_zr_party"), F.col("date_field").alias("_zr_date"),
-            F.lit(True).alias("_zr_hit1")).distinct(), cfg.broadcast_ceiling)
+            F.lit(True).alias("_zr_hit1")).distinct(), cfg.broadcast_ceiling, max_rows=RULE_ROWS)
         out = out.join(r, (out.BILL_TO_PARTY_ID == r._zr_party) & (_c("Transaction Date") == r._zr_date),
                        "left").drop("_zr_party", "_zr_date")
         hit = hit | F.coalesce(F.col("_zr_hit1"), F.lit(False))
     if order_rules is not None:
         r2 = bounded_broadcast(order_rules.select(
             F.col("order_header_id").alias("_zr_order"), F.lit(True).alias("_zr_hit2")).distinct(),
-            cfg.broadcast_ceiling)
+            cfg.broadcast_ceiling, max_rows=RULE_ROWS)
         out = out.join(r2, out.ORDER_HEADER_ID == r2._zr_order, "left").drop("_zr_order")
         hit = hit | F.coalesce(F.col("_zr_hit2"), F.lit(False))
     total = _c("Closed Order Amount") + _c("Open Order Amount")
