@@ -159,12 +159,14 @@ def _plans_version() -> str:
 
 
 def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bool = True,
-               facts: bool = False) -> ForecastRun:
+               facts: bool = False, prefetch: bool = True, parallel_jobs: int = 4) -> ForecastRun:
     """A ``ForecastRun`` over the driver tables (role mapping).
 
     With ``landed`` (the default) the derived source tables are written
     once to the landing layer under the shared checkpoint folder and read
-    back from there, like the extract files of the original.
+    back from there, like the extract files of the original; with
+    ``facts`` the order extracts, CRM tables and attributed facts too.
+    ``prefetch`` writes them all up front, ``parallel_jobs`` at a time.
     """
     from ..sources.driver_tables import ORDER_BASE_TABLES, TABLES, DriverCatalog
     from ..sources.landing import input_fingerprint, land, landing_root
@@ -185,44 +187,42 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
     else:
         base, objs = LazyMap(base_b), LazyMap(objs_b)
         fact_root = None
-    return ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules(), fact_root)
+    run = ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules(), fact_root)
+    if landed and prefetch:
+        _prefetch(run, facts, parallel_jobs)
+    return run
 
 
-def land_driver_facts(spark, sf_dir: str, cfg: ForecastConfig | None = None,
-                      parallel_jobs: int = 4) -> ForecastRun:
-    """Write the fact layer of ``driver_run`` now: CRM transaction fact,
-    pipeline TCV and the two attributed order facts."""
+def _parallel_get(jobs, parallel_jobs: int) -> None:
     from concurrent.futures import ThreadPoolExecutor
 
-    run = driver_run(spark, sf_dir, cfg, facts=True)
-    # Declare the layers on this thread, then write their tables from a
-    # small pool; tables that read other tables wait on the landing lock.
-    osrc, clay, flay = run.order_sources, run.crm_layer, run.fact_layer
-    jobs = [(osrc, n) for n in osrc.keys()] + [(clay, n) for n in clay.keys()]
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
         list(pool.map(lambda job: job[0][job[1]], jobs))
-    run._attributed_now
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        list(pool.map(lambda n: flay[n], ["rev_attributed", "tcv_attributed"]))
-    return run
 
 
-def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None,
-                        parallel_jobs: int = 4) -> ForecastRun:
-    """Write every landed source of ``driver_run`` now (the extract phase).
+def _prefetch(run: ForecastRun, facts: bool, parallel_jobs: int) -> None:
+    """Land every table of the run's layers now, several write jobs at a
+    time (tables already landed are only checked). Tables that read other
+    tables wait on the landing lock of those."""
+    _parallel_get([(run.order_base, n) for n in run.order_base.keys()]
+                  + [(run.crm_objects, n) for n in run.crm_objects.keys()], parallel_jobs)
+    if facts:
+        osrc, clay = run.order_sources, run.crm_layer
+        _parallel_get([(osrc, n) for n in osrc.keys()] + [(clay, n) for n in clay.keys()], parallel_jobs)
+        run._attributed_now
+        _parallel_get([(run.fact_layer, n) for n in ("rev_attributed", "tcv_attributed")], 2)
 
-    The tables are independent, so up to ``parallel_jobs`` of their write
-    jobs are submitted at once from driver threads; the scheduler
-    interleaves their tasks on the executors.
-    """
-    from concurrent.futures import ThreadPoolExecutor
 
-    run = driver_run(spark, sf_dir, cfg)
-    jobs = [(run.order_base, n) for n in run.order_base.keys()]
-    jobs += [(run.crm_objects, n) for n in run.crm_objects.keys()]
-    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
-        list(pool.map(lambda job: job[0][job[1]], jobs))
-    return run
+def land_driver_facts(spark, sf_dir: str, cfg: ForecastConfig | None = None,
+                      parallel_jobs: int = 4) -> ForecastRun:
+    """Write the sources and the fact layers of ``driver_run`` now."""
+    return driver_run(spark, sf_dir, cfg, facts=True, parallel_jobs=parallel_jobs)
+
+
+def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None,
+                        parallel_jobs: int = 4) -> ForecastRun:
+    """Write every landed source of ``driver_run`` now (the extract phase)."""
+    return driver_run(spark, sf_dir, cfg, parallel_jobs=parallel_jobs)
 
 
 def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> dict[str, DataFrame]:
