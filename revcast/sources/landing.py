@@ -41,20 +41,31 @@ def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") ->
     return h.hexdigest()[:20]
 
 
+# Landed tables already opened in this application (path -> DataFrame), so
+# later queries of a session do not list and read the footers again.
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def land(spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], root: str) -> LazyMap:
     """Name -> landed table; each is written (parquet, overwrite) on first
     use unless a complete copy is already under ``root``. Safe to use from
     several driver threads: a table is written by one of them."""
 
     locks = {n: threading.Lock() for n in builders}
+    app = spark.sparkContext.applicationId
 
     def loader(name, build):
         def load():
             path = f"{root}/{name}"
             with locks[name]:  # one writer per table when landing from threads
+                cached = _OPENED.get((app, path))
+                if cached is not None:
+                    return cached
                 if not path_exists(spark, f"{path}/_SUCCESS"):
                     build().write.mode("overwrite").parquet(path)
-                return spark.read.parquet(path)
+                df = spark.read.parquet(path)
+                _OPENED[(app, path)] = df
+                return df
         return load
 
     return LazyMap({n: loader(n, b) for n, b in builders.items()})
