@@ -42,12 +42,31 @@ from ..sources.sinks import read_snapshot, write_snapshot
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def hashable(df: DataFrame) -> DataFrame:
-    """Dates and timestamps as ISO text, decimals as doubles."""
+# Integer columns that can hold nulls, per query: they are compared as
+# doubles, because a nullable integer column turns into floats on one side
+# of a pandas comparison and into nullable integers on the other.
+NULLABLE_INTS = {
+    "fiscal_calendar": ("fiscal_period",),
+    "inclusion_flag": ("period",),
+    "nullsafe_left_join": ("k",),
+    "union_by_name": ("BILL_TO_PARTY_ID", "ORDER_HEADER_ID", "ORDER_NUMBER", "FISCAL_YYYYMM"),
+    "enrichment_chain": ("BILL_TO_PARTY_ID", "ORDER_NUMBER", "FISCAL_YYYYMM", "Opps_Month_Close__c"),
+    "crm_chain": ("Trx_Month", "Opp_CloseMonth"),
+    "pipeline_tcv": ("Opp_CloseMonth",),
+    "revenue_forecast": ("revFYFP", "Opp_CloseMonth"),
+    "tcv_forecast": ("trxFYFP", "tcvFYFP", "Opp_CloseMonth"),
+}
+
+
+def hashable(df: DataFrame, as_double=()) -> DataFrame:
+    """Dates and timestamps as ISO text, decimals (and ``as_double``
+    columns) as doubles."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DateType):
+        if f.name in as_double:
+            c = c.cast("double")
+        elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
@@ -83,7 +102,8 @@ def q_fiscal_calendar(spark, sf_dir):
     d = F.to_date(txt)
     return hashable(o.select("o_orderkey", d.alias("close_date"),
                              fiscal_period(d).alias("fiscal_period"),
-                             fiscal_year_label(fiscal_period(d)).alias("fiscal_year")))
+                             fiscal_year_label(fiscal_period(d)).alias("fiscal_year")),
+                    NULLABLE_INTS["fiscal_calendar"])
 
 
 def _raw_revenue_type():
@@ -162,7 +182,8 @@ def q_inclusion_flag(spark, sf_dir):
     x = x.withColumn("fc_filter", inclusion_flag("period", "code", "prob",
                                                  cfg.last_legacy_period, cfg.first_new_period))
     x = move_first(x, "fc_filter")
-    return x.groupBy("fc_filter", "code", "period").agg(F.count(F.lit(1)).alias("n"))
+    return hashable(x.groupBy("fc_filter", "code", "period").agg(F.count(F.lit(1)).alias("n")),
+                    NULLABLE_INTS["inclusion_flag"])
 
 
 def q_owner_by_kind(spark, sf_dir):
@@ -337,7 +358,8 @@ def q_nullsafe_left_join(spark, sf_dir):
                            .otherwise(F.col("o_custkey")).alias("k"))
     c = t["customer"].select(F.when(F.col("c_custkey") == 5, F.lit(None).cast("long"))
                              .otherwise(F.col("c_custkey")).alias("key"), "c_name")
-    return left_enrich(o, c, "k", "key").select("o_orderkey", "k", "c_name")
+    return hashable(left_enrich(o, c, "k", "key").select("o_orderkey", "k", "c_name"),
+                    NULLABLE_INTS["nullsafe_left_join"])
 
 
 def q_composite_key_join(spark, sf_dir):
@@ -396,17 +418,17 @@ def q_po_hold_fact(spark, sf_dir):
 
 def q_union_by_name(spark, sf_dir):
     """Billing, ledger and hold rows by column name."""
-    return hashable(_run(spark, sf_dir).order_sources["revfact"])
+    return hashable(_run(spark, sf_dir).order_sources["revfact"], NULLABLE_INTS["union_by_name"])
 
 
 def q_crm_chain(spark, sf_dir):
     """CRM transaction fact."""
-    return hashable(_run(spark, sf_dir).fact_trx)
+    return hashable(_run(spark, sf_dir).fact_trx, NULLABLE_INTS["crm_chain"])
 
 
 def q_pipeline_tcv(spark, sf_dir):
     """Pipeline TCV per opportunity and offering."""
-    return hashable(_run(spark, sf_dir).fact_tcvpl)
+    return hashable(_run(spark, sf_dir).fact_tcvpl, NULLABLE_INTS["pipeline_tcv"])
 
 
 def q_latest_offering(spark, sf_dir):
@@ -431,7 +453,7 @@ ENRICHED_COLUMNS = (
 def q_enrichment_chain(spark, sf_dir):
     """The ten-step enrichment of the TCV extract."""
     df = _run(spark, sf_dir).attributed[1]
-    return hashable(df.select(*[F.col(f"`{c}`") for c in ENRICHED_COLUMNS]))
+    return hashable(df.select(*[F.col(f"`{c}`") for c in ENRICHED_COLUMNS]), NULLABLE_INTS["enrichment_chain"])
 
 
 def q_column_census(spark, sf_dir):
@@ -456,12 +478,12 @@ def q_tcv_dates_amounts(spark, sf_dir):
 def q_revenue_forecast(spark, sf_dir):
     """The revenue forecast, from the fact layer (the enriched facts
     are written once per input and code version, then read back)."""
-    return hashable(driver_run(spark, sf_dir, facts=True).fcrev)
+    return hashable(driver_run(spark, sf_dir, facts=True).fcrev, NULLABLE_INTS["revenue_forecast"])
 
 
 def q_tcv_forecast(spark, sf_dir):
     """The TCV forecast, from the fact layer."""
-    return hashable(driver_run(spark, sf_dir, facts=True).fctcv)
+    return hashable(driver_run(spark, sf_dir, facts=True).fctcv, NULLABLE_INTS["tcv_forecast"])
 
 
 def q_snapshot_roundtrip(spark, sf_dir):

@@ -1,5 +1,8 @@
 """Run every registered query in Spark and its SQL in DuckDB and compare
 row counts, column names and an order-insensitive hash of the values.
+With ORACLE_PANDAS=1 the two results are also compared as pandas frames
+(``toPandas()`` against ``.df()``): same dtypes and same text of every
+value. ORACLE_EXACT=1 compares floats without rounding.
 
     python tests/oracle_compare.py [sf_dir] [name ...]
 """
@@ -8,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import sys
 import time
 
@@ -19,13 +23,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return "None"
     if isinstance(v, float):
         if math.isnan(v):
             return "None"
-        return repr(round(v, 6))
+        return repr(v) if EXACT else repr(round(v, 6))
     if hasattr(v, "item"):
         return _norm(v.item())
     return str(v)
@@ -73,6 +80,17 @@ def main():
             print(f"FAIL {name}: duckdb error {str(e)[:600]}")
             bad += 1
             continue
+        if os.environ.get("ORACLE_PANDAS") == "1":
+            sp, dp = sdf.toPandas(), con.execute(sqls[name]).df()
+            diff = {c: (str(sp[c].dtype), str(dp[c].dtype)) for c in sp.columns
+                    if c in dp.columns and str(sp[c].dtype) != str(dp[c].dtype)}
+
+            def _txt(df):
+                df = df[sorted(df.columns)].astype(str)
+                return sorted("|".join(r) for r in df.itertuples(index=False))
+            if diff or _txt(sp) != _txt(dp):
+                print(f"PANDAS-DIFF {name}: dtypes {diff}")
+                bad += 1
         ok_cols = sorted(scols) == sorted(dcols)
         hs, ls = frame_hash(srows, scols)
         hd, ld = frame_hash(drows, dcols)
