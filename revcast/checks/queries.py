@@ -427,8 +427,13 @@ def q_crm_chain(spark, sf_dir):
 
 
 def q_pipeline_tcv(spark, sf_dir):
-    """Pipeline TCV per opportunity and offering."""
-    return hashable(_run(spark, sf_dir).fact_tcvpl, NULLABLE_INTS["pipeline_tcv"])
+    """Pipeline TCV per opportunity and offering, computed here
+    from the CRM transaction fact of the fact layer (the fact is read twice:
+    for the pipeline sums and for the opportunity attributes)."""
+    from ..plans.crm import pipeline_tcv
+
+    fact = driver_run(spark, sf_dir, facts=True).fact_trx
+    return hashable(pipeline_tcv(fact), NULLABLE_INTS["pipeline_tcv"])
 
 
 def q_latest_offering(spark, sf_dir):
