@@ -38,7 +38,8 @@ class ForecastRun:
     def _spark():
         from pyspark.sql import SparkSession
 
-        return SparkSession.getActiveSession()
+        # The active session is thread-local; other threads get the default.
+        return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
     def _layer(self, group: str, builders: dict) -> Mapping[str, DataFrame]:
         if self.fact_root is None:
