@@ -54,3 +54,19 @@ def attributed_facts(order_src: Mapping[str, DataFrame], crm_src: Mapping[str, D
     cat = ChainMap(order_src, crm_src)
     rev = order_src["revfact"].withColumn("BILL_TO_PARTY_ID", F.col("BILL_TO_PARTY_ID").cast("long"))
     return attribute_orders(rev, cat, chain), attribute_orders(order_src["tcv"], cat, chain)
+
+
+def chain_from_config(entries, derives=None) -> tuple:
+    """Build a chain from join entries in the original's JSON shape:
+    ``{"src", "right", "left_on", "right_on", "suf1", "suf2"}``. An entry
+    with ``src == "func"`` becomes the derive step named by its ``right``
+    in ``derives`` (default: the account derivation for any name)."""
+    derives = derives or {}
+    out = []
+    for e in entries:
+        if e.get("src") == "func":
+            out.append(DeriveSpec(derives.get(e.get("right"), derive_account), e.get("right", "derive")))
+        else:
+            out.append(JoinSpec.from_dict(e))
+    return tuple(out)
+
