@@ -149,13 +149,17 @@ class JoinSpec:
     broadcast: bool = False
     null_salt: int = 0
     hot_values: tuple = ()
+    # Opt-in guard against fan-out (J7): fail the step if the right side
+    # holds a key more than once.
+    unique: bool = False
 
     @classmethod
     def from_dict(cls, d: Mapping) -> JoinSpec:
         return cls(right=d["right"], left_on=d["left_on"], right_on=d["right_on"],
                    suffixes=(d.get("suf1", "_x"), d.get("suf2", "_y")),
                    null_safe=d.get("null_safe", True), broadcast=d.get("broadcast", False),
-                   null_salt=d.get("null_salt", 0), hot_values=tuple(d.get("hot_values", ())))
+                   null_salt=d.get("null_salt", 0), hot_values=tuple(d.get("hot_values", ())),
+                   unique=d.get("unique", False))
 
 
 @dataclass(frozen=True)
@@ -173,6 +177,8 @@ def enrich(df: DataFrame, catalog: Mapping[str, DataFrame],
         if isinstance(spec, DeriveSpec):
             df = spec.fn(df)
         else:
+            if spec.unique:
+                assert_unique_keys(catalog[spec.right], spec.right_on, spec.right)
             df = left_enrich(df, catalog[spec.right], spec.left_on, spec.right_on,
                              spec.suffixes, null_safe=spec.null_safe,
                              broadcast=spec.broadcast, null_salt=spec.null_salt,
@@ -180,6 +186,17 @@ def enrich(df: DataFrame, catalog: Mapping[str, DataFrame],
     return df
 
 
+def assert_unique_keys(df: DataFrame, keys, name: str = "table", examples: int = 5) -> None:
+    """Raise if any key of ``df`` occurs more than once (null counts as a
+    key). One aggregate job, combined partially before its shuffle; only
+    up to ``examples`` offending keys come back to the driver."""
+    ks = _as_list(keys)
+    dup = (df.groupBy(*[F.col(f"`{k}`") for k in ks]).agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > 1).limit(examples).collect())
+    if dup:
+        raise ValueError(f"{name}: duplicate keys {ks}: {[tuple(r) for r in dup]}")
+
+
 def fanout_report(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                   null_safe: bool = True) -> DataFrame:
     """Keys at which a left join would multiply rows.

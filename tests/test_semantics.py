@@ -75,3 +75,16 @@ def test_null_salt_keeps_null_safe_result(spark):
     salted = rows(left_enrich(left, right, "k", "k", null_salt=8), "id", "v")
     assert plain == salted
     assert len(salted) == 20 + 20 * 2
+
+
+def test_unique_guard_in_chain(spark):
+    import pytest
+
+    from revcast.operators.joins import JoinSpec, enrich
+
+    left = spark.createDataFrame([(1, "a")], "id int, k string")
+    ok = spark.createDataFrame([("a", 1)], "k string, v int")
+    dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    assert enrich(left, {"r": ok}, [JoinSpec("r", "k", "k", unique=True)]).count() == 1
+    with pytest.raises(ValueError, match="duplicate keys"):
+        enrich(left, {"r": dup}, [JoinSpec("r", "k", "k", unique=True)])
