@@ -129,33 +129,20 @@ def build_forecasts(order_base: Mapping[str, DataFrame], crm_objects: Mapping[st
     return ForecastRun(order_base, crm_objects, cfg, party_date_rules, order_rules).tables()
 
 
-def _mapping_version() -> str:
-    """Hash of the code that derives the landed tables."""
+def _code_version() -> str:
+    """Hash of every source file of the package: any code change lands
+    fresh layers."""
     import hashlib
     import os
 
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
-    for rel in ("sources/driver_tables.py", "plans/config.py", "constants.py",
-                "functions/semantics.py", "functions/fiscal.py"):
-        with open(os.path.join(here, rel), "rb") as fh:
-            h.update(fh.read())
-    return h.hexdigest()
-
-
-def _plans_version() -> str:
-    """Hash of the code that builds the enriched facts."""
-    import hashlib
-    import os
-
-    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    h = hashlib.sha1()
-    for rel in ("plans/orders.py", "plans/crm.py", "plans/attribution.py", "plans/pipeline.py",
-                "functions/rules.py",
-                "operators/joins.py", "operators/projection.py", "operators/dedup.py",
-                "operators/aggregates.py", "operators/sets.py"):
-        with open(os.path.join(here, rel), "rb") as fh:
-            h.update(fh.read())
+    for dirpath, _, files in sorted(os.walk(here)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                h.update(os.path.relpath(os.path.join(dirpath, f), here).encode())
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(fh.read())
     return h.hexdigest()[:16]
 
 
@@ -181,10 +168,10 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
               "Ref_Oppline": dc.crm_opportunity_line, "Ref_Opps_Acct": dc.crm_opportunity_account}
     if landed:
         key = input_fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES],
-                                salt=_mapping_version() + repr(dc.p))
+                                salt=_code_version() + repr(dc.p))
         root = landing_root(spark, key)
         base, objs = land(spark, base_b, f"{root}/order"), land(spark, objs_b, f"{root}/crm")
-        fact_root = f"{root}/facts-{_plans_version()}" if facts else None
+        fact_root = f"{root}/facts" if facts else None
     else:
         base, objs = LazyMap(base_b), LazyMap(objs_b)
         fact_root = None

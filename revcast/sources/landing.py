@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,7 +63,7 @@ def land(spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], r
                 if cached is not None:
                     return cached
                 if not path_exists(spark, f"{path}/_SUCCESS"):
-                    build().write.mode("overwrite").parquet(path)
+                    _write_then_rename(spark, build(), path)
                 df = spark.read.parquet(path)
                 _OPENED[(app, path)] = df
                 return df
@@ -71,6 +72,28 @@ def land(spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], r
     return LazyMap({n: loader(n, b) for n, b in builders.items()})
 
 
+def _write_then_rename(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write to a fresh sibling folder, then rename it into place: a reader
+    never sees a half-written table, and a writer that lost the race (or a
+    rerun after a crash) simply uses the table that is there."""
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(tmp)
+    fs, src = _fs(spark, tmp)
+    _, dst = _fs(spark, path)
+    if fs.exists(dst) and not fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
+        fs.delete(dst, True)  # leftover of an interrupted non-atomic writer
+    if not fs.rename(src, dst):
+        fs.delete(src, True)
+
+
 def landing_root(spark: SparkSession, key: str) -> str:
-    """Folder for one landed set under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{key}"
+    """Folder for one landed set.
+
+    ``revcast.landing.dir`` when set, else the cluster's shared
+    ``spark.checkpoint.dir`` itself (so a restarted driver finds the layers
+    of the same inputs and code again), else the session's checkpoint
+    folder (tests, local runs).
+    """
+    base = (spark.conf.get("revcast.landing.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+            or ensure_checkpoint_dir(spark))
+    return f"{base.rstrip('/')}/landing/{key}"
