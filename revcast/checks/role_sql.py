@@ -156,8 +156,7 @@ ROLES: dict[str, str] = {
     "order_holds": """
         SELECT line_id, line_id % 3 AS hold_source_id,
           CASE WHEN line_id % 4 = 0 THEN line_id END AS hold_release_id
-        FROM (SELECT DISTINCT l_orderkey*10 + l_linenumber AS line_id FROM lineitem)
-        WHERE line_id % 2 = 0""",
+        FROM (SELECT DISTINCT l_orderkey*10 + l_linenumber AS line_id FROM lineitem)""",
     "hold_sources": """
         SELECT k AS hold_source_id, k AS hold_id, DATE '2002-01-01' + CAST(k AS INTEGER) AS hold_until_date
         FROM (SELECT DISTINCT (l_orderkey*10 + l_linenumber) % 3 AS k FROM lineitem)""",

@@ -379,9 +379,8 @@ class DriverCatalog:
     def order_holds(self) -> DataFrame:
         ids = self.t["lineitem"].select(_line_id().alias("line_id")).distinct()
         k = F.col("line_id")
-        return (ids.where(k % 2 == 0)
-                .select(k, (k % 3).alias("hold_source_id"),
-                        F.when(k % 4 == 0, k).alias("hold_release_id")))
+        return ids.select(k, (k % 3).alias("hold_source_id"),
+                          F.when(k % 4 == 0, k).alias("hold_release_id"))
 
     @_memo
     def hold_sources(self) -> DataFrame:
