@@ -36,15 +36,21 @@ def read_sql_extract(spark: SparkSession, url: str, sql: str, properties: Mappin
 
 
 def read_sql_extracts(spark: SparkSession, specs: Mapping[str, Mapping]) -> dict[str, DataFrame]:
-    """S1 over a config: ``name -> {url, sql, properties, finalcols?}``.
+    """S1 over a config: ``name -> {url?, sql, properties, finalcols?}``.
 
-    ``finalcols``, when given, is applied as a strict projection (P1).
+    With a ``url`` the SQL runs in that database (JDBC). Without one it runs
+    in Spark itself over the temporary views the caller registered (the
+    base tables already landed in the lake). ``finalcols``, when given, is
+    applied as a strict projection (P1): a missing column is an error.
     """
     out = {}
     for name, spec in specs.items():
-        df = read_sql_extract(spark, spec["url"], spec["sql"], spec.get("properties", {}),
-                              spec.get("partition_column"), spec.get("lower_bound"),
-                              spec.get("upper_bound"), spec.get("num_partitions"))
+        if spec.get("url"):
+            df = read_sql_extract(spark, spec["url"], spec["sql"], spec.get("properties", {}),
+                                  spec.get("partition_column"), spec.get("lower_bound"),
+                                  spec.get("upper_bound"), spec.get("num_partitions"))
+        else:
+            df = spark.sql(spec["sql"])
         if spec.get("finalcols"):
             df = df.select(*[F.col(f"`{c}`") for c in spec["finalcols"]])
         out[name] = df

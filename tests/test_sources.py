@@ -58,3 +58,23 @@ def test_layers_and_snapshots(spark):
     write_snapshot(df.where("k = 2"), snap, dt.date(2020, 1, 2))  # replaces that day only
     assert read_snapshot(spark, snap).count() == 3
     assert rows(read_snapshot(spark, snap, "2020-01-02"), "k") == [(2,)]
+
+
+def test_sql_extracts_over_views(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from revcast.sources.readers import read_sql_extracts
+
+    spark.createDataFrame([(1, 1001, " OP-1 "), (2, 1002, None)],
+                          "header_id long, order_number long, attribute11 string") \
+        .createOrReplaceTempView("order_headers_v")
+    sql = ("SELECT header_id AS ORDER_HEADER_ID, order_number AS ORDER_NUMBER, "
+           "trim(attribute11) AS OPPORTUNITY_ID, 'x' AS EXTRA FROM order_headers_v "
+           "WHERE attribute11 IS NOT NULL")
+    got = read_sql_extracts(spark, {"reforderopp": {
+        "sql": sql, "finalcols": ["ORDER_HEADER_ID", "OPPORTUNITY_ID", "ORDER_NUMBER"]}})
+    assert got["reforderopp"].columns == ["ORDER_HEADER_ID", "OPPORTUNITY_ID", "ORDER_NUMBER"]
+    assert rows(got["reforderopp"]) == [(1, "OP-1", 1001)]
+    with pytest.raises(AnalysisException):
+        read_sql_extracts(spark, {"x": {"sql": sql, "finalcols": ["MISSING"]}})
