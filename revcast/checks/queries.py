@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from ..functions.fiscal import fiscal_period, fiscal_year_label
 from ..functions.rules import (account_fallback, account_source, apply_overrides, hold_category,
-                               inclusion_flag, is_pipeline, milestone_type_name, override_if_key_present,
+                               inclusion_flag, milestone_type_name, override_if_key_present,
                                override_if_present, owner, pipeline_weighted_tcv, project_stage_code,
                                revenue_code, tcv_period, unweighted_tcv, weighted, weighted_tcv)
 from ..functions.semantics import (exclude_drop_null, exclude_keep_null, first_non_null,
