@@ -69,8 +69,10 @@ ROLES: dict[str, str] = {
           o_custkey AS bill_to_party_id, o_custkey AS bill_to_customer_id,
           o_custkey AS sold_to_customer_id, l_suppkey AS resource_id,
           {money('l_extendedprice')} AS future_billing_amount,
-          CASE WHEN l_linestatus = 'O' THEN {money('l_extendedprice')} END AS open_order_amount,
-          CASE WHEN l_linestatus = 'F' THEN {money('l_extendedprice')} END AS closed_order_amount
+          CASE WHEN l_quantity <= 2 THEN NULL WHEN l_linestatus = 'O' THEN {money('l_extendedprice')}
+               ELSE CAST(0 AS DECIMAL(18,2)) END AS open_order_amount,
+          CASE WHEN l_quantity <= 2 THEN NULL WHEN l_linestatus = 'F' THEN {money('l_extendedprice')}
+               ELSE CAST(0 AS DECIMAL(18,2)) END AS closed_order_amount
         FROM lines""",
     "sales_detail": f"""
         SELECT l_orderkey AS order_header_id, l_suppkey % 4 AS code_combination_id,

@@ -176,10 +176,18 @@ class DriverCatalog:
             F.col("o_custkey").alias("sold_to_customer_id"),
             F.col("l_suppkey").alias("resource_id"),
             money("l_extendedprice").alias("future_billing_amount"),
-            F.when(F.col("l_linestatus") == "O", money("l_extendedprice")).alias("open_order_amount"),
-            F.when(F.col("l_linestatus") == "F", money("l_extendedprice")).alias("closed_order_amount"),
+            self._status_amount("O").alias("open_order_amount"),
+            self._status_amount("F").alias("closed_order_amount"),
         )
 
+    @staticmethod
+    def _status_amount(status: str) -> Column:
+        """Order value when the line has ``status``, else 0; unknown (null)
+        for the smallest lines, so null sums still occur."""
+        return (F.when(F.col("l_quantity") <= 2, F.lit(None).cast("decimal(18,2)"))
+                .when(F.col("l_linestatus") == status, money("l_extendedprice"))
+                .otherwise(F.lit(0).cast("decimal(18,2)")))
+
     @_memo
     def sales_detail(self) -> DataFrame:
         x = self.order_lines_joined()
