@@ -25,25 +25,30 @@ DEFAULT_CONF = {
 }
 
 
-# On a large cluster the same plans want shuffle partitions sized to the
-# data (AQE coalesces from an upper bound down to ~advisory size) and scan
-# splits of a few hundred MB, e.g.:
-#   spark.sql.shuffle.partitions = 4 * total executor cores (upper bound)
-#   spark.sql.files.maxPartitionBytes = 256m
-#   spark.sql.autoBroadcastJoinThreshold = 64m (dimensions under it broadcast)
+# On a large cluster (about 100 TB, 1000 executors) the same plans want
+# scan splits of a few hundred MB and a high upper bound of shuffle
+# partitions that AQE coalesces down to the advisory size; tasks then stay
+# around 128-256 MB and spill little. Dimensions under the broadcast
+# threshold are broadcast by the optimizer, larger ones are shuffle-joined.
 CLUSTER_HINTS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.shuffle.partitions": "20000",
 }
 
 
 def get_spark(master: str | None = None, app: str = "revcast", shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
-    """A session with ``DEFAULT_CONF``; ``master``/partitions for local runs."""
+              extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """A session with ``DEFAULT_CONF`` (plus ``CLUSTER_HINTS`` when
+    ``cluster``); ``master``/partitions for local runs."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_HINTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
