@@ -17,6 +17,8 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revcast-test-ckpt-"))
     ensure_checkpoint_dir(s)
+    # Hermetic: landed layers of earlier runs are not reused by the tests.
+    s.conf.set("revcast.landing.dir", tempfile.mkdtemp(prefix="revcast-test-landing-"))
     yield s
     s.stop()
 
