@@ -2,7 +2,8 @@
 row counts, column names and an order-insensitive hash of the values.
 With ORACLE_PANDAS=1 the two results are also compared as pandas frames
 (``toPandas()`` against ``.df()``): same dtypes and same text of every
-value. ORACLE_EXACT=1 compares floats without rounding.
+value. ORACLE_EXACT=1 compares floats without rounding. ORACLE_FRESH=1
+lands every layer anew instead of reusing earlier runs.
 
     python tests/oracle_compare.py [sf_dir] [name ...]
 """
@@ -51,6 +52,10 @@ def main():
     from revcast.session import get_spark
 
     spark = get_spark("local[8]", shuffle_partitions=8)
+    if os.environ.get("ORACLE_FRESH") == "1":  # do not reuse landed layers of earlier runs
+        import tempfile
+
+        spark.conf.set("revcast.landing.dir", tempfile.mkdtemp(prefix="revcast-oracle-"))
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
