@@ -25,7 +25,7 @@ def derive_account(df: DataFrame) -> DataFrame:
 # behind a size check, the rest is left to the optimizer and AQE. Steps
 # whose left key is often null (orders without an opportunity, unmapped
 # accounts) salt those rows over NULL_SALT shuffle keys.
-NULL_SALT = 64
+NULL_SALT = 256
 
 ORDER_CHAIN = (
     JoinSpec("Ref_BillParty", "BILL_TO_PARTY_ID", "Acct_Party_ID__c", null_salt=NULL_SALT),

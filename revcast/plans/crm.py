@@ -20,7 +20,7 @@ from ..sources.readers import flatten_parent
 
 # Left keys that are often null (transactions without account, project or
 # milestone) are salted over this many shuffle keys.
-NULL_SALT = 64
+NULL_SALT = 256
 
 
 def _spec(right, left_on, right_on, right_suffix, broadcast=False):
