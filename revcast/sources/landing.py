@@ -80,8 +80,13 @@ def _write_then_rename(spark: SparkSession, df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(tmp)
     fs, src = _fs(spark, tmp)
     _, dst = _fs(spark, path)
-    if fs.exists(dst) and not fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
-        fs.delete(dst, True)  # leftover of an interrupted non-atomic writer
+    if fs.exists(dst):
+        if fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
+            fs.delete(src, True)  # another writer finished first: use theirs
+            return
+        fs.delete(dst, True)  # leftover of an interrupted writer
+    # Renaming onto an existing directory may nest instead of failing on
+    # some file systems, hence the checks above.
     if not fs.rename(src, dst):
         fs.delete(src, True)
 

@@ -78,3 +78,24 @@ def test_sql_extracts_over_views(spark):
     assert rows(got["reforderopp"]) == [(1, "OP-1", 1001)]
     with pytest.raises(AnalysisException):
         read_sql_extracts(spark, {"x": {"sql": sql, "finalcols": ["MISSING"]}})
+
+
+def test_landing_reuses_complete_tables_and_ignores_partial(spark, tmp_path):
+    from revcast.sources import landing as L
+
+    root = str(tmp_path / "land")
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.createDataFrame([(1,), (2,)], "k int")
+
+    m1 = L.land(spark, {"t": build}, root)
+    assert m1["t"].count() == 2
+    L._OPENED.clear()
+    m2 = L.land(spark, {"t": build}, root)  # a later run: complete table found
+    assert m2["t"].count() == 2 and len(calls) == 1
+    # a competing writer finishing second leaves the first table in place
+    L._write_then_rename(spark, spark.createDataFrame([(9,)], "k int"), f"{root}/t")
+    assert sorted(r[0] for r in spark.read.parquet(f"{root}/t").collect()) == [1, 2]
+    assert [p.name for p in (tmp_path / "land").iterdir()] == ["t"]
