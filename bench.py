@@ -36,7 +36,7 @@ def main() -> None:
     from revcast.plans.pipeline import land_driver_facts, land_driver_sources
     from revcast.session import get_spark
 
-    spark = get_spark(f"local[{cpus}]", app="revcast-bench", shuffle_partitions=cpus * 2,
+    spark = get_spark(f"local[{cpus}]", app="revcast-bench", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": "16g"})
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revcast-bench-"))
