@@ -466,6 +466,12 @@ def q_column_census(spark, sf_dir):
     return column_census(_tables(spark, sf_dir)["events"])
 
 
+def q_fact_census(spark, sf_dir):
+    """A6 on the combined order revenue fact (billing, ledger and hold rows),
+    the table the original took its census of."""
+    return column_census(_run(spark, sf_dir).order_sources["revfact"])
+
+
 def q_tcv_dates_amounts(spark, sf_dir):
     """TCV period and amounts by source kind."""
     x = _lines_orders(_tables(spark, sf_dir))
@@ -540,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "nested_parent": q_nested_parent,
     "enrichment_chain": q_enrichment_chain,
     "column_census": q_column_census,
+    "fact_census": q_fact_census,
     "tcv_dates_amounts": q_tcv_dates_amounts,
     "revenue_forecast": q_revenue_forecast,
     "tcv_forecast": q_tcv_forecast,
