@@ -45,6 +45,9 @@ def test_query_matches_sql(spark, duck, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert frame_hash(srows, sdf.columns)[0] == frame_hash(drows, dcols)[0]
+    # as pandas frames too: same dtypes on both sides
+    sp, dp = sdf.toPandas(), duck.execute(E.oracle_sql()[name]).df()
+    assert {c: str(sp[c].dtype) for c in sp.columns} == {c: str(dp[c].dtype) for c in dp.columns}
 
 
 def test_weighted_never_exceeds_unweighted(run):
