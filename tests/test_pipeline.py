@@ -136,3 +136,15 @@ def test_cli_runs_forecasts_from_landed_directories(spark, tmp_path):
                 "suf1": s.suffixes[0], "suf2": s.suffixes[1]} for s in ORDER_CHAIN]
     chain = chain_from_config(entries)
     assert [getattr(s, "right", None) for s in chain] == [getattr(s, "right", None) for s in ORDER_CHAIN]
+
+
+def test_driver_forecasts_exposes_every_table(spark):
+    from revcast import driver_forecasts
+
+    t = driver_forecasts(spark, SF001)
+    for name in ("tcv", "billev", "defrecrev", "reforderopp", "poh", "revfact", "Fact_Trx", "Fact_Tcvpl",
+                 "Ref_BillParty", "Ref_Prnt", "Ref_Offr", "Ref_Opps", "Ref_Opps_Acct", "rev_attributed",
+                 "tcv_attributed", "fcrev", "fctcv"):
+        assert name in t, name
+    assert t["fcrev"].columns[0] == "fc_filter"
+    assert t["fctcv"].count() > 0
