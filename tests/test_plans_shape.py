@@ -55,3 +55,12 @@ def test_salting_spreads_null_keys_over_partitions(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_forecasts_from_the_fact_layer_barely_shuffle(spark):
+    import re
+
+    rev = _plan(E.queries()["revenue_forecast"](spark, SF001))
+    assert "Exchange" not in rev
+    tcv = _plan(E.queries()["tcv_forecast"](spark, SF001))
+    assert len(re.findall(r"Exchange hashpartitioning", tcv)) <= 1
