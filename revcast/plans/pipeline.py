@@ -161,11 +161,7 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
 
     dc = DriverCatalog(spark, sf_dir, cfg)
     base_b = {n: getattr(dc, n) for n in ORDER_BASE_TABLES}
-    objs_b = {"Fact_Trx": dc.crm_transaction, "Ref_Acct": dc.crm_account,
-              "Ref_Mile": dc.crm_milestone, "Ref_Opps": dc.crm_opportunity,
-              "Ref_Proj": dc.crm_project, "Ref_User": dc.crm_user, "Ref_Prnt": dc.crm_parent,
-              "Ref_Offr": dc.crm_offering, "Ref_Order": dc.crm_order,
-              "Ref_Oppline": dc.crm_opportunity_line, "Ref_Opps_Acct": dc.crm_opportunity_account}
+    objs_b = dc.crm_builders()
     if landed:
         key = input_fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES],
                                 salt=_code_version() + repr(dc.p))

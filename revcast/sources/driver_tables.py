@@ -525,22 +525,26 @@ class DriverCatalog:
         return o.select(_s("OL", k).alias("Id"), _s("Line ", k).alias("Name"),
                         _s("OPP", k + 1).alias("OpportunityId"))
 
-    def crm_objects(self) -> dict[str, DataFrame]:
-        """The CRM extracts by name, as exported (no prefixes yet)."""
+    def crm_builders(self) -> dict:
+        """CRM extract name -> method building it."""
         return {
-            "Fact_Trx": self.crm_transaction(),
-            "Ref_Acct": self.crm_account(),
-            "Ref_Mile": self.crm_milestone(),
-            "Ref_Opps": self.crm_opportunity(),
-            "Ref_Proj": self.crm_project(),
-            "Ref_User": self.crm_user(),
-            "Ref_Prnt": self.crm_parent(),
-            "Ref_Offr": self.crm_offering(),
-            "Ref_Order": self.crm_order(),
-            "Ref_Oppline": self.crm_opportunity_line(),
-            "Ref_Opps_Acct": self.crm_opportunity_account(),
+            "Fact_Trx": self.crm_transaction,
+            "Ref_Acct": self.crm_account,
+            "Ref_Mile": self.crm_milestone,
+            "Ref_Opps": self.crm_opportunity,
+            "Ref_Proj": self.crm_project,
+            "Ref_User": self.crm_user,
+            "Ref_Prnt": self.crm_parent,
+            "Ref_Offr": self.crm_offering,
+            "Ref_Order": self.crm_order,
+            "Ref_Oppline": self.crm_opportunity_line,
+            "Ref_Opps_Acct": self.crm_opportunity_account,
         }
 
+    def crm_objects(self) -> dict[str, DataFrame]:
+        """The CRM extracts by name, as exported (no prefixes yet)."""
+        return {n: build() for n, build in self.crm_builders().items()}
+
     # -- rule tables (configuration, not data) -----------------------------
     def zero_party_date_rules(self) -> DataFrame:
         rows = [(int(p), _dt.date.fromisoformat(d)) for p, d in DRIVER_ZERO_PARTY_DATES]
