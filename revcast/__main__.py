@@ -27,14 +27,14 @@ from .sources.readers import load_directory
 
 def main(argv=None, spark=None) -> dict[str, str]:
     ap = argparse.ArgumentParser(prog="revcast")
-    ap.add_argument("--order-dir", required=True)
-    ap.add_argument("--crm-dir", required=True)
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--snapshot-date", required=True)
-    ap.add_argument("--as-of", default=None)
-    ap.add_argument("--config", default=None)
-    ap.add_argument("--fact-root", default=None)
-    ap.add_argument("--format", default="parquet", choices=("parquet", "csv"))
+    ap.add_argument("--order-dir", required=True, help="one table per order-system base table")
+    ap.add_argument("--crm-dir", required=True, help="one table per CRM object")
+    ap.add_argument("--out", required=True, help="output root (fact layer and forecast snapshots)")
+    ap.add_argument("--snapshot-date", required=True, help="snapshot partition to write, YYYY-MM-DD")
+    ap.add_argument("--as-of", default=None, help="point in time replacing the database clock")
+    ap.add_argument("--config", default=None, help="JSON object of ForecastConfig fields")
+    ap.add_argument("--fact-root", default=None, help="shared folder for the fact layer (written once)")
+    ap.add_argument("--format", default="parquet", choices=("parquet", "csv"), help="format of the input tables")
     a = ap.parse_args(argv)
     spark = spark or get_spark()
     order = load_directory(spark, a.order_dir, fmt=a.format)
