@@ -98,3 +98,23 @@ def test_revenue_code_model(spark, rows_):
     got = [r[0] for r in df.select(R.revenue_code("t", stage)).collect()]
     want = [stage_map.get(s, "NA") if t == "Manual - SD" else code_map.get(t, "unmapped") for t, s in rows_]
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["P1", "P2", "P3"])),
+                          st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
+                          st.one_of(st.none(), st.sampled_from([dt.date(2020, m, 1) for m in (1, 2, 3)]))),
+                min_size=1, max_size=30))
+def test_latest_per_key_model(spark, rows_):
+    from revcast.operators.dedup import latest_per_key
+
+    df = spark.createDataFrame(rows_, "p string, o string, m date")
+    got = sorted((tuple(r) for r in latest_per_key(df, "p", "m", ["o"]).collect()), key=repr)
+    want = {}
+    for p, o, m in rows_:
+        if p is None:
+            continue
+        key = (m is None, -(m.toordinal() if m else 0), o is not None, o or "")
+        if p not in want or key < want[p][0]:
+            want[p] = (key, o)
+    assert got == sorted(((p, v[1]) for p, v in want.items()), key=repr)
