@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .urls import BLOCKED_WORDS
+
 _PARTS = """
 parts AS (
   SELECT page_id,
@@ -29,6 +31,8 @@ ORACLE_SQL = {
     "op7_url_filter": f"""
 WITH {_PARTS}
 SELECT page_id, host, path, rule,
-       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block'
+            WHEN rule IS NULL AND regexp_matches(host, '(^|[.-])({"|".join(BLOCKED_WORDS)})([.-]|$)') THEN 'block'
+            ELSE 'allow' END AS verdict
 FROM ruled""",
 }

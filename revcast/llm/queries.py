@@ -18,10 +18,17 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
 
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .urls import judge_urls
+    from .urls import hosts_with_words, judge_urls
 
-    return judge_urls(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, listed=hosts_with_words(pages))
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +45,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op3_bpe_codec": op3_bpe_codec,
     "op7_url_filter": op7_url_filter,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,

@@ -3,8 +3,8 @@
 A rule is a host and the start of a path (``example.org/es/``) with a verdict.
 A URL's probe keys are its host and parent domains, each with the starts of
 its path in the lengths that rules have; a rule fits if its text is one of
-them, and the longest wins (of equal length, the longer host). Whole keys
-(host and path) on a block list are a second kind of listed key.
+them, and the longest wins (of equal length, the longer host). Where no rule
+fits, a URL is blocked if its host or a parent domain is on a block list.
 
 Membership of a probe key needs no join: the listed keys are encoded in a
 cascade of Bloom filters. Level 0 holds the listed keys, level 1 the keys of
@@ -40,6 +40,9 @@ RULES = (
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )
+# A host is on the block list of the registered query if one of
+# its labels has one of these words, between dots or hyphens.
+BLOCKED_WORDS = ("ads", "adult", "bets", "casino", "pills", "poker", "porn", "spam", "viagra", "xxx")
 BITS_PER_KEY = 12
 HASHES = 6
 MAX_LEVELS = 40
@@ -182,22 +185,26 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_filter_bytes: int
 
 # --- the operator --------------------------------------------------------
 
+def hosts_with_words(pages: DataFrame, words: tuple[str, ...] = BLOCKED_WORDS, url: str = "url") -> DataFrame:
+    """The corpus's hosts that have one of the words, as a block list."""
+    host = url_parts(F.col(url))[0]
+    return pages.select(host.alias("host")).where(
+        F.col("host").rlike(r"(^|[.-])(" + "|".join(words) + r")([.-]|$)")).distinct()
+
+
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, listed: DataFrame | None = None,
                key: str = "page_id", url: str = "url", max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
     """One row per page: key, ``host``, ``path``, ``rule`` and ``verdict``.
 
     ``rules``: texts and verdicts (allow or block). ``listed``: a frame with
-    one column of whole keys (host and path) to block where no rule fits."""
+    one column of hosts to block, with their subdomains, where no rule fits."""
     spark = pages.sparkSession
     kind = pages.schema[key].dataType
     host, path = url_parts(F.col(url))
     parts = pages.select(F.col(key).alias("k"), host.alias("host"), path.alias("path"))
-    lengths = sorted({len(split_rule(r)[1]) for r, _ in rules})
+    lengths = sorted({len(split_rule(r)[1]) for r, _ in rules} | ({0} if listed is not None else set()))
     probes = parts.withColumn("probes", probe_keys(F.col("host"), F.col("path"), lengths))
-    whole = F.concat("host", "path")
     universe = probes.select(F.explode("probes").alias("key")).distinct()
-    if listed is not None:
-        universe = universe.union(parts.select(whole.alias("key")).distinct())
     text = T.StructType([T.StructField("key", T.StringType())])
 
     def cascade(keys: DataFrame) -> Cascade:
@@ -210,8 +217,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, lis
 
     hashed = probes.select(
         "k", "host", "path", "probes", F.transform("probes", lambda p: key_hashes(p)[0]).alias("a"),
-        F.transform("probes", lambda p: key_hashes(p)[1]).alias("b"),
-        key_hashes(whole)[0].alias("wa"), key_hashes(whole)[1].alias("wb"))
+        F.transform("probes", lambda p: key_hashes(p)[1]).alias("b"))
     schema = T.StructType([T.StructField("k", kind), *(T.StructField(n, T.StringType())
                                                        for n in ("host", "path", "rule", "verdict"))])
 
@@ -222,11 +228,11 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, lis
             n_probes = pa.compute.list_value_length(col["probes"]).to_numpy()
             allow, block = (shared.value[v].contains(a, b) for v in ("allow", "block"))
             verdict = np.full(batch.num_rows, "allow", object)
+            row_of = np.repeat(np.arange(batch.num_rows), n_probes)
             if "listed" in shared.value:
-                whole_listed = shared.value["listed"].contains(col["wa"].to_numpy(), col["wb"].to_numpy())
-                verdict[whole_listed] = "block"
+                verdict[row_of[shared.value["listed"].contains(a, b)]] = "block"
             fits = np.flatnonzero(allow | block)
-            row, where = np.unique(np.repeat(np.arange(batch.num_rows), n_probes)[fits], return_index=True)
+            row, where = np.unique(row_of[fits], return_index=True)
             first = fits[where]  # the longest rule of each row that has one
             verdict[row] = np.where(block[first], "block", "allow")
             rule = np.full(batch.num_rows, None, object)
