@@ -18,12 +18,24 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import secret_report
+
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import round_trip
 
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import language_report
+
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urls import hosts_with_words, judge_urls
 
@@ -45,7 +57,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_secret_scan": op2_secret_scan,
     "op3_bpe_codec": op3_bpe_codec,
+    "op5_language_id": op5_language_id,
     "op7_url_filter": op7_url_filter,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
