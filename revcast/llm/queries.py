@@ -36,6 +36,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urls import hosts_with_words, judge_urls
 
@@ -60,6 +66,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_bpe_codec": op3_bpe_codec,
     "op5_language_id": op5_language_id,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filter": op7_url_filter,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,

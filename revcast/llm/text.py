@@ -76,10 +76,11 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = min(j, n)
 
 
-def word_spans(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(low: np.ndarray, offsets: np.ndarray,
+               word: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of the words of lower-cased rows, and for each row
     the index of its first word (one more entry at the end)."""
-    inside = WORD[low]
+    inside = word[low]
     before = np.zeros(len(low), bool)
     before[1:] = inside[:-1]
     after = np.zeros(len(low), bool)
