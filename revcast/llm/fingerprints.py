@@ -211,8 +211,8 @@ def compare_with_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "t
             if len(held) > 1:
                 yield _compared(held, arrow)
 
-        for batch in batches:
-            for k, t, extra, r in zip(*(batch.column(n).to_pylist() for n in ("k", "t", "extra", "range")), strict=True):
+        for part in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
+            for k, t, extra, r in zip(*(part.column(n).to_pylist() for n in ("k", "t", "extra", "range")), strict=True):
                 if r != where:
                     yield from flush()
                     held, size, where, closed = [], 0, r, False

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revcast.session import ensure_checkpoint_dir
 
+from .text import bound_batches
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; sees to the session's checkpoint folder and batch size."""
     ensure_checkpoint_dir(spark)
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

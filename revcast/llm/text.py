@@ -12,10 +12,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 SLICE_BYTES = 2_000_000
+# Bytes of an Arrow batch between Spark and a Python worker: a worker holds a
+# batch and what it makes of a slice of it.
+BATCH_BYTES = 8 << 20
+
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Limit the session's Arrow batches to ``BATCH_BYTES``, if they are larger."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(name, "64m"))
+    if now.endswith(("b", "B")):
+        now = now[:-1]
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
