@@ -350,6 +350,27 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer:
     return map_texts(docs, key, text, [T.StructField("ids", T.ArrayType(T.IntegerType()))], work, SLICE)
 
 
+def encode_rows(docs: DataFrame, text: str = "text", tokenizer: str | None = None) -> DataFrame:
+    """The rows without their text, with ``n_tokens`` and ``ids`` at the end
+    (columns of these names are replaced)."""
+    kept = [c for c in docs.columns if c not in (text, "n_tokens", "ids")]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("n_tokens", T.LongType()),
+                                                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = load(tokenizer)
+        for batch in batches:
+            _, offsets = utf8(batch.column(0))
+            for i, j in slices(offsets, SLICE):
+                part = batch.slice(i, j - i)
+                ids, first = encode_texts(v, part.column(0))
+                lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(np.diff(first)), lists],
+                                                 names=schema.names)
+
+    return docs.select(text, *kept).mapInArrow(run, schema)
+
+
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", tokenizer: str | None = None) -> DataFrame:
     """One row per row of ids: key and ``text`` (null ids read as none)."""
     kind = encoded.schema[key].dataType

@@ -25,7 +25,6 @@ repeated item id counts once. Empty tables give no rows (documents) or no hits
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -262,15 +261,36 @@ def _search_batches(shared):
     return run
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
+                      item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents without an occurrence, all their columns unchanged."""
+    at = docs.columns.index(text)
+    now = docs
+    for number, items in enumerate(item_blocks(benchmark, item, item_text, block_words)):
+        if number and number % MAX_CHAINED == 0:
+            now = now.checkpoint()
+        now = now.mapInArrow(_keep_clean(docs.sparkSession.sparkContext.broadcast(build_index(items, window)), at),
+                             docs.schema)
+    return now
+
+
+def _keep_clean(shared, at: int):
+    def run(batches):
+        for batch in batches:
+            _, offsets = utf8(batch.column(at))
+            for i, j in slices(offsets):
+                part = batch.slice(i, j - i)
+                found = search(shared.value, part.column(at))
+                yield part.filter(pa.array([not names for _, _, names in found], pa.bool_()))
+
+    return run
+
+
 def items_digest(items: F.Column) -> F.Column:
     """Lowercase hex SHA-256 of the ids, comma-joined."""
     return F.sha2(F.array_join(items, ","), 256)
 
 
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
-
-
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """Per document: key, ``n_words``, ``n_hit``, ``n_items``,
     ``items_sha256``, ``contaminated`` and the operator's ``hits``."""

@@ -34,6 +34,12 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import grade_documents
+
+    return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import language_report
 
@@ -53,6 +59,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, listed=hosts_with_words(pages))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tokencounts import line_report
+
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprints import compare_with_neighbours
 
@@ -69,9 +81,11 @@ QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_quality_grades": op4_quality_grades,
     "op5_language_id": op5_language_id,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filter": op7_url_filter,
+    "op8_token_counts": op8_token_counts,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
 }
