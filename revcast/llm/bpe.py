@@ -91,9 +91,7 @@ class Vocabulary:
     tokens: list[bytes]
     halves: list[tuple[int, int]]  # the two tokens that a token was merged from
     rank: dict[tuple[int, int], int]  # merge -> rank
-    merged: dict[tuple[int, int], int]  # merge -> token
     made_at: list[int]  # token -> rank of its merge; -1 for a byte
-    byte_token: list[int]
     special: dict[str, int]
     goes: list[dict[int, int]] = field(default_factory=list)
     fail: list[int] = field(default_factory=list)
@@ -120,15 +118,20 @@ def read_vocabulary(text: str) -> Vocabulary:
         tokens[i] = piece.encode()
     plain = {t: i for i, t in enumerate(tokens) if t and i not in set(special.values())}
     halves, made_at = [(-1, -1)] * size, [-1] * size
-    rank, merged = {}, {}
+    rank: dict[tuple[int, int], int] = {}
     for n, pair in enumerate(model["merges"]):
         a, b = pair if isinstance(pair, list) else pair.split(" ")
         a, b, both = ids[a], ids[b], ids[a + b]
-        rank[a, b], merged[a, b] = n, both
-        if made_at[both] < 0:
-            halves[both], made_at[both] = (a, b), n
-    v = Vocabulary(tokens, halves, rank, merged, made_at, [plain[bytes([b])] for b in range(256)], special)
-    _build_automaton(v, plain)
+        if made_at[both] >= 0:
+            raise ValueError(f"token {both} is made by two merges")
+        rank[a, b] = n
+        halves[both], made_at[both] = (a, b), n
+    v = Vocabulary(tokens, halves, rank, made_at, special)
+    # Tokens that BPE never makes (their bytes merge in another way) match nothing.
+    reached = [made < 0 for made in made_at]
+    for (a, b), n in rank.items():  # in rank order
+        reached[plain[tokens[a] + tokens[b]]] = reached[a] and reached[b] and _seam_holds(v, a, b, n)
+    _build_automaton(v, {t: i for t, i in plain.items() if reached[i]})
     v.sizes = [len(t) for t in tokens]
     v.flat = np.frombuffer(b"".join(tokens), np.uint8)
     v.first = np.concatenate([[0], np.cumsum(v.sizes)])
@@ -162,23 +165,18 @@ def _build_automaton(v: Vocabulary, plain: dict[bytes, int]) -> None:
     v.goes, v.fail, v.longest, v.shorter = goes, fail, longest, shorter
 
 
-def compatible(v: Vocabulary, left: int, right: int) -> bool:
-    """Whether BPE leaves ``left`` and ``right`` as two tokens when they stand
-    side by side: no merge over their seam comes before the merges that make
-    them. The tokens are undone from the last merge back, which shows the
-    seam's neighbours at every moment."""
-    key = left << 20 | right
+def _seam_holds(v: Vocabulary, a: int, b: int, limit: int) -> bool:
+    """Whether nothing merges over the seam of ``a`` and ``b`` while they are
+    made. The tokens are undone from the last merge back, which shows the
+    seam's neighbours at every moment; ``limit`` is the rank from which on a
+    merge of the neighbours comes too late."""
     rank, made_at, halves = v.rank, v.made_at, v.halves
-    a, b, limit = left, right, 1 << 60
-    ok = True
     while True:
-        r = rank.get((a, b))
-        if r is not None and r < limit:  # the seam would have been merged at this moment
-            ok = False
-            break
+        if rank.get((a, b), limit) < limit:
+            return False
         ra, rb = made_at[a], made_at[b]
         if ra < 0 and rb < 0:
-            break
+            return True
         # Undo the later of the two merges; at equal rank the left one comes
         # first, so the right one is undone first. A seam merge of the same
         # rank comes before one on its right and after one on its left.
@@ -188,9 +186,15 @@ def compatible(v: Vocabulary, left: int, right: int) -> bool:
         else:
             limit = ra
             a = halves[a][1]
+
+
+def compatible(v: Vocabulary, left: int, right: int) -> bool:
+    """Whether BPE leaves ``left`` and ``right`` as two tokens when they stand
+    side by side."""
+    ok = _seam_holds(v, left, right, 1 << 60)
     if len(v.compatible_pairs) >= CACHE_PAIRS:
         v.compatible_pairs.clear()
-    v.compatible_pairs[key] = ok
+    v.compatible_pairs[left << 20 | right] = ok
     return ok
 
 
