@@ -19,10 +19,13 @@ import argparse
 import dataclasses
 import json
 
+from pyspark import SparkConf
+
 from .plans.config import ForecastConfig
 from .plans.pipeline import ForecastRun, write_forecasts
 from .session import get_spark
 from .sources.readers import load_directory
+from .sources.schemas import crm_schemas, order_schemas
 
 
 def main(argv=None, spark=None) -> dict[str, str]:
@@ -35,10 +38,12 @@ def main(argv=None, spark=None) -> dict[str, str]:
     ap.add_argument("--config", default=None, help="JSON object of ForecastConfig fields")
     ap.add_argument("--fact-root", default=None, help="shared folder for the fact layer (written once)")
     ap.add_argument("--format", default="parquet", choices=("parquet", "csv"), help="format of the input tables")
+    ap.add_argument("--layers", action="store_true", help="also write the full pulls and the curated sources")
     a = ap.parse_args(argv)
-    spark = spark or get_spark()
-    order = load_directory(spark, a.order_dir, fmt=a.format)
-    crm_objs = load_directory(spark, a.crm_dir, fmt=a.format)
+    local = SparkConf().get("spark.master", "local[*]").startswith("local")
+    spark = spark or get_spark(cluster=not local)
+    order = load_directory(spark, a.order_dir, order_schemas(), fmt=a.format)
+    crm_objs = load_directory(spark, a.crm_dir, crm_schemas(), fmt=a.format)
     fields = {}
     if a.config:
         with open(a.config) as fh:
@@ -49,7 +54,7 @@ def main(argv=None, spark=None) -> dict[str, str]:
     cfg = dataclasses.replace(ForecastConfig(), **fields)
     run = ForecastRun(order, crm_objs, cfg, order.get("zero_party_dates"), order.get("zero_orders"),
                       fact_root=a.fact_root)
-    return write_forecasts(run, a.out, a.snapshot_date)
+    return write_forecasts(run, a.out, a.snapshot_date, layers=a.layers)
 
 
 if __name__ == "__main__":

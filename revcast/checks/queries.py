@@ -9,9 +9,11 @@ that its values compare exactly with the SQL restatement in
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 import os
 import uuid
+from collections import ChainMap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,17 +29,19 @@ from ..functions.rules import (account_fallback, account_source, apply_overrides
 from ..functions.semantics import (exclude_drop_null, exclude_keep_null, first_non_null,
                                    product_key, trim_to_null)
 from ..operators.aggregates import column_census
+from ..operators.dedup import latest_per_key
 from ..operators.joins import (DeriveSpec, JoinSpec, anti_join, bounded_broadcast, enrich, fanout_report,
                               left_enrich)
 from ..operators.projection import move_first
 from ..plans import orders as O
+from ..plans.attribution import null_fanout
 from ..plans.config import driver_config
 from ..plans.crm import bill_party_ref, opportunity_account_ref
-from ..plans.pipeline import driver_run
+from ..plans.pipeline import ForecastRun, driver_run
 from ..session import ensure_checkpoint_dir
-from ..sources.driver_tables import DriverCatalog, load_tables, money
-from ..sources.readers import load_directory
-from ..sources.sinks import read_snapshot, write_snapshot
+from ..sources.driver_tables import ORDER_BASE_TABLES, DriverCatalog, load_tables, money
+from ..sources.readers import load_directory, read_crm_export, read_sql_extracts
+from ..sources.sinks import LAYERS, read_snapshot, write_layer, write_ordered, write_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +53,8 @@ NULLABLE_INTS = {
     "fiscal_calendar": ("fiscal_period",),
     "inclusion_flag": ("period",),
     "nullsafe_left_join": ("k",),
-    "union_by_name": ("BILL_TO_PARTY_ID", "ORDER_HEADER_ID", "ORDER_NUMBER", "FISCAL_YYYYMM"),
+    "csv_roundtrip": ("customer",),
+    "union_by_name": ("ORDER_HEADER_ID", "ORDER_NUMBER", "FISCAL_YYYYMM"),
     "enrichment_chain": ("BILL_TO_PARTY_ID", "ORDER_NUMBER", "FISCAL_YYYYMM", "Opps_Month_Close__c"),
     "crm_chain": ("Trx_Month", "Opp_CloseMonth"),
     "pipeline_tcv": ("Opp_CloseMonth",),
@@ -511,7 +516,106 @@ def q_snapshot_roundtrip(spark, sf_dir):
     return hashable(back)
 
 
+def _scratch(spark, what: str) -> str:
+    """A fresh folder below the cluster's shared checkpoint folder."""
+    return os.path.join(ensure_checkpoint_dir(spark), what, uuid.uuid4().hex)
+
+
+def q_latest_offering_ts(spark, sf_dir):
+    """W2 on timestamps: the latest event of each user."""
+    return latest_per_key(_tables(spark, sf_dir)["events"], "user_id", "ts", ["event_type"])
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Rows with doubled quotes, separators, line breaks, accents and
+    missing numbers, written as CSV and read by the directory loader."""
+    root, k = _scratch(spark, "csv"), F.col("o_orderkey")
+    text = F.concat(F.lit('a "'), "o_orderpriority", F.lit('", b\né,'), k.cast("string"))
+    df = _tables(spark, sf_dir)["orders"].select(
+        k.alias("order_id"), F.when(k % 5 != 0, text).alias("note"),
+        F.when(k % 3 != 0, F.col("o_custkey").cast("double")).alias("customer"),
+        F.to_date("o_orderdate").alias("day"), money("o_totalprice").alias("amount"), F.lit("last").alias("tail"))
+    df.write.csv(f"{root}/orders_csv", header=True, quote='"', escape='"', encoding="ISO-8859-1")
+    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("customer", T.LongType()),
+                           T.StructField("day", T.DateType()), T.StructField("amount", T.DecimalType(18, 2))])
+    return hashable(load_directory(spark, root, {"orders_csv": schema}, fmt="csv")["orders_csv"],
+                    NULLABLE_INTS["csv_roundtrip"])
+
+
+def q_fact_layer_rerun(spark, sf_dir):
+    """A second run with another parameter under one fact root reads its
+    own tables, not those of the first run."""
+    dc, root = DriverCatalog(spark, sf_dir), _scratch(spark, "rerun")
+    base = {n: getattr(dc, n)() for n in ORDER_BASE_TABLES}
+
+    def billed(cfg):
+        return ForecastRun(base, {}, cfg, dc.zero_party_date_rules(), dc.zero_order_rules(), root).order_sources["billev"]
+
+    billed(driver_config())
+    again = billed(dataclasses.replace(driver_config(), billing_min_period=199901))
+    return hashable(again.groupBy("FISCAL_YYYYMM").agg(F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("amount")))
+
+
+def q_crm_json_export(spark, sf_dir):
+    """Account records as JSON lines with their attributes record,
+    read as a CRM export with its prefix."""
+    root, acct = _scratch(spark, "json"), DriverCatalog(spark, sf_dir).crm_account()
+    acct.withColumn("attributes", F.struct(F.lit("Account").alias("type"))).write.json(root)
+    schema = T.StructType([T.StructField("attributes", T.StructType([T.StructField("type", T.StringType())])),
+                           *acct.schema.fields])
+    return read_crm_export(spark, root, schema, prefix=K.CRM_PREFIXES["Ref_Acct"])
+
+
+def q_layer_roundtrip(spark, sf_dir):
+    """One table written to each output layer and read back."""
+    root = _scratch(spark, "layers")
+    df = _tables(spark, sf_dir)["orders"].select("o_orderkey", money("o_totalprice").alias("amount"))
+    out = None
+    for layer in LAYERS:
+        path = write_layer({"orders": df}, root, layer)["orders"]
+        back = spark.read.parquet(path).select(F.lit(layer).alias("layer"), "o_orderkey", "amount")
+        out = back if out is None else out.unionByName(back)
+    return hashable(out)
+
+
+def q_view_extract(spark, sf_dir):
+    """S1, P1 over registered views: SQL text and a strict projection."""
+    _tables(spark, sf_dir)["orders"].createOrReplaceTempView("extract_orders")
+    sql = """SELECT o_orderstatus AS status, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS amount,
+                    max(o_orderkey) AS unused FROM extract_orders GROUP BY o_orderstatus"""
+    made = read_sql_extracts(spark, {"by_status": {"sql": sql, "finalcols": ["status", "n", "amount"]}})
+    return hashable(made["by_status"])
+
+
+def q_ordered_sink(spark, sf_dir):
+    """O1: a table written in a total order; ``in_order`` says of each row
+    that no row of the part file before its own has a greater key."""
+    o = _tables(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey")
+    path = write_ordered(o, os.path.join(_scratch(spark, "ordered"), "orders"), ["o_orderkey"])
+    back = spark.read.parquet(path).withColumn("part", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1))
+    parts = back.groupBy("part").agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    earlier = parts.select((F.col("part").cast("int") + 1).alias("next"), F.col("hi").alias("before"))
+    least = parts.join(earlier, F.col("part").cast("int") == F.col("next"), "left").select("part", "before")
+    return back.join(least, "part").select("o_orderkey", "o_custkey", (
+        F.coalesce(F.col("o_orderkey") >= F.col("before"), F.lit(True))).alias("in_order"))
+
+
+def q_null_fanout(spark, sf_dir):
+    """How often each step of the order chain multiplies rows with
+    a null key."""
+    run = _run(spark, sf_dir)
+    return null_fanout(ChainMap(run.order_sources, run.crm_refs))
+
+
 QUERIES: dict[str, Query] = {
+    "latest_offering_ts": q_latest_offering_ts,
+    "csv_roundtrip": q_csv_roundtrip,
+    "fact_layer_rerun": q_fact_layer_rerun,
+    "crm_json_export": q_crm_json_export,
+    "layer_roundtrip": q_layer_roundtrip,
+    "view_extract": q_view_extract,
+    "ordered_sink": q_ordered_sink,
+    "null_fanout": q_null_fanout,
     "fiscal_calendar": q_fiscal_calendar,
     "code_maps": q_code_maps,
     "weighted_amounts": q_weighted_amounts,

@@ -39,7 +39,7 @@ def fy(p: str) -> str:
 
 FMT = "CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_type END"
 LANG = "CASE WHEN p_size % 3 = 0 THEN 'EN' WHEN p_size % 3 = 1 THEN 'DE' END"
-OPP_NUM = "CASE WHEN o_orderkey = 7 THEN NULL ELSE 'OP-' || o_orderkey END"
+OPP_NUM = "CASE WHEN o_orderkey IN (7, 8) THEN NULL ELSE 'OP-' || o_orderkey END"
 
 ROLES: dict[str, str] = {
     "lines": "SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey",

@@ -2,7 +2,9 @@
 
 Everything in the block below is a FIXED VALUE: it has to equal what the
 original pipeline uses, or the forecasts come out different. The values are
-listed plainly and in their natural order. Person-linked ids (excluded
+listed plainly and in their natural order. Three entries differ on purpose
+and say so: the prefix of the opportunity-account object, the order number
+among the hold columns, and the opportunity's close date. Person-linked ids (excluded
 representatives, zero-out parties) are not fixed values: callers pass them
 as rule tables.
 """
@@ -138,7 +140,7 @@ FORECAST_COLUMNS = {
     "Acct_Sales_Region_text__c_Final": "Region",
     "User_Name": "AcctOwner",
     "Opps_Month_Close__c": "Opp_CloseMonth",
-    "CloseDate": "Opp_CloseDate",
+    "Opps_CloseDate": "Opp_CloseDate",  # differs: the original's name lacks the prefix and never matches
     "Opps_Probability": "Opp_Prob",
     "Opps_StageName": "Opp_Stage",
     "Opps_Type": "Opp_Type",
@@ -158,6 +160,7 @@ FORECAST_COLUMNS = {
     "User_Name_Opps": "OppOwner",
     "Opp_Num": "Opp_Num",
     "Opp_CloseMonth": "Opp_CloseMonth",
+    "Opp_CloseDate": "Opp_CloseDate",
     "Opp_Prob": "Opp_Prob",
     "Opp_Stage": "Opp_Stage",
     "Opp_Type": "Opp_Type",
@@ -176,6 +179,17 @@ FORECAST_COLUMNS = {
     "ebs_rep": "ebs_rep",
 }
 
+# Opportunities reported in neither fact: renames into the TCV forecast.
+UNREPORTED_RENAMES = {
+    "Opps_Opportunity__c": "Opp_Num",
+    "Opps_Month_Close__c": "Opp_CloseMonth",
+    "Opps_CloseDate": "Opp_CloseDate",
+    "Opps_Probability": "Opp_Prob",
+    "Opps_StageName": "Opp_Stage",
+    "Opps_Type": "Opp_Type",
+    "Opps_Amount": "unw_non_tcv",
+}
+
 # Hold extract renames (raw name -> forecast name).
 HOLD_COLUMNS = {
     "PRODUCT": "PRODUCT_NUMBER_CONCAT",

@@ -45,20 +45,6 @@ def exclude_drop_null(c, values: Iterable) -> Column:
     return ~col.isin(vals)
 
 
-def null_safe_eq(left, right) -> Column:
-    """Join predicate where null equals null."""
-    return as_col(left).eqNullSafe(as_col(right))
-
-
-def keys_equal(left_cols: list[Column], right_cols: list[Column], null_safe: bool) -> Column:
-    """Conjunction of key equalities, null-safe or plain."""
-    preds = [
-        (l.eqNullSafe(r) if null_safe else (l == r))
-        for l, r in zip(left_cols, right_cols, strict=True)
-    ]
-    return reduce(lambda a, b: a & b, preds)
-
-
 def concat_nulls_as_empty(*parts) -> Column:
     """String concatenation where null counts as an empty string (the
     ``||`` of the order system). ``concat_ws`` is not used, as it drops the

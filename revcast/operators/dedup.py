@@ -16,7 +16,7 @@ def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 def latest_per_key(df: DataFrame, key: str, order_col: str, value_cols: Sequence[str]) -> DataFrame:
     """One row per non-null ``key``: the one with the latest ``order_col``.
 
-    Null order values lose to any date; ties go to the smallest value
+    Dates and timestamps are compared to the microsecond. Null order values lose to any date; ties go to the smallest value
     columns (nulls first), so the winner is deterministic. Written as an
     aggregate of ``min(struct(...))`` rather than a ranking window: the
     aggregate combines partially before the shuffle, so a key holding a
@@ -24,7 +24,7 @@ def latest_per_key(df: DataFrame, key: str, order_col: str, value_cols: Sequence
     """
     ordering = F.struct(
         F.col(order_col).isNull().alias("_o_null"),
-        (-F.datediff(F.col(order_col), F.lit("1970-01-01"))).alias("_o_neg"),
+        (-F.unix_micros(F.col(order_col).cast("timestamp"))).alias("_o_neg"),
         *[F.col(c).alias(f"_v{i}") for i, c in enumerate(value_cols)],
     )
     best = (df.where(F.col(key).isNotNull())

@@ -29,33 +29,28 @@ DEFAULT_BROADCAST_CEILING = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan, or None when unknown."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else str(size))
-    except Exception:  # pragma: no cover - depends on the JVM bridge
+    if not hasattr(df, "_jdf"):  # a remote session shows no plan
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-UNKNOWN_SIZE = 1 << 62
+def fits_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -> bool:
+    """Whether the optimizer's size estimate is known and under ``ceiling``."""
+    size = estimated_bytes(df)
+    if size is None or size > ceiling:
+        log.info("not broadcasting: estimated %s bytes > %s", size, ceiling)
+        return False
+    return True
 
 
-def bounded_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING,
-                      max_rows: int | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -> DataFrame:
     """Broadcast hint for a side whose estimated size is under ``ceiling``.
 
-    Above the ceiling the frame is returned as is and the join stays a
-    shuffle join; AQE re-checks real sizes at runtime. A frame without an
-    estimate (built in memory, e.g. a rule table from configuration) can be
-    proven small by ``max_rows``: at most ``max_rows + 1`` rows are counted.
+    Above the ceiling, or without an estimate (a rule table built in memory),
+    the frame is returned as is and the join stays a shuffle join; AQE
+    re-checks real sizes at runtime.
     """
-    size = estimated_bytes(df)
-    if size is not None and size <= ceiling:
-        return F.broadcast(df)
-    if max_rows is not None and (size is None or size >= UNKNOWN_SIZE):
-        if df.limit(max_rows + 1).count() <= max_rows:
-            return F.broadcast(df)
-    log.info("not broadcasting: estimated %s bytes > %s", size, ceiling)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, ceiling) else df
 
 
 def _as_list(x) -> list[str]:
@@ -66,7 +61,7 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
                 suffixes: tuple[str, str] = ("_x", "_y"), *, null_safe: bool = True,
                 how: str = "left", broadcast: bool = False,
                 broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING,
-                null_salt: int = 0, hot_values: Sequence = ()) -> DataFrame:
+                null_salt: int = 0, hot_values: Sequence = (), salt_on: Sequence[str] = ()) -> DataFrame:
     """Join ``right`` onto ``left`` with dataframe-merge naming.
 
     * Keys match null to null when ``null_safe`` (the default, as in the
@@ -78,11 +73,13 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     ``null_salt > 1`` spreads left rows with a null key over that many
     shuffle keys: in a shuffle join every null key hashes to one partition,
     and unmapped rows can be a large share of a fact. Each such row gets a
-    deterministic salt (a hash of the row, so a retried task salts the same
-    way) and the right rows with a null key are copied once per salt, so
+    deterministic salt (a hash of the ``salt_on`` columns, so a retried task
+    salts the same way; without them of all columns, which then all have to
+    be read) and the right rows with a null key are copied once per salt, so
     every null-to-null match still happens exactly once. ``hot_values``
     (single-key joins) are salted the same way, e.g. the 'unmapped'
-    placeholder of the account fallback.
+    placeholder of the account fallback. Where the right side is broadcast
+    there is no shuffle, and nothing is salted.
     """
     lk, rk = _as_list(left_on), _as_list(right_on)
     if len(lk) != len(rk):
@@ -109,8 +106,8 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     rt = [f"__r{i}" for i in range(len(rcols))]
     l2 = left
     r2 = right.toDF(*rt)
-    if broadcast:
-        r2 = bounded_broadcast(r2, broadcast_ceiling)
+    if broadcast and fits_broadcast(r2, broadcast_ceiling):
+        r2, null_salt = F.broadcast(r2), 0
     rpos = {c: i for i, c in enumerate(rcols)}
 
     def lref(c):
@@ -125,7 +122,7 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
         if hot_values and len(lkeys) == 1:
             l_null = l_null | F.coalesce(lkeys[0].isin(list(hot_values)), F.lit(False))
             r_null = r_null | F.coalesce(rkeys[0].isin(list(hot_values)), F.lit(False))
-        l2 = l2.withColumn("__lsalt", F.when(l_null, F.pmod(F.xxhash64(*[lref(c) for c in lcols]),
+        l2 = l2.withColumn("__lsalt", F.when(l_null, F.pmod(F.xxhash64(*[lref(c) for c in salt_on or lcols]),
                                                             F.lit(null_salt)))
                            .otherwise(F.lit(0)).cast("int"))
         r2 = r2.withColumn("__rsalt", F.explode(F.when(r_null, F.sequence(F.lit(0), F.lit(null_salt - 1)))
@@ -149,6 +146,7 @@ class JoinSpec:
     broadcast: bool = False
     null_salt: int = 0
     hot_values: tuple = ()
+    salt_on: tuple = ()
     # Opt-in guard against fan-out (J7): fail the step if the right side
     # holds a key more than once.
     unique: bool = False
@@ -159,6 +157,7 @@ class JoinSpec:
                    suffixes=(d.get("suf1", "_x"), d.get("suf2", "_y")),
                    null_safe=d.get("null_safe", True), broadcast=d.get("broadcast", False),
                    null_salt=d.get("null_salt", 0), hot_values=tuple(d.get("hot_values", ())),
+                   salt_on=tuple(d.get("salt_on", ())),
                    unique=d.get("unique", False))
 
 
@@ -171,7 +170,8 @@ class DeriveSpec:
 
 
 def enrich(df: DataFrame, catalog: Mapping[str, DataFrame],
-           specs: Sequence[JoinSpec | DeriveSpec]) -> DataFrame:
+           specs: Sequence[JoinSpec | DeriveSpec],
+           broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING) -> DataFrame:
     """Fold a chain of join and derive steps over ``df``."""
     for spec in specs:
         if isinstance(spec, DeriveSpec):
@@ -181,8 +181,8 @@ def enrich(df: DataFrame, catalog: Mapping[str, DataFrame],
                 assert_unique_keys(catalog[spec.right], spec.right_on, spec.right)
             df = left_enrich(df, catalog[spec.right], spec.left_on, spec.right_on,
                              spec.suffixes, null_safe=spec.null_safe,
-                             broadcast=spec.broadcast, null_salt=spec.null_salt,
-                             hot_values=spec.hot_values)
+                             broadcast=spec.broadcast, broadcast_ceiling=broadcast_ceiling,
+                             null_salt=spec.null_salt, hot_values=spec.hot_values, salt_on=spec.salt_on)
     return df
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import account_fallback, account_source
-from ..operators.joins import DeriveSpec, JoinSpec, enrich
+from ..operators.joins import DEFAULT_BROADCAST_CEILING, DeriveSpec, JoinSpec, enrich
 
 
 def derive_account(df: DataFrame) -> DataFrame:
@@ -23,37 +24,69 @@ def derive_account(df: DataFrame) -> DataFrame:
 # The order-fact enrichment chain. Null keys match null keys (as in the
 # original); users and offerings are small dimensions and are broadcast
 # behind a size check, the rest is left to the optimizer and AQE. Steps
-# whose left key is often null (orders without an opportunity, unmapped
-# accounts) salt those rows over NULL_SALT shuffle keys.
+# whose left key is often null (hold rows without an order, orders without an
+# opportunity, unmapped accounts) salt those rows over NULL_SALT shuffle keys,
+# by a hash of the amount alone, so that the salt reads no further column.
 NULL_SALT = 256
+SALT_ON = ("Amount",)
+
+
+def _step(right, left_on, right_on, suffixes=("_x", "_y"), broadcast=False, hot_values=()):
+    return JoinSpec(right, left_on, right_on, suffixes, broadcast=broadcast, null_salt=NULL_SALT,
+                    hot_values=hot_values, salt_on=SALT_ON)
+
+
+PARTY_KEY = "party_key"
 
 ORDER_CHAIN = (
-    JoinSpec("Ref_BillParty", "BILL_TO_PARTY_ID", "Acct_Party_ID__c", null_salt=NULL_SALT),
-    JoinSpec("reforderopp", "ORDER_HEADER_ID", "ORDER_HEADER_ID"),
-    JoinSpec("Ref_Opps_Acct", "OPPORTUNITY_ID", "OppsAcct_Opportunity__c", null_salt=NULL_SALT),
-    JoinSpec("Ref_Prnt", "PARTYNUMBER_AKA_REGISTRYID", "Prnt_Registry_ID__c", null_salt=NULL_SALT),
+    _step("Ref_BillParty", PARTY_KEY, "Acct_Party_ID__c"),
+    _step("reforderopp", "ORDER_HEADER_ID", "ORDER_HEADER_ID"),
+    _step("Ref_Opps_Acct", "OPPORTUNITY_ID", "OppsAcct_Opportunity__c"),
+    _step("Ref_Prnt", "PARTYNUMBER_AKA_REGISTRYID", "Prnt_Registry_ID__c"),
     DeriveSpec(derive_account, "account"),
-    JoinSpec("Ref_Acct", "Final_AcctID", "Acct_Id", ("_Bill2map", "_Final"), null_salt=NULL_SALT,
-             hot_values=("unmapped",)),
-    JoinSpec("Ref_User", "Acct_OwnerId_Final", "User_Id", broadcast=True, null_salt=NULL_SALT),
-    JoinSpec("Ref_Opps", "OppsAcct_Opportunity__c", "Opps_Opportunity__c", null_salt=NULL_SALT),
-    JoinSpec("Ref_Offr", "PRODUCT_NUMBER_CONCAT", "Offr_Product_Number__c", broadcast=True),
-    JoinSpec("Ref_User", "Opps_OwnerId", "User_Id", ("_x", "_Opps"), broadcast=True, null_salt=NULL_SALT),
+    _step("Ref_Acct", "Final_AcctID", "Acct_Id", ("_Bill2map", "_Final"), hot_values=("unmapped",)),
+    _step("Ref_User", "Acct_OwnerId_Final", "User_Id", broadcast=True),
+    _step("Ref_Opps", "OppsAcct_Opportunity__c", "Opps_Opportunity__c"),
+    _step("Ref_Offr", "PRODUCT_NUMBER_CONCAT", "Offr_Product_Number__c", broadcast=True),
+    _step("Ref_User", "Opps_OwnerId", "User_Id", ("_x", "_Opps"), broadcast=True),
 )
 
 
-def attribute_orders(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN) -> DataFrame:
-    """Run the enrichment chain over one order-side fact."""
-    return enrich(fact, catalog, chain)
+def attribute_orders(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN,
+                     broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING) -> DataFrame:
+    """Run the enrichment chain over one order-side fact. The bill-to party
+    of a hold row is an account number in text; only the join key is a
+    number (null where the text is none)."""
+    keyed = fact.withColumn(PARTY_KEY, F.col("BILL_TO_PARTY_ID").try_cast("long"))
+    return enrich(keyed, catalog, chain, broadcast_ceiling).drop(PARTY_KEY)
 
 
 def attributed_facts(order_src: Mapping[str, DataFrame], crm_src: Mapping[str, DataFrame],
-                     chain=ORDER_CHAIN) -> tuple[DataFrame, DataFrame]:
+                     chain=ORDER_CHAIN,
+                     broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING) -> tuple[DataFrame, DataFrame]:
     """(revenue fact, TCV fact) after the chain; order and CRM tables share
     one catalog, as the chain reads both."""
     cat = ChainMap(order_src, crm_src)
-    rev = order_src["revfact"].withColumn("BILL_TO_PARTY_ID", F.col("BILL_TO_PARTY_ID").cast("long"))
-    return attribute_orders(rev, cat, chain), attribute_orders(order_src["tcv"], cat, chain)
+    return (attribute_orders(order_src["revfact"], cat, chain, broadcast_ceiling),
+            attribute_orders(order_src["tcv"], cat, chain, broadcast_ceiling))
+
+
+def null_fanout(catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN, fail: bool = False) -> DataFrame:
+    """For each step of a chain, the rows of its right table with a
+    null key. Null keys match null keys, so each left row with a null key
+    comes out that many times. ``fail`` raises where it is more than once."""
+    out = None
+    for n, spec in enumerate(s for s in chain if isinstance(s, JoinSpec) and s.null_safe):
+        keys = [spec.right_on] if isinstance(spec.right_on, str) else list(spec.right_on)
+        null = reduce(lambda x, y: x | y, [F.col(f"`{k}`").isNull() for k in keys])
+        one = catalog[spec.right].where(null).agg(F.count(F.lit(1)).alias("null_rows")).select(
+            F.lit(n + 1).alias("step"), F.lit(spec.right).alias("right_table"), "null_rows")
+        out = one if out is None else out.unionByName(one)
+    if fail:
+        bad = out.where("null_rows > 1").collect()  # one row for each step at most
+        if bad:
+            raise ValueError("null keys multiply rows: " + ", ".join(f"{r.right_table} x{r.null_rows}" for r in bad))
+    return out
 
 
 def chain_from_config(entries, derives=None) -> tuple:
@@ -67,6 +100,9 @@ def chain_from_config(entries, derives=None) -> tuple:
         if e.get("src") == "func":
             out.append(DeriveSpec(derives.get(e.get("right"), derive_account), e.get("right", "derive")))
         else:
-            out.append(JoinSpec.from_dict(e))
+            e = dict(e)
+            if e["left_on"] == "BILL_TO_PARTY_ID":  # text in hold rows; see attribute_orders
+                e["left_on"] = PARTY_KEY
+            out.append(JoinSpec.from_dict({"null_salt": NULL_SALT, "salt_on": SALT_ON, "hot_values": ("unmapped",), **e}))
     return tuple(out)
 

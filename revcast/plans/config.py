@@ -12,8 +12,8 @@ from .. import constants as K
 class ForecastConfig:
     # Point in time that replaces the database clock (recognised vs
     # deferred, effective-dated reps). A timestamp, as the database's
-    # clock carried a time of day.
-    as_of: str = field(default_factory=lambda: _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
+    # clock carried a time of day. UTC, as the session's time zone.
+    as_of: str = field(default_factory=lambda: _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
     last_legacy_period: int = K.LAST_LEGACY_PERIOD
     first_new_period: int = K.FIRST_NEW_PERIOD
     excluded_fiscal_years: tuple[str, ...] = K.EXCLUDED_FISCAL_YEARS

@@ -25,7 +25,7 @@ NULL_SALT = 256
 
 def _spec(right, left_on, right_on, right_suffix, broadcast=False):
     return JoinSpec(right, left_on, right_on, ("", right_suffix), broadcast=broadcast,
-                    null_salt=NULL_SALT)
+                    null_salt=NULL_SALT, salt_on=("Trx_Id",))
 
 
 # The transaction enrichment chain. The right suffix depends on the
@@ -84,19 +84,21 @@ def dimension_first_join(cat: Mapping[str, DataFrame]) -> DataFrame:
     so no null-to-null match can arise between dimensions.
     """
     users = cat["Ref_User"]
-    acct = left_enrich(cat["Ref_Acct"], users, "Acct_OwnerId", "User_Id", null_salt=NULL_SALT)
+    acct = left_enrich(cat["Ref_Acct"], users, "Acct_OwnerId", "User_Id", null_salt=NULL_SALT, salt_on=("Acct_Id",))
     opps = left_enrich(cat["Ref_Opps"], _suffixed(users, "_Opps"), "Opps_OwnerId", "User_Id_Opps",
-                       null_salt=NULL_SALT)
-    mile = left_enrich(cat["Ref_Mile"], cat["Ref_Order"], "Mile_Order__c", "Order_Id", null_salt=NULL_SALT)
+                       null_salt=NULL_SALT, salt_on=("Opps_Id",))
+    mile = left_enrich(cat["Ref_Mile"], cat["Ref_Order"], "Mile_Order__c", "Order_Id", null_salt=NULL_SALT,
+                       salt_on=("Mile_Id",))
     mile = left_enrich(mile, cat["Ref_Oppline"], "Mile_Opportunity_Line_Item_Id__c", "Oppline_Id",
-                       null_salt=NULL_SALT)
+                       null_salt=NULL_SALT, salt_on=("Mile_Id",))
     mile = left_enrich(mile, _suffixed(cat["Ref_Opps"], "_MileOpp"), "Oppline_OpportunityId",
-                       "Opps_Id_MileOpp", null_salt=NULL_SALT)
+                       "Opps_Id_MileOpp", null_salt=NULL_SALT, salt_on=("Mile_Id",))
     f = cat["Fact_Trx"]
-    f = left_enrich(f, acct, "Trx_Account__c", "Acct_Id", null_salt=NULL_SALT)
-    f = left_enrich(f, opps, "Trx_Opportunity__c", "Opps_Id", null_salt=NULL_SALT)
-    f = left_enrich(f, cat["Ref_Proj"], "Trx_Project__c", "Proj_Id", null_salt=NULL_SALT)
-    return left_enrich(f, mile, "Trx_Milestone__c", "Mile_Id", null_salt=NULL_SALT)
+    salt = {"null_salt": NULL_SALT, "salt_on": ("Trx_Id",)}
+    f = left_enrich(f, acct, "Trx_Account__c", "Acct_Id", **salt)
+    f = left_enrich(f, opps, "Trx_Opportunity__c", "Opps_Id", **salt)
+    f = left_enrich(f, cat["Ref_Proj"], "Trx_Project__c", "Proj_Id", **salt)
+    return left_enrich(f, mile, "Trx_Milestone__c", "Mile_Id", **salt)
 
 
 def transaction_fact(objects: Mapping[str, DataFrame], chain=None) -> DataFrame:
@@ -165,23 +167,7 @@ def opportunity_ref(opps: DataFrame) -> DataFrame:
 
 
 def opportunity_account_ref(opp_acct: DataFrame) -> DataFrame:
-    """Opportunity number -> account id, from the nested parent."""
+    """Opportunity number -> account id, from the nested parent, or from
+    a flat file that has the account's id in its place."""
     return flatten_parent(opp_acct, "Opportunity__c", "Account", "Id",
                           "OppsAcct_Opportunity__c", "OppsAcct_Account")
-
-
-def crm_sources(objects: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All CRM tables the forecasts read (prefixed and prepared)."""
-    cat = prefixed(objects)
-    fact = transaction_fact(objects)
-    out = cat.materialise()
-    out.update({
-        "Fact_Trx": fact,
-        "Fact_Tcvpl": pipeline_tcv(fact),
-        "Ref_BillParty": bill_party_ref(cat["Ref_Acct"]),
-        "Ref_Prnt": parent_ref(cat["Ref_Prnt"]),
-        "Ref_Offr": offering_ref(cat["Ref_Offr"]),
-        "Ref_Opps": opportunity_ref(cat["Ref_Opps"]),
-        "Ref_Opps_Acct": opportunity_account_ref(objects["Ref_Opps_Acct"]),
-    })
-    return out

@@ -184,11 +184,6 @@ def recognised_deferred_fact(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
     return out.withColumn("Revenue Type ID", revenue_type_by_date(_c("Transaction Date"), F.lit(cfg.as_of)))
 
 
-# Zero-out rule tables are hand-kept lists; above this many rows they are
-# joined by shuffle instead of broadcast.
-RULE_ROWS = 100_000
-
-
 def contracted_tcv_fact(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
                         order_rules: DataFrame | None = None) -> DataFrame:
     """A3: open and closed order value per product, customer, rep, day and
@@ -227,14 +222,14 @@ def contracted_tcv_fact(cat: Catalog, cfg: ForecastConfig, party_date_rules: Dat
     if party_date_rules is not None:
         r = bounded_broadcast(party_date_rules.select(
             F.col("party_id").alias("_zr_party"), F.col("date_field").alias("_zr_date"),
-            F.lit(True).alias("_zr_hit1")).distinct(), cfg.broadcast_ceiling, max_rows=RULE_ROWS)
+            F.lit(True).alias("_zr_hit1")).distinct(), cfg.broadcast_ceiling)
         out = out.join(r, (out.BILL_TO_PARTY_ID == r._zr_party) & (_c("Transaction Date") == r._zr_date),
                        "left").drop("_zr_party", "_zr_date")
         hit = hit | F.coalesce(F.col("_zr_hit1"), F.lit(False))
     if order_rules is not None:
         r2 = bounded_broadcast(order_rules.select(
             F.col("order_header_id").alias("_zr_order"), F.lit(True).alias("_zr_hit2")).distinct(),
-            cfg.broadcast_ceiling, max_rows=RULE_ROWS)
+            cfg.broadcast_ceiling)
         out = out.join(r2, out.ORDER_HEADER_ID == r2._zr_order, "left").drop("_zr_order")
         hit = hit | F.coalesce(F.col("_zr_hit2"), F.lit(False))
     total = _c("Closed Order Amount") + _c("Open Order Amount")
@@ -259,42 +254,42 @@ def po_hold_fact(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
     pol = (cat["pipeline_order_lines"].where(hold_category("po_hold") == K.HOLD_CATEGORY)
            .select(F.col("order_line_id").alias("_pol_id"),
                    hold_category("po_hold").alias("FORECAST_CATEGORY")))
-    pd_ = cat["pipeline_detail"].select("order_line_id", "order_header_id", "transaction_date_key",
-                                        "future_billing_amount")
-    pb = bounded_broadcast(cat["dim_dates"].select(F.col("date_key").alias("_pb_key"),
-                                                   F.col("date_field").alias("BILLING_EVENT_DATE")),
-                           cfg.broadcast_ceiling)
-    msi = (cat["item_master"].where(F.col("organization_id") == cfg.hold_organization_id)
-           .select(F.col("inventory_item_id").alias("_msi_item")))
-    oel = cat["order_lines"].select(F.col("line_id").alias("_oel_line"),
-                                    F.col("header_id").alias("_oel_header"),
-                                    F.col("ordered_item").alias("PRODUCT"),
-                                    F.col("inventory_item_id").alias("_oel_item"))
-    oeh = cat["order_headers"].select(F.col("header_id").alias("_oeh_header"),
-                                      F.col("order_number").alias("ORDER_NUMBER"),
-                                      F.col("salesrep_id").alias("_oeh_rep"),
-                                      F.col("invoice_to_org_id").alias("_oeh_site"))
-    sp = cat["salesreps"].select(F.col("salesrep_id").alias("SALESREP_ID"))
-    csua = cat["site_uses"].select(F.col("site_use_id").alias("_su_id"),
-                                   F.col("cust_acct_site_id").alias("_su_site"))
-    csa = cat["acct_sites"].select(F.col("cust_acct_site_id").alias("_cs_site"),
-                                   F.col("cust_account_id").alias("_cs_acct"))
-    hca = cat["cust_accounts"].select(F.col("cust_account_id").alias("_ca_id"),
-                                      F.col("account_number").alias("BILL_TO_PARTY"),
-                                      F.col("account_name").alias("ACCOUNT_NAME"))
-    f = (pol.join(pd_, pol._pol_id == pd_.order_line_id)
-         .join(oel, pol._pol_id == oel._oel_line)
-         .join(oeh, (oel._oel_header == oeh._oeh_header) & (pd_.order_header_id == oeh._oeh_header))
-         .join(sp, oeh._oeh_rep == sp.SALESREP_ID)
-         .join(csua, oeh._oeh_site == csua._su_id)
-         .join(csa, csua._su_site == csa._cs_site)
-         .join(hca, csa._cs_acct == hca._ca_id)
-         .join(msi, oel._oel_item == msi._msi_item, "left_semi")
-         .join(pb, pd_.transaction_date_key == pb._pb_key)
-         .join(holds, holds._h_line == oel._oel_line))
+    # The holds and the flag are the selective inputs: they cut the lines
+    # first, and what is left is summed before the account tables join.
+    held = holds.join(pol, holds._h_line == pol._pol_id)
+    lines = held.select("_pol_id").distinct()
+    detail = cat["pipeline_detail"]
+    future = (detail.join(lines, detail.order_line_id == lines._pol_id, "left_semi")
+              .groupBy(F.col("order_line_id").alias("_line"), F.col("order_header_id").alias("_header"),
+                       F.col("transaction_date_key").alias("_day"))
+              .agg(F.sum("future_billing_amount").alias("_amount")))
+    days = bounded_broadcast(cat["dim_dates"].select(F.col("date_key").alias("_day"),
+                                                     F.col("date_field").alias("BILLING_EVENT_DATE")),
+                             cfg.broadcast_ceiling)
+    items = (cat["item_master"].where(F.col("organization_id") == cfg.hold_organization_id)
+             .select(F.col("inventory_item_id").alias("_item")))
+    line = cat["order_lines"].select(F.col("line_id").alias("_line"), F.col("header_id").alias("_header"),
+                                     F.col("ordered_item").alias("PRODUCT"),
+                                     F.col("inventory_item_id").alias("_item")).join(items, "_item", "left_semi")
+    header = cat["order_headers"].select(F.col("header_id").alias("_header"),
+                                         F.col("order_number").alias("ORDER_NUMBER"),
+                                         F.col("salesrep_id").alias("SALESREP_ID"),
+                                         F.col("invoice_to_org_id").alias("_site_use"))
+    sites = cat["site_uses"].select(F.col("site_use_id").alias("_site_use"), F.col("cust_acct_site_id").alias("_site"))
+    accounts_of = cat["acct_sites"].select(F.col("cust_acct_site_id").alias("_site"),
+                                           F.col("cust_account_id").alias("_account"))
+    accounts = cat["cust_accounts"].select(F.col("cust_account_id").alias("_account"),
+                                           F.col("account_number").alias("BILL_TO_PARTY"),
+                                           F.col("account_name").alias("ACCOUNT_NAME"))
+    f = (future.join(held.withColumnRenamed("_pol_id", "_line"), "_line")
+         .join(line, ["_line", "_header"])
+         .join(header, "_header")
+         .join(cat["salesreps"].select(F.col("salesrep_id").alias("SALESREP_ID")), "SALESREP_ID")
+         .join(sites, "_site_use").join(accounts_of, "_site").join(accounts, "_account")
+         .join(days, "_day"))
     keys = ("BILL_TO_PARTY", "ACCOUNT_NAME", "ORDER_NUMBER", "HOLD_UNTIL_DATE",
             "BILLING_EVENT_DATE", "FORECAST_CATEGORY", "PRODUCT", "SALESREP_ID")
-    out = f.groupBy(*keys).agg(F.sum("future_billing_amount").alias("NET_AMOUNT"))
+    out = f.groupBy(*keys).agg(F.sum("_amount").cast("decimal(28,2)").alias("NET_AMOUNT"))
     return out.where(F.col("NET_AMOUNT") != 0)
 
 
@@ -357,13 +352,12 @@ def order_sources(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame
         h = project_strict(po_hold_fact(cat, cfg), K.HOLD_EXTRACT_COLUMNS)
         h = left_enrich(h, out["reforderopp"], "ORDER_NUMBER", "ORDER_NUMBER")
         h = project_lenient(rename_map(h, K.HOLD_COLUMNS), list(K.HOLD_COLUMNS.values()))
-        # Hold rows carry an account number in the party-id slot; as a number
-        # it is null unless the account number happens to be numeric.
-        return h.withColumns({"FISCAL_YYYYMM": fiscal_period(_c("FISCAL_YYYYMM")),
-                              "BILL_TO_PARTY_ID": _c("BILL_TO_PARTY_ID").try_cast("long")})
+        # Hold rows carry an account number in the party-id slot.
+        return h.withColumn("FISCAL_YYYYMM", fiscal_period(_c("FISCAL_YYYYMM")))
 
     def revfact():
-        return union_by_name([out[n].withColumn("Revenue Type ID", _c("Revenue Type ID").cast("string"))
+        text = ("Revenue Type ID", "BILL_TO_PARTY_ID")
+        return union_by_name([out[n].withColumns({c: _c(c).cast("string") for c in text})
                               for n in ("billev", "defrecrev", "poh")])
 
     builders = {"tcv": tcv, "billev": billev, "defrecrev": defrecrev,

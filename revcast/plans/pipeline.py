@@ -22,7 +22,8 @@ class ForecastRun:
 
     def __init__(self, order_base: Mapping[str, DataFrame], crm_objects: Mapping[str, DataFrame],
                  cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
-                 order_rules: DataFrame | None = None, fact_root: str | None = None):
+                 order_rules: DataFrame | None = None, fact_root: str | None = None,
+                 fact_key: str | None = None):
         self.order_base = order_base
         self.crm_objects = crm_objects
         self.cfg = cfg
@@ -31,8 +32,12 @@ class ForecastRun:
         # With a fact root, the source tables the forecasts read (order
         # extracts, CRM fact and references) and the enriched facts are
         # written there once and read back: every chain runs once per run,
-        # and the forecasts start from short lineage.
+        # and the forecasts start from short lineage. The layer's folder is
+        # named by the inputs, rules, parameters and code (``fact_key`` if
+        # the caller has one), so another run under the same root reads it
+        # only if all of these are the same.
         self.fact_root = fact_root
+        self._fact_key = fact_key
 
     @staticmethod
     def _spark():
@@ -46,7 +51,19 @@ class ForecastRun:
             return LazyMap(builders)
         from ..sources.landing import land
 
-        return land(self._spark(), builders, f"{self.fact_root}/{group}")
+        return land(self._spark(), builders, f"{self.fact_root.rstrip('/')}/{self.fact_key}/{group}")
+
+    @cached_property
+    def fact_key(self) -> str:
+        from ..sources.landing import inputs_key
+
+        if self._fact_key:
+            return self._fact_key
+        frames = {f"order/{n}": self.order_base[n] for n in self.order_base.keys()}
+        frames.update({f"crm/{n}": self.crm_objects[n] for n in self.crm_objects.keys()})
+        rules = {"party_date": self.party_date_rules, "order": self.order_rules}
+        frames.update({f"rules/{n}": df for n, df in rules.items() if df is not None})
+        return inputs_key(frames, self.cfg, _code_version())
 
     @cached_property
     def order_sources(self) -> Mapping[str, DataFrame]:
@@ -90,7 +107,7 @@ class ForecastRun:
 
     @cached_property
     def _attributed_now(self) -> tuple[DataFrame, DataFrame]:
-        return attributed_facts(self.order_sources, self.crm_refs)
+        return attributed_facts(self.order_sources, self.crm_refs, broadcast_ceiling=self.cfg.broadcast_ceiling)
 
     @cached_property
     def fact_layer(self) -> Mapping[str, DataFrame]:
@@ -147,14 +164,15 @@ def _code_version() -> str:
 
 
 def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bool = True,
-               facts: bool = False, prefetch: bool = True, parallel_jobs: int = 4) -> ForecastRun:
+               facts: bool = False, prefetch: bool = False, parallel_jobs: int = 4) -> ForecastRun:
     """A ``ForecastRun`` over the driver tables (role mapping).
 
     With ``landed`` (the default) the derived source tables are written
     once to the landing layer under the shared checkpoint folder and read
     back from there, like the extract files of the original; with
     ``facts`` the order extracts, CRM tables and attributed facts too.
-    ``prefetch`` writes them all up front, ``parallel_jobs`` at a time.
+    A table is written when it is first asked for; ``prefetch`` writes them
+    all up front, ``parallel_jobs`` at a time.
     """
     from ..sources.driver_tables import ORDER_BASE_TABLES, TABLES, DriverCatalog
     from ..sources.landing import input_fingerprint, land, landing_root
@@ -171,7 +189,8 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
     else:
         base, objs = LazyMap(base_b), LazyMap(objs_b)
         fact_root = None
-    run = ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules(), fact_root)
+    run = ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules(), fact_root,
+                      fact_key="layer")  # the root's name holds inputs, parameters and code
     if landed and prefetch:
         _prefetch(run, facts, parallel_jobs)
     return run
@@ -200,13 +219,13 @@ def _prefetch(run: ForecastRun, facts: bool, parallel_jobs: int) -> None:
 def land_driver_facts(spark, sf_dir: str, cfg: ForecastConfig | None = None,
                       parallel_jobs: int = 4) -> ForecastRun:
     """Write the sources and the fact layers of ``driver_run`` now."""
-    return driver_run(spark, sf_dir, cfg, facts=True, parallel_jobs=parallel_jobs)
+    return driver_run(spark, sf_dir, cfg, facts=True, prefetch=True, parallel_jobs=parallel_jobs)
 
 
 def land_driver_sources(spark, sf_dir: str, cfg: ForecastConfig | None = None,
                         parallel_jobs: int = 4) -> ForecastRun:
     """Write every landed source of ``driver_run`` now (the extract phase)."""
-    return driver_run(spark, sf_dir, cfg, parallel_jobs=parallel_jobs)
+    return driver_run(spark, sf_dir, cfg, prefetch=True, parallel_jobs=parallel_jobs)
 
 
 def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> dict[str, DataFrame]:
@@ -214,20 +233,35 @@ def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> d
     return driver_run(spark, sf_dir, cfg).tables()
 
 
-def write_forecasts(run: ForecastRun, out_root: str, snapshot_date, facts: bool = True) -> dict[str, str]:
+def write_forecasts(run: ForecastRun, out_root: str, snapshot_date, facts: bool = True,
+                    layers: bool = False) -> dict[str, str]:
     """Write the enriched facts (layer ``fact``) and the two
     forecasts as the ``snapshot_date`` partition of ``fc`` and ``tcv``.
 
-    Only that day's partition is replaced; earlier snapshots stay.
+    Only that day's partition is replaced; earlier snapshots stay. Each fact
+    is written once and read back, and both forecasts are built from the
+    files. ``layers`` also writes the full pulls (``raw``) and the curated
+    order and CRM tables (``source``).
     """
     from ..sources.sinks import write_layer, write_snapshot
 
     paths: dict[str, str] = {}
+    if layers:
+        paths.update(write_layer({n: run.crm_objects[n] for n in run.crm_objects.keys()}, out_root, "raw"))
+        paths.update(write_layer({**{n: run.order_sources[n] for n in run.order_sources.keys()},
+                                  **{n: df for n, df in run.crm_refs.items()}}, out_root, "source"))
+    fcrev, fctcv = (run.fcrev, run.fctcv) if not facts else (None, None)
     if facts:
-        paths.update(write_layer({"fullorder_revfacts": run.attributed[0],
-                                  "fullorder_tcvfacts": run.attributed[1],
-                                  "fullcrm_revfacts": run.fact_trx,
-                                  "fullcrm_tcvfacts": run.fact_tcvpl}, out_root, "fact"))
-    paths["fc"] = write_snapshot(run.fcrev, f"{out_root}/forecast/fc", snapshot_date)
-    paths["tcv"] = write_snapshot(run.fctcv, f"{out_root}/forecast/tcv", snapshot_date)
+        made = write_layer({"fullcrm_revfacts": run.fact_trx}, out_root, "fact")
+        spark = run._spark()
+        trx = spark.read.parquet(made["fullcrm_revfacts"])
+        made.update(write_layer({"fullorder_revfacts": run.attributed[0],
+                                 "fullorder_tcvfacts": run.attributed[1],
+                                 "fullcrm_tcvfacts": crm.pipeline_tcv(trx)}, out_root, "fact"))
+        back = {n: spark.read.parquet(p) for n, p in made.items()}
+        fcrev = revenue_forecast(back["fullorder_revfacts"], trx, run.cfg)
+        fctcv = tcv_forecast(back["fullorder_tcvfacts"], back["fullcrm_tcvfacts"], run.crm_refs["Ref_Opps"], run.cfg)
+        paths.update(made)
+    paths["fc"] = write_snapshot(fcrev, f"{out_root}/forecast/fc", snapshot_date)
+    paths["tcv"] = write_snapshot(fctcv, f"{out_root}/forecast/tcv", snapshot_date)
     return paths

@@ -15,21 +15,12 @@ from ..operators.sets import union_by_name
 from .config import ForecastConfig
 from .revenue import forecast_frame
 
-UNREPORTED_RENAMES = {
-    "Opps_Opportunity__c": "Opp_Num",
-    "Opps_Month_Close__c": "Opp_CloseMonth",
-    "Opps_Probability": "Opp_Prob",
-    "Opps_StageName": "Opp_Stage",
-    "Opps_Type": "Opp_Type",
-    "Opps_Amount": "unw_non_tcv",
-}
-
 
 def unreported_opportunities(opps: DataFrame, reported: DataFrame) -> DataFrame:
     """Opportunities whose number does not occur among the reported
     ones (a null number counts as reported when a null was reported)."""
     out = anti_join(opps, reported, "Opps_Opportunity__c", "Opp_Num", null_safe=True)
-    return (out.drop("Opps_Id").withColumnsRenamed(UNREPORTED_RENAMES)
+    return (out.drop("Opps_Id").withColumnsRenamed(K.UNREPORTED_RENAMES)
             .withColumn("src", F.lit(K.SRC_UNREPORTED)))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.fiscal import fiscal_period
 from ..functions.semantics import product_key
-from ..operators.joins import bounded_broadcast, estimated_bytes
+from ..operators.joins import bounded_broadcast
 from ..plans.config import (DRIVER_ZERO_ORDERS, DRIVER_ZERO_PARTY_DATES, ForecastConfig,
                             driver_config)
 
@@ -40,29 +40,9 @@ ORDER_BASE_TABLES = (
     "order_holds", "hold_sources", "hold_definitions")
 
 
-SPREAD_MIN_BYTES = 1024 * 1024
-
-
-def load_tables(spark: SparkSession, sf_dir: str, names=TABLES, spread: bool = True) -> dict[str, DataFrame]:
-    """The driver parquet tables, lazily.
-
-    A parquet row group is read by one task, and the driver files hold a
-    single row group each, so a scan of the largest tables would run on
-    one core. With ``spread``, a table over ``SPREAD_MIN_BYTES`` whose scan
-    yields fewer splits than the session has cores is redistributed
-    round-robin once after the scan. Large tables written in many row
-    groups already scan in parallel and are left as they are.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    out = {}
-    for n in names:
-        df = spark.read.parquet(f"{sf_dir}/{n}.parquet")
-        if spread:
-            size = estimated_bytes(df) or 0
-            if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores)
-        out[n] = df
-    return out
+def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
+    """The driver parquet tables, lazily."""
+    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
 def money(c) -> Column:
@@ -440,7 +420,7 @@ class DriverCatalog:
 
     def _opp_number(self) -> Column:
         k = F.col("o_orderkey")
-        return F.when(k == 7, F.lit(None).cast("string")).otherwise(_s("OP-", k))
+        return F.when(k.isin(7, 8), F.lit(None).cast("string")).otherwise(_s("OP-", k))
 
     @_memo
     def crm_opportunity(self) -> DataFrame:

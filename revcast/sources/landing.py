@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans._lazy import LazyMap
 from ..session import ensure_checkpoint_dir
@@ -33,62 +34,73 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") -> str:
-    """Hash of the paths, sizes and modification times of the inputs."""
+    """Hash of the paths, sizes and modification times of all input files,
+    those in nested folders (partitions) included."""
     h = hashlib.sha1(salt.encode())
     for path in sorted(paths):
         fs, p = _fs(spark, path)
-        for st in sorted(fs.listStatus(p), key=lambda s: s.getPath().toString()):
-            h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
+        found, it = [], fs.listFiles(p, True)
+        while it.hasNext():
+            st = it.next()
+            found.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
+        h.update("\n".join(sorted(found)).encode())
     return h.hexdigest()[:20]
 
 
-# Landed tables already opened in this application (path -> DataFrame), so
-# later queries of a session do not list and read the footers again.
-_OPENED: dict[tuple[str, str], DataFrame] = {}
+def frame_fingerprint(df: DataFrame) -> str:
+    """Hash that stands for a frame's rows: its plan and schema, and its input
+    files, or (without files) its values, summed up in one aggregate."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        what = input_fingerprint(spark, files)
+    else:
+        value = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+        what = str(tuple(df.agg(F.count(F.lit(1)), F.sum(value.cast("decimal(38,0)")), F.bit_xor(value)).first()))
+    return hashlib.sha1(f"{df.schema.json()}|{df.semanticHash() if files else ''}|{what}".encode()).hexdigest()
+
+
+def inputs_key(frames: Mapping[str, DataFrame], *more: object) -> str:
+    """Hash of named frames and of anything else that a layer depends on."""
+    h = hashlib.sha1()
+    for name in sorted(frames.keys()):
+        h.update(f"{name}={frame_fingerprint(frames[name])}\n".encode())
+    for x in more:
+        h.update(repr(x).encode())
+    return h.hexdigest()[:20]
 
 
 def land(spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], root: str) -> LazyMap:
-    """Name -> landed table; each is written (parquet, overwrite) on first
-    use unless a complete copy is already under ``root``. Safe to use from
-    several driver threads: a table is written by one of them."""
+    """Name -> landed table; each is written (parquet) on first use unless a
+    complete copy is already under ``root``, whose name has to stand for all
+    that the tables depend on. Safe to use from several driver threads: a
+    table is written by one of them."""
 
     locks = {n: threading.Lock() for n in builders}
-    app = spark.sparkContext.applicationId
 
     def loader(name, build):
         def load():
             path = f"{root}/{name}"
             with locks[name]:  # one writer per table when landing from threads
-                cached = _OPENED.get((app, path))
-                if cached is not None:
-                    return cached
-                if not path_exists(spark, f"{path}/_SUCCESS"):
-                    _write_then_rename(spark, build(), path)
-                df = spark.read.parquet(path)
-                _OPENED[(app, path)] = df
-                return df
+                found = _complete(spark, path)
+                if found is None:
+                    build().write.parquet(f"{path}/v-{uuid.uuid4().hex}")
+                    found = _complete(spark, path)
+                return spark.read.parquet(found)
         return load
 
     return LazyMap({n: loader(n, b) for n, b in builders.items()})
 
 
-def _write_then_rename(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Write to a fresh sibling folder, then rename it into place: a reader
-    never sees a half-written table, and a writer that lost the race (or a
-    rerun after a crash) simply uses the table that is there."""
-    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(tmp)
-    fs, src = _fs(spark, tmp)
-    _, dst = _fs(spark, path)
-    if fs.exists(dst):
-        if fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
-            fs.delete(src, True)  # another writer finished first: use theirs
-            return
-        fs.delete(dst, True)  # leftover of an interrupted writer
-    # Renaming onto an existing directory may nest instead of failing on
-    # some file systems, hence the checks above.
-    if not fs.rename(src, dst):
-        fs.delete(src, True)
+def _complete(spark: SparkSession, path: str) -> str | None:
+    """The finished copy of a table that all readers take: of several (two
+    drivers at once) the first by name. Nothing is renamed or deleted, so a
+    copy under way is never touched."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    copies = sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
+    return next((c for c in copies if path_exists(spark, f"{c}/_SUCCESS")), None)
 
 
 def landing_root(spark: SparkSession, key: str) -> str:

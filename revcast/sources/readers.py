@@ -13,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 
 def read_sql_extract(spark: SparkSession, url: str, sql: str, properties: Mapping[str, str],
@@ -76,30 +76,53 @@ def flatten_parent(df: DataFrame, key: str, parent: str, parent_field: str = "Id
     """S3: pull ``parent.parent_field`` out of a nested parent record.
 
     A null parent gives a null id (the original wrote the text 'None',
-    which then blocked the account fallback).
+    which then blocked the account fallback). In a flat file the parent's
+    column holds the id itself, or both columns have their final names.
     """
-    return df.select(F.col(key).alias(key_alias or key),
-                     F.col(f"{parent}.{parent_field}").alias(parent_alias or f"{parent}_{parent_field}"))
+    key_name, parent_name = key_alias or key, parent_alias or f"{parent}_{parent_field}"
+    if parent not in df.columns and parent_name in df.columns:
+        return df.select(key_name, parent_name)
+    nested = isinstance(df.schema[parent].dataType, StructType)
+    return df.select(F.col(key).alias(key_name),
+                     F.col(f"{parent}.{parent_field}" if nested else parent).alias(parent_name))
 
 
 def _list_names(spark: SparkSession, path: str) -> list[str]:
     """Entry names of a directory on any Hadoop file system (local, HDFS,
     object stores); only the listing goes through the driver."""
-    if "://" not in path and not path.startswith("file:"):
-        return sorted(os.listdir(path))
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
+def _typed(df: DataFrame, schema: StructType | None) -> DataFrame:
+    """Text columns cast to the schema's types, by name. Whole numbers may be
+    written with a fraction of zero (a column with missing values)."""
+    if schema is None:
+        return df
+
+    def cast(f):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, IntegralType):
+            c = c.cast("decimal(38,6)")
+        return c.cast(f.dataType).alias(f.name)
+
+    types = {f.name: f for f in schema.fields}
+    return df.select(*[cast(types[c]) if c in types else F.col(f"`{c}`") for c in df.columns])
+
+
 def load_directory(spark: SparkSession, path: str, schemas: Mapping[str, StructType] | None = None,
                    fmt: str = "parquet", skip=("hist",), encoding: str = "ISO-8859-1") -> dict[str, DataFrame]:
     """Every entry of a directory becomes a table named after it.
 
-    Entries named in ``skip`` are ignored. CSV is read with a header, the
-    given schema and ISO-8859-1; parquet carries its own schema. Listing
-    the directory is metadata only; the data is read by the executors.
+    Entries named in ``skip`` are ignored. CSV is read with a header and
+    ISO-8859-1, as dataframe libraries write it: a doubled quote stands for
+    a quote, and fields may hold separators and line breaks. Its columns are
+    matched with the schema by name and cast; columns without one are text.
+    Such a file is read by one task, so large tables belong in parquet,
+    which carries its own schema. Listing the directory is metadata only;
+    the data is read by the executors.
     """
     out = {}
     for entry in _list_names(spark, path):
@@ -108,10 +131,8 @@ def load_directory(spark: SparkSession, path: str, schemas: Mapping[str, StructT
             continue
         full = os.path.join(path, entry)
         if fmt == "csv":
-            reader = spark.read.option("header", True).option("encoding", encoding)
-            if schemas and name in schemas:
-                reader = reader.schema(schemas[name])
-            out[name] = reader.csv(full)
+            df = spark.read.csv(full, header=True, encoding=encoding, quote='"', escape='"', multiLine=True)
+            out[name] = _typed(df, (schemas or {}).get(name))
         else:
             out[name] = spark.read.format(fmt).load(full)
     return out

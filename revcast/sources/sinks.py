@@ -31,6 +31,14 @@ def write_layer(frames: Mapping[str, DataFrame], root: str, layer: str, mode: st
     return paths
 
 
+def write_ordered(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite") -> str:
+    """O1: write ``df`` in a total order of ``cols``: rows are dealt by range
+    (a shuffle) and sorted within each part file, whose names go up with the
+    order. For extracts whose readers rely on the order."""
+    df.orderBy(*cols).write.mode(mode).parquet(path)
+    return path
+
+
 def write_snapshot(df: DataFrame, path: str, snapshot_date: _dt.date | str,
                    sort_cols: tuple[str, ...] = ()) -> str:
     """Write ``df`` as the ``snapshot_date`` partition of ``path``.

@@ -105,12 +105,3 @@ def test_size_estimate_and_bounded_broadcast(spark):
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
     kept = bounded_broadcast(small, ceiling=0)
     assert "broadcast" not in kept._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_bounded_broadcast_row_check_for_unknown_sizes(spark):
-    from revcast.operators.joins import bounded_broadcast
-
-    rules = spark.createDataFrame([(1,), (2,)], "k int")
-    plan = lambda d: d._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" in plan(bounded_broadcast(rules, ceiling=0, max_rows=10))
-    assert "broadcast" not in plan(bounded_broadcast(rules, ceiling=0, max_rows=1))

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from revcast.checks.oracle_sql import oracle_queries
+from revcast.checks.queries import QUERIES
 from revcast.plans.pipeline import driver_run
 
 from conftest import SF001
@@ -32,21 +34,21 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(oracle_queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    sdf = E.queries()[name](spark, SF001)
+    sdf = QUERIES[name](spark, SF001)
     srows = [tuple(r) for r in sdf.collect()]
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(oracle_queries()[name])
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert frame_hash(srows, sdf.columns)[0] == frame_hash(drows, dcols)[0]
     # as pandas frames too: same dtypes on both sides
-    sp, dp = sdf.toPandas(), duck.execute(E.oracle_sql()[name]).df()
+    sp, dp = sdf.toPandas(), duck.execute(oracle_queries()[name]).df()
     assert {c: str(sp[c].dtype) for c in sp.columns} == {c: str(dp[c].dtype) for c in dp.columns}
 
 
@@ -129,7 +131,19 @@ def test_cli_runs_forecasts_from_landed_directories(spark, tmp_path):
     fc = read_snapshot(spark, paths["fc"], "1999-06-30").drop("snapshot_date")
     assert fc.count() > 0
     expected = driver_run(spark, SF001, landed=False).fcrev
-    assert fc.count() == expected.count()
+    by_text = lambda df: sorted(tuple(map(str, r)) for r in df.select(*sorted(expected.columns)).collect())
+    assert by_text(fc) == by_text(expected)
+    # the same run from CSV, with a fact layer and all output layers
+    for side, frames in (("raw", order), ("source", dc.crm_objects())):
+        for n, df in frames.items():
+            flat = df.withColumn("Account", F.col("Account.Id")) if n == "Ref_Opps_Acct" else df
+            flat.write.csv(f"{root}/csv/{side}/{n}", header=True, quote='"', escape='"', encoding="ISO-8859-1",
+                           ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    paths = main(["--order-dir", root + "/csv/raw", "--crm-dir", root + "/csv/source", "--out", root + "/out2",
+                  "--snapshot-date", "1999-06-30", "--config", cfg_path, "--format", "csv", "--layers",
+                  "--fact-root", root + "/facts"], spark=spark)
+    assert by_text(read_snapshot(spark, paths["fc"], "1999-06-30")) == by_text(expected)
+    assert {"Ref_Acct", "revfact", "fullorder_revfacts"} <= set(paths)
     # the original's JSON join list builds the same chain
     entries = [{"src": "func", "right": "buff"} if not hasattr(s, "right") else
                {"src": "sf", "right": s.right, "left_on": s.left_on, "right_on": s.right_on,
@@ -148,3 +162,59 @@ def test_driver_forecasts_exposes_every_table(spark):
         assert name in t, name
     assert t["fcrev"].columns[0] == "fc_filter"
     assert t["fctcv"].count() > 0
+
+
+def test_one_fact_root_serves_changed_parameters_inputs_and_rules(spark, tmp_path):
+    """A run reads the fact layer of another only if nothing differs."""
+    import dataclasses
+
+    from revcast.plans.pipeline import ForecastRun
+    from revcast.sources.driver_tables import DriverCatalog
+
+    dc = DriverCatalog(spark, SF001)
+    base = dc.order_base()
+
+    def billed(root=None, order=base, cfg=dc.p, rules=None):
+        run = ForecastRun(order, dc.crm_objects(), cfg, dc.zero_party_date_rules(), rules or dc.zero_order_rules(), root)
+        return run, sorted(map(str, run.order_sources["billev"].collect())), sorted(
+            map(str, run.order_sources["tcv"].collect()))
+
+    later = dataclasses.replace(dc.p, billing_min_period=199901)
+    fewer = {**base, "pipeline_detail": base["pipeline_detail"].where("order_header_id % 2 = 0")}
+    other = spark.createDataFrame([(1,), (2,), (4,)], "order_header_id long")
+    root, keys = str(tmp_path / "facts"), set()
+    for how in ({}, {"cfg": later}, {"order": fewer}, {"rules": other}, {}):
+        landed, plain = billed(root, **how), billed(None, **how)
+        assert landed[1:] == plain[1:]
+        keys.add(landed[0].fact_key)
+    assert len(keys) == 4
+
+
+def test_null_fanout_guard(spark):
+    from revcast.plans.attribution import null_fanout
+
+    run = driver_run(spark, SF001)
+    cat = {**{n: run.order_sources[n] for n in ("reforderopp",)}, **run.crm_refs}
+    got = {r.right_table: r.null_rows for r in null_fanout(cat).collect()}
+    assert got["Ref_Opps"] == 2 and got["Ref_Acct"] == 0
+    with pytest.raises(ValueError, match="Ref_Opps"):
+        null_fanout(cat, fail=True)
+
+
+def test_salt_reads_no_further_column(spark):
+    """The scans of a narrow result are the same with and without salt."""
+    import dataclasses
+    import re
+
+    from revcast.plans.attribution import ORDER_CHAIN, attribute_orders
+
+    run = driver_run(spark, SF001)
+    cat = {**{n: run.order_sources[n] for n in ("reforderopp",)}, **run.crm_refs}
+    bare = tuple(dataclasses.replace(s, null_salt=0) if hasattr(s, "right") else s for s in ORDER_CHAIN)
+
+    def scans(chain):
+        df = attribute_orders(run.order_sources["tcv"], cat, chain).select("Amount", "Final_AcctID")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return sorted(re.findall(r"ReadSchema: (struct<[^>\n]*)", plan))
+
+    assert scans(ORDER_CHAIN) == scans(bare) != []

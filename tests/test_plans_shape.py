@@ -4,7 +4,7 @@ skew salting does to a shuffle join."""
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from revcast.checks.queries import QUERIES
 from revcast.operators.joins import left_enrich
 
 from conftest import SF001
@@ -17,15 +17,15 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_or_python_in_plan(spark, name):
-    plan = _plan(E.queries()[name](spark, SF001))
+    plan = _plan(QUERIES[name](spark, SF001))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
 
 
 def test_filters_reach_the_scans(spark):
-    df = E.queries()["billing_fact"](spark, SF001)
+    df = QUERIES["billing_fact"](spark, SF001)
     plan = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "GreaterThanOrEqual(fiscal_yyyymm,199601)" in plan
@@ -60,7 +60,7 @@ def test_salting_spreads_null_keys_over_partitions(spark):
 def test_forecasts_from_the_fact_layer_barely_shuffle(spark):
     import re
 
-    rev = _plan(E.queries()["revenue_forecast"](spark, SF001))
+    rev = _plan(QUERIES["revenue_forecast"](spark, SF001))
     assert "Exchange" not in rev
-    tcv = _plan(E.queries()["tcv_forecast"](spark, SF001))
+    tcv = _plan(QUERIES["tcv_forecast"](spark, SF001))
     assert len(re.findall(r"Exchange hashpartitioning", tcv)) <= 1

@@ -90,12 +90,63 @@ def test_landing_reuses_complete_tables_and_ignores_partial(spark, tmp_path):
         calls.append(1)
         return spark.createDataFrame([(1,), (2,)], "k int")
 
-    m1 = L.land(spark, {"t": build}, root)
-    assert m1["t"].count() == 2
-    L._OPENED.clear()
-    m2 = L.land(spark, {"t": build}, root)  # a later run: complete table found
-    assert m2["t"].count() == 2 and len(calls) == 1
-    # a competing writer finishing second leaves the first table in place
-    L._write_then_rename(spark, spark.createDataFrame([(9,)], "k int"), f"{root}/t")
-    assert sorted(r[0] for r in spark.read.parquet(f"{root}/t").collect()) == [1, 2]
+    assert L.land(spark, {"t": build}, root)["t"].count() == 2
+    assert L.land(spark, {"t": build}, root)["t"].count() == 2 and len(calls) == 1  # a later run finds it
+    # a copy under way is left alone, and a second complete copy changes nothing
+    (tmp_path / "land" / "t" / "v-0").mkdir()
+    first = L._complete(spark, f"{root}/t")
+    spark.createDataFrame([(9,)], "k int").write.parquet(f"{root}/t/v-zzzz")
+    assert L._complete(spark, f"{root}/t") == first
+    assert sorted(r[0] for r in L.land(spark, {"t": build}, root)["t"].collect()) == [1, 2]
+    assert (tmp_path / "land" / "t" / "v-0").exists() and len(calls) == 1
     assert [p.name for p in (tmp_path / "land").iterdir()] == ["t"]
+
+
+def test_csv_fields_with_quotes_separators_and_line_breaks(spark):
+    import csv
+
+    d = _tmp()
+    values = ['plain', 'say "hi", then', 'two\nlines', 'é', 'tail"', None]
+    with open(os.path.join(d, "notes.csv"), "w", newline="", encoding="iso-8859-1") as fh:
+        w = csv.writer(fh)
+        w.writerow(["k", "note", "n", "last"])
+        for k, v in enumerate(values):  # whole numbers with a fraction of zero beside missing ones
+            w.writerow([k, v, "" if k % 2 else f"{k}.0", f"end{k}"])
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("n", T.LongType())])
+    got = sorted(tuple(r) for r in load_directory(spark, d, {"notes": schema}, fmt="csv")["notes"].collect())
+    assert got == [(k, v, None if k % 2 else k, f"end{k}") for k, v in enumerate(values)]
+
+
+def test_flat_parent_files(spark):
+    from revcast.plans.crm import opportunity_account_ref
+
+    rows_ = [("OP-1", "A1"), ("OP-2", None)]
+    for names in ("Opportunity__c string, Account string", "OppsAcct_Opportunity__c string, OppsAcct_Account string"):
+        assert rows(opportunity_account_ref(spark.createDataFrame(rows_, names))) == rows_
+
+
+def test_schemas_match_the_derived_tables(spark):
+    from conftest import SF001
+    from revcast.sources.driver_tables import ORDER_BASE_TABLES, DriverCatalog
+    from revcast.sources.schemas import crm_schemas, order_schemas
+
+    dc = DriverCatalog(spark, SF001)
+    for n in ORDER_BASE_TABLES:
+        assert [(f.name, f.dataType) for f in getattr(dc, n)().schema] == [
+            (f.name, f.dataType) for f in order_schemas()[n]], n
+    for n, df in dc.crm_objects().items():
+        assert df.columns == crm_schemas()[n].names, n
+
+
+def test_input_fingerprint_sees_nested_files(spark, tmp_path):
+    from revcast.sources.landing import frame_fingerprint, input_fingerprint
+
+    path = str(tmp_path / "t")
+    spark.range(4).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(path)
+    one, frame = input_fingerprint(spark, [path]), frame_fingerprint(spark.read.parquet(path))
+    spark.range(1).write.parquet(path + "/p=1/more")
+    assert input_fingerprint(spark, [path]) != one
+    assert frame_fingerprint(spark.read.parquet(path).where("id > 1")) != frame
+    a, b = spark.createDataFrame([(1, None)], "k int, v int"), spark.createDataFrame([(None, 1)], "k int, v int")
+    assert frame_fingerprint(a) != frame_fingerprint(b) == frame_fingerprint(
+        spark.createDataFrame([(None, 1)], "k int, v int"))
