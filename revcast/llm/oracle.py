@@ -27,7 +27,60 @@ parts AS (
   FROM split
 )"""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
 ORACLE_SQL = {
+    "op6_near_duplicates": f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS k FROM doc WHERE len(w) > 0)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingle AS x INNER JOIN shingle AS y ON x.s = y.s AND x.doc_id > y.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM common INNER JOIN size AS p ON p.doc_id = a INNER JOIN size AS q ON q.doc_id = b
+  WHERE 100 * shared >= 80 * (p.n + q.n - shared)
+), edge AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT a, b FROM edge UNION SELECT reach.a, edge.b FROM reach INNER JOIN edge ON reach.b = edge.a
+), least AS (
+  SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+       doc_id <= coalesce(m, doc_id) AS kept
+FROM doc LEFT JOIN size USING (doc_id) LEFT JOIN least USING (doc_id)""",
+    "op10_decontamination": f"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark
+), sized AS (
+  SELECT item_id, w, least(10, len(w)) AS m FROM item WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[k:k + m - 1], ' ') AS words
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM sized)
+), places AS (
+  SELECT doc_id, m, k, array_to_string(w[k:k + m - 1], ' ') AS words
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k
+        FROM doc CROSS JOIN (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)
+), found AS (
+  SELECT doc_id, item_id, m, k FROM places INNER JOIN windows USING (m, words)
+), hits AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + m)) AS spot FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op7_url_filter": f"""
 WITH {_PARTS}
 SELECT page_id, host, path, rule,

@@ -54,7 +54,9 @@ def test_near_duplicates_of_given_documents(spark):
     assert_groups(df, docs, 2)
 
 
-def test_chains_families_and_edges(spark, edge_docs):
+@pytest.mark.parametrize("few", [neardup.FEW, 3])
+def test_chains_families_and_edges(spark, edge_docs, monkeypatch, few):
+    monkeypatch.setattr(neardup, "FEW", few)
     rng = random.Random(8)
     docs = list(enumerate(TEXTS))
     base = [f"w{rng.randrange(400)}" for _ in range(60)]
@@ -273,3 +275,21 @@ def test_all_queries_are_registered():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+@pytest.mark.parametrize("name", ["op6_near_duplicates", "op7_url_filter", "op10_decontamination"])
+def test_query_matches_sql(spark, name):
+    import duckdb
+
+    from revcast.llm.oracle import ORACLE_SQL
+    from revcast.llm.queries import QUERIES
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(ORACLE_SQL[name])
+    columns = [c[0] for c in want.description]
+    df = QUERIES[name](spark, SF)
+    assert sorted(columns) == sorted(df.columns)
+    assert sorted(map(str, df.select(*columns).toPandas().itertuples(index=False))) == sorted(
+        map(str, want.df().itertuples(index=False)))
