@@ -8,7 +8,6 @@ join key to a null join key. Each helper names which regime it follows.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 
@@ -44,6 +45,20 @@ _CLASSES = (
 )
 
 
+def _kind(value: Column, kind: T.DataType) -> Column:
+    """The kind of a value, null for null: from the column's type where that
+    settles it, else from the value's text."""
+    if isinstance(kind, T.IntegralType):
+        return F.when(value.isNotNull(), "int")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.when(value.isNotNull(), "date")
+    text = value.cast("string")
+    out = F.when(text.isNull(), F.lit(None).cast("string"))
+    for name, pattern in _CLASSES:
+        out = out.when(text.rlike(pattern), name)
+    return out.otherwise("str")
+
+
 def column_census(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """How many values of each kind every column holds.
 
@@ -53,19 +68,14 @@ def column_census(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     per task) followed by an unpivot.
     """
     cols = list(columns or df.columns)
+    names = [k for k, _ in _CLASSES] + ["str"]
     aggs = []
     for i, c in enumerate(cols):
-        s = F.col(f"`{c}`").cast("string")
-        aggs.append(F.count_if(s.isNull()).alias(f"c{i}_null"))
-        cond_prev = None
-        for kind, rx in _CLASSES:
-            hit = s.rlike(rx)
-            cond = hit if cond_prev is None else (hit & ~cond_prev)
-            aggs.append(F.count_if(s.isNotNull() & cond).alias(f"c{i}_{kind}"))
-            cond_prev = hit if cond_prev is None else (cond_prev | hit)
-        aggs.append(F.count_if(s.isNotNull() & ~cond_prev).alias(f"c{i}_str"))
+        kind = _kind(F.col(f"`{c}`"), df.schema[c].dataType)
+        aggs.append(F.count_if(kind.isNull()).alias(f"c{i}_null"))
+        aggs += [F.count_if(kind == k).alias(f"c{i}_{k}") for k in names]
     wide = df.agg(*aggs)
-    kinds = ["null"] + [k for k, _ in _CLASSES] + ["str"]
+    kinds = ["null", *names]
     stack_args = ", ".join(
         f"'{c.replace(chr(39), chr(39) * 2)}', '{k}', c{i}_{k}"
         for i, c in enumerate(cols) for k in kinds)
