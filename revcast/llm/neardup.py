@@ -11,15 +11,24 @@ components of the links.
    with every choice of ``ERRORS`` of its values left out. By the pigeonhole
    principle all pairs of signatures that differ in at most
    ``CHUNKS * (ERRORS + 1) - 1`` values meet under some index key; pairs at
-   similarity 0.8 meet with a probability of about 1 - 1e-5 in all.
-3. Under each key, members are first compared only with the least one (found
-   by a grouped minimum), so a large group of copies gives a star and not all
-   its pairs. Of a document's candidates the one of the nearest signature is
-   confirmed first; pairs that are then in one component need no confirmation.
-4. Keys whose members are still in several components have the members outside
-   the least one's component compared with all others of other components.
-   So every pair that meets under a key is either confirmed, refuted or in
-   one component: no link between components is lost.
+   similarity 0.8 meet with a probability of about 1 - 6e-6 in all.
+3. Under each key, members are first compared only with the least one, the
+   key's hub (found by a grouped minimum), so a large group of copies gives a
+   star and not all its pairs. Of a document's candidates the one of the
+   nearest signature is confirmed first; pairs that are then in one component
+   need no confirmation.
+4. Keys whose members are still in several components: two members ``x`` and
+   ``y`` of a hub ``h`` differ by the symmetric difference of their own
+   differences from ``h``. If ``x`` is not linked to ``h``, a link of the two
+   needs more than about half of ``y``'s difference in common, so they share
+   an element among the first half of each one's difference, new shingles
+   first. Only such pairs are compared; shingles that members add to the hub
+   are rare even where thousands stand around one hub. Two members near
+   several hubs are compared at the one hub that most of their like stand
+   around. Up to ``FEW`` members of a hub are compared without that; members
+   that are not near their hub at all (chance meetings) are compared with all
+   of the key. So every pair that meets under a key is confirmed, refuted or in one
+   component: no link between components is lost.
 5. Links are confirmed on the full sets of 64-bit shingle hashes, which are
    made again from the texts of the documents concerned only.
 
@@ -45,16 +54,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .components import star_components
-from .text import LOWER, map_texts, mix, slices, span_hashes, utf8, word_spans
+from .components import settled, star_components
+from .text import LOWER, map_texts, mix, span_hashes, utf8, word_spans
 
 SHINGLE = 5
 PERCENT = 80
-CHUNKS, CHUNK, ERRORS = 11, 6, 1
+CHUNKS, CHUNK, ERRORS = 14, 7, 1
 VALUES = CHUNKS * CHUNK
-# Signatures of pairs at 80 % differ in 13 of 66 values on average, with a
-# deviation of 3.3; beyond 32 a pair is not worth its confirmation.
-FAR = 32
+# Signatures of pairs at 80 % differ in 19.6 of 98 values on average, with a
+# deviation of 4; beyond 40 a pair is not worth its confirmation.
+FAR = 40
+# Up to so many ids pick their documents by a broadcast (8 MB), more by a shuffle.
+BROADCAST_IDS = 1_000_000
+# Up to so many members of a hub are compared pair by pair, more by what they
+# share of their differences from the hub.
+FEW = 64
 
 _BLANKS = np.ones(256, bool)
 _BLANKS[[0x20, *range(0x09, 0x0E)]] = False
@@ -161,13 +175,22 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, far long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """The full sets of some documents, from their texts."""
+def _sets(docs: DataFrame, ids: DataFrame, width: int, have: DataFrame | None = None) -> DataFrame:
+    """The full sets of some documents, from their texts (and those at hand)."""
     def work(texts: pa.Array) -> dict[str, object]:
         return {"set": [s.tobytes() for s in shingle_hashes(*utf8(texts), width)]}
 
-    made = map_texts(docs.join(ids, "id", "left_semi"), "id", "t", [T.StructField("set", T.BinaryType())], work)
-    return made.checkpoint()
+    ids = ids.distinct()
+    if have is not None:
+        ids = ids.join(have.select("id"), "id", "left_anti")
+    ids = settled(ids)
+    n = ids.count()
+    if have is not None and not n:
+        return have
+    picked = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "id", "left_semi")
+    made = map_texts(picked, "id", "t", [T.StructField("set", T.BinaryType())], work).groupBy("id").agg(
+        F.max(F.struct(F.length("set"), "set")).alias("x")).select("id", "x.set").checkpoint()
+    return made if have is None else have.unionByName(made)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,18 +225,21 @@ def _apart(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
     return out.where("c_a <> c_b").drop("c_a", "c_b")
 
 
-def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, groups: DataFrame | None,
-           percent: int) -> DataFrame | None:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+
+
+def _links(pairs: DataFrame, sets: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame | None:
     """Components after confirming pairs (a, b, far): the nearest of each
-    document first, twice, then all others that still join two components."""
+    document first, then all others that still join two components."""
     done = None
-    for last in (False, False, True):
+    for last in (False, True):
         todo = _apart(pairs, groups)
         if done is not None:
             todo = todo.join(done, ["a", "b"], "left_anti")
         if not last:
             todo = todo.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", "x.b")
-        todo = todo.select("a", "b").checkpoint()
+        todo = settled(todo.select("a", "b"))
         if todo.isEmpty():
             break
         done = todo if done is None else done.unionByName(todo)
@@ -222,7 +248,7 @@ def _links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, groups: DataFrame
 
 
 def _grown(groups: DataFrame | None, links: DataFrame) -> DataFrame | None:
-    links = links.checkpoint()
+    links = settled(links)
     if links.isEmpty():
         return groups
     if groups is not None:
@@ -230,27 +256,94 @@ def _grown(groups: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return star_components(links)
 
 
-def _left_over(members: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Pairs of members of one key that are in different components and were
-    not compared as member and least one."""
-    own = members
+def _mixed(members: DataFrame, near: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Members (key, hub, id, component c, the hub's c, whether near the hub)
+    of the keys of three and more whose members are in several components."""
+    own = members.select("key", F.col("least").alias("hub"), "id")
     if groups is not None:
-        own = members.join(groups.select(F.col("node").alias("id"), F.col("component")), "id", "left")
+        own = own.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
     else:
-        own = members.withColumn("component", F.lit(None).cast("long"))
-    own = own.select("key", "id", F.coalesce("component", "id").alias("c"))
-    # Keys with members of several components; a key of two has been compared.
+        own = own.withColumn("component", F.lit(None).cast("long"))
+    own = own.select("key", "hub", "id", F.coalesce("component", "id").alias("c"))
     keys = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"),
                                   F.min(F.struct("id", "c")).alias("least")) \
-        .where("lo < hi and size > 2").select("key", F.col("least.id").alias("least"), F.col("least.c").alias("least_c"))
-    mixed = own.join(keys, "key").checkpoint()
-    outside = mixed.where("c <> least_c").select("key", F.col("id").alias("x"), F.col("c").alias("c_x"), "least_c")
-    others = mixed.where("id <> least").select("key", F.col("id").alias("y"), F.col("c").alias("c_y"))
-    # Of two members outside, the greater takes the smaller; others are taken by the outside one.
-    pairs = outside.join(others, "key").where("c_x <> c_y and (c_y = least_c or y < x)")
+        .where("lo < hi and size > 2").select("key", F.col("least.c").alias("hub_c"))
+    close = near.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.lit(True).alias("close"))
+    return settled(own.join(keys, "key").where("id <> hub").join(close, ["id", "hub"], "left").select(
+        "key", "hub", "id", "c", "hub_c", F.coalesce("close", F.lit(False)).alias("close")))
+
+
+def _stray_pairs(mixed: DataFrame) -> DataFrame:
+    """Pairs with a member that is not near the hub of their key."""
+    stray = mixed.where("not close").select("key", F.col("id").alias("x"), F.col("c").alias("c_x"))
+    other = mixed.select("key", F.col("id").alias("y"), F.col("c").alias("c_y"), "close")
+    pairs = stray.join(other, "key").where("c_x <> c_y and (close or y < x)")
     return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
+def _first_elements(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For each member of a hub: sizes of its set and of its difference from
+    the hub, and the difference's first elements (see step 4)."""
+    schema = T.StructType([family.schema[c] for c in ("hub", "id", "c", "out", "main")] + [
+        T.StructField("n", T.LongType()), T.StructField("delta", T.LongType()), T.StructField("element", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, sizes = [], []
+            for x, h in zip(batch.column("set_x"), batch.column("set_h"), strict=True):
+                x, h = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, h))
+                new = x[h[np.minimum(np.searchsorted(h, x), len(h) - 1)] != x]
+                gone = h[x[np.minimum(np.searchsorted(x, h), len(x) - 1)] != h]
+                delta = len(new) + len(gone)
+                # More than (delta + share * (hub - own size)) / 2 elements are common to a linked pair.
+                least = ((100 + percent) * delta + (100 - percent) * (len(h) - len(x))) // (2 * (100 + percent))
+                first.append(np.concatenate([new, gone])[:delta - least])
+                sizes.append((len(x), delta))
+            rows = np.repeat(np.arange(batch.num_rows), [len(f) for f in first])
+            take = pa.array(rows)
+            n, delta = np.array(sizes, np.int64).reshape(-1, 2)[rows].T
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(take) for c in ("hub", "id", "c", "out", "main")), pa.array(n), pa.array(delta),
+                 pa.array(np.concatenate(first).view(np.int64))], names=schema.names)
+
+    joined = family.join(sets.select("id", F.col("set").alias("set_x")), "id").join(
+        sets.select(F.col("id").alias("hub"), F.col("set").alias("set_h")), "hub")
+    return joined.select("hub", "id", "c", "out", "main", "set_x", "set_h").mapInArrow(run, schema)
+
+
+def _family_pairs(near: DataFrame, groups: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members near one hub that may be linked, one of them outside
+    the hub's component. Most members are near several hubs; two of them that
+    have one main hub (that of the most members) are compared only there."""
+    def component(df: DataFrame, name: str, out: str) -> DataFrame:
+        if groups is None:
+            return df.withColumn(out, F.col(name))
+        own = groups.select(F.col("node").alias(name), F.col("component").alias(out))
+        return df.join(own, name, "left").withColumn(out, F.coalesce(out, name))
+
+    rows = near.select(F.col("b").alias("hub"), F.col("a").alias("id"))
+    rows = component(component(rows, "id", "c"), "hub", "hub_c").withColumn("out", F.col("c") != F.col("hub_c"))
+    sizes = rows.groupBy("hub").agg(F.count("*").alias("size"), F.max("out").alias("some"))
+    rows = settled(rows.join(sizes, "hub").select("hub", "id", "c", "out", "size", "some"))
+    main = rows.groupBy("id").agg((-F.max(F.struct("size", -F.col("hub")))["col2"]).alias("main"))
+    family = settled(rows.where("some and size > 1").join(main, "id").drop("some"))
+    fits = "c_x <> c_y and (not out_y or id_y < id_x) and (main_x <> main_y or main_x = hub)"
+
+    def sides(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+        return tuple(df.select(*keys, *(F.col(c).alias(f"{c}_{s}") for c in df.columns if c not in keys))
+                     for s in ("x", "y"))
+
+    x, y = sides(family.where(F.col("size") <= FEW).drop("size"), ["hub"])
+    few = x.where("out_x").join(y, "hub").where(fits)
+    first = settled(_first_elements(family.where(F.col("size") > FEW).drop("size"), sets, percent))
+    x, y = sides(first, ["hub", "element"])
+    many = x.where("out_x").join(y, ["hub", "element"]).where(
+        f"{fits} and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) and "
+        f"{100 + percent} * (delta_x + delta_y - 2 * least(delta_x, delta_y)) <= {100 - percent} * (n_x + n_y)")
+    both = few.select("id_x", "id_y").unionByName(many.select("id_x", "id_y"))
+    return both.select(F.greatest("id_x", "id_y").alias("a"), F.least("id_x", "id_y").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,
                     percent: int = PERCENT) -> DataFrame:
     """One row per document: key, ``n_shingles``, ``component_id`` (the least
@@ -274,15 +367,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     live = index.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     members = index.join(live.select("key", "least"), "key").checkpoint()
     star = members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
-    near = _near(star, single, percent).checkpoint()
+    near = settled(_near(star, single, percent))
 
-    ends = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
+    sets = _sets(rows, _ends(near), width)
     groups = _grown(None, repeated)
-    groups = _links(rows, near, _sets(rows, ends, width), groups, percent)
-    rest = _apart(_near(_left_over(members.select("key", "id"), groups), single, percent), groups).checkpoint()
+    groups = _links(near, sets, groups, percent)
+    mixed = _mixed(members, near, groups)
+    pairs = _stray_pairs(mixed).unionByName(_family_pairs(near, groups, sets, percent)).distinct()
+    rest = settled(_apart(_near(pairs, single, percent), groups))
     if not rest.isEmpty():
-        ends = rest.select(F.col("a").alias("id")).unionByName(rest.select(F.col("b").alias("id"))).distinct()
-        groups = _links(rows, rest, _sets(rows, ends, width), groups, percent)
+        groups = _links(rest, _sets(rows, _ends(rest), width, sets), groups, percent)
 
     found = described.select("id", "n", "digest").join(classes.select("digest", F.col("id").alias("class")), "digest", "left")
     if groups is not None:
