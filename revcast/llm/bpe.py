@@ -42,8 +42,8 @@ from pyspark.sql import types as T
 
 from .text import map_texts, ranges, slices, span_hashes, utf8
 
-CACHE_PIECES = 400_000
-CACHE_PAIRS = 1_000_000
+CACHE_PIECES = 100_000
+CACHE_PAIRS = 300_000
 SLICE = 1_000_000
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)

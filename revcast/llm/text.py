@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 # Bytes of an Arrow batch between Spark and a Python worker: a worker holds a
 # batch and what it makes of a slice of it.
 BATCH_BYTES = 8 << 20
