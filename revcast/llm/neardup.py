@@ -21,8 +21,12 @@ components of the links.
    ``y`` of a hub ``h`` differ by the symmetric difference of their own
    differences from ``h``. If ``x`` is not linked to ``h``, a link of the two
    needs more than about half of ``y``'s difference in common, so they share
-   an element among the first half of each one's difference, new shingles
-   first. Only such pairs are compared; shingles that members add to the hub
+   an element of the first half of ``y``'s difference, new shingles first;
+   it can be anywhere in ``x``'s, unless ``y`` is not linked to ``h`` either,
+   when it is in the first half of both. So a member outside the hub's
+   component gives its whole difference, one inside the first half. The first
+   common element must leave enough behind it in both differences for a link.
+   Only such pairs are compared; shingles that members add to the hub
    are rare even where thousands stand around one hub. Two members near
    several hubs are compared at the one hub that most of their like stand
    around. Up to ``FEW`` members of a hub are compared without that; members
@@ -283,28 +287,33 @@ def _stray_pairs(mixed: DataFrame) -> DataFrame:
 
 def _first_elements(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """For each member of a hub: sizes of its set and of its difference from
-    the hub, and the difference's first elements (see step 4)."""
+    the hub, and the difference's elements with their places: all of a member
+    outside the hub's component, else the early ones (see step 4)."""
     schema = T.StructType([family.schema[c] for c in ("hub", "id", "c", "out", "main")] + [
-        T.StructField("n", T.LongType()), T.StructField("delta", T.LongType()), T.StructField("element", T.LongType())])
+        T.StructField("n", T.LongType()), T.StructField("delta", T.LongType()), T.StructField("element", T.LongType()),
+        T.StructField("place", T.LongType()), T.StructField("early", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, sizes = [], []
-            for x, h in zip(batch.column("set_x"), batch.column("set_h"), strict=True):
+            for x, h, out in zip(batch.column("set_x"), batch.column("set_h"), batch.column("out").to_pylist(), strict=True):
                 x, h = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, h))
                 new = x[h[np.minimum(np.searchsorted(h, x), len(h) - 1)] != x]
                 gone = h[x[np.minimum(np.searchsorted(x, h), len(x) - 1)] != h]
                 delta = len(new) + len(gone)
-                # More than (delta + share * (hub - own size)) / 2 elements are common to a linked pair.
+                # More than (delta + share * (hub - own size)) / 2 elements are common to
+                # a linked pair whose other member is not linked to the hub.
                 least = ((100 + percent) * delta + (100 - percent) * (len(h) - len(x))) // (2 * (100 + percent))
-                first.append(np.concatenate([new, gone])[:delta - least])
-                sizes.append((len(x), delta))
+                first.append(np.concatenate([new, gone])[:delta if out else delta - least])
+                sizes.append((len(x), delta, delta - least))
             rows = np.repeat(np.arange(batch.num_rows), [len(f) for f in first])
             take = pa.array(rows)
-            n, delta = np.array(sizes, np.int64).reshape(-1, 2)[rows].T
+            n, delta, early = np.array(sizes, np.int64).reshape(-1, 3)[rows].T
+            place = np.concatenate([np.arange(len(f)) for f in first])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(take) for c in ("hub", "id", "c", "out", "main")), pa.array(n), pa.array(delta),
-                 pa.array(np.concatenate(first).view(np.int64))], names=schema.names)
+                 pa.array(np.concatenate(first).view(np.int64)), pa.array(place), pa.array(place < early)],
+                names=schema.names)
 
     joined = family.join(sets.select("id", F.col("set").alias("set_x")), "id").join(
         sets.select(F.col("id").alias("hub"), F.col("set").alias("set_h")), "hub")
@@ -338,8 +347,9 @@ def _family_pairs(near: DataFrame, groups: DataFrame | None, sets: DataFrame, pe
     first = settled(_first_elements(family.where(F.col("size") > FEW).drop("size"), sets, percent))
     x, y = sides(first, ["hub", "element"])
     many = x.where("out_x").join(y, ["hub", "element"]).where(
-        f"{fits} and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) and "
-        f"{100 + percent} * (delta_x + delta_y - 2 * least(delta_x, delta_y)) <= {100 - percent} * (n_x + n_y)")
+        f"{fits} and (not out_y or early_x and early_y) and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) and "
+        f"{100 + percent} * (delta_x + delta_y - 2 * least(delta_x - place_x, delta_y - place_y)) "
+        f"<= {100 - percent} * (n_x + n_y)")
     both = few.select("id_x", "id_y").unionByName(many.select("id_x", "id_y"))
     return both.select(F.greatest("id_x", "id_y").alias("a"), F.least("id_x", "id_y").alias("b"))
 

@@ -87,6 +87,42 @@ def test_rows_without_id_and_repeated_ids(spark, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def family_of(spark, sets, linked):
+    """Candidates among the members of hub 0, of which some are in its component."""
+    near = spark.createDataFrame([(i, 0, 0) for i in sets if i], "a long, b long, far long")
+    groups = spark.createDataFrame([(i, 0) for i in linked], "node long, component long")
+    frame = spark.createDataFrame([(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in sets.items()],
+                                  "id long, set binary")
+    return {(r.a, r.b) for r in neardup._family_pairs(near, groups, frame, 80).collect()}
+
+
+def like(a, b):
+    return 100 * len(a & b) >= 80 * len(a | b)
+
+
+@pytest.mark.parametrize("few, others", [(3, 4), (neardup.FEW, 70)])
+def test_member_outside_meets_one_linked_to_the_hub(spark, monkeypatch, few, others):
+    monkeypatch.setattr(neardup, "FEW", few)
+    hub = set(range(100))
+    sets = {0: hub, 1: hub - {0, 1, 2, 3} | set(range(1000, 1021)), 2: hub - {0, 1, 2}}
+    sets |= {3 + k: hub - {50} | {2000 + k} for k in range(others)}
+    assert not like(sets[1], hub) and like(sets[2], hub) and like(sets[1], sets[2])
+    assert (2, 1) in family_of(spark, sets, [i for i in sets if i not in (0, 1)])
+
+
+def test_no_link_of_a_family_is_lost(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "FEW", 3)
+    rng = random.Random(12)
+    hub = set(range(100))
+    sets, new = {0: hub}, list(range(1000, 1040))
+    for k in range(1, 150):
+        sets[k] = hub - set(rng.sample(range(25), rng.randrange(14))) | set(rng.sample(new, rng.randrange(30)))
+    linked = [i for i in sets if i and like(sets[i], hub)]
+    found = family_of(spark, sets, linked)
+    wanted = {(a, b) for a in sets for b in sets if a > b > 0 and like(sets[a], sets[b]) and not {a, b} <= set(linked)}
+    assert len(wanted) > 100 and wanted <= found
+
+
 def test_index_guarantees_the_signature_distance():
     rng = np.random.default_rng(9)
     limit = neardup.CHUNKS * (neardup.ERRORS + 1) - 1
