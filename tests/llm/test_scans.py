@@ -131,6 +131,32 @@ def test_network_finds_what_the_patterns_miss_and_spares_plain_runs():
     assert [s[0] for s in spans[0]] == ["model"] and spans[1] == []
 
 
+def test_thresholds_keep_the_recall_of_positives_that_look_plain():
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}" for a in ("river", "house", "stone", "light") for b in ("field", "yard", "work")]
+    found = [("password=", w + "1", " x") for w in words]  # assigned values like words: scores under a half
+    plain = [("the ", w, " is") for w in words]
+    x, more, y, shapes = secrets.examples(found, plain, n=600)
+    net = secrets.calibrate(secrets.train(x, more, y, epochs=1), x, more, y, shapes)
+    net.dense = rng.normal(0, 0.2, net.dense.shape).astype(np.float32)  # a poor network
+    net = secrets.calibrate(net, x, more, y, shapes)
+    scores = net.scores(x, more)
+    for k in range(secrets.SHAPES):
+        good, bad = (scores[(y == label) & (shapes == k)] for label in (1, 0))
+        assert (good >= net.thresholds[k]).mean() >= secrets.RECALL
+        assert net.false_positives[k] == ((bad >= net.thresholds[k]).mean() if len(bad) else None)
+    assert min(net.thresholds) < 0.5
+
+
+def test_drawn_positives_begin_at_the_least_candidate(monkeypatch):
+    sizes = []
+    window = secrets.window
+    monkeypatch.setattr(secrets, "window", lambda t, a, b: sizes.append(b - a) or window(t, a, b))
+    _, _, y, _ = secrets.examples([], [], n=1000)
+    assert min(n for n, label in zip(sizes, y, strict=True) if label) == secrets.MIN_RUN
+
+
+
 # --- decontamination -----------------------------------------------------
 
 ITEMS = [("b2", "One two three four five six seven eight nine ten eleven twelve"), ("b10", "quick Brown FOX"),
