@@ -6,7 +6,8 @@ components of the links.
 
 1. Each document gets its set's size, a digest of the set and a signature of
    ``CHUNKS * CHUNK`` MinHash values cut to one byte each. Documents with one
-   digest are one class, of which only the least id goes on.
+   digest are one class, of which only the least id goes on. A further class
+   of the same least id goes on under a number above all ids.
 2. Multi-index: signatures are split into chunks, and each chunk is indexed
    with every choice of ``ERRORS`` of its values left out. By the pigeonhole
    principle all pairs of signatures that differ in at most
@@ -68,7 +69,7 @@ VALUES = CHUNKS * CHUNK
 # Signatures of pairs at 80 % differ in 19.6 of 98 values on average, with a
 # deviation of 4; beyond 40 a pair is not worth its confirmation.
 FAR = 40
-# Up to so many ids pick their documents by a broadcast (8 MB), more by a shuffle.
+# Up to so many ids pick their documents by a broadcast (of ids and digests), more by a shuffle.
 BROADCAST_IDS = 1_000_000
 # Up to so many members of a hub are compared pair by pair, more by what they
 # share of their differences from the hub.
@@ -137,7 +138,7 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
     def work(texts: pa.Array) -> dict[str, object]:
         sets = shingle_hashes(*utf8(texts), width)
         return {"n": [len(s) for s in sets],
-                "digest": [hashlib.blake2b(s, digest_size=16).digest() if len(s) else None for s in sets],
+                "digest": [_digest(s) if len(s) else None for s in sets],
                 "sig": [x.tobytes() for x in signatures(sets)]}
 
     return map_texts(docs, "id", "t", [T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
@@ -179,10 +180,38 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, far long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int, have: DataFrame | None = None) -> DataFrame:
-    """The full sets of some documents, from their texts (and those at hand)."""
+def _digest(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s, digest_size=16).digest()
+
+
+def _numbered(by_digest: DataFrame) -> DataFrame:
+    """Classes (digest, class, n, sig) with their own numbers ``id``: the class's
+    least id for one class of each, numbers above all ids for its others."""
+    several = by_digest.groupBy("class").agg(F.min("digest").alias("first"), F.count("*").alias("k")).where("k > 1")
+    extra = settled(by_digest.select("digest", "class").join(several, "class").where("digest <> first").select("digest"))
+    n = extra.count()
+    if not n:
+        return by_digest.withColumn("id", F.col("class"))
+    top = by_digest.agg(F.max("class")).first()[0]
+    if top + n >= 1 << 63:
+        raise OverflowError(f"no room above the greatest id for the {n} further texts of repeated ids")
+    extra = extra.withColumn("at", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("at", 33)
+    starts, start = [], top + 1
+    for p, k in sorted(extra.groupBy(part.alias("p")).count().collect()):
+        starts.append((p, start))
+        start += k
+    numbers = extra.withColumn("p", part).join(
+        F.broadcast(extra.sparkSession.createDataFrame(starts, "p long, start long")), "p").select(
+        "digest", (F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("number"))
+    return by_digest.join(numbers, "digest", "left").withColumn("id", F.coalesce("number", "class")).drop("number")
+
+
+def _sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int, have: DataFrame | None = None) -> DataFrame:
+    """The full sets of some classes, from their texts (and those at hand)."""
     def work(texts: pa.Array) -> dict[str, object]:
-        return {"set": [s.tobytes() for s in shingle_hashes(*utf8(texts), width)]}
+        sets = shingle_hashes(*utf8(texts), width)
+        return {"set": [s.tobytes() for s in sets], "made": [_digest(s) for s in sets]}
 
     ids = ids.distinct()
     if have is not None:
@@ -191,9 +220,13 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int, have: DataFrame | None =
     n = ids.count()
     if have is not None and not n:
         return have
-    picked = docs.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "id", "left_semi")
-    made = map_texts(picked, "id", "t", [T.StructField("set", T.BinaryType())], work).groupBy("id").agg(
-        F.max(F.struct(F.length("set"), "set")).alias("x")).select("id", "x.set").checkpoint()
+    wanted = classes.join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "id", "left_semi").select(
+        F.col("class").alias("doc"), F.struct("id", "digest").alias("key"))
+    picked = docs.withColumnRenamed("id", "doc").join(F.broadcast(wanted) if n <= BROADCAST_IDS else wanted, "doc")
+    # A document of a repeated id can have another text than the class.
+    made = map_texts(picked, "key", "t", [T.StructField("set", T.BinaryType()), T.StructField("made", T.BinaryType())],
+                     work).where("made = key.digest").groupBy(F.col("key.id").alias("id")).agg(
+        F.max("set").alias("set")).checkpoint()
     return made if have is None else have.unionByName(made)
 
 
@@ -363,7 +396,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     described = _described(rows, width).checkpoint()
     by_digest = described.where("digest is not null and id is not null").groupBy("digest").agg(
         F.min("id").alias("class"), F.max("n").alias("n"), F.max("sig").alias("sig"))
-    classes = by_digest.select("digest", F.col("class").alias("id"), "n", "sig").checkpoint()
+    classes = _numbered(by_digest.checkpoint()).checkpoint()
     member_of = described.where("id is not null").select("id", "digest", "n").join(
         classes.select("digest", F.col("id").alias("class")), "digest", "left")
     # Rows with one id but several texts: their classes are linked.
@@ -372,21 +405,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     repeated = member_of.join(same_id.where("a < b or rows > 1").select("id", "a"), "id").where("class is not null") \
         .select("a", F.col("class").alias("b")).where("a < b").distinct()
 
-    single = classes.groupBy("id").agg(F.max(F.struct("n", "sig")).alias("x")).select("id", "x.n", "x.sig")
+    single = classes.select("id", "n", "sig")
     index = _index(classes.select("id", "sig"))
     live = index.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     members = index.join(live.select("key", "least"), "key").checkpoint()
     star = members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
     near = settled(_near(star, single, percent))
 
-    sets = _sets(rows, _ends(near), width)
+    sets = _sets(rows, classes, _ends(near), width)
     groups = _grown(None, repeated)
     groups = _links(near, sets, groups, percent)
     mixed = _mixed(members, near, groups)
     pairs = _stray_pairs(mixed).unionByName(_family_pairs(near, groups, sets, percent)).distinct()
     rest = settled(_apart(_near(pairs, single, percent), groups))
     if not rest.isEmpty():
-        groups = _links(rest, _sets(rows, _ends(rest), width, sets), groups, percent)
+        groups = _links(rest, _sets(rows, classes, _ends(rest), width, sets), groups, percent)
 
     found = described.select("id", "n", "digest").join(classes.select("digest", F.col("id").alias("class")), "digest", "left")
     if groups is not None:

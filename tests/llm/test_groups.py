@@ -87,6 +87,21 @@ def test_rows_without_id_and_repeated_ids(spark, no_docs):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_each_text_of_a_repeated_id_has_its_links(spark):
+    rng = random.Random(4)
+
+    def text(name, n):
+        return [f"{name}{rng.randrange(10**6)}" for _ in range(n)]
+
+    small, large, third, other = text("s", 60), text("l", 200), text("t", 90), text("o", 150)
+    docs = [(1, small), (1, large), (1, third), (2, small[:55]), (3, large[:190]), (4, third[:85]),
+            (5, other), (6, other), (6, small[:57]), (7, text("z", 40)), (8, small[5:]), (9, third[3:])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(df).collect()}
+    # 5 and 6 have one text, 6 and 1 are near: all but 7 hang together.
+    assert got == {(i, 1, i == 1) for i in (1, 2, 3, 4, 5, 6, 8, 9)} | {(7, 7, True)}
+
+
 def family_of(spark, sets, linked):
     """Candidates among the members of hub 0, of which some are in its component."""
     near = spark.createDataFrame([(i, 0, 0) for i in sets if i], "a long, b long, far long")
