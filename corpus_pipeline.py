@@ -8,8 +8,9 @@ last return the columns of documents:
 1. ``language_id``: documents without a letter, or without a language that the
    model can tell, go; the model is learned from the stage's documents;
 2. ``near_dedup``: of each group of near-duplicates (five-word shingles,
-   similarity 0.8 and more) the document of the least id stays; repeated rows
-   of one id become one row (the least by text, then the other columns);
+   similarity 0.8 and more) the document of the least id stays; rows of one
+   id and one text become one row (the least by the other columns), and rows
+   of one id with different texts are documents of their own;
    documents without an id all stay;
 3. ``decontamination``: documents with a passage of the benchmark go;
 4. ``secret_scan``: findings are replaced by a mark in the text, and ``n_chars``
@@ -42,16 +43,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     bound_batches(spark)
-    found = neardup.near_duplicates(docs)
-    kept = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("copies")).checkpoint()
-    once = docs.join(kept.where("copies = 1"), "doc_id", "left_semi")
-    repeated = kept.where("copies > 1")
-    if not repeated.isEmpty():
-        rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-        least = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
-            F.min(F.struct(F.col("text"), *rest)).alias("row"))
-        once = once.unionByName(least.select("doc_id", "row.*").select(*docs.columns))
-    return once.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    known, unknown = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    again = known.groupBy("doc_id").agg(F.count("*").alias("copies")).where("copies > 1").select("doc_id").checkpoint()
+    if again.isEmpty():
+        kept = neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
+        return known.join(kept, "doc_id", "left_semi").unionByName(unknown).select(*docs.columns)
+    # Each text of a repeated id is a document of its own, under a number.
+    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    least = known.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(
+        F.min(F.struct(F.col("text"), *rest)).alias("row"))
+    rows = known.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        least.select("doc_id", "row.*").select(*docs.columns))
+    digest = F.unhex(F.sha2(F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce(
+        F.concat(F.lit("t"), "text"), F.lit("null"))), 256))
+    rows = rows.select(digest.alias("digest"), F.struct(*docs.columns).alias("row")).checkpoint()
+    numbers = neardup.numbered(rows.select("digest", F.col("row.doc_id").cast("long").alias("class")))
+    rows = rows.join(numbers.select("digest", "id"), "digest").select("id", "row").checkpoint()
+    found = neardup.near_duplicates(rows.select("id", "row.text"), key="id")
+    heads = found.join(rows.select("id", "row.doc_id"), "id").groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "id")).alias("least")).select("least.id")
+    return rows.join(heads, "id", "left_semi").select("row.*").unionByName(unknown).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -184,7 +184,7 @@ def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s, digest_size=16).digest()
 
 
-def _numbered(by_digest: DataFrame) -> DataFrame:
+def numbered(by_digest: DataFrame) -> DataFrame:
     """Classes (digest, class, n, sig) with their own numbers ``id``: the class's
     least id for one class of each, numbers above all ids for its others."""
     several = by_digest.groupBy("class").agg(F.min("digest").alias("first"), F.count("*").alias("k")).where("k > 1")
@@ -396,7 +396,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     described = _described(rows, width).checkpoint()
     by_digest = described.where("digest is not null and id is not null").groupBy("digest").agg(
         F.min("id").alias("class"), F.max("n").alias("n"), F.max("sig").alias("sig"))
-    classes = _numbered(by_digest.checkpoint()).checkpoint()
+    classes = numbered(by_digest.checkpoint()).checkpoint()
     member_of = described.where("id is not null").select("id", "digest", "n").join(
         classes.select("digest", F.col("id").alias("class")), "digest", "left")
     # Rows with one id but several texts: their classes are linked.

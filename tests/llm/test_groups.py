@@ -321,6 +321,15 @@ def test_stages_on_edge_cases(spark, edge_docs, no_docs):
             assert len(rows) == len(TEXTS) + 1
 
 
+def test_near_dedup_keeps_other_texts_of_a_repeated_id(spark):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(1, a), (1, b), (1, b), (1, a + " end"), (2, a), (3, b), (7, b), (7, c), (9, c), (None, a), (4, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(str, map(tuple, corpus_pipeline.near_dedup(spark, df, SF).collect())))
+    either = [sorted(map(str, [(1, x), (1, b), (7, c), (None, a), (4, "z")])) for x in (a, a + " end")]
+    assert got in either
+
+
 def test_all_queries_are_registered():
     import __spark_entry__
 
