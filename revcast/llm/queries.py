@@ -77,6 +77,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import tampering_report
+
+    return tampering_report(table(spark, sf_dir, "documents"))
+
+
+def op12_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixture_report
+
+    return mixture_report(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import variants
+
+    return variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -88,4 +106,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_fingerprints": op9_fingerprints,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_mixture": op12_source_mixture,
+    "op13_spelling_variants": op13_spelling_variants,
 }
