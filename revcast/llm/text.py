@@ -8,6 +8,7 @@ so a task's memory is bounded by the slice, or by its longest document.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,21 +41,6 @@ WORD[ord("0"):ord("9") + 1] = True
 WORD[ord("a"):ord("z") + 1] = True
 WORD[128:] = True
 
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS = {"n": 0}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the hash base and of its inverse, mod 2^64."""
-    if _POWERS["n"] < n:
-        size = max(n, SLICE_BYTES + 1)
-        up, down = np.full(size, _BASE, np.uint64), np.full(size, _BASE_INVERSE, np.uint64)
-        up[0] = down[0] = 1
-        _POWERS.update(n=size, up=np.cumprod(up), down=np.cumprod(down))
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values over all bits (a bijection)."""
     h = h ^ (h >> np.uint64(32))
@@ -62,13 +48,37 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+# Keys of the span hash, and spans (in bytes) from which hashlib takes over.
+_KEYS = np.random.default_rng(20241203).integers(1, 1 << 63, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LONG = 256
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the spans ``values[start:end]``; equal spans have
-    equal hashes wherever they stand."""
-    up, down = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    equal hashes wherever they stand. Blocks of eight bytes are mixed in one after
+    the other under keys, so that no arithmetic of the letters carries over to
+    the hash; long spans are hashed by blake2b."""
+    width = values.dtype.itemsize
+    if width > 1:
+        values, starts, ends = np.ascontiguousarray(values).view(np.uint8), starts * width, ends * width
+    starts, sizes = np.asarray(starts, np.int64), np.asarray(ends, np.int64) - np.asarray(starts, np.int64)
+    padded = np.concatenate([values, np.zeros(8, np.uint8)])
+    words = np.ndarray(len(values) + 1, "<u8", padded, strides=(1,))
+    out = mix(sizes.astype(np.uint64) * _KEYS[0] + _KEYS[1])
+    long = np.flatnonzero(sizes > _LONG)
+    at = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+    done = 0
+    while len(at):
+        left = sizes[at] - done
+        block = words[starts[at] + done] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * np.minimum(left, 8).astype(np.uint64)))
+        h = (out[at] ^ block) * _KEYS[2]
+        out[at] = mix(mix(h ^ (h >> np.uint64(29))) + _KEYS[1])
+        done += 8
+        at = at[left > 8]
+    for i in long.tolist():
+        digest = hashlib.blake2b(values[starts[i]:starts[i] + sizes[i]], digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
