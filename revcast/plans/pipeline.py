@@ -107,7 +107,9 @@ class ForecastRun:
 
     @cached_property
     def _attributed_now(self) -> tuple[DataFrame, DataFrame]:
-        return attributed_facts(self.order_sources, self.crm_refs, broadcast_ceiling=self.cfg.broadcast_ceiling)
+        return attributed_facts(self.order_sources, self.crm_refs, broadcast_ceiling=self.cfg.broadcast_ceiling,
+                                # Written tables only: derived ones would be derived twice.
+                                profile=self.cfg.profile_fraction if self.fact_root else 0.0)
 
     @cached_property
     def fact_layer(self) -> Mapping[str, DataFrame]:
@@ -147,14 +149,16 @@ def build_forecasts(order_base: Mapping[str, DataFrame], crm_objects: Mapping[st
 
 
 def _code_version() -> str:
-    """Hash of every source file of the package: any code change lands
-    fresh layers."""
+    """Hash of the package's source files, but for the training-data operators,
+    which no layer depends on: any other code change lands fresh layers."""
     import hashlib
     import os
 
     here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
     for dirpath, _, files in sorted(os.walk(here)):
+        if os.path.relpath(dirpath, here).split(os.sep)[0] == "llm":
+            continue
         for f in sorted(files):
             if f.endswith(".py"):
                 h.update(os.path.relpath(os.path.join(dirpath, f), here).encode())
