@@ -8,8 +8,8 @@ a plain Spark join, so a chain of enrichment steps can be declared as data
 Physical strategy is left to Catalyst and AQE: a right side is broadcast
 only when the caller marks it as a bounded dimension *and* the optimizer's
 size estimate is under the ceiling; everything else is a shuffle join that
-AQE may still turn into a broadcast at runtime, and whose skewed partitions
-(e.g. the many rows with a null or 'unmapped' key) AQE splits.
+AQE may still turn into a broadcast at runtime. Rows with a null or hot key are
+split off there (``operators.skew``).
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import split_join
+
 log = logging.getLogger(__name__)
 
 DEFAULT_BROADCAST_CEILING = 64 * 1024 * 1024
@@ -43,6 +45,13 @@ def fits_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -> b
     return True
 
 
+def auto_broadcast_bytes(df: DataFrame) -> int:
+    """Up to which estimate the optimizer broadcasts a side by itself."""
+    text = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
+    return int(text[:-1] if unit else text) << unit
+
+
 def bounded_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -> DataFrame:
     """Broadcast hint for a side whose estimated size is under ``ceiling``.
 
@@ -70,16 +79,14 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     * Other names present on both sides get ``suffixes`` (left, right).
     * Output: left columns in order, then right columns in order.
 
-    ``null_salt > 1`` spreads left rows with a null key over that many
-    shuffle keys: in a shuffle join every null key hashes to one partition,
-    and unmapped rows can be a large share of a fact. Each such row gets a
-    deterministic salt (a hash of the ``salt_on`` columns, so a retried task
-    salts the same way; without them of all columns, which then all have to
-    be read) and the right rows with a null key are copied once per salt, so
-    every null-to-null match still happens exactly once. ``hot_values``
-    (single-key joins) are salted the same way, e.g. the 'unmapped'
-    placeholder of the account fallback. Where the right side is broadcast
-    there is no shuffle, and nothing is salted.
+    ``null_salt > 1`` splits off left rows with a null key, or one of the
+    ``hot_values`` (single-key joins), where the join has to shuffle: every null
+    key hashes to one partition, and unmapped rows can be a large share of a
+    fact. They meet the few right rows of these keys by a broadcast, and pass the
+    shuffle spread over that many salts (``skew.split_join``). A salt is a hash of
+    the ``salt_on`` columns, so a retried task salts the same way; without them of
+    all columns, which then all have to be read. Where the right side is small
+    enough to be broadcast there is no shuffle, and nothing is split.
     """
     lk, rk = _as_list(left_on), _as_list(right_on)
     if len(lk) != len(rk):
@@ -116,21 +123,14 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     lkeys = [lref(a) for a in lk]
     rkeys = [F.col(rt[rpos[b]]) for b in rk]
     preds = [(l.eqNullSafe(r) if null_safe else l == r) for l, r in zip(lkeys, rkeys)]
-    if null_salt and null_salt > 1:
-        l_null = reduce(lambda x, y: x | y, [c.isNull() for c in lkeys])
-        r_null = reduce(lambda x, y: x | y, [c.isNull() for c in rkeys])
-        if hot_values and len(lkeys) == 1:
-            l_null = l_null | F.coalesce(lkeys[0].isin(list(hot_values)), F.lit(False))
-            r_null = r_null | F.coalesce(rkeys[0].isin(list(hot_values)), F.lit(False))
-        l2 = l2.withColumn("__lsalt", F.when(l_null, F.pmod(F.xxhash64(*[lref(c) for c in salt_on or lcols]),
-                                                            F.lit(null_salt)))
-                           .otherwise(F.lit(0)).cast("int"))
-        r2 = r2.withColumn("__rsalt", F.explode(F.when(r_null, F.sequence(F.lit(0), F.lit(null_salt - 1)))
-                                                 .otherwise(F.array(F.lit(0)))))
-        preds.append(F.col("__lsalt") == F.col("__rsalt"))
-    joined = l2.join(r2, reduce(lambda x, y: x & y, preds), how)
+    values = {c: F.col(c) for c in rt}
+    if null_salt and null_salt > 1 and how == "left" and not fits_broadcast(r2, auto_broadcast_bytes(left)):
+        joined, values = split_join(l2, r2, lkeys, [rt[rpos[b]] for b in rk], hot_values, null_salt,
+                                    [lref(c) for c in salt_on or lcols], null_safe)
+    else:
+        joined = l2.join(r2, reduce(lambda x, y: x & y, preds), how)
     sel = [lref(c) if lname(c) == c else lref(c).alias(lname(c)) for c in lcols]
-    sel += [F.col(rt[i]).alias(rname(c)) for i, c in enumerate(rcols) if c not in same]
+    sel += [values[rt[i]].alias(rname(c)) for i, c in enumerate(rcols) if c not in same]
     return joined.select(*sel)
 
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections import ChainMap
 from collections.abc import Mapping
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import account_fallback, account_source
-from ..operators.joins import DEFAULT_BROADCAST_CEILING, DeriveSpec, JoinSpec, enrich
+from ..operators.joins import (DEFAULT_BROADCAST_CEILING, DeriveSpec, JoinSpec, auto_broadcast_bytes, enrich,
+                               fits_broadcast)
+from ..operators.skew import SHARE, key_profile
 
 
 def derive_account(df: DataFrame) -> DataFrame:
@@ -61,14 +64,43 @@ def attribute_orders(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=OR
     return enrich(keyed, catalog, chain, broadcast_ceiling).drop(PARTY_KEY)
 
 
+def hot_chain(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN, fraction: float = 0.01,
+              share: float = SHARE) -> tuple:
+    """The chain with the hot keys of each of its shuffle steps as ``hot_values``.
+
+    The steps' left keys are sketched all at once, in one pass of the plain chain
+    over a sample of the fact: keys of a step can come from the steps before. The
+    sample decides only which keys are split off, not what comes out. A chain
+    whose right tables are all small enough to broadcast is returned as it is."""
+    limit = auto_broadcast_bytes(fact)
+    shuffled = [i for i, s in enumerate(chain) if isinstance(s, JoinSpec) and s.null_salt > 1
+                and isinstance(s.left_on, str) and not fits_broadcast(catalog[s.right], limit)]
+    if not shuffled:
+        return chain
+    df = fact.sample(fraction, seed=17) if fraction < 1 else fact
+    df = df.withColumn(PARTY_KEY, F.col("BILL_TO_PARTY_ID").try_cast("long")) if PARTY_KEY not in df.columns else df
+    for i, spec in enumerate(chain):
+        if i in shuffled:
+            df = df.withColumn(f"__key_{i}", F.col(f"`{spec.left_on}`"))
+        df = enrich(df, catalog, [replace(spec, null_salt=0, unique=False) if isinstance(spec, JoinSpec) else spec])
+    found = key_profile(df, {str(i): F.col(f"__key_{i}") for i in shuffled}, share)
+    return tuple(replace(s, hot_values=tuple(dict.fromkeys([*s.hot_values, *(v for v in found[str(i)] if v is not None)])))
+                 if i in shuffled else s for i, s in enumerate(chain))
+
+
 def attributed_facts(order_src: Mapping[str, DataFrame], crm_src: Mapping[str, DataFrame],
-                     chain=ORDER_CHAIN,
-                     broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING) -> tuple[DataFrame, DataFrame]:
+                     chain=ORDER_CHAIN, broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING,
+                     profile: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """(revenue fact, TCV fact) after the chain; order and CRM tables share
-    one catalog, as the chain reads both."""
+    one catalog, as the chain reads both. ``profile``: the part of each fact
+    whose keys are sketched before (``hot_chain``); none by default."""
     cat = ChainMap(order_src, crm_src)
-    return (attribute_orders(order_src["revfact"], cat, chain, broadcast_ceiling),
-            attribute_orders(order_src["tcv"], cat, chain, broadcast_ceiling))
+
+    def attributed(name):
+        fact = order_src[name]
+        return attribute_orders(fact, cat, hot_chain(fact, cat, chain, profile) if profile else chain, broadcast_ceiling)
+
+    return attributed("revfact"), attributed("tcv")
 
 
 def null_fanout(catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN, fail: bool = False) -> DataFrame:

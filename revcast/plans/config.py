@@ -41,6 +41,9 @@ class ForecastConfig:
     # Above this many bytes (optimizer estimate) a side marked as a bounded
     # dimension is joined by shuffle instead of broadcast.
     broadcast_ceiling: int = 64 * 1024 * 1024
+    # Part of a fact whose keys are sketched for hot values before the order
+    # chain runs, where its right tables are too large to broadcast; 0: none.
+    profile_fraction: float = 0.01
 
     @property
     def as_of_date(self) -> _dt.date:
