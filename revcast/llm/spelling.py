@@ -41,14 +41,16 @@ from pyspark.sql import functions as F
 
 from .components import settled
 
-GROUPS, STEP = 12, 3
-PAGE = 20_000
+GROUPS, STEP = 24, 6
+PAGE = 200_000
 MIN_LENGTH, MIN_COUNT, DROP_ONE_IN, FACTOR = 5, 3, 97, 2
 RUN = re.compile("[A-Za-zÀ-ÿ]{%d,}" % MIN_LENGTH)
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 # Words that a task counts before it hands them on; pairs of a leaf compared one by one.
 HELD = 200_000
-FEW = 256
+FEW = 1024
+# Nodes of too many rows that are broadcast (there is one for each PAGE rows at most).
+BROADCAST_NODES = 100_000
 
 
 # --- words ----------------------------------------------------------------
@@ -96,40 +98,55 @@ def vectors(words: list[str]) -> np.ndarray:
     """How many letters of each word stand in each group, a row for each word."""
     flat = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     rows = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    return np.bincount(rows * GROUPS + flat % GROUPS, minlength=len(words) * GROUPS).reshape(-1, GROUPS)
+    return np.bincount(rows * GROUPS + flat % GROUPS, minlength=len(words) * GROUPS).reshape(-1, GROUPS).astype(np.int32)
 
 
-def reachable(counts: tuple[int, ...], surplus: int, deficit: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
-    """The nodes below one node that a word of these counts may reach, with
-    what is then left of surplus and deficit."""
-    if not counts:
-        yield (), surplus, deficit
-        return
-    for c, s, d in ((counts[0], surplus, deficit), (counts[0] + 1, surplus, deficit - 1), (counts[0] - 1, surplus - 1, deficit)):
-        if c >= 0 and s >= 0 and d >= 0:
-            for rest, s2, d2 in reachable(counts[1:], s, d):
-                yield (c, *rest), s2, d2
+def moves() -> list[tuple[list[int], int, int]]:
+    """The ways that ``STEP`` levels can differ from a word's counts: by nothing,
+    by one more or one less in one of them, or both. With what each
+    spends of the surplus (a node of one less) and of the deficit."""
+    none = [0] * STEP
+    ups = [none, *([int(i == k) for i in range(STEP)] for k in range(STEP))]
+    return [([x - y for x, y in zip(up, down, strict=True)], int(any(down)), int(any(up)))
+            for up in ups for down in ups if up != down or not any(up)]
+
+
+def node_of(counts: list[int]) -> str:
+    """The text that stands for the counts of some levels."""
+    return bytes(counts).hex() if max(counts) < 256 else ",".join(map(str, counts))
+
+
+def letters_of(node: str) -> int:
+    """How many letters the words of a node have on the levels down to it."""
+    return sum(sum(map(int, x.split(","))) if "," in x else sum(bytes.fromhex(x)) for x in node.split("/")[1:])
 
 
 _ROW = "node string, depth int, word string, n long, member boolean, surplus int, deficit int"
 
 
+_MOVES = moves()
+
+
 def _deeper(rows: list[tuple]) -> Iterator[tuple]:
     """The rows of nodes one step down. A member meets the other members of its
     own node there, and of the other nodes it visits the greater ones."""
-    made = vectors([r[2] for r in rows]).tolist()
-    for (node, depth, word, n, member, surplus, deficit), vector in zip(rows, made, strict=True):
-        own = tuple(vector[depth:depth + STEP])
-        for counts, s, d in reachable(own, surplus, deficit):
-            if not member or counts >= own:
-                yield f"{node}.{'.'.join(map(str, counts))}", depth + STEP, word, n, member and counts == own, s, d
+    made = vectors([r[2] for r in rows])
+    own = np.stack([v[r[1]:r[1] + STEP] for r, v in zip(rows, made, strict=True)])
+    member, surplus, deficit = (np.array([r[i] for r in rows]) for i in (4, 5, 6))
+    for move, less, more in _MOVES:
+        here = not any(move)
+        greater = not here and next(x for x in move if x) > 0
+        counts = own + move
+        go = (counts >= 0).all(axis=1) & (surplus >= less) & (deficit >= more) & (~member | here | greater)
+        for i, to in zip(np.flatnonzero(go).tolist(), counts[go].tolist(), strict=True):
+            node, depth, word, n, is_member, s, d = rows[i]
+            yield f"{node}/{node_of(to)}", depth + STEP, word, n, is_member and here, s - less, d - more
 
 
 def _split(rows: list[tuple]) -> Iterator[tuple]:
-    """The rows of whole vectors by first and by last letters: near words share
-    all but one of the shorter one's letters, so its first or its last half."""
+    """The rows of whole vectors by first and by last letters (see ``half``)."""
     for node, depth, word, *rest in rows:
-        k = max(1, (sum(map(int, node.split(".")[1:])) - 2) // 2)
+        k = half(letters_of(node))
         for piece in ("<" + word[:k], ">" + word[-k:]):
             yield node + piece, depth + STEP, word, *rest
 
@@ -167,17 +184,43 @@ def near(a: str, b: str) -> bool:
     return a[lo + (len(a) == len(b)):] == b[lo + 1:]
 
 
+def half(length: int) -> int:
+    """So many first or so many last letters a word of this length shares with
+    each near word: all but one of the shorter one's letters stand before or after the change."""
+    return max(1, (length - 2) // 2)
+
+
 def _verified(members: list[tuple[int, str]], visitors: list[tuple[int, str]]) -> Iterator[tuple[int, int]]:
-    """The near pairs of a leaf: one by one, or (where these are many) only those
-    that agree in all but one place."""
+    """The near pairs of a leaf, whose members have one length: those that share their
+    first or their last letters are compared, one by one or (where these are
+    many) if they agree in all but one place."""
+    k = half(len(members[0][1]))
     if len(members) * len(visitors) <= FEW:
+        groups = [(members, visitors, False)]
+    else:
+        groups = []
+        for last in (False, True):
+            at: dict[str, tuple[list, list]] = defaultdict(lambda: ([], []))
+            for side, words in enumerate((members, visitors)):
+                for i, word in words:
+                    at[word[-k:] if last else word[:k]][side].append((i, word))
+            groups += [(a, b, last) for a, b in at.values() if a and b]
+    for own, guests, last in groups:
+        for i, a, j, b in _alike(own, guests):
+            # What shares its first letters too has been found by them.
+            if not (last and a[:k] == b[:k]) and near(a, b):
+                yield i, j
+
+
+def _alike(members: list[tuple[int, str]], visitors: list[tuple[int, str]]) -> Iterator[tuple[int, str, int, str]]:
+    """All pairs, or if these are many those that agree in all but one place."""
+    if len(members) * len(visitors) <= 4 * FEW:
         for i, a in members:
             for j, b in visitors:
-                if near(a, b):
-                    yield i, j
+                yield i, a, j, b
         return
 
-    def keys(word: str) -> Iterator[tuple[int, int]]:
+    def keys(word: str) -> Iterator[tuple[int, int, int]]:
         up, down = [0], [0]  # hashes of all beginnings and, backwards, of all ends
         for x, y in zip(word, reversed(word), strict=True):
             up.append(hash((up[-1], x)))
@@ -191,18 +234,15 @@ def _verified(members: list[tuple[int, str]], visitors: list[tuple[int, str]]) -
     for i, a in members:
         for key in keys(a):
             at[key].append((i, a))
-    seen = set()
     for j, b in visitors:
+        found = {}
         for x, y, k in keys(b):
             # A letter replaced: one place left out in both. Left out in one: a gap in the other.
-            for i, a in at.get((x, y, k), ()) if k >= 0 else ():
-                if (i, j) not in seen and near(a, b):
-                    seen.add((i, j))
-                    yield i, j
-            for i, a in at.get((x, y, ~k), ()):
-                if (i, j) not in seen and near(a, b):
-                    seen.add((i, j))
-                    yield i, j
+            if k >= 0:
+                found.update(at.get((x, y, k), ()))
+            found.update(at.get((x, y, ~k), ()))
+        for i, a in found.items():
+            yield i, a, j, b
 
 
 def search(members: list[str], visitors: list[str], surplus: np.ndarray, deficit: np.ndarray,
@@ -243,6 +283,8 @@ _PAIR = "a string, n_a long, b string, n_b long"
 def _page(rows: pa.Table) -> pa.Table:
     words, n, member = rows["word"].to_pylist(), rows["n"].to_pylist(), rows["member"].to_numpy()
     own, guests = np.flatnonzero(member).tolist(), np.flatnonzero(~member).tolist()
+    if not own:
+        return pa.table([pa.array([], f) for f in (pa.string(), pa.int64()) * 2], names=["a", "n_a", "b", "n_b"])
     level = min(GROUPS, rows["depth"][0].as_py())
     every = own + guests
     found = search([words[i] for i in own], [words[i] for i in every], rows["surplus"].to_numpy()[every],
@@ -261,20 +303,19 @@ def near_pairs(words: DataFrame) -> DataFrame:
                         F.lit(1).alias("surplus"), F.lit(1).alias("deficit"))
     out = None
     for depth in range(0, GROUPS + 1, STEP):
-        rows = settled(_dealt(rows, _deeper if depth < GROUPS else _split))
-        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.max("member").alias("some"),
-                                         F.count_if("member").alias("own"))
-        rows = settled(rows.join(nodes.where("some and k > 1"), "node"))
-        page = rows if depth == GROUPS else rows.where(F.col("k") <= PAGE)
+        last = depth == GROUPS
+        rows = settled(_dealt(rows, _split if last else _deeper))
+        large = settled(rows.groupBy("node").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > PAGE).select("node"))
+        n = 0 if last else large.count()
+        large = F.broadcast(large) if n <= BROADCAST_NODES else large
+        page = rows.join(large, "node", "left_anti") if n else rows
         pairs = page.groupBy("node").applyInArrow(_page, _PAIR)
-        if depth == GROUPS:
-            # Two words can share their first and their last letters.
-            pairs = pairs.distinct()
-        pairs = settled(pairs)
+        # Two words can share their first and their last letters.
+        pairs = settled(pairs.distinct() if last else pairs)
         out = pairs if out is None else out.unionByName(pairs)
-        rows = settled(rows.where(F.col("k") > PAGE).drop("k", "some", "own"))
-        if rows.isEmpty():
-            break
+        if not n:
+            return out
+        rows = settled(rows.join(large, "node", "left_semi"))
     return out
 
 

@@ -258,15 +258,27 @@ def test_variants_of_edge_rows(spark, edge_docs, no_docs):
 
 def test_search_finds_all_near_pairs():
     rng = random.Random(7)
-    words = sorted(set(family(rng, "abcabc", 400, "abcmy")))  # m and y: groups of a and b
+    words = sorted(set(family(rng, "abcabc", 400, "abcy")))  # y: the group of a
     own, guests = words[::2], words[1::2]
     ones = np.ones(len(words), np.int64)
     found = {(own[i], (own + guests)[j]) for i, j in spelling.search(own, own + guests, ones, ones, 0)}
     assert found == {(a, b) for a in own for b in words if plain_near(a, b)}
-    members, visitors = list(enumerate(own)), list(enumerate(guests))
-    many = set(spelling._verified(members, visitors))
-    assert len(members) * len(visitors) > spelling.FEW
-    assert many == {(i, j) for i, a in members for j, b in visitors if plain_near(a, b)}
+    assert any(a != b and spelling.vectors([a]).tolist() == spelling.vectors([b]).tolist() for a, b in found)
+    visitors = list(enumerate(guests))
+    for length in {len(a) for a in own}:  # the members of a leaf have one length
+        members = [(i, a) for i, a in enumerate(own) if len(a) == length]
+        many = list(spelling._verified(members, visitors))
+        assert sorted(many) == [(i, j) for i, a in members for j, b in visitors if plain_near(a, b)]
+    assert any(4 * spelling.FEW < sum(len(a) == n for a in own) * len(guests) for n in range(20))
+
+
+def test_hot_leaf_is_compared_by_places_left_out():
+    rng = random.Random(8)
+    words = sorted({"start" + "".join(rng.choices("abc", k=6)) for _ in range(400)})
+    members, visitors = list(enumerate(words[::2])), list(enumerate(words[1::2]))
+    found = {(i, j) for i, a, j, b in spelling._alike(members, visitors)}
+    assert len(found) < len(members) * len(visitors) / 20
+    assert found == {(i, j) for i, a in members for j, b in visitors if plain_near(a, b)}
 
 
 @pytest.mark.parametrize("a, b, wanted", [
