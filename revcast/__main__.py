@@ -2,7 +2,7 @@
 
     python -m revcast --order-dir DIR --crm-dir DIR --out DIR --snapshot-date 2024-06-30 \\
         [--as-of "2024-06-30 12:00:00"] [--config cfg.json] [--fact-root DIR]
-        [--format parquet|csv]
+        [--format parquet|csv] [--sweep-days N]
 
 ``--order-dir`` holds one table per order-system base table and
 ``--crm-dir`` one per CRM object (names as in FIXTURES.md), plus optional
@@ -10,7 +10,10 @@
 The forecasts are written under ``--out/forecast/{fc,tcv}`` as the
 ``snapshot_date`` partition, and the enriched facts under ``--out/fact``.
 ``--config`` is a JSON object of ``ForecastConfig`` fields (cut-over
-periods, exclusion lists, ...); ``--as-of`` overrides its ``as_of``.
+periods, exclusion lists, ...); ``--as-of`` overrides its ``as_of``. A later
+run with the same inputs, parameters and code reads the tables below
+``--fact-root`` again; ``--sweep-days`` removes those of other runs that are
+older and in nobody's use.
 """
 
 from __future__ import annotations
@@ -39,6 +42,7 @@ def main(argv=None, spark=None) -> dict[str, str]:
     ap.add_argument("--fact-root", default=None, help="shared folder for the fact layer (written once)")
     ap.add_argument("--format", default="parquet", choices=("parquet", "csv"), help="format of the input tables")
     ap.add_argument("--layers", action="store_true", help="also write the full pulls and the curated sources")
+    ap.add_argument("--sweep-days", type=float, default=None, help="then remove fact layers older than so many days")
     a = ap.parse_args(argv)
     local = SparkConf().get("spark.master", "local[*]").startswith("local")
     spark = spark or get_spark(cluster=not local)
@@ -54,7 +58,10 @@ def main(argv=None, spark=None) -> dict[str, str]:
     cfg = dataclasses.replace(ForecastConfig(), **fields)
     run = ForecastRun(order, crm_objs, cfg, order.get("zero_party_dates"), order.get("zero_orders"),
                       fact_root=a.fact_root)
-    return write_forecasts(run, a.out, a.snapshot_date, layers=a.layers)
+    paths = write_forecasts(run, a.out, a.snapshot_date, layers=a.layers)
+    if a.fact_root and a.sweep_days is not None:
+        run.catalogue.sweep(keep=[run.fact_key], older_than=a.sweep_days * 86400)
+    return paths
 
 
 if __name__ == "__main__":

@@ -59,6 +59,7 @@ NULLABLE_INTS = {
     "crm_chain": ("Trx_Month", "Opp_CloseMonth"),
     "pipeline_tcv": ("Opp_CloseMonth",),
     "revenue_forecast": ("revFYFP", "Opp_CloseMonth"),
+    "fact_layer_reuse": ("FISCAL_YYYYMM",),
     "tcv_forecast": ("trxFYFP", "tcvFYFP", "Opp_CloseMonth"),
 }
 
@@ -556,6 +557,30 @@ def q_fact_layer_rerun(spark, sf_dir):
     return hashable(again.groupBy("FISCAL_YYYYMM").agg(F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("amount")))
 
 
+def q_fact_layer_reuse(spark, sf_dir):
+    """A second run with the same inputs, on frames read anew, opens the
+    tables of the first; ``copies`` counts what the catalogue holds of them."""
+    root = _scratch(spark, "reuse")
+
+    def run():
+        dc = DriverCatalog(spark, sf_dir)
+        return ForecastRun({n: getattr(dc, n)() for n in ORDER_BASE_TABLES}, {}, driver_config(),
+                           dc.zero_party_date_rules(), dc.zero_order_rules(), root)
+
+    first, second = run(), run()
+    names = ("billev", "tcv")
+    for one in (first, second):
+        made = [one.order_sources[n] for n in names]
+    copies = [len(first.catalogue.manifests(first.fact_key, "order_sources", n)) for n in names]
+    out = None
+    for name, df, k in zip(names, made, copies, strict=True):
+        one = df.groupBy("FISCAL_YYYYMM").agg(F.count(F.lit(1)).alias("n"), F.sum("Amount").alias("amount")).select(
+            F.lit(name).alias("extract"), "FISCAL_YYYYMM", "n", "amount", F.lit(k).cast("long").alias("copies"),
+            F.lit(first.fact_key == second.fact_key).alias("same_key"))
+        out = one if out is None else out.unionByName(one)
+    return hashable(out, NULLABLE_INTS["fact_layer_reuse"])
+
+
 def q_crm_json_export(spark, sf_dir):
     """Account records as JSON lines with their attributes record,
     read as a CRM export with its prefix."""
@@ -611,6 +636,7 @@ QUERIES: dict[str, Query] = {
     "latest_offering_ts": q_latest_offering_ts,
     "csv_roundtrip": q_csv_roundtrip,
     "fact_layer_rerun": q_fact_layer_rerun,
+    "fact_layer_reuse": q_fact_layer_reuse,
     "crm_json_export": q_crm_json_export,
     "layer_roundtrip": q_layer_roundtrip,
     "view_extract": q_view_extract,

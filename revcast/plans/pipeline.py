@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
+from contextlib import nullcontext
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame
 
@@ -49,9 +50,18 @@ class ForecastRun:
     def _layer(self, group: str, builders: dict) -> Mapping[str, DataFrame]:
         if self.fact_root is None:
             return LazyMap(builders)
-        from ..sources.landing import land
+        return self.catalogue.layer(self.fact_key, group, builders)
 
-        return land(self._spark(), builders, f"{self.fact_root.rstrip('/')}/{self.fact_key}/{group}")
+    @cached_property
+    def catalogue(self):
+        """The fact layers below the fact root."""
+        from ..sources.catalogue import Catalogue
+
+        return Catalogue(self._spark(), self.fact_root)
+
+    def lease(self):
+        """Keeps the run's fact layer from being swept while it is in use."""
+        return nullcontext() if self.fact_root is None else self.catalogue.lease(self.fact_key)
 
     @cached_property
     def fact_key(self) -> str:
@@ -148,6 +158,7 @@ def build_forecasts(order_base: Mapping[str, DataFrame], crm_objects: Mapping[st
     return ForecastRun(order_base, crm_objects, cfg, party_date_rules, order_rules).tables()
 
 
+@cache
 def _code_version() -> str:
     """Hash of the package's source files, but for the training-data operators,
     which no layer depends on: any other code change lands fresh layers."""
@@ -179,7 +190,8 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
     all up front, ``parallel_jobs`` at a time.
     """
     from ..sources.driver_tables import ORDER_BASE_TABLES, TABLES, DriverCatalog
-    from ..sources.landing import input_fingerprint, land, landing_root
+    from ..sources.catalogue import Catalogue
+    from ..sources.landing import input_fingerprint, landing_base
 
     dc = DriverCatalog(spark, sf_dir, cfg)
     base_b = {n: getattr(dc, n) for n in ORDER_BASE_TABLES}
@@ -187,14 +199,15 @@ def driver_run(spark, sf_dir: str, cfg: ForecastConfig | None = None, landed: bo
     if landed:
         key = input_fingerprint(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES],
                                 salt=_code_version() + repr(dc.p))
-        root = landing_root(spark, key)
-        base, objs = land(spark, base_b, f"{root}/order"), land(spark, objs_b, f"{root}/crm")
-        fact_root = f"{root}/facts" if facts else None
+        root = landing_base(spark)
+        catalogue = Catalogue(spark, root)
+        base, objs = catalogue.layer(key, "order", base_b), catalogue.layer(key, "crm", objs_b)
+        fact_root = root if facts else None
     else:
         base, objs = LazyMap(base_b), LazyMap(objs_b)
-        fact_root = None
+        key = fact_root = None
     run = ForecastRun(base, objs, dc.p, dc.zero_party_date_rules(), dc.zero_order_rules(), fact_root,
-                      fact_key="layer")  # the root's name holds inputs, parameters and code
+                      fact_key=key)  # of inputs, parameters and code
     if landed and prefetch:
         _prefetch(run, facts, parallel_jobs)
     return run
@@ -245,8 +258,14 @@ def write_forecasts(run: ForecastRun, out_root: str, snapshot_date, facts: bool
     Only that day's partition is replaced; earlier snapshots stay. Each fact
     is written once and read back, and both forecasts are built from the
     files. ``layers`` also writes the full pulls (``raw``) and the curated
-    order and CRM tables (``source``).
+    order and CRM tables (``source``). The run's fact layer is under a lease
+    meanwhile.
     """
+    with run.lease():
+        return _write_forecasts(run, out_root, snapshot_date, facts, layers)
+
+
+def _write_forecasts(run: ForecastRun, out_root: str, snapshot_date, facts: bool, layers: bool) -> dict[str, str]:
     from ..sources.sinks import write_layer, write_snapshot
 
     paths: dict[str, str] = {}

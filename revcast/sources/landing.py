@@ -5,20 +5,19 @@ the forecast read the landed files. Here the landed tables live in the
 cluster's shared checkpoint folder (``spark.checkpoint.dir``), keyed by the
 input files and the version of the code that derived them, so a rerun on
 the same inputs reads them instead of re-deriving them, and every forecast
-plan starts from short lineage and well-split parquet.
+plan starts from short lineage and well-split parquet. This module makes the
+keys; ``catalogue`` keeps the tables.
 """
 
 from __future__ import annotations
 
 import hashlib
-import threading
-import uuid
-from collections.abc import Callable, Mapping
+import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans._lazy import LazyMap
 from ..session import ensure_checkpoint_dir
 
 
@@ -28,11 +27,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
 def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") -> str:
     """Hash of the paths, sizes and modification times of all input files,
     those in nested folders (partitions) included."""
@@ -47,17 +41,23 @@ def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") ->
     return h.hexdigest()[:20]
 
 
+# What a plan's text says of this process alone: expression ids, plan ids, objects.
+_PROCESS = re.compile(r"#\d+L?|plan_id=\d+|@[0-9a-f]+|\$\$Lambda[^\s,)\]]*")
+
+
 def frame_fingerprint(df: DataFrame) -> str:
-    """Hash that stands for a frame's rows: its plan and schema, and its input
-    files, or (without files) its values, summed up in one aggregate."""
+    """Hash that stands for a frame's rows, the same in every process: its schema, the
+    text of its plan and its input files, or (where rows do not all come from
+    files) its values, summed up in one aggregate."""
     spark = df.sparkSession
+    plan = _PROCESS.sub("", df._jdf.queryExecution().analyzed().toString())
     files = df.inputFiles()
-    if files:
-        what = input_fingerprint(spark, files)
+    if files and not re.search("LocalRelation|LogicalRDD|ExternalRDD|OneRowRelation", plan):
+        what = input_fingerprint(spark, files, salt=plan)
     else:
         value = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
         what = str(tuple(df.agg(F.count(F.lit(1)), F.sum(value.cast("decimal(38,0)")), F.bit_xor(value)).first()))
-    return hashlib.sha1(f"{df.schema.json()}|{df.semanticHash() if files else ''}|{what}".encode()).hexdigest()
+    return hashlib.sha1(f"{df.schema.json()}|{what}".encode()).hexdigest()
 
 
 def inputs_key(frames: Mapping[str, DataFrame], *more: object) -> str:
@@ -70,47 +70,14 @@ def inputs_key(frames: Mapping[str, DataFrame], *more: object) -> str:
     return h.hexdigest()[:20]
 
 
-def land(spark: SparkSession, builders: Mapping[str, Callable[[], DataFrame]], root: str) -> LazyMap:
-    """Name -> landed table; each is written (parquet) on first use unless a
-    complete copy is already under ``root``, whose name has to stand for all
-    that the tables depend on. Safe to use from several driver threads: a
-    table is written by one of them."""
-
-    locks = {n: threading.Lock() for n in builders}
-
-    def loader(name, build):
-        def load():
-            path = f"{root}/{name}"
-            with locks[name]:  # one writer per table when landing from threads
-                found = _complete(spark, path)
-                if found is None:
-                    build().write.parquet(f"{path}/v-{uuid.uuid4().hex}")
-                    found = _complete(spark, path)
-                return spark.read.parquet(found)
-        return load
-
-    return LazyMap({n: loader(n, b) for n, b in builders.items()})
-
-
-def _complete(spark: SparkSession, path: str) -> str | None:
-    """The finished copy of a table that all readers take: of several (two
-    drivers at once) the first by name. Nothing is renamed or deleted, so a
-    copy under way is never touched."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    copies = sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
-    return next((c for c in copies if path_exists(spark, f"{c}/_SUCCESS")), None)
-
-
-def landing_root(spark: SparkSession, key: str) -> str:
-    """Folder for one landed set.
+def landing_base(spark: SparkSession) -> str:
+    """Folder of the landed layers.
 
-    ``revcast.landing.dir`` when set, else the cluster's shared
+    Below ``revcast.landing.dir`` when set, else the cluster's shared
     ``spark.checkpoint.dir`` itself (so a restarted driver finds the layers
     of the same inputs and code again), else the session's checkpoint
     folder (tests, local runs).
     """
     base = (spark.conf.get("revcast.landing.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
             or ensure_checkpoint_dir(spark))
-    return f"{base.rstrip('/')}/landing/{key}"
+    return f"{base.rstrip('/')}/landing"

@@ -80,28 +80,6 @@ def test_sql_extracts_over_views(spark):
         read_sql_extracts(spark, {"x": {"sql": sql, "finalcols": ["MISSING"]}})
 
 
-def test_landing_reuses_complete_tables_and_ignores_partial(spark, tmp_path):
-    from revcast.sources import landing as L
-
-    root = str(tmp_path / "land")
-    calls = []
-
-    def build():
-        calls.append(1)
-        return spark.createDataFrame([(1,), (2,)], "k int")
-
-    assert L.land(spark, {"t": build}, root)["t"].count() == 2
-    assert L.land(spark, {"t": build}, root)["t"].count() == 2 and len(calls) == 1  # a later run finds it
-    # a copy under way is left alone, and a second complete copy changes nothing
-    (tmp_path / "land" / "t" / "v-0").mkdir()
-    first = L._complete(spark, f"{root}/t")
-    spark.createDataFrame([(9,)], "k int").write.parquet(f"{root}/t/v-zzzz")
-    assert L._complete(spark, f"{root}/t") == first
-    assert sorted(r[0] for r in L.land(spark, {"t": build}, root)["t"].collect()) == [1, 2]
-    assert (tmp_path / "land" / "t" / "v-0").exists() and len(calls) == 1
-    assert [p.name for p in (tmp_path / "land").iterdir()] == ["t"]
-
-
 def test_csv_fields_with_quotes_separators_and_line_breaks(spark):
     import csv
 
