@@ -3,6 +3,7 @@
     python -m revcast --order-dir DIR --crm-dir DIR --out DIR --snapshot-date 2024-06-30 \\
         [--as-of "2024-06-30 12:00:00"] [--config cfg.json] [--fact-root DIR]
         [--format parquet|csv] [--sweep-days N]
+        [--quarantine DIR]
 
 ``--order-dir`` holds one table per order-system base table and
 ``--crm-dir`` one per CRM object (names as in FIXTURES.md), plus optional
@@ -13,7 +14,9 @@ The forecasts are written under ``--out/forecast/{fc,tcv}`` as the
 periods, exclusion lists, ...); ``--as-of`` overrides its ``as_of``. A later
 run with the same inputs, parameters and code reads the tables below
 ``--fact-root`` again; ``--sweep-days`` removes those of other runs that are
-older and in nobody's use.
+older and in nobody's use. A broken CSV record ends the run; with
+``--quarantine`` such records go to a table there, and the run ends only if kept and
+rejected ones don't add up to those read.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from .plans.config import ForecastConfig
 from .plans.pipeline import ForecastRun, write_forecasts
 from .session import get_spark
 from .sources.readers import load_directory
+from .sources.rejects import Quarantine
 from .sources.schemas import crm_schemas, order_schemas
 
 
@@ -43,11 +47,18 @@ def main(argv=None, spark=None) -> dict[str, str]:
     ap.add_argument("--format", default="parquet", choices=("parquet", "csv"), help="format of the input tables")
     ap.add_argument("--layers", action="store_true", help="also write the full pulls and the curated sources")
     ap.add_argument("--sweep-days", type=float, default=None, help="then remove fact layers older than so many days")
+    ap.add_argument("--quarantine", default=None, help="folder for the records of CSV inputs that can't be read")
     a = ap.parse_args(argv)
     local = SparkConf().get("spark.master", "local[*]").startswith("local")
     spark = spark or get_spark(cluster=not local)
-    order = load_directory(spark, a.order_dir, order_schemas(), fmt=a.format)
-    crm_objs = load_directory(spark, a.crm_dir, crm_schemas(), fmt=a.format)
+    aside = {"order": None, "crm": None}
+    if a.quarantine:
+        aside = {side: Quarantine(spark, f"{a.quarantine.rstrip('/')}/{side}") for side in aside}
+    how = {side: {"on_reject": "quarantine" if q else "fail", "quarantine": q} for side, q in aside.items()}
+    order = load_directory(spark, a.order_dir, order_schemas(), fmt=a.format, **how["order"])
+    crm_objs = load_directory(spark, a.crm_dir, crm_schemas(), fmt=a.format, **how["crm"])
+    for q in filter(None, aside.values()):
+        q.reconcile()
     fields = {}
     if a.config:
         with open(a.config) as fh:

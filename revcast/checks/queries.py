@@ -40,6 +40,7 @@ from ..plans.crm import bill_party_ref, opportunity_account_ref
 from ..plans.pipeline import ForecastRun, driver_run
 from ..session import ensure_checkpoint_dir
 from ..sources.driver_tables import ORDER_BASE_TABLES, DriverCatalog, load_tables, money
+from ..sources.rejects import Quarantine
 from ..sources.readers import load_directory, read_crm_export, read_sql_extracts
 from ..sources.sinks import LAYERS, read_snapshot, write_layer, write_ordered, write_snapshot
 
@@ -591,6 +592,28 @@ def q_crm_json_export(spark, sf_dir):
     return read_crm_export(spark, root, schema, prefix=K.CRM_PREFIXES["Ref_Acct"])
 
 
+def q_reject_report(spark, sf_dir):
+    """Orders as JSON lines and as CSV, with lines cut short (one in 13)
+    and amounts that are none (one in 17): what the readers kept and what went to
+    the quarantine, each counted on its own."""
+    root, k = _scratch(spark, "rejects"), F.col("o_orderkey")
+    o = _tables(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", money("o_totalprice").alias("amount"))
+    line = F.to_json(F.struct(*o.columns))
+    o.select(F.when(k % 13 == 0, F.substring(line, 1, 12)).otherwise(line)).write.text(f"{root}/json")
+    o.withColumn("amount", F.when(k % 17 == 0, F.lit("n/a")).otherwise(F.col("amount").cast("string"))) \
+        .withColumn("note", F.lit("two\nlines")).write.csv(f"{root}/csv/orders_csv", header=True, quote='"', escape='"')
+    q = Quarantine(spark, f"{root}/quarantine")
+    kept = {"orders_json": read_crm_export(spark, f"{root}/json", o.schema, on_reject="quarantine", quarantine=q,
+                                           source="orders_json"),
+            **load_directory(spark, f"{root}/csv", {"orders_csv": o.schema}, fmt="csv", on_reject="quarantine", quarantine=q)}
+    sums = None
+    for source, df in kept.items():
+        one = df.agg(F.sum("amount").alias("amount")).select(F.lit(source).alias("source"), "amount")
+        sums = one if sums is None else sums.unionByName(one)
+    reasons = q.rows().groupBy("source").agg(F.max("reason").alias("reason"))
+    return hashable(q.report().join(sums, "source").join(reasons, "source"))
+
+
 def q_layer_roundtrip(spark, sf_dir):
     """One table written to each output layer and read back."""
     root = _scratch(spark, "layers")
@@ -638,6 +661,7 @@ QUERIES: dict[str, Query] = {
     "fact_layer_rerun": q_fact_layer_rerun,
     "fact_layer_reuse": q_fact_layer_reuse,
     "crm_json_export": q_crm_json_export,
+    "reject_report": q_reject_report,
     "layer_roundtrip": q_layer_roundtrip,
     "view_extract": q_view_extract,
     "ordered_sink": q_ordered_sink,

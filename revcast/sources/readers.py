@@ -13,7 +13,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from .csv_records import CORRUPT, read_text_columns
+from .rejects import Quarantine, split_rows
 
 
 def read_sql_extract(spark: SparkSession, url: str, sql: str, properties: Mapping[str, str],
@@ -58,13 +61,22 @@ def read_sql_extracts(spark: SparkSession, specs: Mapping[str, Mapping]) -> dict
 
 
 def read_crm_export(spark: SparkSession, path: str, schema: StructType,
-                    prefix: str | None = None, drop=("attributes",)) -> DataFrame:
+                    prefix: str | None = None, drop=("attributes",), on_reject: str = "fail",
+                    quarantine: Quarantine | None = None, source: str | None = None) -> DataFrame:
     """CRM object records landed as JSON lines (one record per line).
 
     The per-record ``attributes`` struct is dropped and every column gains
-    ``prefix`` (P5), as the original did after each API pull.
+    ``prefix`` (P5), as the original did after each API pull. A line that is no
+    record of this schema ends the job, or goes to the ``quarantine`` under the name
+    ``source`` (``on_reject``, see ``rejects``).
     """
-    df = spark.read.schema(schema).json(path)
+    if (on_reject == "quarantine") != (quarantine is not None):
+        raise ValueError("on_reject='quarantine' goes with a quarantine")
+    whole = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    read = spark.read.schema(whole).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    df, rejected = split_rows(read, CORRUPT, None, on_reject)
+    if rejected is not None:
+        df = quarantine.add(source or os.path.basename(path.rstrip("/")), read, df, rejected)
     df = df.drop(*[d for d in drop if d in df.columns])
     if prefix:
         df = df.toDF(*[prefix + c for c in df.columns])
@@ -96,34 +108,22 @@ def _list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
-def _typed(df: DataFrame, schema: StructType | None) -> DataFrame:
-    """Text columns cast to the schema's types, by name. Whole numbers may be
-    written with a fraction of zero (a column with missing values)."""
-    if schema is None:
-        return df
-
-    def cast(f):
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, IntegralType):
-            c = c.cast("decimal(38,6)")
-        return c.cast(f.dataType).alias(f.name)
-
-    types = {f.name: f for f in schema.fields}
-    return df.select(*[cast(types[c]) if c in types else F.col(f"`{c}`") for c in df.columns])
-
-
 def load_directory(spark: SparkSession, path: str, schemas: Mapping[str, StructType] | None = None,
-                   fmt: str = "parquet", skip=("hist",), encoding: str = "ISO-8859-1") -> dict[str, DataFrame]:
+                   fmt: str = "parquet", skip=("hist",), encoding: str = "ISO-8859-1", on_reject: str = "fail",
+                   quarantine: Quarantine | None = None) -> dict[str, DataFrame]:
     """Every entry of a directory becomes a table named after it.
 
     Entries named in ``skip`` are ignored. CSV is read with a header and
     ISO-8859-1, as dataframe libraries write it: a doubled quote stands for
-    a quote, and fields may hold separators and line breaks. Its columns are
-    matched with the schema by name and cast; columns without one are text.
-    Such a file is read by one task, so large tables belong in parquet,
-    which carries its own schema. Listing the directory is metadata only;
-    the data is read by the executors.
+    a quote, and fields may hold separators and line breaks, over which large
+    files are split all the same (``csv_records``). Its columns are matched with
+    the schema by name and cast; columns without one are text. Rows with too
+    many or too few fields, or a text that can't be cast, end the job or go to
+    the ``quarantine`` (``on_reject``, see ``rejects``). Listing the directory is
+    metadata only; the data is read by the executors.
     """
+    if (on_reject == "quarantine") != (quarantine is not None):
+        raise ValueError("on_reject='quarantine' goes with a quarantine")
     out = {}
     for entry in _list_names(spark, path):
         name = os.path.splitext(entry)[0]
@@ -131,8 +131,10 @@ def load_directory(spark: SparkSession, path: str, schemas: Mapping[str, StructT
             continue
         full = os.path.join(path, entry)
         if fmt == "csv":
-            df = spark.read.csv(full, header=True, encoding=encoding, quote='"', escape='"', multiLine=True)
-            out[name] = _typed(df, (schemas or {}).get(name))
+            read = read_text_columns(spark, full, encoding)
+            out[name], rejected = split_rows(read, CORRUPT, (schemas or {}).get(name), on_reject)
+            if rejected is not None:
+                out[name] = quarantine.add(name, read, out[name], rejected)
         else:
             out[name] = spark.read.format(fmt).load(full)
     return out
