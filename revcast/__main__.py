@@ -7,7 +7,8 @@
 
 ``--order-dir`` holds one table per order-system base table and
 ``--crm-dir`` one per CRM object (names as in FIXTURES.md), plus optional
-``zero_party_dates`` / ``zero_orders`` rule tables among the order tables.
+``zero_party_dates`` / ``zero_orders`` / ``zero_rules`` (open fields are null) rule
+tables among the order tables.
 The forecasts are written under ``--out/forecast/{fc,tcv}`` as the
 ``snapshot_date`` partition, and the enriched facts under ``--out/fact``.
 ``--config`` is a JSON object of ``ForecastConfig`` fields (cut-over
@@ -68,7 +69,7 @@ def main(argv=None, spark=None) -> dict[str, str]:
         fields["as_of"] = a.as_of
     cfg = dataclasses.replace(ForecastConfig(), **fields)
     run = ForecastRun(order, crm_objs, cfg, order.get("zero_party_dates"), order.get("zero_orders"),
-                      fact_root=a.fact_root)
+                      fact_root=a.fact_root, open_rules=order.get("zero_rules"))
     paths = write_forecasts(run, a.out, a.snapshot_date, layers=a.layers)
     if a.fact_root and a.sweep_days is not None:
         run.catalogue.sweep(keep=[run.fact_key], older_than=a.sweep_days * 86400)

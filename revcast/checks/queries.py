@@ -32,7 +32,9 @@ from ..operators.aggregates import column_census
 from ..operators.dedup import latest_per_key
 from ..operators.joins import (DeriveSpec, JoinSpec, anti_join, bounded_broadcast, enrich, fanout_report,
                               left_enrich)
+from ..operators.lists import BROADCAST_VALUES, exclude_table
 from ..operators.projection import move_first
+from ..operators.rule_match import match_rules
 from ..plans import orders as O
 from ..plans.attribution import null_fanout
 from ..plans.config import driver_config
@@ -310,6 +312,46 @@ def q_exclude_drop_null(spark, sf_dir):
     return c.where(exclude_drop_null("name", cfg.test_accounts))
 
 
+def _mask_rules(orders):
+    """Rules by customer, day and order, one in 50 orders, with each of the eight
+    masks of given fields in turn; the order's key is the rule's number."""
+    k = F.col("o_orderkey")
+    mask = F.floor(k / 50) % 8
+
+    def given(bit, c):
+        return F.when(F.floor(mask / bit) % 2 == 1, F.col(c)).alias(c)
+
+    return orders.where(k % 50 == 0).select(given(1, "o_custkey"), given(2, "o_orderdate"), given(4, "o_orderkey"),
+                                            k.alias("number"))
+
+
+def q_rule_masks(spark, sf_dir):
+    """Rules with open fields; of those that fit an order the most
+    special mask and its least number."""
+    o = _tables(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
+    fields = {c: c for c in ("o_custkey", "o_orderdate", "o_orderkey")}
+    made = match_rules(o, _mask_rules(o), fields, value="number")
+    return made.select("o_orderkey", "rule_mask", F.col("rule_value").alias("number"))
+
+
+def q_exclude_table(spark, sf_dir):
+    """exclusion lists in a table, with and without nulls on both sides,
+    in both null regimes, by broadcast and behind a Bloom filter."""
+    o = _tables(spark, sf_dir)["orders"]
+    k = F.col("o_orderkey")
+    rows = o.select(k, F.when(k % 10 != 0, F.col("o_custkey")).alias("customer"))
+    some = o.where(k % 3 == 0).select(F.col("o_custkey").alias("customer"))
+    null = o.where(k % 3 == 0).select(F.when(k % 6 != 0, F.col("o_custkey")).alias("customer"))
+    out = None
+    for name, listed, keep in (("keep", some, True), ("keep, null listed", null, True), ("drop", some, False),
+                               ("drop, null listed", null, False)):
+        for how, most in (("broadcast", BROADCAST_VALUES), ("bloom", 0)):
+            one = exclude_table(rows, "customer", listed, keep_null=keep, broadcast_values=most).select(
+                F.lit(name).alias("regime"), F.lit(how).alias("how"), "o_orderkey", F.col("customer").cast("double").alias("customer"))
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_include_list(spark, sf_dir):
     """transactions of the listed types, per type and month."""
     tx = DriverCatalog(spark, sf_dir).transactions()
@@ -680,6 +722,8 @@ QUERIES: dict[str, Query] = {
     "key_cast": q_key_cast,
     "exclude_keep_null": q_exclude_keep_null,
     "exclude_drop_null": q_exclude_drop_null,
+    "rule_masks": q_rule_masks,
+    "exclude_table": q_exclude_table,
     "include_list": q_include_list,
     "period_range": q_period_range,
     "prefix_match": q_prefix_match,

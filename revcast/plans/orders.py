@@ -14,6 +14,7 @@ the later steps address columns by them.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from ..functions.rules import apply_overrides, hold_category, revenue_type_by_da
 from ..functions.semantics import exclude_drop_null, product_key, trim_to_null
 from ..operators.joins import bounded_broadcast, left_enrich
 from ..operators.projection import project_strict, rename_map, project_lenient
+from ..operators.rule_match import match_rules
 from ..operators.sets import union_by_name
 from ._lazy import LazyMap
 from .config import ForecastConfig
@@ -184,15 +186,33 @@ def recognised_deferred_fact(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
     return out.withColumn("Revenue Type ID", revenue_type_by_date(_c("Transaction Date"), F.lit(cfg.as_of)))
 
 
+def zero_rules(party_date_rules: DataFrame | None = None, order_rules: DataFrame | None = None,
+               open_rules: DataFrame | None = None) -> DataFrame | None:
+    """One rule table (party_id, date_field, order_header_id; null: any) of rules by
+    party and day, rules by order, and rules that have open fields already. In the first
+    two a null fits nothing, as in a join."""
+    parts = []
+    if party_date_rules is not None:
+        parts.append(party_date_rules.where("party_id is not null and date_field is not null").select(
+            "party_id", "date_field", F.lit(None).cast("long").alias("order_header_id")))
+    if order_rules is not None:
+        parts.append(order_rules.where("order_header_id is not null").select(
+            F.lit(None).cast("long").alias("party_id"), F.lit(None).cast("date").alias("date_field"), "order_header_id"))
+    if open_rules is not None:
+        parts.append(open_rules.select("party_id", "date_field", "order_header_id"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def contracted_tcv_fact(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
-                        order_rules: DataFrame | None = None) -> DataFrame:
+                        order_rules: DataFrame | None = None, open_rules: DataFrame | None = None) -> DataFrame:
     """A3: open and closed order value per product, customer, rep, day and
     order, and their total, zeroed where a rule says the order was already
     invoiced.
 
-    Rules are small tables: ``party_date_rules(party_id, date_field)`` and
-    ``order_rules(order_header_id)``. They are de-duplicated and joined as
-    flags, so a row hit by several rules is still one row.
+    Rules come as ``party_date_rules(party_id, date_field)``,
+    ``order_rules(order_header_id)`` or ``open_rules`` with all three fields, of which
+    any may be open (null). A row hit by several rules is still one row
+    (``operators.rule_match``).
     """
     pd_ = cat["pipeline_detail"]
     dt = _dates(cat, cfg, cfg.contract_min_period, cfg.contract_max_period)
@@ -218,23 +238,16 @@ def contracted_tcv_fact(cat: Catalog, cfg: ForecastConfig, party_date_rules: Dat
     out = f.groupBy(*[_c(k) for k in _PIPELINE_KEYS]).agg(
         F.sum("open_order_amount").alias("Open Order Amount"),
         F.sum("closed_order_amount").alias("Closed Order Amount"))
-    hit = F.lit(False)
-    if party_date_rules is not None:
-        r = bounded_broadcast(party_date_rules.select(
-            F.col("party_id").alias("_zr_party"), F.col("date_field").alias("_zr_date"),
-            F.lit(True).alias("_zr_hit1")).distinct(), cfg.broadcast_ceiling)
-        out = out.join(r, (out.BILL_TO_PARTY_ID == r._zr_party) & (_c("Transaction Date") == r._zr_date),
-                       "left").drop("_zr_party", "_zr_date")
-        hit = hit | F.coalesce(F.col("_zr_hit1"), F.lit(False))
-    if order_rules is not None:
-        r2 = bounded_broadcast(order_rules.select(
-            F.col("order_header_id").alias("_zr_order"), F.lit(True).alias("_zr_hit2")).distinct(),
-            cfg.broadcast_ceiling)
-        out = out.join(r2, out.ORDER_HEADER_ID == r2._zr_order, "left").drop("_zr_order")
-        hit = hit | F.coalesce(F.col("_zr_hit2"), F.lit(False))
+    rules = zero_rules(party_date_rules, order_rules, open_rules)
     total = _c("Closed Order Amount") + _c("Open Order Amount")
-    out = out.withColumn("Amount", F.when(hit, F.lit(0).cast("decimal(18,2)")).otherwise(total))
-    return (out.drop(*[c for c in ("_zr_hit1", "_zr_hit2") if c in out.columns])
+    if rules is None:
+        return out.withColumn("Amount", total).withColumn("Revenue Type ID", F.lit(K.CONTRACT_TYPE))
+    # Of the two tables of given fields each has its mask; rules with open fields are looked at.
+    known = {0b011: None, 0b100: None} if open_rules is None else None
+    out = match_rules(out, rules, {"party_id": "BILL_TO_PARTY_ID", "date_field": "Transaction Date",
+                                   "order_header_id": "ORDER_HEADER_ID"}, out="zero", masks=known)
+    amount = F.when(F.col("zero_mask").isNotNull(), F.lit(0).cast("decimal(18,2)")).otherwise(total)
+    return (out.withColumn("Amount", amount).drop("zero_mask")
             .withColumn("Revenue Type ID", F.lit(K.CONTRACT_TYPE)))
 
 
@@ -324,7 +337,8 @@ def order_opportunity_map(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
 
 
 def order_sources(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
-                  order_rules: DataFrame | None = None, wrap=None) -> Mapping[str, DataFrame]:
+                  order_rules: DataFrame | None = None, wrap=None,
+                  open_rules: DataFrame | None = None) -> Mapping[str, DataFrame]:
     """The order-side tables the forecasts read.
 
     ``tcv``, ``billev``, ``defrecrev``, ``reforderopp``, ``poh`` (holds with
@@ -335,7 +349,7 @@ def order_sources(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame
     tables read them through that mapping.
     """
     def tcv():
-        return project_strict(contracted_tcv_fact(cat, cfg, party_date_rules, order_rules),
+        return project_strict(contracted_tcv_fact(cat, cfg, party_date_rules, order_rules, open_rules),
                               K.TCV_EXTRACT_COLUMNS)
 
     def billev():

@@ -24,12 +24,13 @@ class ForecastRun:
     def __init__(self, order_base: Mapping[str, DataFrame], crm_objects: Mapping[str, DataFrame],
                  cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
                  order_rules: DataFrame | None = None, fact_root: str | None = None,
-                 fact_key: str | None = None):
+                 fact_key: str | None = None, open_rules: DataFrame | None = None):
         self.order_base = order_base
         self.crm_objects = crm_objects
         self.cfg = cfg
         self.party_date_rules = party_date_rules
         self.order_rules = order_rules
+        self.open_rules = open_rules
         # With a fact root, the source tables the forecasts read (order
         # extracts, CRM fact and references) and the enriched facts are
         # written there once and read back: every chain runs once per run,
@@ -71,14 +72,14 @@ class ForecastRun:
             return self._fact_key
         frames = {f"order/{n}": self.order_base[n] for n in self.order_base.keys()}
         frames.update({f"crm/{n}": self.crm_objects[n] for n in self.crm_objects.keys()})
-        rules = {"party_date": self.party_date_rules, "order": self.order_rules}
+        rules = {"party_date": self.party_date_rules, "order": self.order_rules, "open": self.open_rules}
         frames.update({f"rules/{n}": df for n, df in rules.items() if df is not None})
         return inputs_key(frames, self.cfg, _code_version())
 
     @cached_property
     def order_sources(self) -> Mapping[str, DataFrame]:
         return order_sources(self.order_base, self.cfg, self.party_date_rules, self.order_rules,
-                             wrap=lambda b: self._layer("order_sources", b))
+                             wrap=lambda b: self._layer("order_sources", b), open_rules=self.open_rules)
 
     @cached_property
     def crm_prefixed(self) -> dict[str, DataFrame]:

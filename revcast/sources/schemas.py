@@ -44,6 +44,7 @@ ORDER_TABLES = {
     "hold_definitions": "hold_id bigint, name string",
     "zero_party_dates": "party_id bigint, date_field date",
     "zero_orders": "order_header_id bigint",
+    "zero_rules": "party_id bigint, date_field date, order_header_id bigint",
 }
 
 # A CRM record's nested parent is its id in a flat file.
