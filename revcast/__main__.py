@@ -3,7 +3,7 @@
     python -m revcast --order-dir DIR --crm-dir DIR --out DIR --snapshot-date 2024-06-30 \\
         [--as-of "2024-06-30 12:00:00"] [--config cfg.json] [--fact-root DIR]
         [--format parquet|csv] [--sweep-days N]
-        [--quarantine DIR]
+        [--quarantine DIR] [--max-growth X]
 
 ``--order-dir`` holds one table per order-system base table and
 ``--crm-dir`` one per CRM object (names as in FIXTURES.md), plus optional
@@ -17,7 +17,8 @@ run with the same inputs, parameters and code reads the tables below
 ``--fact-root`` again; ``--sweep-days`` removes those of other runs that are
 older and in nobody's use. A broken CSV record ends the run; with
 ``--quarantine`` such records go to a table there, and the run ends only if kept and
-rejected ones don't add up to those read.
+rejected ones don't add up to those read. ``--max-growth`` ends the run before the
+order facts are enriched, if a join would multiply their rows by more than that.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ def main(argv=None, spark=None) -> dict[str, str]:
     ap.add_argument("--layers", action="store_true", help="also write the full pulls and the curated sources")
     ap.add_argument("--sweep-days", type=float, default=None, help="then remove fact layers older than so many days")
     ap.add_argument("--quarantine", default=None, help="folder for the records of CSV inputs that can't be read")
+    ap.add_argument("--max-growth", type=float, default=None, help="most rows a join may make of one, on average")
     a = ap.parse_args(argv)
     local = SparkConf().get("spark.master", "local[*]").startswith("local")
     spark = spark or get_spark(cluster=not local)
@@ -70,7 +72,7 @@ def main(argv=None, spark=None) -> dict[str, str]:
     cfg = dataclasses.replace(ForecastConfig(), **fields)
     run = ForecastRun(order, crm_objs, cfg, order.get("zero_party_dates"), order.get("zero_orders"),
                       fact_root=a.fact_root, open_rules=order.get("zero_rules"))
-    paths = write_forecasts(run, a.out, a.snapshot_date, layers=a.layers)
+    paths = write_forecasts(run, a.out, a.snapshot_date, layers=a.layers, max_growth=a.max_growth)
     if a.fact_root and a.sweep_days is not None:
         run.catalogue.sweep(keep=[run.fact_key], older_than=a.sweep_days * 86400)
     return paths

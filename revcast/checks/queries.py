@@ -36,7 +36,7 @@ from ..operators.lists import BROADCAST_VALUES, exclude_table
 from ..operators.projection import move_first
 from ..operators.rule_match import match_rules
 from ..plans import orders as O
-from ..plans.attribution import null_fanout
+from ..plans.attribution import null_fanout, order_fanout
 from ..plans.config import driver_config
 from ..plans.crm import bill_party_ref, opportunity_account_ref
 from ..plans.pipeline import ForecastRun, driver_run
@@ -44,7 +44,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources.driver_tables import ORDER_BASE_TABLES, DriverCatalog, load_tables, money
 from ..sources.rejects import Quarantine
 from ..sources.readers import load_directory, read_crm_export, read_sql_extracts
-from ..sources.sinks import LAYERS, read_snapshot, write_layer, write_ordered, write_snapshot
+from ..sources.sinks import LAYERS, order_proof, read_snapshot, write_layer, write_ordered, write_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -678,16 +678,15 @@ def q_view_extract(spark, sf_dir):
 
 
 def q_ordered_sink(spark, sf_dir):
-    """O1: a table written in a total order; ``in_order`` says of each row
-    that no row of the part file before its own has a greater key."""
+    """O1: a table written in a total order (from the greatest customer down, then by
+    order); ``in_order`` says of each row that its part file is sorted and does not
+    begin before the file before it ends."""
     o = _tables(spark, sf_dir)["orders"].select("o_orderkey", "o_custkey")
-    path = write_ordered(o, os.path.join(_scratch(spark, "ordered"), "orders"), ["o_orderkey"])
-    back = spark.read.parquet(path).withColumn("part", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1))
-    parts = back.groupBy("part").agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
-    earlier = parts.select((F.col("part").cast("int") + 1).alias("next"), F.col("hi").alias("before"))
-    least = parts.join(earlier, F.col("part").cast("int") == F.col("next"), "left").select("part", "before")
-    return back.join(least, "part").select("o_orderkey", "o_custkey", (
-        F.coalesce(F.col("o_orderkey") >= F.col("before"), F.lit(True))).alias("in_order"))
+    cols = ["-o_custkey", "o_orderkey"]
+    path = write_ordered(o, os.path.join(_scratch(spark, "ordered"), "orders"), cols)
+    back = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"))
+    proof = order_proof(spark, path, cols).select("file", (F.col("in_file") & F.col("after")).alias("in_order"))
+    return back.join(proof, "file").select("o_orderkey", "o_custkey", "in_order")
 
 
 def q_null_fanout(spark, sf_dir):
@@ -697,7 +696,15 @@ def q_null_fanout(spark, sf_dir):
     return null_fanout(ChainMap(run.order_sources, run.crm_refs))
 
 
+def q_fanout_forecast(spark, sf_dir):
+    """Rows that each join of the order chain makes of the contracted
+    value extract, forecast from its keys alone."""
+    run = _run(spark, sf_dir)
+    return order_fanout(run.order_sources["tcv"], ChainMap(run.order_sources, run.crm_refs))
+
+
 QUERIES: dict[str, Query] = {
+    "fanout_forecast": q_fanout_forecast,
     "latest_offering_ts": q_latest_offering_ts,
     "csv_roundtrip": q_csv_roundtrip,
     "fact_layer_rerun": q_fact_layer_rerun,

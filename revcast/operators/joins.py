@@ -167,6 +167,8 @@ class DeriveSpec:
 
     fn: Callable[[DataFrame], DataFrame]
     name: str = field(default="derive")
+    # The columns that it reads, where known (``fanout`` then carries no others).
+    reads: tuple | None = None
 
 
 def enrich(df: DataFrame, catalog: Mapping[str, DataFrame],

@@ -11,17 +11,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import account_fallback, account_source
+from ..operators.fanout import fanout_forecast
 from ..operators.joins import (DEFAULT_BROADCAST_CEILING, DeriveSpec, JoinSpec, auto_broadcast_bytes, enrich,
                                fits_broadcast)
 from ..operators.skew import SHARE, key_profile
 
 
+ACCOUNT_IDS = ("OppsAcct_Account", "Acct_Id", "Prnt_Id")
+
+
 def derive_account(df: DataFrame) -> DataFrame:
     """The account id to use: opportunity account, else bill-to account,
     else parent account, else 'unmapped'; and which one it was."""
-    args = ("OppsAcct_Account", "Acct_Id", "Prnt_Id")
-    return df.withColumns({"acct_src": account_source(*args),
-                           "Final_AcctID": account_fallback(*args)})
+    return df.withColumns({"acct_src": account_source(*ACCOUNT_IDS),
+                           "Final_AcctID": account_fallback(*ACCOUNT_IDS)})
 
 
 # The order-fact enrichment chain. Null keys match null keys (as in the
@@ -46,7 +49,7 @@ ORDER_CHAIN = (
     _step("reforderopp", "ORDER_HEADER_ID", "ORDER_HEADER_ID"),
     _step("Ref_Opps_Acct", "OPPORTUNITY_ID", "OppsAcct_Opportunity__c"),
     _step("Ref_Prnt", "PARTYNUMBER_AKA_REGISTRYID", "Prnt_Registry_ID__c"),
-    DeriveSpec(derive_account, "account"),
+    DeriveSpec(derive_account, "account", ACCOUNT_IDS),
     _step("Ref_Acct", "Final_AcctID", "Acct_Id", ("_Bill2map", "_Final"), hot_values=("unmapped",)),
     _step("Ref_User", "Acct_OwnerId_Final", "User_Id", broadcast=True),
     _step("Ref_Opps", "OppsAcct_Opportunity__c", "Opps_Opportunity__c"),
@@ -60,10 +63,20 @@ def attribute_orders(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=OR
     """Run the enrichment chain over one order-side fact. The bill-to party
     of a hold row is an account number in text; only the join key is a
     number (null where the text is none)."""
-    keyed = fact.withColumn(PARTY_KEY, F.col("BILL_TO_PARTY_ID").try_cast("long"))
+    keyed = with_party_key(fact)
     return enrich(keyed, catalog, chain, broadcast_ceiling).drop(PARTY_KEY)
 
 
+def with_party_key(fact: DataFrame) -> DataFrame:
+    """The fact with its bill-to party as a number."""
+    return fact.withColumn(PARTY_KEY, F.col("BILL_TO_PARTY_ID").try_cast("long"))
+
+
+def order_fanout(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN) -> DataFrame:
+    """The rows that each step of the chain will make of a fact (``fanout``)."""
+    return fanout_forecast(with_party_key(fact), catalog, chain)
+
+
 def hot_chain(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN, fraction: float = 0.01,
               share: float = SHARE) -> tuple:
     """The chain with the hot keys of each of its shuffle steps as ``hot_values``.
@@ -78,7 +91,7 @@ def hot_chain(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=ORDER_CHA
     if not shuffled:
         return chain
     df = fact.sample(fraction, seed=17) if fraction < 1 else fact
-    df = df.withColumn(PARTY_KEY, F.col("BILL_TO_PARTY_ID").try_cast("long")) if PARTY_KEY not in df.columns else df
+    df = with_party_key(df)
     for i, spec in enumerate(chain):
         if i in shuffled:
             df = df.withColumn(f"__key_{i}", F.col(f"`{spec.left_on}`"))

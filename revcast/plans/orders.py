@@ -336,6 +336,12 @@ def order_opportunity_map(cat: Catalog, cfg: ForecastConfig) -> DataFrame:
                     F.col("_s_id").alias("SALESREP_ID"), "SALESREP_NAME")
 
 
+# O1: the extracts' orders, at the sink only ("-": from the latest down; those that
+# keep of their day the period alone are ordered by that).
+EXTRACT_ORDER = {"billev": ("-FISCAL_YYYYMM",), "defrecrev": ("-Transaction Date",), "tcv": ("-FISCAL_YYYYMM",),
+                 "reforderopp": ("ORDER_HEADER_ID",), "poh": ("ORDER_NUMBER",)}
+
+
 def order_sources(cat: Catalog, cfg: ForecastConfig, party_date_rules: DataFrame | None = None,
                   order_rules: DataFrame | None = None, wrap=None,
                   open_rules: DataFrame | None = None) -> Mapping[str, DataFrame]:

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 from contextlib import nullcontext
 from functools import cache, cached_property
 
 from pyspark.sql import DataFrame
 
+from ..operators.fanout import assert_growth
 from . import crm
-from .attribution import attributed_facts
+from .attribution import attributed_facts, order_fanout
 from ._lazy import LazyMap
 from .config import ForecastConfig
-from .orders import order_sources
+from .orders import EXTRACT_ORDER, order_sources
 from .revenue import revenue_forecast
 from .tcv import tcv_forecast
 
@@ -251,18 +253,29 @@ def driver_forecasts(spark, sf_dir: str, cfg: ForecastConfig | None = None) -> d
     return driver_run(spark, sf_dir, cfg).tables()
 
 
+def check_growth(run: ForecastRun, most: float) -> None:
+    """Raise before the order chains run, if a step of theirs would make more
+    than ``most`` times the rows of one of the facts."""
+    catalog = ChainMap(run.order_sources, run.crm_refs)
+    for name in ("revfact", "tcv"):
+        assert_growth(order_fanout(run.order_sources[name], catalog), most)
+
+
 def write_forecasts(run: ForecastRun, out_root: str, snapshot_date, facts: bool = True,
-                    layers: bool = False) -> dict[str, str]:
+                    layers: bool = False, max_growth: float | None = None) -> dict[str, str]:
     """Write the enriched facts (layer ``fact``) and the two
     forecasts as the ``snapshot_date`` partition of ``fc`` and ``tcv``.
 
     Only that day's partition is replaced; earlier snapshots stay. Each fact
     is written once and read back, and both forecasts are built from the
     files. ``layers`` also writes the full pulls (``raw``) and the curated
-    order and CRM tables (``source``). The run's fact layer is under a lease
-    meanwhile.
+    order and CRM tables (``source``, the order extracts in their orders). The run's fact layer is under a lease
+    meanwhile. With ``max_growth`` the run ends before the order chains, if one of
+    their joins would multiply the rows by more than that.
     """
     with run.lease():
+        if max_growth is not None:
+            check_growth(run, max_growth)
         return _write_forecasts(run, out_root, snapshot_date, facts, layers)
 
 
@@ -273,7 +286,8 @@ def _write_forecasts(run: ForecastRun, out_root: str, snapshot_date, facts: bool
     if layers:
         paths.update(write_layer({n: run.crm_objects[n] for n in run.crm_objects.keys()}, out_root, "raw"))
         paths.update(write_layer({**{n: run.order_sources[n] for n in run.order_sources.keys()},
-                                  **{n: df for n, df in run.crm_refs.items()}}, out_root, "source"))
+                                  **{n: df for n, df in run.crm_refs.items()}}, out_root, "source",
+                                 order=EXTRACT_ORDER))
     fcrev, fctcv = (run.fcrev, run.fctcv) if not facts else (None, None)
     if facts:
         made = write_layer({"fullcrm_revfacts": run.fact_trx}, out_root, "fact")
