@@ -28,14 +28,17 @@ def star_components(links: DataFrame) -> DataFrame:
     nodes but the least ones, from links ``a``, ``b`` in any order."""
     edges = settled(links.where("a is not null and b is not null and a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    # Joins of a small frame leave it in many partitions, each of which would
+    # write files for the next exchange; in one partition it needs none.
+    parts = edges.rdd.getNumPartitions() * 2 - 1
     before = None
     for _ in range(MAX_ROUNDS):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).coalesce(parts)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(parts)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = settled(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = settled(small.unionByName(least.select("u", F.col("m").alias("v"))).coalesce(parts).distinct())
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

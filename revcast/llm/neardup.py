@@ -18,22 +18,22 @@ components of the links.
    star and not all its pairs. Of a document's candidates the one of the
    nearest signature is confirmed first; pairs that are then in one component
    need no confirmation.
-4. Keys whose members are still in several components: two members ``x`` and
-   ``y`` of a hub ``h`` differ by the symmetric difference of their own
-   differences from ``h``. If ``x`` is not linked to ``h``, a link of the two
-   needs more than about half of ``y``'s difference in common, so they share
-   an element of the first half of ``y``'s difference, new shingles first;
-   it can be anywhere in ``x``'s, unless ``y`` is not linked to ``h`` either,
-   when it is in the first half of both. So a member outside the hub's
-   component gives its whole difference, one inside the first half. The first
-   common element must leave enough behind it in both differences for a link.
-   Only such pairs are compared; shingles that members add to the hub
-   are rare even where thousands stand around one hub. Two members near
-   several hubs are compared at the one hub that most of their like stand
-   around. Up to ``FEW`` members of a hub are compared without that; members
-   that are not near their hub at all (chance meetings) are compared with all
-   of the key. So every pair that meets under a key is confirmed, refuted or in one
-   component: no link between components is lost.
+4. Keys whose members are still in several components: all members of the keys
+   of one hub make a family; families most of whose members are in a larger one
+   become part of it. The hub that is nearest to most of its members is a
+   family's centre. Two members ``x`` and ``y`` differ by
+   the symmetric difference of their own differences from the centre ``h``. If
+   ``x`` is not linked to ``h``, a link of the two needs more than about half of
+   ``y``'s difference in common, and all of it but what ``y`` may differ from
+   ``x``; so they share an early element of ``y``'s difference, the family's
+   rarest elements first. It can be anywhere in ``x``'s, unless ``y`` is not
+   linked to ``h`` either, when it is early in both. The first common element
+   must leave enough behind it in both differences for a link. Only such pairs
+   are compared, and members linked to the centre with the centre: what thousands of members share (the centre, or what they all
+   lack of it) comes last, and for members that have little in common with the
+   centre (chance meetings) it is the prefix filter of set joins. So every pair
+   that meets under a key is confirmed, refuted or in one component: no link
+   between components is lost.
 5. Links are confirmed on the full sets of 64-bit shingle hashes, which are
    made again from the texts of the documents concerned only.
 
@@ -55,7 +55,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,14 +66,12 @@ SHINGLE = 5
 PERCENT = 80
 CHUNKS, CHUNK, ERRORS = 14, 7, 1
 VALUES = CHUNKS * CHUNK
-# Signatures of pairs at 80 % differ in 19.6 of 98 values on average, with a
-# deviation of 4; beyond 40 a pair is not worth its confirmation.
-FAR = 40
 # Up to so many ids pick their documents by a broadcast (of ids and digests), more by a shuffle.
 BROADCAST_IDS = 1_000_000
-# Up to so many members of a hub are compared pair by pair, more by what they
-# share of their differences from the hub.
-FEW = 64
+# Members of a family that meet one copy of its centre's set; rounds in which
+# families become parts of larger ones; elements that about one in so many members
+# has are ranked by their number, rarer ones by their hash.
+SALT, MERGES, COMMON = 250, 3, 64
 
 _BLANKS = np.ones(256, bool)
 _BLANKS[[0x20, *range(0x09, 0x0E)]] = False
@@ -160,8 +158,8 @@ def _index(classes: DataFrame) -> DataFrame:
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and signatures allow a link, with the
-    number of signature values that differ."""
+    """The pairs (a, b) whose sizes allow a link, with the number of signature
+    values that differ."""
     def side(name: str) -> DataFrame:
         return classes.select(F.col("id").alias(name), F.col("sig").alias("sig_" + name), F.col("n").alias("n_" + name))
 
@@ -169,10 +167,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint8).reshape(-1, VALUES)
                     for n in ("sig_a", "sig_b"))
-            far = (x != y).sum(axis=1)
-            ok = far <= FAR
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok)),
-                                              batch.column("b").filter(pa.array(ok)), pa.array(far[ok])],
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((x != y).sum(axis=1))],
                                              names=["a", "b", "far"])
 
     sized = pairs.join(side("a"), "a").join(side("b"), "b").where(
@@ -293,98 +288,143 @@ def _grown(groups: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return star_components(links)
 
 
-def _mixed(members: DataFrame, near: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Members (key, hub, id, component c, the hub's c, whether near the hub)
-    of the keys of three and more whose members are in several components."""
-    own = members.select("key", F.col("least").alias("hub"), "id")
-    if groups is not None:
-        own = own.join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
-    else:
-        own = own.withColumn("component", F.lit(None).cast("long"))
-    own = own.select("key", "hub", "id", F.coalesce("component", "id").alias("c"))
-    keys = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"),
-                                  F.min(F.struct("id", "c")).alias("least")) \
-        .where("lo < hi and size > 2").select("key", F.col("least.c").alias("hub_c"))
-    close = near.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.lit(True).alias("close"))
-    return settled(own.join(keys, "key").where("id <> hub").join(close, ["id", "hub"], "left").select(
-        "key", "hub", "id", "c", "hub_c", F.coalesce("close", F.lit(False)).alias("close")))
-
-
-def _stray_pairs(mixed: DataFrame) -> DataFrame:
-    """Pairs with a member that is not near the hub of their key."""
-    stray = mixed.where("not close").select("key", F.col("id").alias("x"), F.col("c").alias("c_x"))
-    other = mixed.select("key", F.col("id").alias("y"), F.col("c").alias("c_y"), "close")
-    pairs = stray.join(other, "key").where("c_x <> c_y and (close or y < x)")
-    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-
-
-def _first_elements(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For each member of a hub: sizes of its set and of its difference from
-    the hub, and the difference's elements with their places: all of a member
-    outside the hub's component, else the early ones (see step 4)."""
-    schema = T.StructType([family.schema[c] for c in ("hub", "id", "c", "out", "main")] + [
-        T.StructField("n", T.LongType()), T.StructField("delta", T.LongType()), T.StructField("element", T.LongType()),
-        T.StructField("place", T.LongType()), T.StructField("early", T.BooleanType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first, sizes = [], []
-            for x, h, out in zip(batch.column("set_x"), batch.column("set_h"), batch.column("out").to_pylist(), strict=True):
-                x, h = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, h))
-                new = x[h[np.minimum(np.searchsorted(h, x), len(h) - 1)] != x]
-                gone = h[x[np.minimum(np.searchsorted(x, h), len(x) - 1)] != h]
-                delta = len(new) + len(gone)
-                # More than (delta + share * (hub - own size)) / 2 elements are common to
-                # a linked pair whose other member is not linked to the hub.
-                least = ((100 + percent) * delta + (100 - percent) * (len(h) - len(x))) // (2 * (100 + percent))
-                first.append(np.concatenate([new, gone])[:delta if out else delta - least])
-                sizes.append((len(x), delta, delta - least))
-            rows = np.repeat(np.arange(batch.num_rows), [len(f) for f in first])
-            take = pa.array(rows)
-            n, delta, early = np.array(sizes, np.int64).reshape(-1, 3)[rows].T
-            place = np.concatenate([np.arange(len(f)) for f in first])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(take) for c in ("hub", "id", "c", "out", "main")), pa.array(n), pa.array(delta),
-                 pa.array(np.concatenate(first).view(np.int64)), pa.array(place), pa.array(place < early)],
-                names=schema.names)
-
-    joined = family.join(sets.select("id", F.col("set").alias("set_x")), "id").join(
-        sets.select(F.col("id").alias("hub"), F.col("set").alias("set_h")), "hub")
-    return joined.select("hub", "id", "c", "out", "main", "set_x", "set_h").mapInArrow(run, schema)
-
-
-def _family_pairs(near: DataFrame, groups: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members near one hub that may be linked, one of them outside
-    the hub's component. Most members are near several hubs; two of them that
-    have one main hub (that of the most members) are compared only there."""
-    def component(df: DataFrame, name: str, out: str) -> DataFrame:
-        if groups is None:
-            return df.withColumn(out, F.col(name))
-        own = groups.select(F.col("node").alias(name), F.col("component").alias(out))
-        return df.join(own, name, "left").withColumn(out, F.coalesce(out, name))
-
-    rows = near.select(F.col("b").alias("hub"), F.col("a").alias("id"))
-    rows = component(component(rows, "id", "c"), "hub", "hub_c").withColumn("out", F.col("c") != F.col("hub_c"))
-    sizes = rows.groupBy("hub").agg(F.count("*").alias("size"), F.max("out").alias("some"))
-    rows = settled(rows.join(sizes, "hub").select("hub", "id", "c", "out", "size", "some"))
-    main = rows.groupBy("id").agg((-F.max(F.struct("size", -F.col("hub")))["col2"]).alias("main"))
-    family = settled(rows.where("some and size > 1").join(main, "id").drop("some"))
-    fits = "c_x <> c_y and (not out_y or id_y < id_x) and (main_x <> main_y or main_x = hub)"
-
-    def sides(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-        return tuple(df.select(*keys, *(F.col(c).alias(f"{c}_{s}") for c in df.columns if c not in keys))
-                     for s in ("x", "y"))
-
-    x, y = sides(family.where(F.col("size") <= FEW).drop("size"), ["hub"])
-    few = x.where("out_x").join(y, "hub").where(fits)
-    first = settled(_first_elements(family.where(F.col("size") > FEW).drop("size"), sets, percent))
-    x, y = sides(first, ["hub", "element"])
-    many = x.where("out_x").join(y, ["hub", "element"]).where(
-        f"{fits} and (not out_y or early_x and early_y) and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) and "
+def _component(df: DataFrame, groups: DataFrame | None, name: str, out: str) -> DataFrame:
+    """The component of each row's ``name``, by default its own."""
+    if groups is None:
+        return df.withColumn(out, F.col(name))
+    own = groups.select(F.col("node").alias(name), F.col("component").alias(out))
+    return df.join(own, name, "left").withColumn(out, F.coalesce(out, name))
+
+
+def _most(votes: DataFrame, of: str, to: str) -> DataFrame:
+    """For each ``of`` the ``to`` with the greatest ``k`` (of equal ones the least)."""
+    return votes.groupBy(of).agg((-F.max(F.struct("k", (-F.col(to)).alias("to")))["to"]).alias(to))
+
+
+def _merged(stars: DataFrame) -> DataFrame:
+    """Hubs (hub, id) put together to families (hub, family): a few times over, a
+    family becomes part of the one that most of its members have as their largest."""
+    names = settled(stars.select("hub").distinct().withColumn("family", F.col("hub")))
+    for _ in range(MERGES):
+        rows = settled(stars.join(names, "hub").select("family", "id").distinct())
+        sizes = rows.groupBy("family").agg(F.count(F.lit(1)).alias("k"))
+        largest = _most(rows.join(sizes, "family").withColumnRenamed("family", "into"), "id", "into")
+        into = _most(rows.join(largest, "id").groupBy("family", "into").agg(F.count(F.lit(1)).alias("k")), "family", "into")
+        names = settled(names.join(into, "family").select("hub", F.col("into").alias("family")))
+    return names
+
+
+def _families(members: DataFrame, near: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Families and their members (id, component c): those of the keys of three
+    and more whose members are in several components. A family is named by its centre,
+    of the hubs that are the nearest of some member that of the most."""
+    own = _component(members.select("key", F.col("least").alias("hub"), "id"), groups, "id", "c")
+    keys = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")) \
+        .where("lo < hi and size > 2").select("key")
+    stars = settled(own.join(keys, "key").select("hub", "id", "c").distinct())
+    rows = settled(stars.join(_merged(stars.select("hub", "id")), "hub").select("family", "id", "c").distinct())
+    nearest = near.groupBy(F.col("a").alias("id")).agg(F.min(F.struct("far", "b"))["b"].alias("centre"))
+    centres = _most(rows.join(nearest, "id").groupBy("family", "centre").agg(F.count(F.lit(1)).alias("k")), "family", "centre")
+    rows = settled(rows.join(centres, "family", "left").select(
+        F.coalesce("centre", "family").alias("family"), "id", "c").distinct())
+    return rows.join(rows.groupBy("family").agg(F.count(F.lit(1)).alias("size")), "family")
+
+
+def _numbers(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), np.uint64) for v in column]
+
+
+def _elements(members: pa.Table, head: pa.Table) -> pa.Table:
+    """The elements that several of these members have in their differences from
+    the centre, with their numbers. What one in ``COMMON`` of a family has is among
+    those of some part of it."""
+    (h,) = _numbers(head["set_h"])
+    made = [np.setxor1d(x, h, assume_unique=True) for x in _numbers(members["set_x"])]
+    flat, often = np.unique(np.concatenate(made), return_counts=True)
+    some = often >= max(2, len(made) // COMMON)
+    flat, often = flat[some].view(np.int64), often[some].astype(np.int64)
+    return pa.table([pa.array(np.full(len(flat), members["family"][0].as_py(), np.int64)), pa.array(flat), pa.array(often)],
+                    names=["family", "element", "often"])
+
+
+def _ordered(members: pa.Table, head: pa.Table, percent: int) -> pa.Table:
+    """Elements of the members' differences with their places, rare ones first:
+    the early ones (see step 4), and all of a member that is not linked to the centre
+    but can be linked to one that is."""
+    (h,) = _numbers(head["set_h"])
+    common = head["common"][0].as_py() or []
+    common = np.array(common, np.int64).view(np.uint64)
+    by = np.argsort(common)
+    values, rank = np.append(common[by], ~np.uint64(0)), np.append(by + 1, 0)
+    less, more = 100 - percent, 100 + percent  # a share of less / more of both sizes may differ
+    rows, flat, places, early, sizes = [], [], [], [], []
+    for row, x in enumerate(_numbers(members["set_x"])):
+        n, m = len(x), len(h)
+        own = np.setxor1d(x, h, assume_unique=True)
+        at = np.searchsorted(values[:-1], own)
+        own = own[np.lexsort((own, np.where(values[at] == own, rank[at], 0)))]
+        delta = len(own)
+        linked = more * (n + m - delta) >= 2 * percent * (n + m)
+        most = n * 100 // percent  # the size of the largest set that can be linked to this one
+        # More than (delta + share * (centre - own size)) / 2 elements are common to a linked pair whose
+        # other member is not linked to the centre; and all but as many as two linked sets can differ by.
+        first = min(delta - (more * delta + less * (m - n)) // (2 * more), less * (n + most) // more + 1)
+        whole = not linked and more * delta <= less * (n + most) + less * (most + m)
+        keep = delta if whole else max(0, min(first, delta))
+        rows.append(np.full(keep, row))
+        flat.append(own[:keep])
+        places.append(np.arange(keep))
+        early.append(np.arange(keep) < first)
+        sizes.append((n, delta, linked))
+    take = np.concatenate(rows)
+    sizes = np.array(sizes, np.int64)[take]
+    return pa.table([*(members[c].take(pa.array(take)) for c in ("family", "id", "c")), pa.array(sizes[:, 0]),
+                     pa.array(sizes[:, 1]), pa.array(np.concatenate(flat).view(np.int64)), pa.array(np.concatenate(places)),
+                     pa.array(np.concatenate(early)), pa.array(sizes[:, 2].astype(bool))],
+                    names=["family", "id", "c", "n", "delta", "element", "place", "early", "linked"])
+
+
+def _differences(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The elements of the members' differences from their centres, as ``_ordered`` has
+    them. What many of a family have is counted first; it is a short list, as each of
+    its elements takes up so many of the members' differences."""
+    salted = families.withColumn("salt", F.pmod(F.xxhash64("id"), F.floor(F.col("size") / SALT) + 1)).join(
+        sets.select("id", F.col("set").alias("set_x")), "id").select("family", "salt", "id", "c", "set_x")
+    # Under names of their own: cogrouped frames must not share columns.
+    heads = families.select(F.col("family").alias("centre"), "size").distinct().join(
+        sets.select(F.col("id").alias("centre"), F.col("set").alias("set_h")), "centre").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("size") / SALT))))
+    by = ["family", "salt"]
+    to = ["centre", "salt"]
+    found = salted.groupBy(*by).cogroup(heads.groupBy(*to)).applyInArrow(
+        _elements, "family long, element long, often long")
+    common = found.groupBy("family", "element").agg(F.sum("often").alias("often")).join(
+        families.select("family", "size").distinct(), "family").where(
+        F.col("often") >= F.greatest(F.lit(2), F.col("size") / COMMON)).groupBy("family").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("often", "element"))), lambda x: x["element"]).alias("common"))
+    heads = heads.join(settled(common).withColumnRenamed("family", "centre"), "centre", "left").select(
+        *to, "set_h", "common")
+    return salted.groupBy(*by).cogroup(heads.groupBy(*to)).applyInArrow(
+        lambda left, right: _ordered(left, right, percent),
+        "family long, id long, c long, n long, delta long, element long, place long, early boolean, linked boolean")
+
+
+def _family_pairs(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a family, of different components, that may be linked."""
+    elements = settled(_differences(families, sets, percent))
+    keys = ["family", "element"]
+    x, y = (elements.select(*keys, *(F.col(c).alias(f"{c}_{side}") for c in elements.columns if c not in keys))
+            for side in ("x", "y"))
+    both = x.where("not linked_x").join(y.where("early_y"), keys).where(
+        f"c_x <> c_y and (linked_y or early_x and id_y < id_x) and "
+        f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) and "
+        f"{100 + percent} * abs(delta_x - delta_y) <= {100 - percent} * (n_x + n_y) and "
         f"{100 + percent} * (delta_x + delta_y - 2 * least(delta_x - place_x, delta_y - place_y)) "
         f"<= {100 - percent} * (n_x + n_y)")
-    both = few.select("id_x", "id_y").unionByName(many.select("id_x", "id_y"))
-    return both.select(F.greatest("id_x", "id_y").alias("a"), F.least("id_x", "id_y").alias("b"))
+    # Members linked to the centre need not have met it under a key.
+    own = elements.where("linked and id <> family").select(F.col("id").alias("id_x"), F.col("family").alias("id_y")).distinct()
+    return both.select("id_x", "id_y").unionByName(own).select(
+        F.greatest("id_x", "id_y").alias("a"), F.least("id_x", "id_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,
@@ -415,11 +455,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     sets = _sets(rows, classes, _ends(near), width)
     groups = _grown(None, repeated)
     groups = _links(near, sets, groups, percent)
-    mixed = _mixed(members, near, groups)
-    pairs = _stray_pairs(mixed).unionByName(_family_pairs(near, groups, sets, percent)).distinct()
-    rest = settled(_apart(_near(pairs, single, percent), groups))
-    if not rest.isEmpty():
-        groups = _links(rest, _sets(rows, classes, _ends(rest), width, sets), groups, percent)
+    families = settled(_families(members, near, groups))
+    if not families.isEmpty():
+        ids = families.select("id").unionByName(families.select(F.col("family").alias("id")))
+        sets = _sets(rows, classes, ids, width, sets)
+        rest = settled(_family_pairs(families, sets, percent))
+        if not rest.isEmpty():
+            groups = _grown(groups, _confirmed(rest, sets, percent))
 
     found = described.select("id", "n", "digest").join(classes.select("digest", F.col("id").alias("class")), "digest", "left")
     if groups is not None:

@@ -12,7 +12,7 @@ from llm_cases import TEXTS, by_id, lower
 
 import corpus_pipeline
 from revcast.llm import components, fingerprints, neardup, urls
-from revcast.llm.text import utf8
+from revcast.llm.text import span_hashes, utf8
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,9 +54,9 @@ def test_near_duplicates_of_given_documents(spark):
     assert_groups(df, docs, 2)
 
 
-@pytest.mark.parametrize("few", [neardup.FEW, 3])
-def test_chains_families_and_edges(spark, edge_docs, monkeypatch, few):
-    monkeypatch.setattr(neardup, "FEW", few)
+@pytest.mark.parametrize("salt", [neardup.SALT, 3])
+def test_chains_families_and_edges(spark, edge_docs, monkeypatch, salt):
+    monkeypatch.setattr(neardup, "SALT", salt)
     rng = random.Random(8)
     docs = list(enumerate(TEXTS))
     base = [f"w{rng.randrange(400)}" for _ in range(60)]
@@ -77,6 +77,41 @@ def test_chains_families_and_edges(spark, edge_docs, monkeypatch, few):
     assert set(neardup.near_duplicates(edge_docs).columns) == {"doc_id", "n_shingles", "component_id", "kept"}
 
 
+def thue_morse(n):
+    """A text and its complement, which polynomial hashes mod 2^64 can't tell apart."""
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_unlike_words_have_unlike_hashes(spark):
+    one, other = thue_morse(1024)
+    assert len(set(span_hashes(*(np.frombuffer((one + other).encode(), np.uint8), np.array([0, 1024]), np.array([1024, 2048]))).tolist())) == 2
+    short, shorter = thue_morse(128)
+    df = spark.createDataFrame([(1, one), (2, other), (3, short), (4, shorter), (5, one)], "doc_id long, text string")
+    got = by_id(neardup.near_duplicates(df))
+    assert {i: r["component_id"] for i, r in got.items()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_a_family_with_many_outside_members(spark):
+    """Copies around a text and many that are just too far from all others, a
+    third of all rows: few pairs, no link lost."""
+    rng = random.Random(21)
+    base = [f"w{k}" for k in range(100)]
+
+    def changed(k, tag):
+        w = list(base)
+        for at in rng.sample(range(100), k):
+            w[at] = f"{tag}{rng.randrange(10**6)}"
+        return " ".join(w)
+
+    docs = [(0, " ".join(base))] + [(i, changed(rng.randrange(1, 14), "x")) for i in range(1, 250)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert_groups(df, docs, 2)
+    assert len({r[1] for r in plain_groups(docs, 2).values()}) > 20
+
+
 def test_rows_without_id_and_repeated_ids(spark, no_docs):
     long_a, long_b = " ".join(f"a{i}" for i in range(20)), " ".join(f"b{i}" for i in range(20))
     df = spark.createDataFrame([(None, long_a), (7, long_a), (5, long_b), (7, long_b), (9, long_b), (11, "z")],
@@ -103,21 +138,20 @@ def test_each_text_of_a_repeated_id_has_its_links(spark):
 
 
 def family_of(spark, sets, linked):
-    """Candidates among the members of hub 0, of which some are in its component."""
-    near = spark.createDataFrame([(i, 0, 0) for i in sets if i], "a long, b long, far long")
-    groups = spark.createDataFrame([(i, 0) for i in linked], "node long, component long")
+    """Candidates among the members of a family with centre 0, of which some are in its component."""
+    families = spark.createDataFrame([(0, i, 0 if i in linked or not i else i, len(sets)) for i in sets],
+                                     "family long, id long, c long, size long")
     frame = spark.createDataFrame([(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in sets.items()],
                                   "id long, set binary")
-    return {(r.a, r.b) for r in neardup._family_pairs(near, groups, frame, 80).collect()}
+    return {(r.a, r.b) for r in neardup._family_pairs(families, frame, 80).collect()}
 
 
 def like(a, b):
     return 100 * len(a & b) >= 80 * len(a | b)
 
 
-@pytest.mark.parametrize("few, others", [(3, 4), (neardup.FEW, 70)])
-def test_member_outside_meets_one_linked_to_the_hub(spark, monkeypatch, few, others):
-    monkeypatch.setattr(neardup, "FEW", few)
+@pytest.mark.parametrize("others", [4, 70])
+def test_member_outside_meets_one_linked_to_the_hub(spark, others):
     hub = set(range(100))
     sets = {0: hub, 1: hub - {0, 1, 2, 3} | set(range(1000, 1021)), 2: hub - {0, 1, 2}}
     sets |= {3 + k: hub - {50} | {2000 + k} for k in range(others)}
@@ -125,13 +159,13 @@ def test_member_outside_meets_one_linked_to_the_hub(spark, monkeypatch, few, oth
     assert (2, 1) in family_of(spark, sets, [i for i in sets if i not in (0, 1)])
 
 
-def test_no_link_of_a_family_is_lost(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "FEW", 3)
+def test_no_link_of_a_family_is_lost(spark):
     rng = random.Random(12)
     hub = set(range(100))
     sets, new = {0: hub}, list(range(1000, 1040))
     for k in range(1, 150):
         sets[k] = hub - set(rng.sample(range(25), rng.randrange(14))) | set(rng.sample(new, rng.randrange(30)))
+    sets |= {200 + k: set(rng.sample(range(5000, 5040), 30)) | {rng.randrange(100)} for k in range(60)}  # strays
     linked = [i for i in sets if i and like(sets[i], hub)]
     found = family_of(spark, sets, linked)
     wanted = {(a, b) for a in sets for b in sets if a > b > 0 and like(sets[a], sets[b]) and not {a, b} <= set(linked)}
