@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .text import map_texts, ranges, slices, span_hashes, utf8
+from .text import map_columns, map_texts, ranges, slices, span_hashes, utf8
 
 CACHE_PIECES = 100_000
 CACHE_PAIRS = 300_000
@@ -372,7 +372,8 @@ def encode_rows(docs: DataFrame, text: str = "text", tokenizer: str | None = Non
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(np.diff(first)), lists],
                                                  names=schema.names)
 
-    return docs.select(text, *kept).mapInArrow(run, schema)
+    rows = docs.select(text, *["`" + c.replace("`", "``") + "`" for c in kept])
+    return map_columns(rows, run, schema.fields)
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", tokenizer: str | None = None) -> DataFrame:

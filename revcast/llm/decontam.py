@@ -19,7 +19,8 @@ that size, one pass over the documents' rows each, without a shuffle.
 Defined results: null or empty text has no words and no hits; an item without
 words has no window; items with equal windows are all counted; rows are
 handled one by one, so repeated documents (or ids) give repeated rows; a
-repeated item id counts once. Empty tables give no rows (documents) or no hits
+repeated item id counts once, and repeated items are read once; a null item id
+stands as an empty one. Empty tables give no rows (documents) or no hits
 (benchmark). Only the named columns are read.
 """
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import LOWER, mix, ranges, slices, span_hashes, utf8, word_spans
+from .text import LOWER, map_columns, mix, ranges, slices, span_hashes, utf8, word_spans
 
 WINDOW = 10
 BLOCK = 2
@@ -206,7 +207,8 @@ HITS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructF
 def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) -> list[list[tuple]]:
     """The items in blocks of about ``block_words`` words, each read on its
     own: what is broadcast at once is bounded whatever the test set's size."""
-    bench = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull())
+    bench = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where(
+        F.col("t").isNotNull()).distinct()
     chars = bench.agg(F.sum(F.length("t"))).first()[0] or 0
     n = max(1, -(-int(chars) // (6 * block_words)))
     for b in range(n):
@@ -269,8 +271,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     for number, items in enumerate(item_blocks(benchmark, item, item_text, block_words)):
         if number and number % MAX_CHAINED == 0:
             now = now.checkpoint()
-        now = now.mapInArrow(_keep_clean(docs.sparkSession.sparkContext.broadcast(build_index(items, window)), at),
-                             docs.schema)
+        now = map_columns(now, _keep_clean(docs.sparkSession.sparkContext.broadcast(build_index(items, window)), at),
+                          docs.schema.fields)
     return now
 
 

@@ -3,10 +3,11 @@
 A k-mer (of ``K`` bytes) is a closed syncmer if the least of its ``S``-byte
 substrings, by a hash, is its first or its last one. Whether a k-mer is chosen
 depends on nothing around it, so equal passages have equal anchors wherever
-they stand. A fingerprint holds the ``SIZE`` anchors of least hash, each with
-its first place; likeness compares two fingerprints by the anchors of the
-united sketch that both have and that lie in the same order in both texts
-(the longest increasing chain of places).
+they stand. A fingerprint holds the anchors whose hash is under a fixed limit
+(one in 16, whatever the text's length) and the ``SIZE`` least ones at least, each with
+its first place. Likeness compares two fingerprints as far as both have all anchors
+of their texts: the share of the united ones that both have and that lie in the
+same order in both texts (the longest increasing chain of places).
 
 The query compares each document with its edited text and with its neighbour
 in descending id order. The rows are dealt once, by ranges of ids, and sorted
@@ -36,7 +37,9 @@ from .text import SLICE_BYTES, map_texts, utf8
 
 K = 12
 S = 4
+# A sketch has a fixed share of the anchors, so it grows with the text, and at least SIZE.
 SIZE = 32
+LIMIT = (1 << 32) // 16
 ROWS_PER_RANGE = 4_000
 
 
@@ -73,16 +76,19 @@ Sketch = tuple[list[int], list[int]]  # hashes, ascending, and their first place
 
 
 def _least(at: np.ndarray, h: np.ndarray) -> Sketch:
-    """The SIZE least distinct hashes and their first places."""
-    if len(h) > 8 * SIZE:
-        for share in (4, 1):  # most of a long text's anchors are out of question
-            limit = np.uint64(share * SIZE) * np.uint64(1 << 32) // np.uint64(len(h))
-            few = h <= limit.astype(np.uint64)
-            if share == 4 and len(np.unique(h[few])) >= SIZE:
-                at, h = at[few], h[few]
-                break
+    """All distinct hashes up to LIMIT, the SIZE least ones at least, and their first places."""
+    if len(h) > 8 * SIZE:  # most of a long text's anchors are out of question
+        few = h <= max(LIMIT, 4 * SIZE * (1 << 32) // len(h))
+        if len(np.unique(h[few])) >= SIZE:
+            at, h = at[few], h[few]
     values, where = np.unique(h, return_index=True)
-    return values[:SIZE].tolist(), at[where[:SIZE]].tolist()
+    size = max(SIZE, int(np.searchsorted(values, LIMIT, side="right")))
+    return values[:size].tolist(), at[where[:size]].tolist()
+
+
+def _reach(hashes: list[int]) -> int:
+    """Up to which hash a sketch has all anchors of its text."""
+    return (1 << 32) - 1 if len(hashes) < SIZE else max(LIMIT, hashes[SIZE - 1])
 
 
 def sketches(data: np.ndarray, offsets: np.ndarray) -> list[Sketch]:
@@ -111,19 +117,20 @@ def as_string(s: Sketch) -> str:
 
 
 def likeness(a: Sketch, b: Sketch) -> float:
-    """Share of the united sketch that stands in both, in the same order."""
+    """Share of the united anchors, as far as both sketches have all of them, that stand
+    in both in the same order."""
     if a == b:
         return 1.0
     if not a[0] or not b[0]:
         return 0.0
     in_a, in_b = dict(zip(*a, strict=True)), dict(zip(*b, strict=True))
-    size = min(SIZE, max(len(in_a), len(in_b)))
-    union = sorted(in_a.keys() | in_b.keys())[:size]
+    limit = min(_reach(a[0]), _reach(b[0]))
+    union = [h for h in in_a.keys() | in_b.keys() if h <= limit]
     chain: list[int] = []
     for _, p in sorted((in_a[h], -in_b[h]) for h in union if h in in_a and h in in_b):
         k = bisect_left(chain, -p)
         chain[k:k + 1] = [-p]
-    return len(chain) / len(union)
+    return len(chain) / len(union) if union else 0.0
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -192,8 +199,9 @@ def compare_with_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "t
 
     placed = rows.withColumn("r", _range_of(bounds)("k")).withColumn("to", dealt("r", "k"))
     placed = placed.select("k", "t", F.posexplode("to").alias("extra", "range"))
-    n = max(1, len(filled))
-    sorted_rows = placed.repartition(n, "range").sortWithinPartitions("range", "extra", F.desc_nulls_last("k"), "t")
+    # Each range is a partition of its own: hashes of range numbers would put some together.
+    n = max(filled, default=0) + 1
+    sorted_rows = placed.repartitionById(n, F.col("range").cast("int")).sortWithinPartitions("range", "extra", F.desc_nulls_last("k"), "t")
     schema = T.StructType([
         T.StructField(key, kind), T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()),
         T.StructField("fingerprint", T.StringType()), T.StructField("edited_fingerprint", T.StringType()),

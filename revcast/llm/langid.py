@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import LOWER, map_texts, slices, utf8
+from .text import LOWER, map_columns, map_texts, slices, utf8
 
 ORDER = 3
 SAMPLE_DOCS = 2_000
@@ -280,7 +280,7 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least_sco
                 names, score, _ = predict(shared.value, part.column(at))
                 yield part.filter(pa.array((np.array(names) != UNKNOWN) & (score >= least_score)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_columns(docs, run, docs.schema.fields)
 
 
 def language_report(docs: DataFrame, **how) -> DataFrame:

@@ -150,6 +150,20 @@ def map_texts(df: DataFrame, key: str, text: str, out: list[StructField],
     return df.select(key, text).mapInArrow(run, schema)
 
 
+def map_columns(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                out: list[StructField]) -> DataFrame:
+    """``mapInArrow`` over all columns by their places: inside they are called c0, c1 and
+    so on, so any name will do. ``run`` yields the columns of ``out`` in order."""
+    inside = [f"c{i}" for i in range(len(out))]
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=inside)
+
+    schema = StructType([StructField(n, f.dataType) for n, f in zip(inside, out, strict=True)])
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(named, schema).toDF(*[f.name for f in out])
+
+
 def _array(values: object, field: StructField) -> pa.Array:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -269,14 +269,49 @@ def test_syncmers_are_context_free():
             zip(shifted.tolist(), h2.tolist(), strict=True))
 
 
+def plain_least(h):
+    values = np.unique(h).tolist()
+    return values[:max(fingerprints.SIZE, sum(v <= fingerprints.LIMIT for v in values))]
+
+
 def test_least_anchors_do_not_depend_on_the_short_cut():
     rng = random.Random(6)
     data = np.frombuffer(bytes(rng.choices(b"abcdefghij ", k=60_000)), np.uint8)
     at, h = fingerprints.syncmers(data)
-    assert fingerprints._least(at, h)[0] == np.unique(h)[:fingerprints.SIZE].tolist()
+    assert fingerprints._least(at, h)[0] == plain_least(h)
+    assert len(plain_least(h)) > 600  # they grow with the text
     tiny = np.frombuffer(b"ab" * 30_000, np.uint8)  # few distinct anchors in a long text
     at, h = fingerprints.syncmers(tiny)
-    assert fingerprints._least(at, h)[0] == np.unique(h)[:fingerprints.SIZE].tolist()
+    assert fingerprints._least(at, h)[0] == plain_least(h)
+
+
+def test_a_passage_shared_by_two_long_texts_is_seen():
+    rng = random.Random(7)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60_000)]
+    passage = " ".join(words[:100])
+    one, other = passage + " " + " ".join(words[100:20_000]), " ".join(words[20_000:]) + " " + passage
+    a, b = fingerprints.sketch(one), fingerprints.sketch(other)
+    assert fingerprints.likeness(a, b) > 0 and set(a[0]) & set(b[0]) >= set(fingerprints.sketch(passage)[0][:5])
+
+
+def test_likeness_by_brute_force():
+    """Over texts of all kinds: the anchors that both sketches have all of, and the longest
+    chain of common ones found by quadratic dynamic programming."""
+    rng = random.Random(8)
+    base = "".join(rng.choices("abcdefgh ", k=9_000))
+    texts = [base, base[3_000:] + base[:3_000], base[:200], base[:2_000] + "x" * 50 + base[2_000:], "tiny", base[5_000:5_300]]
+    for s in texts:
+        for t in texts:
+            x, y = (dict(zip(*fingerprints.sketch(u), strict=True)) for u in (s, t))
+            limit = min((1 << 32) - 1 if len(z) < fingerprints.SIZE else max(fingerprints.LIMIT, sorted(z)[fingerprints.SIZE - 1])
+                        for z in (x, y))
+            union = [h for h in x.keys() | y.keys() if h <= limit]
+            common = sorted((x[h], y[h]) for h in union if h in x and h in y)
+            best = []
+            for i, (p, q) in enumerate(common):
+                best.append(1 + max((best[j] for j in range(i) if common[j][0] < p and common[j][1] < q), default=0))
+            want = 1.0 if x == y else max(best, default=0) / len(union) if union else 0.0
+            assert fingerprints.likeness(fingerprints.sketch(s), fingerprints.sketch(t)) == pytest.approx(want), (s[:9], t[:9])
 
 
 def expected_pairs(docs):
@@ -387,3 +422,13 @@ def test_query_matches_sql(spark, name):
     assert sorted(columns) == sorted(df.columns)
     assert sorted(map(str, df.select(*columns).toPandas().itertuples(index=False))) == sorted(
         map(str, want.df().itertuples(index=False)))
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "some words of a text that is long enough to be known " * 3, "en", "s", 9, "x", "y")
+                                  for i in (1, 1, 2)], "doc_id long, text string, lang string, source string, n_chars long, "
+                                 "`a.b` string, `c d` string")
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, SF)
+        assert {"a.b", "c d"} <= set(made.columns), name
+        assert all(r["a.b"] == "x" for r in made.collect()), name

@@ -204,3 +204,55 @@ def test_contamination_report(spark, edge_docs, no_docs):
     assert decontam.contamination_report(no_docs, bench).count() == 0
     assert not any(r.contaminated for r in decontam.contamination_report(docs, bench.where("false")).collect())
     assert lower("ÀB") == "Àb" and len(LONG) > 100_000
+
+
+def test_long_runs_and_many_findings_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert secrets.candidates("x" * 1_000_000, []) == []  # letters without a digit
+    assert secrets.candidates("x" * 999_999 + "1", []) == [(0, 1_000_000)]
+    text = "password=secret1234 abcdefgh1234567 " * 100_000
+    spans = secrets.base_spans(text)
+    assert len(spans) == 100_000 and len(secrets.candidates(text, spans)) == 100_000
+    assert time.perf_counter() - start < 20
+
+
+def test_candidates_by_brute_force():
+    rng = random.Random(11)
+    for _ in range(200):
+        text = "".join(rng.choices("aaab1=: password=AKIAZ09f", k=120)) + "aaaaaaaaaaaaa1" * rng.randrange(3)
+        spans = secrets.base_spans(text)
+        want = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{12,}", text)
+                if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
+                and not any(s < m.end() and m.start() < e for _, s, e in spans)]
+        assert secrets.candidates(text, spans) == want
+
+
+def test_repeated_and_nameless_items(spark):
+    """Items repeated in bulk are read once; one without an id stands as an empty one."""
+    passage = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([("a", passage)] * 500 + [(None, "red green blue"), ("b", None)], "item_id string, text string")
+    assert sorted(x for block in decontam.item_blocks(items, "item_id", "text", 1000) for x in block) == [
+        ("", "red green blue"), ("a", passage)]
+    docs = spark.createDataFrame([(1, "x " + passage), (2, "Red, green; blue"), (3, "none")], "doc_id long, text string")
+    got = by_id(decontam.contamination_report(docs, items))
+    assert [(got[i]["n_items"], got[i]["n_hit"]) for i in (1, 2, 3)] == [(1, 11), (1, 3), (0, 0)]
+    assert got[1]["items_sha256"] == hashlib.sha256(b"a").hexdigest()
+    assert got[2]["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """Thue-Morse words and their complements are different words to every operator."""
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - b for b in bits]
+    one, other = ("".join(x[b] for b in bits) for x in ("ab", "ba"))
+    items = spark.createDataFrame([("i", one)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"see {one} here"), (2, f"see {other} here")], "doc_id long, text string")
+    got = by_id(decontam.contamination_report(docs, items))
+    assert (got[1]["n_hit"], got[2]["n_hit"]) == (1, 0)
+    for short in (128, 256, 512, 1024):
+        data = np.frombuffer((one[:short] + other[:short]).encode(), np.uint8)
+        a, b = span_hashes(data, np.array([0, short]), np.array([short, 2 * short])).tolist()
+        assert a != b
