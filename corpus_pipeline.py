@@ -35,6 +35,11 @@ from revcast.llm.text import bound_batches
 from revcast.session import ensure_checkpoint_dir
 
 
+def _columns(docs: DataFrame) -> list:
+    """The documents' columns, whatever is in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     return langid.keep_identified(docs, langid.learn(docs))
@@ -47,22 +52,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     again = known.groupBy("doc_id").agg(F.count("*").alias("copies")).where("copies > 1").select("doc_id").checkpoint()
     if again.isEmpty():
         kept = neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
-        return known.join(kept, "doc_id", "left_semi").unionByName(unknown).select(*docs.columns)
+        return known.join(kept, "doc_id", "left_semi").unionByName(unknown).select(*_columns(docs))
     # Each text of a repeated id is a document of its own, under a number.
-    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    rest = [c for name, c in zip(docs.columns, _columns(docs), strict=True) if name not in ("doc_id", "text")]
     least = known.join(again, "doc_id", "left_semi").groupBy("doc_id", "text").agg(
         F.min(F.struct(F.col("text"), *rest)).alias("row"))
-    rows = known.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        least.select("doc_id", "row.*").select(*docs.columns))
+    rows = known.join(again, "doc_id", "left_anti").select(*_columns(docs)).unionByName(
+        least.select("doc_id", "row.*").select(*_columns(docs)))
     digest = F.unhex(F.sha2(F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce(
         F.concat(F.lit("t"), "text"), F.lit("null"))), 256))
-    rows = rows.select(digest.alias("digest"), F.struct(*docs.columns).alias("row")).checkpoint()
+    rows = rows.select(digest.alias("digest"), F.struct(*_columns(docs)).alias("row")).checkpoint()
     numbers = neardup.numbered(rows.select("digest", F.col("row.doc_id").cast("long").alias("class")))
     rows = rows.join(numbers.select("digest", "id"), "digest").select("id", "row").checkpoint()
     found = neardup.near_duplicates(rows.select("id", "row.text"), key="id")
     heads = found.join(rows.select("id", "row.doc_id"), "id").groupBy("component_id").agg(
         F.min(F.struct("doc_id", "id")).alias("least")).select("least.id")
-    return rows.join(heads, "id", "left_semi").select("row.*").unionByName(unknown).select(*docs.columns)
+    return rows.join(heads, "id", "left_semi").select("row.*").unionByName(unknown).select(*_columns(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +82,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(kind))
                                  .otherwise(F.col("n_chars")))
-    return clean.select(*docs.columns)
+    return clean.select(*_columns(docs))
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
