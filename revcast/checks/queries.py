@@ -15,6 +15,7 @@ import os
 import uuid
 from collections import ChainMap
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ from ..plans.pipeline import ForecastRun, driver_run
 from ..session import ensure_checkpoint_dir
 from ..sources.driver_tables import ORDER_BASE_TABLES, DriverCatalog, load_tables, money
 from ..sources.rejects import Quarantine
-from ..sources.readers import load_directory, read_crm_export, read_sql_extracts
+from ..sources.readers import load_directory, read_crm_export, read_ranges, read_sql_extracts
 from ..sources.sinks import LAYERS, order_proof, read_snapshot, write_layer, write_ordered, write_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -677,6 +678,21 @@ def q_view_extract(spark, sf_dir):
     return hashable(made["by_status"])
 
 
+def q_extract_ranges(spark, sf_dir):
+    """An extract over a view cut into ranges of its partition column by
+    quantiles, nulls apart; in how many ranges each row is, and whether none but the
+    nulls' has over twice its share."""
+    k = F.col("o_orderkey")
+    _tables(spark, sf_dir)["orders"].select(k, F.when(k % 9 != 0, F.col("o_custkey") * F.col("o_custkey")).alias("cust")) \
+        .createOrReplaceTempView("ranged_orders")
+    df = read_sql_extracts(spark, {"o": {"sql": "SELECT * FROM ranged_orders"}})["o"]
+    ranges = read_ranges(df, "cust", 8)
+    rows = reduce(DataFrame.unionByName, [r.withColumn("range", F.lit(i)) for i, r in enumerate(ranges)])
+    sizes = rows.where("range > 0").groupBy("range").agg(F.count(F.lit(1)).alias("n")).agg(
+        (F.max("n") <= 2 * F.sum("n") / (len(ranges) - 1)).alias("balanced")).first()
+    return rows.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("ranges")).withColumn("balanced", F.lit(sizes.balanced))
+
+
 def q_ordered_sink(spark, sf_dir):
     """O1: a table written in a total order (from the greatest customer down, then by
     order); ``in_order`` says of each row that its part file is sorted and does not
@@ -714,6 +730,7 @@ QUERIES: dict[str, Query] = {
     "layer_roundtrip": q_layer_roundtrip,
     "view_extract": q_view_extract,
     "ordered_sink": q_ordered_sink,
+    "extract_ranges": q_extract_ranges,
     "null_fanout": q_null_fanout,
     "fiscal_calendar": q_fiscal_calendar,
     "code_maps": q_code_maps,

@@ -8,8 +8,9 @@ executors.
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,58 @@ from .csv_records import CORRUPT, read_text_columns
 from .rejects import Quarantine, split_rows
 
 
+def sql_literal(value) -> str:
+    """A value as SQL text."""
+    if isinstance(value, _dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, _dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def range_predicates(column: str, bounds: Sequence) -> list[str]:
+    """Predicates that cut a table into ranges of a column at ``bounds`` (ascending; each is
+    the least value of its range): the nulls first, in a range of their own, then one range
+    before the first bound and one from each bound to the next. Each row is in exactly one."""
+    texts = [sql_literal(b) for b in bounds]
+    out = [f"{column} IS NULL"]
+    if not texts:
+        return [*out, f"{column} IS NOT NULL"]
+    out.append(f"{column} < {texts[0]}")
+    out += [f"{column} >= {lo} AND {column} < {hi}" for lo, hi in zip(texts, texts[1:])]
+    return [*out, f"{column} >= {texts[-1]}"]
+
+
+def range_bounds(df: DataFrame, column: str, n: int) -> list:
+    """Bounds of about ``n`` ranges of equally many rows: the quantiles of the column's
+    non-null values, each value once (a value that fills several ranges is one bound). One
+    aggregate, of a mergeable sketch. For text, which the sketch does not take, the
+    quantiles of a bounded sample of its values with their counts."""
+    kind = df.schema[column].dataType
+    values = df.where(F.col(f"`{column}`").isNotNull()).select(F.col(f"`{column}`").alias("v"))
+    shares = [i / n for i in range(1, n)]
+    if not shares:
+        return []
+    if isinstance(kind, StringType):  # at most 64 values a range, the same ones each time
+        rows = values.groupBy("v").agg(F.count(F.lit(1)).alias("k")).orderBy(F.xxhash64("v")).limit(64 * n).collect()
+        rows = sorted((r.v, r.k) for r in rows)
+        total, seen, out = sum(k for _, k in rows), 0, []
+        for v, k in rows:
+            if len(out) < len(shares) and seen >= shares[len(out)] * total:
+                out.append(v)
+            seen += k
+        return sorted(set(out))
+    found = values.agg(F.percentile_approx("v", shares, 100 * n).alias("q")).first()["q"] or []
+    return sorted(set(found))
+
+
+def read_ranges(df: DataFrame, column: str, n: int) -> list[DataFrame]:
+    """A frame cut into ranges of a column (``range_bounds``), nulls in the first."""
+    return [df.where(p) for p in range_predicates(f"`{column}`", range_bounds(df, column, n))]
+
+
 def read_sql_extract(spark: SparkSession, url: str, sql: str, properties: Mapping[str, str],
                      partition_column: str | None = None, lower_bound: int | None = None,
                      upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
@@ -26,11 +79,16 @@ def read_sql_extract(spark: SparkSession, url: str, sql: str, properties: Mappin
 
     Connection details (user, password, driver) come from ``properties``.
     With ``partition_column`` and bounds, Spark issues ``num_partitions``
-    range queries in parallel instead of one cursor.
+    range queries in parallel instead of one cursor. Without bounds the database is
+    asked for those of equally filled ranges first (``bounds_query``), and nulls
+    are a range of their own.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({sql}) q")
-    for k, v in properties.items():
-        reader = reader.option(k, v)
+    if partition_column is not None and lower_bound is None:
+        bounds = _jdbc(spark, url, bounds_query(sql, partition_column, num_partitions or 8), properties).load()
+        bounds = sorted(r[0] for r in bounds.collect())  # one row a range
+        return spark.read.jdbc(url, f"({sql}) q", predicates=range_predicates(partition_column, bounds[1:]),
+                               properties=dict(properties))
+    reader = _jdbc(spark, url, sql, properties)
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", lower_bound).option("upperBound", upper_bound)
@@ -38,6 +96,19 @@ def read_sql_extract(spark: SparkSession, url: str, sql: str, properties: Mappin
     return reader.load()
 
 
+def _jdbc(spark: SparkSession, url: str, sql: str, properties: Mapping[str, str]):
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({sql}) q")
+    for k, v in properties.items():
+        reader = reader.option(k, v)
+    return reader
+
+
+def bounds_query(sql: str, column: str, n: int) -> str:
+    """SQL of the least value of each of ``n`` equally filled ranges of a query's column."""
+    return (f"SELECT MIN(v) AS v FROM (SELECT {column} AS v, NTILE({n}) OVER (ORDER BY {column}) AS t "
+            f"FROM ({sql}) x WHERE {column} IS NOT NULL) y GROUP BY t")
+
+
 def read_sql_extracts(spark: SparkSession, specs: Mapping[str, Mapping]) -> dict[str, DataFrame]:
     """S1 over a config: ``name -> {url?, sql, properties, finalcols?}``.
 

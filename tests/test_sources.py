@@ -6,6 +6,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import types as T
 
 from revcast.sources.readers import flatten_parent, load_directory, read_crm_export
@@ -128,3 +129,30 @@ def test_input_fingerprint_sees_nested_files(spark, tmp_path):
     a, b = spark.createDataFrame([(1, None)], "k int, v int"), spark.createDataFrame([(None, 1)], "k int, v int")
     assert frame_fingerprint(a) != frame_fingerprint(b) == frame_fingerprint(
         spark.createDataFrame([(None, 1)], "k int, v int"))
+
+
+@pytest.mark.parametrize("kind", ["skewed", "date", "text", "one value", "nulls"])
+def test_ranges_are_disjoint_complete_and_balanced(spark, kind):
+    from revcast.sources.readers import range_bounds, range_predicates, read_ranges
+
+    value = {"skewed": "id * id", "date": "date_add(DATE '2020-01-01', cast(id % 700 as int))",
+             "text": "concat('k', char(39), id % 900)", "one value": "cast(7 as bigint)", "nulls": "cast(null as int)"}[kind]
+    df = spark.range(4000).selectExpr("id", f"CASE WHEN id % 5 <> 0 THEN {value} END AS `the key`")
+    parts = read_ranges(df, "the key", 8)
+    ids = [sorted(r.id for r in p.collect()) for p in parts]
+    assert sorted(sum(ids, [])) == list(range(4000))
+    assert ids[0] == [i for i in range(4000) if i % 5 == 0 or kind == "nulls"]
+    if kind in ("skewed", "date", "text"):
+        assert len(parts) == 9 and max(map(len, ids[1:])) <= 2 * 3200 / 8
+    assert range_predicates("c", []) == ["c IS NULL", "c IS NOT NULL"]
+    assert range_bounds(df, "the key", 1) == []
+
+
+def test_bounds_query_of_a_database(spark):
+    """The SQL that asks a database for the bounds, run over a view."""
+    from revcast.sources.readers import bounds_query, range_predicates
+
+    spark.range(1000).selectExpr("CASE WHEN id % 10 <> 0 THEN id * id END AS c").createOrReplaceTempView("bounded")
+    bounds = sorted(r[0] for r in spark.sql(bounds_query("SELECT c FROM bounded", "c", 4)).collect())
+    sizes = [spark.sql(f"SELECT * FROM bounded WHERE {p}").count() for p in range_predicates("c", bounds[1:])]
+    assert sizes == [100, 225, 225, 225, 225]
