@@ -15,6 +15,7 @@ from ..operators.aggregates import sum_by
 from ..operators.dedup import distinct_rows, latest_per_key
 from ..operators.joins import JoinSpec, enrich, left_enrich
 from ..operators.projection import add_prefix, project_lenient, rename_map
+from ..operators.skew import SHARE, key_profile
 from ..sources.readers import flatten_parent
 
 
@@ -71,7 +72,18 @@ def _suffixed(df: DataFrame, suffix: str) -> DataFrame:
     return df.toDF(*[c + suffix for c in df.columns])
 
 
-def dimension_first_join(cat: Mapping[str, DataFrame]) -> DataFrame:
+TRANSACTION_KEYS = ("Trx_Account__c", "Trx_Opportunity__c", "Trx_Project__c", "Trx_Milestone__c")
+
+
+def hot_transaction_keys(fact: DataFrame, fraction: float = 0.01, share: float = SHARE) -> dict[str, tuple]:
+    """The hot values of the transaction fact's four keys, sketched in one pass over a
+    sample. They decide how the joins are carried out, not what comes out."""
+    sample = fact.sample(fraction, seed=17) if fraction < 1 else fact
+    found = key_profile(sample, {k: F.col(k) for k in TRANSACTION_KEYS}, share)
+    return {k: tuple(v for v in values if v is not None) for k, values in found.items()}
+
+
+def dimension_first_join(cat: Mapping[str, DataFrame], hot: Mapping[str, tuple] | None = None) -> DataFrame:
     """The J2 chain with the dimension-to-dimension lookups done first.
 
     Owner lookups only read account or opportunity columns, and the
@@ -81,7 +93,8 @@ def dimension_first_join(cat: Mapping[str, DataFrame]) -> DataFrame:
     the transaction fact is then shuffled for four joins instead of nine.
     Column names are those the sequential chain gives. Equivalent to the
     sequential chain because CRM record ids are primary keys (never null),
-    so no null-to-null match can arise between dimensions.
+    so no null-to-null match can arise between dimensions. ``hot``: values of the
+    fact's keys that are split off where a join has to shuffle.
     """
     users = cat["Ref_User"]
     acct = left_enrich(cat["Ref_Acct"], users, "Acct_OwnerId", "User_Id", null_salt=NULL_SALT, salt_on=("Acct_Id",))
@@ -94,24 +107,25 @@ def dimension_first_join(cat: Mapping[str, DataFrame]) -> DataFrame:
     mile = left_enrich(mile, _suffixed(cat["Ref_Opps"], "_MileOpp"), "Oppline_OpportunityId",
                        "Opps_Id_MileOpp", null_salt=NULL_SALT, salt_on=("Mile_Id",))
     f = cat["Fact_Trx"]
-    salt = {"null_salt": NULL_SALT, "salt_on": ("Trx_Id",)}
-    f = left_enrich(f, acct, "Trx_Account__c", "Acct_Id", **salt)
-    f = left_enrich(f, opps, "Trx_Opportunity__c", "Opps_Id", **salt)
-    f = left_enrich(f, cat["Ref_Proj"], "Trx_Project__c", "Proj_Id", **salt)
-    return left_enrich(f, mile, "Trx_Milestone__c", "Mile_Id", **salt)
+    for key, right, on in zip(TRANSACTION_KEYS, (acct, opps, cat["Ref_Proj"], mile), ("Acct_Id", "Opps_Id", "Proj_Id", "Mile_Id"),
+                              strict=True):
+        f = left_enrich(f, right, key, on, null_salt=NULL_SALT, salt_on=("Trx_Id",), hot_values=(hot or {}).get(key, ()))
+    return f
 
 
-def transaction_fact(objects: Mapping[str, DataFrame], chain=None) -> DataFrame:
+def transaction_fact(objects: Mapping[str, DataFrame], chain=None, profile: float = 0.0) -> DataFrame:
     """CRM transactions with account, owners, opportunity, project,
     milestone, order and milestone opportunity; milestone values override
     opportunity values; months become fiscal periods.
 
     ``chain`` (e.g. ``CRM_CHAIN``) runs the enrichment as the original's
     sequential list of joins; by default the equivalent dimension-first
-    plan is used.
+    plan is used, with the hot keys that a sketch of the part ``profile`` of the
+    fact finds.
     """
     cat = prefixed(objects)
-    f = enrich(cat["Fact_Trx"], cat, chain) if chain is not None else dimension_first_join(cat)
+    hot = hot_transaction_keys(cat["Fact_Trx"], profile) if profile and chain is None else None
+    f = enrich(cat["Fact_Trx"], cat, chain) if chain is not None else dimension_first_join(cat, hot)
     f = project_lenient(rename_map(f, K.CRM_FINAL_COLUMNS, keep_unmapped=False),
                         list(K.CRM_FINAL_COLUMNS.values()))
     return f.withColumns({

@@ -10,6 +10,7 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame
 
 from ..operators.fanout import assert_growth
+from ..operators.joins import auto_broadcast_bytes, fits_broadcast
 from . import crm
 from .attribution import attributed_facts, order_fanout
 from ._lazy import LazyMap
@@ -92,7 +93,7 @@ class ForecastRun:
         """CRM fact, pipeline TCV and the prepared references."""
         cat = self.crm_prefixed
         return self._layer("crm_sources", {
-            "Fact_Trx": lambda: crm.transaction_fact(self.crm_objects),
+            "Fact_Trx": lambda: crm.transaction_fact(self.crm_objects, profile=self._profile("Fact_Trx")),
             "Fact_Tcvpl": lambda: crm.pipeline_tcv(self.crm_layer["Fact_Trx"]),
             "Ref_BillParty": lambda: crm.bill_party_ref(cat["Ref_Acct"]),
             "Ref_Prnt": lambda: crm.parent_ref(cat["Ref_Prnt"]),
@@ -101,6 +102,12 @@ class ForecastRun:
             "Ref_Opps_Acct": lambda: crm.opportunity_account_ref(self.crm_objects["Ref_Opps_Acct"]),
         })
 
+    def _profile(self, name: str) -> float:
+        """The part of a CRM table whose keys are sketched: none where it is not written, or
+        small enough to broadcast."""
+        fact = self.crm_objects[name]
+        return self.cfg.profile_fraction if self.fact_root and not fits_broadcast(fact, auto_broadcast_bytes(fact)) else 0.0
+
     @property
     def fact_trx(self) -> DataFrame:
         return self.crm_layer["Fact_Trx"]

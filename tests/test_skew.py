@@ -107,3 +107,23 @@ def test_no_salts_where_right_tables_are_small(spark):
     assert hot_chain(spark.range(5), {s.right: spark.range(1) for s in ORDER_CHAIN if isinstance(s, JoinSpec)}) is ORDER_CHAIN
     for name in ("enrichment_chain", "crm_chain"):
         assert "Generate" not in plan(QUERIES[name](spark, SF001))
+
+
+def test_crm_joins_split_hot_accounts(spark, shuffled):
+    """Half of the transactions have one account: the sketch names it, and the fact is
+    that of the plain joins."""
+    from revcast.plans import crm
+    from revcast.sources.driver_tables import DriverCatalog
+
+    objs = dict(DriverCatalog(spark, SF001).crm_objects())
+    trx = objs["Fact_Trx"]
+    account = trx.where("Account__c is not null").first()["Account__c"]
+    objs["Fact_Trx"] = trx.withColumn("Account__c", F.when(F.crc32(F.col("Id").cast("binary")) % 2 == 0, F.lit(account))
+                                      .otherwise(F.col("Account__c")))
+    hot = crm.hot_transaction_keys(crm.prefixed(objs)["Fact_Trx"], 1, 0.2)
+    assert hot["Trx_Account__c"] == (account,)
+    split = crm.transaction_fact(objs, profile=1)
+    assert "Generate" not in plan(split)
+    split = rows(split)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert split == rows(crm.transaction_fact(objs, chain=crm.CRM_CHAIN))
