@@ -507,7 +507,7 @@ ENRICHED_COLUMNS = (
 
 def q_enrichment_chain(spark, sf_dir):
     """The ten-step enrichment of the TCV extract."""
-    df = _run(spark, sf_dir).attributed[1]
+    df = _run(spark, sf_dir).fact_layer["tcv_attributed"]
     return hashable(df.select(*[F.col(f"`{c}`") for c in ENRICHED_COLUMNS]), NULLABLE_INTS["enrichment_chain"])
 
 

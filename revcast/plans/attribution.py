@@ -101,19 +101,20 @@ def hot_chain(fact: DataFrame, catalog: Mapping[str, DataFrame], chain=ORDER_CHA
                  if i in shuffled else s for i, s in enumerate(chain))
 
 
-def attributed_facts(order_src: Mapping[str, DataFrame], crm_src: Mapping[str, DataFrame],
-                     chain=ORDER_CHAIN, broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING,
-                     profile: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """(revenue fact, TCV fact) after the chain; order and CRM tables share
-    one catalog, as the chain reads both. ``profile``: the part of each fact
+def attributed_fact(name: str, order_src: Mapping[str, DataFrame], crm_src: Mapping[str, DataFrame],
+                    chain=ORDER_CHAIN, broadcast_ceiling: int = DEFAULT_BROADCAST_CEILING,
+                    profile: float = 0.0) -> DataFrame:
+    """One order-side fact (``revfact`` or ``tcv``) after the chain; order and CRM tables
+    share one catalog, as the chain reads both. ``profile``: the part of the fact
     whose keys are sketched before (``hot_chain``); none by default."""
     cat = ChainMap(order_src, crm_src)
+    fact = order_src[name]
+    return attribute_orders(fact, cat, hot_chain(fact, cat, chain, profile) if profile else chain, broadcast_ceiling)
 
-    def attributed(name):
-        fact = order_src[name]
-        return attribute_orders(fact, cat, hot_chain(fact, cat, chain, profile) if profile else chain, broadcast_ceiling)
 
-    return attributed("revfact"), attributed("tcv")
+def attributed_facts(order_src: Mapping[str, DataFrame], crm_src: Mapping[str, DataFrame], **how) -> tuple[DataFrame, DataFrame]:
+    """(revenue fact, TCV fact) after the chain."""
+    return attributed_fact("revfact", order_src, crm_src, **how), attributed_fact("tcv", order_src, crm_src, **how)
 
 
 def null_fanout(catalog: Mapping[str, DataFrame], chain=ORDER_CHAIN, fail: bool = False) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from ..operators.fanout import assert_growth
 from ..operators.joins import auto_broadcast_bytes, fits_broadcast
 from . import crm
-from .attribution import attributed_facts, order_fanout
+from .attribution import attributed_fact, order_fanout
 from ._lazy import LazyMap
 from .config import ForecastConfig
 from .orders import EXTRACT_ORDER, order_sources
@@ -125,17 +125,16 @@ class ForecastRun:
                                                     "Ref_Opps_Acct")})
         return refs
 
-    @cached_property
-    def _attributed_now(self) -> tuple[DataFrame, DataFrame]:
-        return attributed_facts(self.order_sources, self.crm_refs, broadcast_ceiling=self.cfg.broadcast_ceiling,
-                                # Written tables only: derived ones would be derived twice.
-                                profile=self.cfg.profile_fraction if self.fact_root else 0.0)
+    def _attributed(self, name: str) -> DataFrame:
+        # Written tables only are sketched: derived ones would be derived twice.
+        return attributed_fact(name, self.order_sources, self.crm_refs, broadcast_ceiling=self.cfg.broadcast_ceiling,
+                               profile=self.cfg.profile_fraction if self.fact_root else 0.0)
 
     @cached_property
     def fact_layer(self) -> Mapping[str, DataFrame]:
         """The two attributed order facts."""
-        return self._layer("facts", {"rev_attributed": lambda: self._attributed_now[0],
-                                     "tcv_attributed": lambda: self._attributed_now[1]})
+        return self._layer("facts", {"rev_attributed": lambda: self._attributed("revfact"),
+                                     "tcv_attributed": lambda: self._attributed("tcv")})
 
     @property
     def attributed(self) -> tuple[DataFrame, DataFrame]:
@@ -143,11 +142,11 @@ class ForecastRun:
 
     @cached_property
     def fcrev(self) -> DataFrame:
-        return revenue_forecast(self.attributed[0], self.fact_trx, self.cfg)
+        return revenue_forecast(self.fact_layer["rev_attributed"], self.fact_trx, self.cfg)
 
     @cached_property
     def fctcv(self) -> DataFrame:
-        return tcv_forecast(self.attributed[1], self.fact_tcvpl, self.crm_refs["Ref_Opps"], self.cfg)
+        return tcv_forecast(self.fact_layer["tcv_attributed"], self.fact_tcvpl, self.crm_refs["Ref_Opps"], self.cfg)
 
     def tables(self) -> dict[str, DataFrame]:
         """Every intermediate and final table (plans all of them)."""
@@ -239,7 +238,6 @@ def _prefetch(run: ForecastRun, facts: bool, parallel_jobs: int) -> None:
     if facts:
         osrc, clay = run.order_sources, run.crm_layer
         _parallel_get([(osrc, n) for n in osrc.keys()] + [(clay, n) for n in clay.keys()], parallel_jobs)
-        run._attributed_now
         _parallel_get([(run.fact_layer, n) for n in ("rev_attributed", "tcv_attributed")], 2)
 
 

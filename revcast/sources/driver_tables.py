@@ -19,6 +19,8 @@ mapping is restated in SQL for the DuckDB oracle (``revcast.checks``).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from .. import constants as K
 from ..functions.fiscal import fiscal_period
 from ..functions.semantics import product_key
 from ..operators.joins import bounded_broadcast
+from ..plans._lazy import LazyMap
 from ..plans.config import (DRIVER_ZERO_ORDERS, DRIVER_ZERO_PARTY_DATES, ForecastConfig,
                             driver_config)
 
@@ -40,9 +43,9 @@ ORDER_BASE_TABLES = (
     "order_holds", "hold_sources", "hold_definitions")
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """The driver parquet tables, lazily."""
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> Mapping[str, DataFrame]:
+    """The driver parquet tables, each opened (its footer is read) on first use."""
+    return LazyMap({n: lambda n=n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
 
 
 def money(c) -> Column:
