@@ -45,13 +45,10 @@ def _spot(value: Column, k: int, bits: int) -> Column:
 def may_hold(value: Column, words: list[int]) -> Column:
     """Whether a value may be among those of a filter (false: it is not; null: null)."""
     table = F.from_json(F.lit(json.dumps(words)), "array<bigint>")  # folded to one literal
-    out = None
-    for k in range(HASHES):
-        spot = _spot(value, k, len(words) * 64)
-        word = F.get(table, (spot / 64).cast("int"))
-        bit = F.call_function("getbit", word, (spot % 64).cast("int")) == 1
-        out = bit if out is None else out & bit
-    return out
+    bits = len(words) * 64
+    # The table stands in the plan once, whatever the number of hashes.
+    return F.when(value.isNotNull(), F.forall(F.array(*[_spot(value, k, bits) for k in range(HASHES)]), lambda spot: F.call_function(
+        "getbit", F.get(table, (spot / 64).cast("int")), (spot % 64).cast("int")) == 1))
 
 
 def exclude_table(df: DataFrame, column: str, listed: DataFrame, listed_column: str | None = None, keep_null: bool = True,

@@ -97,13 +97,13 @@ def test_exclusion_by_an_empty_or_null_table(spark, keep_null, listed):
     assert rows(lists.exclude_table(df, "k", table, keep_null=keep_null)) == want[keep_null, len(listed)]
 
 
-def test_a_million_ids_behind_a_bloom_filter(spark):
+def test_many_ids_behind_a_bloom_filter(spark):
     """Only rows that pass the filter are shuffled; nothing of the result is lost."""
-    ids = spark.range(1_000_000).select((F.col("id") * 7).alias("k"))
+    ids = spark.range(200_000).select((F.col("id") * 7).alias("k"))
     df = spark.range(0, 700_000, 1, 4).select("id", F.when(F.col("id") % 100 != 0, F.col("id")).alias("k"))
-    got = lists.exclude_table(df, "k", ids)
+    got = lists.exclude_table(df, "k", ids, broadcast_values=0)
     assert got.count() == sum(1 for i in range(700_000) if i % 100 == 0 or i % 7)
-    words = lists.bloom_words(ids, "k", 1 << 24)
+    words = lists.bloom_words(ids, "k", 1 << 21)
     passed = df.where(lists.may_hold(F.col("k"), words))
     listed = sum(1 for i in range(700_000) if i % 100 and i % 7 == 0)
     assert listed <= passed.count() < listed * 1.2
