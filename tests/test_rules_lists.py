@@ -118,3 +118,14 @@ def test_lists_too_long_for_a_filter(spark, monkeypatch):
     got = lists.exclude_table(df, "k", ids, broadcast_values=0)
     assert [r[0] for r in rows(got)] and sorted(r[0] for r in got.collect()) == list(range(1, 50, 2))
     assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_filter_bits_stay_out_of_the_plan_and_the_driver(spark, monkeypatch):
+    """The filter is a broadcast row: the plan's text does not grow with its bits, and the driver
+    does not collect its words."""
+    monkeypatch.setattr(lists, "bloom_words", None)
+    ids = spark.range(20_000).select((F.col("id") * 7).alias("k"))
+    df = spark.range(0, 70_000, 1, 4).select(F.when(F.col("id") % 100 != 0, F.col("id")).alias("k"))
+    got = lists.exclude_table(df, "k", ids, broadcast_values=0)
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    assert got.count() == sum(1 for i in range(70_000) if i % 100 == 0 or i % 7)
