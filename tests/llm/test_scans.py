@@ -156,6 +156,21 @@ def test_drawn_positives_begin_at_the_least_candidate(monkeypatch):
     assert min(n for n, label in zip(sizes, y, strict=True) if label) == secrets.MIN_RUN
 
 
+def test_network_learns_from_every_document_however_dealt(spark, monkeypatch):
+    """No sample: each document's examples count, and rows' order and partitions don't matter."""
+    monkeypatch.setattr(secrets, "ROUNDS", 1)
+    texts = [f"word{i} river token = \"{hashlib.md5(str(i).encode()).hexdigest()}\" and house{i} more" for i in range(6100)]
+    texts += [texts[0], None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = secrets.corpus_examples(docs, "text").toPandas()
+    assert made["n"].sum() == sum(len(secrets.labelled(t)) for t in texts if t)
+    assert 0.3 < made[made["held"]]["n"].sum() / made["n"].sum() < 0.37
+    nets = [secrets.fit_network(d) for d in (docs, docs.orderBy("text").repartition(7, "doc_id"))]
+    assert all((getattr(nets[0], k) == getattr(nets[1], k)).all() for k in ("taps", "bias", "dense"))
+    assert nets[0].thresholds == nets[1].thresholds and (nets[0].scale, nets[0].shift) == (nets[1].scale, nets[1].shift)
+    spans = secrets.find_spans(nets[0], ["my key is ghp_A1b2C3d4E5f6G7h8I9j0K1l2M3n4 ok", "river-house-123 was 2024-05-06T07"])
+    assert [s[0] for s in spans[0]] == ["model"] and spans[1] == []
+
 
 # --- decontamination -----------------------------------------------------
 
