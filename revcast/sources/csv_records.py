@@ -3,8 +3,8 @@
 A file whose quoted fields hold no line break is split by Spark's own reader. Where
 they do, a byte range may begin inside quotes, so ranges can't be read on their own:
 
-1. one pass counts the quotes of each range (a file split as the text source makes
-   it). An odd number turns "inside quotes" on or off, so the running
+1. one pass counts the quotes of each range (``RANGE_LINES`` lines at most of a file split
+   as the text source makes it). An odd number turns "inside quotes" on or off, so the running
    parity of the ranges before tells each range how it begins; files in which no
    line has an odd number of quotes go to Spark's reader;
 2. the lines of a range are put together to records, as those begin where the
@@ -12,7 +12,8 @@ they do, a byte range may begin inside quotes, so ranges can't be read on their
    go on over the edge: only these pieces (two a range at most) meet across ranges;
 3. records are parsed by ``from_csv`` with the options of the reader.
 
-Lines are shuffled once, by range, and a task holds the lines of a few ranges.
+Lines are shuffled once, by range, with a digest in place of the file's path; a range is
+of the same size in small and large files, and a task holds the lines of a few ranges.
 Files have to be as dataframe libraries write them: a field with a quote,
 a separator or a line break is quoted, and a quote in it is doubled.
 The encoding has to keep ASCII bytes (UTF-8, ISO-8859-x).
@@ -29,6 +30,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 # A record that is not as long as the header has its text here.
 CORRUPT = "__corrupt"
 OPTIONS = {"quote": '"', "escape": '"'}
+# Lines of a range: 2 to this power.
+RANGE_BITS = 15
 
 
 def _lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
@@ -44,10 +47,16 @@ _ODD = "(length(line) - length(replace(line, '\"', ''))) % 2"
 
 def joined_records(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
     """The records (``text``) of the files but for their headers."""
-    lines = _lines(spark, paths, encoding).withColumn("quotes", F.expr(_ODD))
+    # Ranges in their order in the file: the start of the split, then the count of its task's rows.
+    row = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    lines = _lines(spark, paths, encoding).withColumns({
+        "quotes": F.expr(_ODD), "file": F.unhex(F.md5("file")),
+        "block": F.shiftleft("block", 20) + F.shiftright(row, RANGE_BITS)})
     ranges = lines.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("odd"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begins = ranges.select("file", "block", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"))
+    in_file = Window.partitionBy("file").orderBy("block")
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    begins = ranges.select("file", "block", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"),
+                           (F.row_number().over(in_file) == 1).alias("first"))
 
     part = Window.partitionBy("file", "block")
     upto = part.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,8 +65,8 @@ def joined_records(spark: SparkSession, paths: list[str], encoding: str) -> Data
     lines = lines.join(begins, ["file", "block"]).withColumn(
         "start", F.when(inside == 0, F.col("at"))).withColumn("start", F.last("start", ignorenulls=True).over(here))
     pieces = lines.groupBy("file", "block", "start").agg(
-        F.min("at").alias("at"), F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines")).select(
-        "file", "block", "start", (F.col("block") == 0) & (F.min("at").over(part) == F.col("at")),
+        F.min("at").alias("at"), F.bool_or("first").alias("first"), F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines")).select(
+        "file", "block", "start", F.col("first") & (F.min("at").over(part) == F.col("at")),
         (F.max("start").over(part) == F.col("start")), F.transform("lines", lambda x: x["line"])).toDF(
         "file", "block", "start", "header", "last", "lines")
     # Pieces before the first record of a range belong to the last record of the ranges before.

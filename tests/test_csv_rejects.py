@@ -102,6 +102,18 @@ def test_one_file_is_joined_by_many_tasks(spark, ranges_of, tmp_path):
     assert table(load_directory(spark, str(tmp_path), fmt="csv")["t"]) == wanted(rows)
 
 
+def test_ranges_hold_few_lines_in_large_files_too(spark, monkeypatch, tmp_path):
+    """A task's lines do not grow with the file: one split of it is many ranges."""
+    monkeypatch.setattr(csv_records, "RANGE_BITS", 3)
+    files = {f"part {k}.csv": [[f"{k}-{i}", "x\n" * (i % 13) + f"end {i}"] for i in range(k * 40)] for k in range(5)}
+    for name, rows in files.items():
+        put(tmp_path / "t", name, written([["k", "v"], *rows]))
+    records = csv_records.joined_records(spark, [str(tmp_path / "t" / n) for n in files], "ISO-8859-1")
+    assert records.count() == sum(map(len, files.values()))
+    got = load_directory(spark, str(tmp_path), fmt="csv")["t"]
+    assert table(got) == wanted([r for rows in files.values() for r in rows])
+
+
 SCHEMA = T.StructType([T.StructField("n", T.LongType()), T.StructField("d", T.DateType())])
 
 
