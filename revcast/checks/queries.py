@@ -32,7 +32,7 @@ from ..functions.semantics import (exclude_drop_null, exclude_keep_null, first_n
 from ..operators.aggregates import column_census
 from ..operators.dedup import latest_per_key
 from ..operators.joins import (DeriveSpec, JoinSpec, anti_join, bounded_broadcast, enrich, fanout_report,
-                              left_enrich)
+                              left_enrich, parts_of)
 from ..operators.lists import BROADCAST_VALUES, exclude_table
 from ..operators.projection import move_first
 from ..operators.rule_match import match_rules
@@ -417,7 +417,10 @@ def q_composite_key_join(spark, sf_dir):
     dc = DriverCatalog(spark, sf_dir)
     pd_ = dc.pipeline_detail()
     ph = dc.pipeline_headers()
-    x = pd_.join(ph, ["pipeline_header_id", "pipeline_source"], "left")
+    # A task sorts and groups a bounded number of lines, whatever their number is in all.
+    keys = ["pipeline_header_id", "pipeline_source"]
+    parts = parts_of(dc.t["lineitem"])
+    x = pd_.repartition(parts, *keys).join(ph.repartition(parts, *keys), keys, "left")
     return hashable(x.groupBy("pipeline_header_id", "pipeline_source", "transaction_no").agg(
         F.count(F.lit(1)).alias("n"), F.sum("future_billing_amount").alias("amount")))
 

@@ -62,6 +62,16 @@ def bounded_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -
     return F.broadcast(df) if fits_broadcast(df, ceiling) else df
 
 
+TASK_ROWS = 500_000
+
+
+def parts_of(df: DataFrame, task_rows: int = TASK_ROWS) -> int:
+    """How many partitions a frame's rows take at ``task_rows`` each, at least the session's
+    number. Adaptive execution fills partitions up to a number of compressed bytes, which is
+    many rows of a few narrow columns; partitions by number are left as they are."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // task_rows))
+
+
 def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from revcast.operators.aggregates import column_census
 from revcast.operators.dedup import latest_per_key
-from revcast.operators.joins import DeriveSpec, JoinSpec, enrich, left_enrich
+from revcast.operators.joins import DeriveSpec, JoinSpec, enrich, left_enrich, parts_of
 from revcast.operators.projection import (add_prefix, move_first, project_lenient, project_strict,
                                           rename_map, select_renamed)
 from revcast.operators.sets import union_by_name
@@ -105,3 +105,11 @@ def test_size_estimate_and_bounded_broadcast(spark):
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
     kept = bounded_broadcast(small, ceiling=0)
     assert "broadcast" not in kept._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_parts_of_bounds_the_rows_of_a_task(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(1000 * (least + 3))
+    assert parts_of(df, 1000) == least + 3 and parts_of(df, 1 << 40) == least
+    kept = df.repartition(parts_of(df, 1000), "id")
+    assert kept.rdd.getNumPartitions() == least + 3  # adaptive execution puts none together
