@@ -32,8 +32,8 @@ BITS_PER_VALUE, HASHES, MAX_BITS = 10, 4, 1 << 25
 
 
 def bloom_filter(values: DataFrame, column: str, bits: int) -> DataFrame:
-    """The filter of a column's values: one row, ``__words``, an array of ``bits / 64`` numbers
-    of 64 bits. It is put together in Spark and kept in the checkpoint folder; the driver
+    """The filter of a column's values: one row, ``__one`` (zero) and ``__words``, an array of
+    ``bits / 64`` numbers of 64 bits. It is put together in Spark and kept in the checkpoint folder; the driver
     never has it, but for the broadcast of its one row (``MAX_BITS / 8`` bytes at most)."""
     spark = values.sparkSession
     ensure_checkpoint_dir(spark)
@@ -44,7 +44,7 @@ def bloom_filter(values: DataFrame, column: str, bits: int) -> DataFrame:
     every = words.unionByName(spark.range(bits // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("word")))
     every = every.groupBy("at").agg(F.bit_or("word").alias("word"))
     in_order = F.sort_array(F.collect_list(F.struct("at", "word")))
-    return every.agg(F.transform(in_order, lambda x: x["word"]).alias("__words")).checkpoint()
+    return every.agg(F.lit(0).cast("long").alias("__one"), F.transform(in_order, lambda x: x["word"]).alias("__words")).checkpoint()
 
 
 def _spot(value: Column, k: int, bits: int) -> Column:
@@ -87,6 +87,8 @@ def exclude_table(df: DataFrame, column: str, listed: DataFrame, listed_column:
     if bits > MAX_BITS:
         return rows.join(values, value == F.col("__listed"), "left_anti")
     words = F.broadcast(bloom_filter(values, "__listed", bits))
-    maybe = may_hold(value, F.col("__words"), bits)  # null values are not held
+    # Every row has the key of the one filter, which is no literal: a join by a literal is a nested loop.
+    one = F.pmod(F.xxhash64(value), F.lit(1).cast("long")) == F.col("__one")
+    maybe = one & may_hold(value, F.col("__words"), bits)  # null values are not held
     passed = rows.join(words, maybe, "left_semi")
     return rows.join(words, maybe, "left_anti").unionByName(passed.join(values, value == F.col("__listed"), "left_anti"))
