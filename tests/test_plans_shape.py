@@ -64,3 +64,21 @@ def test_forecasts_from_the_fact_layer_barely_shuffle(spark):
     assert "Exchange" not in rev
     tcv = _plan(QUERIES["tcv_forecast"](spark, SF001))
     assert len(re.findall(r"Exchange hashpartitioning", tcv)) <= 1
+
+
+def test_extracts_are_not_shuffled_for_their_last_grouping(spark):
+    """Where the party is joined by shuffle, its rows are grouped in place."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    try:
+        made = {}
+        for q in ("contracted_tcv", "billing_fact", "recognised_deferred"):
+            spark.conf.set(name, old)
+            QUERIES[q](spark, SF001)  # lands what is small
+            spark.conf.set(name, "-1")
+            made[q] = _plan(QUERIES[q](spark, SF001))
+    finally:
+        spark.conf.set(name, old)
+    for q, plan in made.items():
+        assert "SortMergeJoin" in plan and "hashpartitioning(bill_to_party_id" in plan, q
+        assert "hashpartitioning(PRODUCT_NUMBER" not in plan and "hashpartitioning(SEGMENT1" not in plan, q
