@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.joins import parts_of
+
 # A record that is not as long as the header has its text here.
 CORRUPT = "__corrupt"
 OPTIONS = {"quote": '"', "escape": '"'}
@@ -53,6 +55,7 @@ def joined_records(spark: SparkSession, paths: list[str], encoding: str) -> Data
         "quotes": F.expr(_ODD), "file": F.unhex(F.md5("file")),
         "block": F.shiftleft("block", 20) + F.shiftright(row, RANGE_BITS)})
     ranges = lines.groupBy("file", "block").agg((F.sum("quotes") % 2).alias("odd"))
+    parts = parts_of(spark.read.option("lineSep", "\n").text(paths))
     in_file = Window.partitionBy("file").orderBy("block")
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     begins = ranges.select("file", "block", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"),
@@ -62,7 +65,7 @@ def joined_records(spark: SparkSession, paths: list[str], encoding: str) -> Data
     upto = part.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     here = part.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = (F.col("inside") + F.coalesce(F.sum("quotes").over(upto), F.lit(0))) % 2
-    lines = lines.join(begins, ["file", "block"]).withColumn(
+    lines = lines.repartition(parts, "file", "block").join(begins, ["file", "block"]).withColumn(
         "start", F.when(inside == 0, F.col("at"))).withColumn("start", F.last("start", ignorenulls=True).over(here))
     pieces = lines.groupBy("file", "block", "start").agg(
         F.min("at").alias("at"), F.bool_or("first").alias("first"), F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines")).select(
