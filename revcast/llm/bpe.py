@@ -14,8 +14,9 @@ pointers from the last prefix give the ids; no merges are replayed.
   code point classes: letters, numbers, white space, others. Special tokens
   in the text are cut out first and stand for their ids.
 * Each distinct piece of a slice is encoded once; pieces that share a hash are
-  compared code point by code point with the one that stands for them. Piece
-  results are kept in a cache of bounded size for the task's later slices.
+  compared code point by code point with the one that stands for them. They are
+  encoded in the order of their bytes, each from the prefix it shares with the one
+  before. Piece results are kept in a cache of bounded size for the task's later slices.
 
 There is no shuffle. The tokenizer file is a public one, given by path; every
 worker reads it from the installed package, or ``vocabulary`` ships its text.
@@ -32,7 +33,7 @@ import hashlib
 import itertools
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -44,6 +45,7 @@ from .text import map_columns, map_texts, ranges, slices, span_hashes, utf8
 
 CACHE_PIECES = 100_000
 CACHE_PAIRS = 300_000
+KEPT_WAYS = 1_000_000
 SLICE = 1_000_000
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
@@ -102,6 +104,7 @@ class Vocabulary:
     first: np.ndarray | None = None
     compatible_pairs: dict[int, bool] = field(default_factory=dict)
     cache: dict[bytes, list[int]] = field(default_factory=dict)
+    kept_ways: int = 0  # ways added to the automaton by ``_next_state``
 
 
 def read_vocabulary(text: str) -> Vocabulary:
@@ -200,27 +203,60 @@ def compatible(v: Vocabulary, left: int, right: int) -> bool:
 
 def encode_piece(v: Vocabulary, data: bytes) -> list[int]:
     """The ids of one piece, from the last tokens of its prefixes."""
-    goes, fail, longest, shorter, sizes, known = v.goes, v.fail, v.longest, v.shorter, v.sizes, v.compatible_pairs
+    return encode_pieces(v, [data])[0]
+
+
+def _next_state(v: Vocabulary, state: int, byte: int) -> int:
+    """Where the automaton goes from a state that has no own way for a byte; kept, up to a number."""
+    goes, s = v.goes, v.fail[state] if state else -1
+    while s > 0 and byte not in goes[s]:
+        s = v.fail[s]
+    found = goes[s].get(byte, 0) if s >= 0 else 0
+    if v.kept_ways < KEPT_WAYS:
+        goes[state][byte] = found
+        v.kept_ways += 1
+    return found
+
+
+def encode_pieces(v: Vocabulary, pieces: Sequence[bytes]) -> list[list[int]]:
+    """The ids of each piece. What is known of the prefix that a piece has in common with
+    the one before it is taken over, so sorted pieces cost least."""
+    goes, longest, shorter, sizes, known = v.goes, v.longest, v.shorter, v.sizes, v.compatible_pairs
     last: list[int] = []
-    state = 0
-    for end, byte in enumerate(data, 1):
-        while state and byte not in goes[state]:
-            state = fail[state]
-        state = goes[state].get(byte, 0)
-        token = longest[state]
-        while start := end - sizes[token]:
-            ok = known.get(last[start - 1] << 20 | token)
-            if ok is None:
-                ok = compatible(v, last[start - 1], token)
-            if ok:
+    states: list[int] = [0]  # after so many bytes
+    out: list[list[int]] = []
+    before = b""
+    for data in pieces:
+        end = 0
+        for x, y in zip(before, data, strict=False):
+            if x != y:
                 break
-            token = shorter[token]
-        last.append(token)
-    out, end = [], len(data)
-    while end:
-        out.append(last[end - 1])
-        end -= sizes[last[end - 1]]
-    return out[::-1]
+            end += 1
+        del last[end:], states[end + 1:]
+        before = data
+        state = states[end]
+        for byte in data[end:]:
+            end += 1
+            to = goes[state].get(byte)
+            state = to if to is not None else _next_state(v, state, byte)
+            states.append(state)
+            token = longest[state]
+            while start := end - sizes[token]:
+                left = last[start - 1]
+                ok = known.get(left << 20 | token)
+                if ok is None:
+                    ok = compatible(v, left, token)
+                if ok:
+                    break
+                token = shorter[token]
+            last.append(token)
+        ids = []
+        while end:
+            token = last[end - 1]
+            ids.append(token)
+            end -= sizes[token]
+        out.append(ids[::-1])
+    return out
 
 
 def split_pieces(points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -303,8 +339,12 @@ def encode_texts(v: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
         same = np.logical_and.reduceat(alike, start)
     if not same.all():
         rep, which = np.arange(len(start)), np.arange(len(start))
-    encoded = [_encode_cached(v, points[a:b]) if a not in special else [special[a]]
-               for a, b in zip(start[rep].tolist(), end[rep].tolist(), strict=True)]
+    wide = np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))
+    text, byte_at = data.tobytes(), np.concatenate([[0], wide])
+    encoded = _encode_cached(v, [text[a:b] for a, b in zip(byte_at[start[rep]].tolist(), byte_at[end[rep]].tolist(),
+                                                           strict=True)])
+    if special:
+        encoded = [x if a not in special else [special[a]] for a, x in zip(start[rep].tolist(), encoded, strict=True)]
     size = np.array([len(x) for x in encoded], np.int64)
     place = np.concatenate([[0], np.cumsum(size)])
     known = np.fromiter(itertools.chain.from_iterable(encoded), np.uint32, int(place[-1]))
@@ -313,17 +353,22 @@ def encode_texts(v: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
     return ids, piece_id[np.searchsorted(start, row_start)]
 
 
-def _encode_cached(v: Vocabulary, points: np.ndarray) -> list[int]:
-    key = points.tobytes()
-    ids = v.cache.get(key)
-    if ids is None:
-        ids = encode_piece(v, key.decode("utf-32-le").encode())
-        if len(key) <= 256:
-            if len(v.cache) >= CACHE_PIECES:  # the older half goes
-                for old in list(v.cache)[:CACHE_PIECES // 2]:
-                    del v.cache[old]
-            v.cache[key] = ids
-    return ids
+def _encode_cached(v: Vocabulary, pieces: list[bytes]) -> list[list[int]]:
+    """The ids of each piece: from the cache, or encoded in the order of their bytes."""
+    cache = v.cache
+    out = [cache.get(p) for p in pieces]
+    missing = sorted({p for p, ids in zip(pieces, out, strict=True) if ids is None})
+    if not missing:
+        return out
+    found = dict(zip(missing, encode_pieces(v, missing), strict=True))
+    out = [ids if ids is not None else found[p] for p, ids in zip(pieces, out, strict=True)]
+    for p, ids in found.items():
+        if len(p) <= 64:
+            if len(cache) >= CACHE_PIECES:  # the older half goes
+                for old in list(cache)[:CACHE_PIECES // 2]:
+                    del cache[old]
+            cache[p] = ids
+    return out
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray, first: np.ndarray) -> list[bytes]:

@@ -83,6 +83,30 @@ def test_prefix_dp_equals_replayed_merges():
         assert bpe.encode_piece(v, t.encode()) == replay(t), t
 
 
+def test_pieces_share_the_work_on_prefixes():
+    v = bpe.load(None)
+    rng = random.Random(5)
+    pieces = sorted({" " + "".join(rng.choices("abé日", k=rng.randrange(0, 9))) for _ in range(600)} | {"", "a" * 300})
+    data = [p.encode() for p in sorted(pieces, key=str.encode)]
+    alone = [bpe.encode_piece(v, d) for d in data]
+    read = []
+
+    class Counted(list):
+        def __getitem__(self, i):
+            read.append(i)
+            return list.__getitem__(self, i)
+
+    whole, v.longest = v.longest, Counted(v.longest)
+    try:
+        assert bpe.encode_pieces(v, data) == alone
+        steps = len(read)
+        assert bpe.encode_pieces(v, data[::-1]) == alone[::-1]
+    finally:
+        v.longest = whole
+    assert steps < 0.7 * sum(len(d) for d in data)
+    assert bpe._encode_cached(v, [*data, *data]) == alone + alone
+
+
 def test_round_trip_report(library, edge_docs, no_docs):
     got = by_id(bpe.round_trip(edge_docs))
     for i, t in enumerate(TEXTS):
