@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +13,9 @@ from ..functions.rules import (milestone_type_name, override_if_key_present,
                                override_if_present)
 from ..operators.aggregates import sum_by
 from ..operators.dedup import distinct_rows, latest_per_key
-from ..operators.joins import JoinSpec, enrich, left_enrich
+from ..operators.joins import JoinSpec, auto_broadcast_bytes, enrich, fits_broadcast, left_enrich
 from ..operators.projection import add_prefix, project_lenient, rename_map
-from ..operators.skew import SHARE, key_profile
+from ..operators.skew import SHARE, few_rows, key_profile
 from ..sources.readers import flatten_parent
 
 
@@ -84,7 +84,27 @@ def hot_transaction_keys(fact: DataFrame, fraction: float = 0.01, share: float =
     return {k: tuple(v for v in values if v is not None) for k, values in found.items()}
 
 
-def dimension_first_join(cat: Mapping[str, DataFrame], hot: Mapping[str, tuple] | None = None) -> DataFrame:
+# Rows without a key go past the shuffle of its join from this share of the fact on.
+BARE_SHARE = 1 / 8
+
+
+def bare_transaction_keys(fact: DataFrame, fraction: float = 0.01, share: float = BARE_SHARE) -> tuple[str, ...]:
+    """Those of the transaction fact's keys that are null in so many rows of a sample.
+    They decide how the joins are carried out, not what comes out."""
+    sample = fact.sample(fraction, seed=17) if fraction < 1 else fact
+    one = sample.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(k).isNull()).alias(k) for k in TRANSACTION_KEYS]).first()
+    return tuple(k for k in TRANSACTION_KEYS if one["n"] and one[k] >= one["n"] * share)
+
+
+def _salt_columns(fact: DataFrame) -> tuple[str, ...]:
+    """What salts of the fact are made of: columns that its result keeps, not the id,
+    which would go through every shuffle for that alone."""
+    kept = tuple(c for c in ("Trx_Order_Number__c", "Trx_Product_Number__c", "Trx_Transaction_Amount__c") if c in fact.columns)
+    return kept or ("Trx_Id",)
+
+
+def dimension_first_join(cat: Mapping[str, DataFrame], hot: Mapping[str, tuple] | None = None,
+                         bare: Sequence[str] = ()) -> DataFrame:
     """The J2 chain with the dimension-to-dimension lookups done first.
 
     Owner lookups only read account or opportunity columns, and the
@@ -95,7 +115,9 @@ def dimension_first_join(cat: Mapping[str, DataFrame], hot: Mapping[str, tuple]
     Column names are those the sequential chain gives. Equivalent to the
     sequential chain because CRM record ids are primary keys (never null),
     so no null-to-null match can arise between dimensions. ``hot``: values of the
-    fact's keys that are split off where a join has to shuffle.
+    fact's keys that are split off where a join has to shuffle. ``bare``: keys that many
+    rows of the fact lack. Where a join of the first or the last of the keys has to
+    shuffle, and no record lacks its id, such rows match nothing and do not go through it.
     """
     users = cat["Ref_User"]
     acct = left_enrich(cat["Ref_Acct"], users, "Acct_OwnerId", "User_Id", null_salt=NULL_SALT, salt_on=("Acct_Id",))
@@ -110,11 +132,42 @@ def dimension_first_join(cat: Mapping[str, DataFrame], hot: Mapping[str, tuple]
     # What a join adds goes through the shuffles of the next ones: narrow tables come first.
     rights = dict(zip(TRANSACTION_KEYS, ((acct, "Acct_Id"), (opps, "Opps_Id"), (cat["Ref_Proj"], "Proj_Id"), (mile, "Mile_Id")),
                       strict=True))
-    f = cat["Fact_Trx"]
-    for key in NARROW_FIRST:
+    fact = cat["Fact_Trx"]
+    salt_on = _salt_columns(fact)
+    records = dict(zip(TRANSACTION_KEYS, ("Ref_Acct", "Ref_Opps", "Ref_Proj", "Ref_Mile"), strict=True))
+
+    def add(f: DataFrame, key: str) -> DataFrame:
         right, on = rights[key]
-        f = left_enrich(f, right, key, on, null_salt=NULL_SALT, salt_on=("Trx_Id",), hot_values=(hot or {}).get(key, ()))
-    return f
+        return left_enrich(f, right, key, on, null_salt=NULL_SALT, salt_on=salt_on, hot_values=(hot or {}).get(key, ()))
+
+    def goes_past(key: str) -> bool:
+        right, on = rights[key]
+        return (key in bare and not fits_broadcast(right, auto_broadcast_bytes(right))
+                and few_rows(cat[records[key]].where(F.col(on).isNull()), 0))
+
+    def with_and_without(f: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        return f.where(F.col(key).isNotNull()), f.where(F.col(key).isNull())
+
+    def without(f: DataFrame, key: str) -> DataFrame:
+        return f.select("*", *[F.lit(None).cast(c.dataType).alias(c.name) for c in rights[key][0].schema])
+
+    first, *middle, last = NARROW_FIRST
+    first_past, last_past = goes_past(first), goes_past(last)
+
+    def to_the_last(f: DataFrame) -> DataFrame:
+        if first_past:
+            some, none = with_and_without(f, first)
+            f = add(some, first).unionByName(without(none, first))
+        else:
+            f = add(f, first)
+        for key in middle:
+            f = add(f, key)
+        return f
+
+    if not last_past:
+        return add(to_the_last(fact), last)
+    some, none = with_and_without(fact, last)
+    return add(to_the_last(some), last).unionByName(without(to_the_last(none), last))
 
 
 def transaction_fact(objects: Mapping[str, DataFrame], chain=None, profile: float = 0.0) -> DataFrame:
@@ -124,12 +177,14 @@ def transaction_fact(objects: Mapping[str, DataFrame], chain=None, profile: floa
 
     ``chain`` (e.g. ``CRM_CHAIN``) runs the enrichment as the original's
     sequential list of joins; by default the equivalent dimension-first
-    plan is used, with the hot keys that a sketch of the part ``profile`` of the
-    fact finds.
+    plan is used, with the hot keys and the often missing ones that a sketch of the
+    part ``profile`` of the fact finds.
     """
     cat = prefixed(objects)
-    hot = hot_transaction_keys(cat["Fact_Trx"], profile) if profile and chain is None else None
-    f = enrich(cat["Fact_Trx"], cat, chain) if chain is not None else dimension_first_join(cat, hot)
+    sketched = profile and chain is None
+    hot = hot_transaction_keys(cat["Fact_Trx"], profile) if sketched else None
+    bare = bare_transaction_keys(cat["Fact_Trx"], profile) if sketched else ()
+    f = enrich(cat["Fact_Trx"], cat, chain) if chain is not None else dimension_first_join(cat, hot, bare)
     f = project_lenient(rename_map(f, K.CRM_FINAL_COLUMNS, keep_unmapped=False),
                         list(K.CRM_FINAL_COLUMNS.values()))
     return f.withColumns({

@@ -127,3 +127,24 @@ def test_crm_joins_split_hot_accounts(spark, shuffled):
     split = rows(split)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     assert split == rows(crm.transaction_fact(objs, chain=crm.CRM_CHAIN))
+
+
+@pytest.mark.parametrize("lacking", [False, True])
+def test_transactions_without_a_key_go_past_its_shuffle(spark, shuffled, lacking):
+    """Most rows have no project, many no milestone: they are not shuffled for them,
+    unless a record lacks its id, and the fact is that of the plain joins."""
+    from revcast.plans import crm
+    from revcast.sources.driver_tables import DriverCatalog
+
+    objs = dict(DriverCatalog(spark, SF001).crm_objects())
+    if lacking:
+        for n in ("Ref_Proj", "Ref_Mile"):
+            objs[n] = objs[n].withColumn("Id", F.when(F.col("Id") != objs[n].first()["Id"], F.col("Id")))
+    cat = crm.prefixed(objs)
+    assert crm.bare_transaction_keys(cat["Fact_Trx"], 1) == ("Trx_Project__c", "Trx_Milestone__c")
+    got = crm.transaction_fact(objs, profile=1)
+    assert ("Union" in plan(got)) == (not lacking)
+    assert "Trx_Id" not in plan(got) and got.columns == crm.transaction_fact(objs, chain=crm.CRM_CHAIN).columns
+    got = rows(got)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert got == rows(crm.transaction_fact(objs, chain=crm.CRM_CHAIN))
