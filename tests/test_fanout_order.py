@@ -114,3 +114,29 @@ def test_layers_of_a_run_are_written_in_their_orders(spark, tmp_path):
     for name, path in paths.items():
         assert_ordered(spark, path, EXTRACT_ORDER[name])
         assert spark.read.parquet(path).count() == frames[name].count()
+
+
+def test_a_key_for_one_lookup_alone_is_counted_ahead(spark):
+    """A product that only serves a lookup nobody reads keeps no rows of an order apart."""
+    from revcast.operators import fanout
+
+    rng = random.Random(3)
+    fact = spark.createDataFrame([(rng.choice([None, 1, 2]), rng.choice([None, *range(50)])) for _ in range(300)],
+                                 "head long, product long")
+    catalog = {"h": spark.createDataFrame([(None, 5), (1, 6), (1, None)], "head_id long, opp long"),
+               "p": spark.sql("select cast(p as long) product, name from values (null, 'a'), (null, 'b'), (7, 'c'), (8, 'd'), "
+                              "(8, 'e') t(p, name)"),
+               "o": spark.createDataFrame([(5,), (5,), (None,)], "opp long")}
+    for safe in (True, False):
+        chain = (JoinSpec("h", "head", "head_id"), JoinSpec("p", "product", "product", null_safe=safe), JoinSpec("o", "opp", "opp"))
+        frames = fanout._frames(fact, catalog, chain)
+        counted = fanout._counted(frames, fanout._needs(frames, chain), catalog, chain, 1 << 30)
+        assert set(counted) == {1}
+        assert fanout._needs(frames, chain, counted)[0] == {"head"}
+        assert rows(fanout_forecast(fact, catalog, chain), "step", "right_table", "rows_in", "rows_out") == real_counts(
+            fact, catalog, chain)
+        # Beyond the ceiling the key is carried as before.
+        assert rows(fanout_forecast(fact, catalog, chain, 0)) == rows(fanout_forecast(fact, catalog, chain))
+    # A key that a derivation may change, or that another step reads, is carried.
+    late = (DeriveSpec(lambda df: df.withColumn("product", F.lit(8).cast("long")), "d", ()), *chain[1:2])
+    assert rows(fanout_forecast(fact, catalog, late), "rows_out") == [(600,)]

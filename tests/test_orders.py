@@ -136,3 +136,33 @@ def test_order_opportunity_map_effective_dates(spark):
     # 5: membership deleted; 6: group without the prefix. Order 7 has no id; order 8 a blank id.
     assert rows(out, "ORDER_HEADER_ID", "OPPORTUNITY_ID", "SALESREP_NAME") == [
         (1, "OP-1", "Person1"), (2, "OP-2", "Rep2"), (8, None, "Person1")]
+
+
+def test_extracts_without_unwanted_attributes_make_the_same_groups(spark):
+    """Products, customers and parties that differ only in attributes that an extract drops
+    stay apart, equal ones are summed, and duplicate records still multiply rows."""
+    names = "cust_account_id long, account_name string, account_number string"
+    extra = dict(
+        products=([(1, "P1", "EB", None, "T1"), (2, "P1", "EB", None, "T1"), (3, "P1", "EB", None, "T2"), (4, "P1", "EB", "EN", "T1"),
+                   (4, "P1", "EB", "DE", "T1"), (5, "P2", None, None, None), (6, "P2", None, None, None),
+                   (7, "P3", "EB", None, "T1"), (7, "P3", "EB", None, "T2"), (8, "P3", "EB", None, "T2")],
+                  "inventory_item_id long, product_number string, format string, language string, title_abbreviation string"),
+        parties=([(7, "Party7", "RG7"), (8, "Party8", "RG8"), (8, "Other8", "RG8"), (8, "Other8", "RG8")],
+                 "party_id long, party_name string, party_number string"),
+        customers_bill_to=([(7, "Acct7", "AC7", "RG0", "Parent0"), (7, "Acct7", "AC7", "RG0", None), (8, None, None, None, None)],
+                           names + ", parent_number string, parent_name string"),
+        customers_sold_to=([(7, "Acct7", "AC7"), (7, "Acct7", None), (7, "Acct7", "AC7")], names))
+    detail = [(h, 10 * h + i, h, "N", 20200101 + i % 2, item, party, bill, sold, 1, _dec(1), _dec(10 + i), _dec(5))
+              for i, (h, item, party, bill, sold) in enumerate(
+                  (h, item, party, bill, sold) for h in (1, 2) for item in range(1, 9) for party in (7, 8, 9, None)
+                  for bill in (7, 8, None) for sold in (7, 8))]
+    cat = _base(spark, detail, extra)
+    cfg = ForecastConfig(contract_min_period=202001, contract_max_period=202012, contract_excluded_products=())
+    whole = O.contracted_tcv_fact(cat, cfg)
+    narrow = O.contracted_tcv_fact(cat, cfg, wanted=O.K.TCV_EXTRACT_COLUMNS)
+    assert "TITLE_ABBREVIATION" not in narrow.columns
+    got = rows(narrow, *O.K.TCV_EXTRACT_COLUMNS)
+    assert len(got) > 100 and got == rows(whole, *O.K.TCV_EXTRACT_COLUMNS)
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    grouping = next(x for x in plan.splitlines() if "HashAggregate(keys=[PRODUCT_NUMBER" in x)
+    assert "SOLD_TO_ACCOUNT_NAME" not in grouping and "PARTY_NAME" not in grouping
