@@ -1,6 +1,7 @@
 """Hot keys: the sketch that finds them and the join that splits them off."""
 
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from revcast.checks.queries import QUERIES
 from revcast.operators import skew
 from revcast.operators.joins import JoinSpec, enrich, left_enrich
-from revcast.plans.attribution import ORDER_CHAIN, attribute_orders, hot_chain
+from revcast.plans.attribution import ORDER_CHAIN, PARTY_KEY, attribute_orders, hot_chain, with_party_key
 from revcast.plans.pipeline import driver_run
 
 from conftest import SF001, rows
@@ -103,6 +104,65 @@ def test_order_chain_split_equals_the_broadcast_one(spark, shuffled):
     assert got == rows(attribute_orders(fact, cat).select(*names))
 
 
+def test_rows_are_multiplied_by_null_keys_after_the_shuffle(spark, shuffled):
+    """Left rows without a key, which two right rows lack too, are shuffled once each."""
+    left = spark.range(100).select(F.col("id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    right = spark.createDataFrame([(None, "a"), (None, "b"), (2, "c")], "k long, v string")
+    got = left_enrich(left, right, "k", "k", null_salt=8, salt_on=("id",))
+    assert got.count() == 150
+    lines = [x for x in plan(got).splitlines() if "Join" in x]
+    assert "BroadcastHashJoin" in lines[0] and "SortMergeJoin" in lines[1]
+
+
+OPPS = ("Opps_Opportunity__c string, Opps_Month_Close__c int, Opps_Probability double, Opps_OwnerId string")
+
+
+def _order_catalog(spark, bare_accounts, more_accounts=()):
+    """Orders with and without opportunities, two opportunities of one number, some
+    without, ones that do not exist, and accounts from each source."""
+    def table(ddl, *data):
+        return spark.createDataFrame(list(data), ddl)
+
+    fact = table("PRODUCT_NUMBER_CONCAT string, BILL_TO_PARTY_ID long, PARTYNUMBER_AKA_REGISTRYID string, "
+                 "Amount decimal(18,2), ORDER_HEADER_ID long",
+                 *[(f"P{i % 3}" if i % 4 else None, (i % 7) or None, f"R{i % 5}" if i % 5 else None, Decimal(i), (i % 9) or None)
+                   for i in range(120)])
+    account = "Id string, Party_ID__c string, OwnerId string, Name string, Region__c string, Sales_Region_text__c string"
+    accounts = table(account, *[(f"A{i}", str(i), f"U{i % 3}" if i % 4 else None, f"N{i}", "r", "s") for i in range(6)],
+                     *more_accounts)
+    prefixed = accounts.toDF(*[f"Acct_{c}" for c in accounts.columns])
+    return fact, {
+        "Ref_BillParty": prefixed.where("Acct_Party_ID__c in ('1', '2', '3')").withColumn(
+            "Acct_Party_ID__c", F.col("Acct_Party_ID__c").cast("long")),
+        "reforderopp": table("ORDER_HEADER_ID long, OPPORTUNITY_ID string, ORDER_NUMBER long",
+                             (1, "O1", 11), (1, "O2", 12), (2, "O2", 13), (3, None, 14), (4, "O9", 15), (5, "O3", 16),
+                             (None, "O1", 17), (None, None, 18)),
+        "Ref_Opps_Acct": table("OppsAcct_Opportunity__c string, OppsAcct_Account string", ("O1", "A1"), ("O2", "A2"), ("O2", None),
+                               ("O3", "A9"), *[(None, a) for a in bare_accounts]),
+        "Ref_Prnt": table("Prnt_Id string, Prnt_Registry_ID__c string", ("A4", "R1"), ("A5", "R2"), ("A0", "R2"), (None, "R3")),
+        "Ref_Acct": prefixed,
+        "Ref_User": table("User_Id string, User_Name string", ("U0", "Uno"), ("U1", "Due"), (None, "nobody")),
+        "Ref_Opps": table(OPPS, ("O1", 202001, 1.0, "U0"), ("O2", 202002, 2.0, None), ("O2", 202003, 3.0, "U1"),
+                          (None, 202004, 4.0, "U1"), (None, 202005, 5.0, "U9")),
+        "Ref_Offr": table("Offr_Product_Number__c string, Offr_Offering__c string", ("P1", "x"), ("P2", "y"), (None, "z"))}
+
+
+@pytest.mark.parametrize("bare, twice", [((), False), (("A1", "A2"), False), (("A1", "A8"), True), ((None, None), True),
+                                         (("A1", None), True)])
+def test_opportunities_first_equals_the_chain(spark, shuffled, bare, twice):
+    """Same rows and columns as the steps one by one; rows without an opportunity are not
+    multiplied before a shuffle, and the fact is not shuffled for the opportunities."""
+    more = [("A1", "1", "U1", "again", "q", "t"), ("A4", None, "U0", "also", None, None),
+            ("unmapped", None, None, "none", None, None)] if twice else []
+    fact, cat = _order_catalog(spark, bare, more)
+    want = enrich(with_party_key(fact), cat, ORDER_CHAIN).drop(PARTY_KEY)
+    got = attribute_orders(fact, cat, hot_chain(fact, cat, ORDER_CHAIN, fraction=1, share=0.2) if twice else ORDER_CHAIN)
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert rows(got) == rows(want)
+    by_opportunity = "hashpartitioning(OppsAcct_Opportunity__c"
+    assert by_opportunity in plan(want) and by_opportunity not in plan(got)
+
+
 def test_no_salts_where_right_tables_are_small(spark):
     assert hot_chain(spark.range(5), {s.right: spark.range(1) for s in ORDER_CHAIN if isinstance(s, JoinSpec)}) is ORDER_CHAIN
     for name in ("enrichment_chain", "crm_chain"):
