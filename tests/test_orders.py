@@ -166,3 +166,17 @@ def test_extracts_without_unwanted_attributes_make_the_same_groups(spark):
     plan = narrow._jdf.queryExecution().executedPlan().toString()
     grouping = next(x for x in plan.splitlines() if "HashAggregate(keys=[PRODUCT_NUMBER" in x)
     assert "SOLD_TO_ACCOUNT_NAME" not in grouping and "PARTY_NAME" not in grouping
+
+
+def test_contracted_value_is_shuffled_twice_where_dimensions_are_small(spark, tmp_path):
+    """Rows are summed where the headers' join has put them, and grouped at last where they
+    were put before the attributes: several headers of an order are one row."""
+    detail = [(1, 11, h, "N", 20200102, 1, 7, 7, 7, 1, None, _dec(10), _dec(h)) for h in (1, 2, 2)]
+    cat = _base(spark, detail)
+    for n in ("products", "parties", "customers_bill_to", "customers_sold_to"):  # files have a size
+        cat[n].write.parquet(f"{tmp_path}/{n}")
+        cat[n] = spark.read.parquet(f"{tmp_path}/{n}")
+    out = O.contracted_tcv_fact(cat, ForecastConfig(contract_min_period=None, contract_max_period=None))
+    assert rows(out, "Amount", "ORDER_HEADER_ID") == [(_dec("35.00"), 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_header_id" in plan and "hashpartitioning(PRODUCT_NUMBER" not in plan
