@@ -5,16 +5,15 @@
 a plain Spark join, so a chain of enrichment steps can be declared as data
 (``JoinSpec`` / ``DeriveSpec``) and folded into one logical plan.
 
-Physical strategy is left to Catalyst and AQE: a right side is broadcast
-only when the caller marks it as a bounded dimension *and* the optimizer's
-size estimate is under the ceiling; everything else is a shuffle join that
-AQE may still turn into a broadcast at runtime. Rows with a null or hot key are
+A right side is broadcast only when its rows take few bytes in memory (``operators.sizes``):
+up to the optimizer's threshold, or up to the ceiling where the caller marks it as a
+bounded dimension. Everything else is a shuffle join, which AQE may still turn into a
+broadcast at runtime where no estimate was at hand. Rows with a null or hot key are
 split off there (``operators.skew``).
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -22,46 +21,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sizes import (DEFAULT_BROADCAST_CEILING, auto_broadcast_bytes, bounded_broadcast, estimated_bytes,  # noqa: F401
+                    fits_broadcast, shuffled, sized_join)
 from .skew import split_join
 
-log = logging.getLogger(__name__)
-
-DEFAULT_BROADCAST_CEILING = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, or None when unknown."""
-    if not hasattr(df, "_jdf"):  # a remote session shows no plan
-        return None
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -> bool:
-    """Whether the optimizer's size estimate is known and under ``ceiling``."""
-    size = estimated_bytes(df)
-    if size is None or size > ceiling:
-        log.info("not broadcasting: estimated %s bytes > %s", size, ceiling)
-        return False
-    return True
-
-
-def auto_broadcast_bytes(df: DataFrame) -> int:
-    """Up to which estimate the optimizer broadcasts a side by itself."""
-    text = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().removesuffix("b")
-    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
-    return int(text[:-1] if unit else text) << unit
-
-
-def bounded_broadcast(df: DataFrame, ceiling: int = DEFAULT_BROADCAST_CEILING) -> DataFrame:
-    """Broadcast hint for a side whose estimated size is under ``ceiling``.
-
-    Above the ceiling, or without an estimate (a rule table built in memory),
-    the frame is returned as is and the join stays a shuffle join; AQE
-    re-checks real sizes at runtime.
-    """
-    return F.broadcast(df) if fits_broadcast(df, ceiling) else df
-
-
 TASK_ROWS = 500_000
 
 
@@ -125,8 +88,7 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     rt = [f"__r{i}" for i in range(len(rcols))]
     l2 = left
     r2 = right.toDF(*rt)
-    if broadcast and fits_broadcast(r2, broadcast_ceiling):
-        r2, null_salt = F.broadcast(r2), 0
+    small = broadcast and fits_broadcast(right, broadcast_ceiling) or fits_broadcast(right, auto_broadcast_bytes(left))
     rpos = {c: i for i, c in enumerate(rcols)}
 
     def lref(c):
@@ -136,11 +98,11 @@ def left_enrich(left: DataFrame, right: DataFrame, left_on, right_on,
     rkeys = [F.col(rt[rpos[b]]) for b in rk]
     preds = [(l.eqNullSafe(r) if null_safe else l == r) for l, r in zip(lkeys, rkeys)]
     values = {c: F.col(c) for c in rt}
-    if null_salt and null_salt > 1 and how == "left" and not fits_broadcast(r2, auto_broadcast_bytes(left)):
+    if null_salt and null_salt > 1 and how == "left" and not small:
         joined, values = split_join(l2, r2, lkeys, [rt[rpos[b]] for b in rk], hot_values, null_salt,
                                     [lref(c) for c in salt_on or lcols], null_safe, few_hot)
     else:
-        joined = l2.join(r2, reduce(lambda x, y: x & y, preds), how)
+        joined = sized_join(l2, r2, reduce(lambda x, y: x & y, preds), how, small=small)
     sel = [lref(c) if lname(c) == c else lref(c).alias(lname(c)) for c in lcols]
     sel += [values[rt[i]].alias(rname(c)) for i, c in enumerate(rcols) if c not in same]
     return joined.select(*sel)
@@ -224,7 +186,7 @@ def fanout_report(left: DataFrame, right: DataFrame, left_on: str, right_on: str
            .where(F.col("right_rows") > 1))
     lcount = left.groupBy(F.col(left_on).alias("lkey")).agg(F.count(F.lit(1)).alias("left_rows"))
     cond = dup["key"].eqNullSafe(lcount["lkey"]) if null_safe else dup["key"] == lcount["lkey"]
-    return dup.join(lcount, cond, "inner").select("key", "right_rows", "left_rows")
+    return shuffled(dup).join(shuffled(lcount), cond, "inner").select("key", "right_rows", "left_rows")
 
 
 def anti_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
@@ -234,4 +196,4 @@ def anti_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     keys = right.select(F.col(right_on).alias("__k")).distinct()
     cond = (F.col(left_on).eqNullSafe(F.col("__k")) if null_safe
             else F.col(left_on) == F.col("__k"))
-    return left.join(keys, cond, "left_anti")
+    return sized_join(left, keys, cond, "left_anti")

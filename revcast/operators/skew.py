@@ -21,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sizes import shuffled
+
 # Values that a sketch keeps, and the share of the rows from which a value is hot.
 TRACKED = 4096
 SHARE = 1 / 512
@@ -80,7 +82,7 @@ def split_join(left: DataFrame, right: DataFrame, left_keys: Sequence[Column], r
         rows = rest.withColumn("__rsalt", F.lit(0).cast("long")).unionByName(
             some.withColumn("__rsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))))
         salted = left.withColumn("__lsalt", F.when(hot, spread).otherwise(F.lit(0).cast("long")))
-        joined = salted.join(rows, same(own) & (F.col("__lsalt") == F.col("__rsalt")), "left")
+        joined = salted.join(shuffled(rows), same(own) & (F.col("__lsalt") == F.col("__rsalt")), "left")
         return joined.drop("__lsalt", "__rsalt"), {c: F.col(c) for c in right.columns}
     named = {c: f"__hot_{c}" for c in right.columns}
     joined = left.withColumn("__lsalt", F.when(hot, spread + 1).otherwise(F.lit(0).cast("long")))
@@ -88,6 +90,6 @@ def split_join(left: DataFrame, right: DataFrame, left_keys: Sequence[Column], r
     # shuffle would go by the key alone.
     rest = rest.withColumn("__rsalt", F.pmod(F.xxhash64(*keys), F.lit(1).cast("long")))
     plain = reduce(lambda x, y: x & y, [l == F.col(r) for l, r in zip(left_keys, right_keys, strict=True)])
-    joined = joined.join(rest, plain & (F.col("__lsalt") == F.col("__rsalt")), "left")
+    joined = joined.join(shuffled(rest), plain & (F.col("__lsalt") == F.col("__rsalt")), "left")
     joined = joined.join(F.broadcast(some.withColumnsRenamed(named)), same(named), "left")
     return joined, {c: F.coalesce(F.col(named[c]), F.col(c)) for c in right.columns}

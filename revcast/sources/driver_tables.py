@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.fiscal import fiscal_period
 from ..functions.semantics import product_key
-from ..operators.joins import bounded_broadcast
+from ..operators.sizes import bounded_broadcast, sized_join
 from ..plans._lazy import LazyMap
 from ..plans.config import (DRIVER_ZERO_ORDERS, DRIVER_ZERO_PARTY_DATES, ForecastConfig,
                             driver_config)
@@ -109,13 +109,13 @@ class DriverCatalog:
         made before it: they take fewer bytes than a time and a double."""
         li = self.t["lineitem"].withColumns({"_day": F.to_date("l_shipdate"), "_price": money("l_extendedprice")})
         o = self.t["orders"].select("o_orderkey", "o_custkey")
-        return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+        return sized_join(li, o, li.l_orderkey == o.o_orderkey, "inner")
 
     @_memo
     def transactions(self) -> DataFrame:
         """All CRM transaction records (every type): lines + order + part."""
         p = self.t["part"].select("p_partkey", "p_brand", "p_type", "p_size", "p_name")
-        x = self.order_lines_joined().join(p, F.col("l_partkey") == F.col("p_partkey"), "inner")
+        x = sized_join(self.order_lines_joined(), p, F.col("l_partkey") == F.col("p_partkey"), "inner")
         amount = (F.when(F.col("l_quantity") <= 2, F.lit(None).cast("decimal(18,2)"))
                   .when(F.col("l_quantity") == 3, F.lit(0).cast("decimal(18,2)"))
                   .otherwise(F.col("_price")))
