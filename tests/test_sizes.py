@@ -98,7 +98,7 @@ def broadcast_scans(text):
         yield path, columns
 
 
-FOUND = ("crm_chain",)
+FOUND = ("crm_chain", "pipeline_tcv")
 
 
 def test_queries_broadcast_no_large_table(spark, threshold, tmp_path, monkeypatch):
