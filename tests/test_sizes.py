@@ -98,7 +98,8 @@ def broadcast_scans(text):
         yield path, columns
 
 
-FOUND = ("crm_chain", "pipeline_tcv", "contracted_tcv", "billing_fact", "recognised_deferred", "union_by_name", "fanout_forecast")
+FOUND = ("crm_chain", "pipeline_tcv", "contracted_tcv", "billing_fact", "recognised_deferred", "union_by_name", "fanout_forecast",
+         "enrichment_chain")
 
 
 def test_queries_broadcast_no_large_table(spark, threshold, tmp_path, monkeypatch):
