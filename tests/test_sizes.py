@@ -99,7 +99,7 @@ def broadcast_scans(text):
 
 
 FOUND = ("crm_chain", "pipeline_tcv", "contracted_tcv", "billing_fact", "recognised_deferred", "union_by_name", "fanout_forecast",
-         "enrichment_chain", "tcv_forecast")
+         "enrichment_chain", "tcv_forecast", "revenue_forecast")
 
 
 def test_queries_broadcast_no_large_table(spark, threshold, tmp_path, monkeypatch):
